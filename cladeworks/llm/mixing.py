@@ -20,7 +20,7 @@ SEED = "mix-1"
 #: Most that a source, and so a document, is repeated.
 MAX_EPOCHS = 3
 #: Rows in a key range of a source, on average; one task's window never holds much more.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 WORD = r"[^\x20\x09-\x0D]++"
 
 
