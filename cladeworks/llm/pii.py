@@ -214,7 +214,7 @@ def _label(s: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with each accepted span replaced by ``[KIND]``; where spans overlap, the first starts the cut."""
     proposed = proposed_spans(docs, text_col)
-    model = fit(proposed.select("_pi_spans"))
+    model = fit(materialize(proposed.select("_pi_spans")))
     found = accepted_spans(proposed, model)
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.coalesce(F.col(text_col), F.lit(""))
