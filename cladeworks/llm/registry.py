@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import mixing, packing, pii, simhash, toxicity
+from cladeworks.llm import mixing, packing, pii, simhash, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
     "op2_source_mix": mixing.op2_source_mix,
     "op3_simhash_dedup": simhash.op3_simhash_dedup,
+    "op4_warc_dictionary": warc.op4_warc_dictionary,
     "op5_hilbert_pack": packing.op5_hilbert_pack,
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
 }
 
 SQL = {
     "op2_source_mix": mixing.SQL,
+    "op4_warc_dictionary": warc.SQL,
 }
