@@ -28,11 +28,11 @@ LENGTH = 2048
 CLOSING_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Hashed vector size, coordinates, bits a coordinate; the low bits of the order key come from the doc id.
-BUCKETS, DIMS, BITS, SALT_BITS = 2048, 4, 10, 22
+BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 #: Ids in a range of the order key, on average, and the most ranges.
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
 #: Words whose ids a worker keeps at once.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
