@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import mixing, packing, pii, simhash, toxicity, warc
+from cladeworks.llm import hash_forest, mixing, packing, pii, simhash, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_simhash_dedup": simhash.op3_simhash_dedup,
     "op4_warc_dictionary": warc.op4_warc_dictionary,
     "op5_hilbert_pack": packing.op5_hilbert_pack,
+    "op10_hash_forest": hash_forest.op10_hash_forest,
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
 }
 
