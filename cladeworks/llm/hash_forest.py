@@ -1,6 +1,6 @@
 """Approximate nearest neighbours with a forest of hash prefixes.
 
-Each tree sorts the vectors by a 64-bit string of random-hyperplane bits. A query descends in every
+Each tree sorts the vectors by a string of 59 random-hyperplane bits. A query descends in every
 tree to its longest matching prefix, then all trees ascend together, a bit at a time, and the vectors
 under the prefixes join the candidates until there are enough. Candidates are ranked by exact cosine in
 double precision.
@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 
 from cladeworks.runtime import materialize, read_table
 
+#: Trees, a power of two; bits hashed for each.
 TREES, BITS = 32, 64
+TREE_BITS = TREES.bit_length() - 1
 #: Rows of a shard; small tables still get up to ``LEAST_SHARDS`` of ``LEAST_ROWS`` for parallel work.
-SHARD_ROWS, LEAST_SHARDS, LEAST_ROWS = 8192, 64, 512
+SHARD_ROWS, LEAST_SHARDS, LEAST_ROWS = 8192, 8, 512
 LEAST_SHARE, LEAST_CANDIDATES = 0.45, 64
 NEIGHBOURS = 5
 QUERY_EVERY = 50
@@ -49,54 +51,47 @@ def hash_strings(vectors: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(packed).view(">u8")[:, :, 0].astype(np.uint64)
 
 
+def tree_keys(strings: np.ndarray) -> np.ndarray:
+    """The tree's number in the first bits, then its string; the last bits of the string give way."""
+    return strings >> np.uint64(TREE_BITS) | np.arange(TREES, dtype=np.uint64) << np.uint64(64 - TREE_BITS)
+
+
 class Forest:
-    """Sorted hash strings of the vectors of one shard."""
+    """Sorted hash strings of the vectors of one shard: the trees' arrays end to end, told apart by the first bits."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        strings = hash_strings(vectors)
-        self.order = np.argsort(strings, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(strings, self.order, axis=0)
+        keys = tree_keys(hash_strings(vectors))
+        self.order = np.argsort(keys, axis=0, kind="stable").T.reshape(-1)
+        self.sorted = np.sort(keys, axis=0).T.reshape(-1)
 
-    def ranges(self, strings: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each tree, where the strings that share ``depth`` bits with the query's begin and end."""
-        if depth == 0:
-            return np.zeros(TREES, np.int64), np.full(TREES, len(self.ids))
-        low = strings >> np.uint64(BITS - depth) << np.uint64(BITS - depth)
-        high = low | np.uint64((1 << (BITS - depth)) - 1)
-        begin = np.array([np.searchsorted(self.sorted[:, t], low[t], side="left") for t in range(TREES)])
-        end = np.array([np.searchsorted(self.sorted[:, t], high[t], side="right") for t in range(TREES)])
-        return begin, end
-
-    def longest(self, strings: np.ndarray) -> int:
+    def longest(self, keys: np.ndarray) -> int:
         """Bits of the longest prefix that any tree shares with the query."""
-        depth = 0
-        for t in range(TREES):
-            column, at = self.sorted[:, t], int(np.searchsorted(self.sorted[:, t], strings[t]))
-            for i in (at - 1, at):
-                if 0 <= i < len(column):
-                    depth = max(depth, BITS - int(column[i] ^ strings[t]).bit_length())
-        return depth
-
-    def candidates(self, strings: np.ndarray, enough: int) -> np.ndarray:
+        at = np.searchsorted(self.sorted, keys)
+        shared = np.minimum(self.sorted[np.maximum(at - 1, 0)] ^ keys, self.sorted[np.minimum(at, len(self.sorted) - 1)] ^ keys)
+        return max(0, 64 - int(shared.min()).bit_length() - TREE_BITS)
+
+    def ranges(self, keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each tree, where the strings that share ``depth`` bits with the query's begin and end."""
+        rest = np.uint64(64 - TREE_BITS - depth)
+        low = keys >> rest << rest
+        return np.searchsorted(self.sorted, low, side="left"), np.searchsorted(self.sorted, low | ((np.uint64(1) << rest) - np.uint64(1)), side="right")
+
+    def candidates(self, keys: np.ndarray, enough: int) -> np.ndarray:
         """Synchronous ascent: every tree goes up a bit at a time until enough vectors are under the prefixes."""
-        marked = np.zeros(len(self.ids), dtype=bool)
-        depth, done = self.longest(strings), None
+        depth = self.longest(keys)
         while True:
-            begin, end = self.ranges(strings, depth)
-            for t in range(TREES):
-                if done is None:
-                    marked[self.order[begin[t] : end[t], t]] = True
-                else:  # only what the last step did not cover
-                    marked[self.order[begin[t] : done[0][t], t]] = True
-                    marked[self.order[done[1][t] : end[t], t]] = True
-            if depth == 0 or np.count_nonzero(marked) >= enough:
-                return np.flatnonzero(marked)
-            done, depth = (begin, end), depth - 1
-
-    def nearest(self, query_id: int, query: np.ndarray, strings: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        found = self.candidates(strings, max(LEAST_CANDIDATES, int(LEAST_SHARE * len(self.ids))))
+            begin, end = self.ranges(keys, depth)
+            if depth == 0 or (end - begin).sum() >= enough:
+                marked = np.zeros(len(self.ids), dtype=bool)
+                marked[np.concatenate([self.order[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)])] = True
+                if depth == 0 or np.count_nonzero(marked) >= enough:
+                    return np.flatnonzero(marked)
+            depth -= 1
+
+    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        found = self.candidates(tree_keys(hash_strings(query[None, :]))[0], max(LEAST_CANDIDATES, int(LEAST_SHARE * len(self.ids))))
         found = found[self.ids[found] != query_id]
         scores = cosines(self.vectors[found], self.norms[found], query)
         if len(found) > k:
@@ -142,7 +137,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             if forests is None:
                 forests, waiting = build(), []
             if len(v) in forests:
-                ids, scores = forests[len(v)].nearest(i, v, hash_strings(v[None, :])[0], k)
+                ids, scores = forests[len(v)].nearest(i, v, k)
                 out += [(i, int(n), float(s)) for n, s in zip(ids, scores, strict=True)]
         if out:
             q, n, s = zip(*out, strict=True)
