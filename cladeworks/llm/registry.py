@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import hash_forest, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, toxicity, warc
+from cladeworks.llm import hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
@@ -13,6 +13,7 @@ QUERIES = {
     "op10_hash_forest": hash_forest.op10_hash_forest,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_progressive_jpeg": progressive_jpeg.op7_progressive_jpeg,
+    "op8_host_text": host_text.op8_host_text,
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
 }
 
