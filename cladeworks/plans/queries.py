@@ -1,6 +1,439 @@
-"""Registered queries of the core engine and their SQL."""
+"""Registered queries of the core engine and their SQL.
+
+Each query runs an operator over whole driver tables, turned into barcode-shaped rows by ``fixtures``.
+"""
 
 from __future__ import annotations
 
-QUERIES = {}
-SQL = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cladeworks.config import CloneParams, DirectParams, TimepointParams
+from cladeworks.functions.sequences import hamming, match_confidence, wsn_mismatches
+from cladeworks.operators import clones, cluster, direct, enrichment, molecules, noise, qc, timepoints
+from cladeworks.operators.similarity import hamming_pairs
+from cladeworks.plans import fixtures as fx
+from cladeworks.runtime import materialize, read_table
+
+T0, CONTROL, TREATED = "A", "N", "R"
+READS = f"reads AS ({fx.sql(fx.READS)})"
+
+
+def _addresses(spark: SparkSession, d: str) -> DataFrame:
+    return fx.reads(spark, d).withColumn("mismatches", wsn_mismatches(F.col("lineage_barcode")))
+
+
+def wsn_mismatch(spark, d):
+    return _addresses(spark, d).groupBy("lineage_barcode", "mismatches").agg(F.count("*").alias("reads"))
+
+
+def filter_mismatch(spark, d):
+    return molecules.filter_mismatches(_addresses(spark, d), 0).select("readid", "cell_barcode", "umi", "lineage_barcode", "mismatches")
+
+
+def address_count(spark, d):
+    return molecules.count_addresses(fx.reads(spark, d))
+
+
+def collapse_altered(spark, d):
+    return molecules.altered_barcodes(fx.short_molecules(spark, address_count(spark, d)), "10xv3")
+
+
+def collapse_barcodes(spark, d):
+    return molecules.recount(molecules.collapse_barcodes(fx.short_molecules(spark, address_count(spark, d)), "10xv3"))
+
+
+def translate_filter(spark, d):
+    return molecules.translate_cells(address_count(spark, d), fx.whitelist(spark, d), fx.allowed(spark, d), 0)
+
+
+def umi_counts(spark, d):
+    return molecules.umi_counts(address_count(spark, d))
+
+
+def _corrections(counts: DataFrame) -> DataFrame:
+    """Corrections that send a mismatched first base back; a rule SQL can state too."""
+    fixed = F.concat(F.lit("A"), F.substring("lineage_barcode", 2, 100))
+    return counts.where(F.col("lineage_barcode").startswith("G")).select(F.col("cellbc").alias("cell_barcode"), fixed.alias("canonical_sequence"), F.col("lineage_barcode").alias("sequence_in_cluster"))
+
+
+def correct_counts(spark, d):
+    counts = umi_counts(spark, d)
+    return molecules.correct_counts(counts, _corrections(counts))
+
+
+def lost_cells(spark, d):
+    counts = umi_counts(spark, d)
+    kept = translate_filter(spark, d)
+    return molecules.lost_cells(counts, kept)
+
+
+def single_lineage(spark, d):
+    return molecules.single_lineage_fraction(fx.corrected(spark, d))
+
+
+def cluster_lineages(spark, d):
+    return cluster.cluster_lineages(umi_counts(spark, d), 1)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def noise_stats(spark, d):
+    return _rounded(noise.noise_statistics(fx.corrected(spark, d, T0)))
+
+
+def noise_filtered(spark, d):
+    return _rounded(noise.filter_noise(fx.corrected(spark, d, T0)))
+
+
+def lineage_hist(spark, d):
+    return noise.lineage_histogram(noise.filter_noise(fx.corrected(spark, d, T0)))
+
+
+def poisson_fit(spark, d):
+    fit = noise.poisson_quality(noise.filter_noise(fx.corrected(spark, d, T0)))
+    return spark.createDataFrame([(fit.observed_mean, fit.rate, fit.ks_statistic, fit.p_value, fit.percent_infected)], "observed_mean double, rate double, ks_statistic double, p_value double, percent_infected double")
+
+
+def fuzzy_pairs(spark, d):
+    a, b = (fx.reads(spark, d, c).select("lineage_barcode") for c in (T0, TREATED))
+    return hamming_pairs(a, b, 2)
+
+
+def _prepared(spark, d, condition=T0, source="T0"):
+    return materialize(clones.prepare_cells(fx.corrected(spark, d, condition).withColumn("lineage_count", F.col("total_lineages_per_cell")), source))
+
+
+def clone_pairs_within(spark, d):
+    return _rounded(clones.clone_pairs(_prepared(spark, d)).drop("matched_barcode_pairs"))
+
+
+def clone_pairs_full(spark, d):
+    return _rounded(clones.clone_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=1, quick_mode=False)).drop("matched_barcode_pairs"))
+
+
+def clone_pairs_cross(spark, d):
+    return _rounded(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")).drop("matched_barcode_pairs"))
+
+
+def _graph(spark, d, condition=T0, source="T0"):
+    prepared = _prepared(spark, d, condition, source)
+    pairs = materialize(clones.clone_pairs(prepared))
+    return prepared, pairs, materialize(clones.clone_groups(pairs, clones.nodes_of(prepared)))
+
+
+def clone_groups(spark, d):
+    return _graph(spark, d)[2]
+
+
+def clone_barcodes(spark, d):
+    prepared, _, groups = _graph(spark, d)
+    return clones.clone_counts(groups, clones.clone_barcodes(prepared, groups))
+
+
+def graph_nodes(spark, d):
+    return clones.graph_nodes(_graph(spark, d)[2])
+
+
+def graph_edges(spark, d):
+    return _rounded(clones.graph_edges(_graph(spark, d)[1]))
+
+
+def graph_statistics(spark, d):
+    _, pairs, groups = _graph(spark, d)
+    return clones.graph_statistics(groups, pairs)
+
+
+def matched_cells(spark, d):
+    return clones.matched_cells(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")))
+
+
+def legacy_clones(spark, d):
+    return clones.exact_set_clones(fx.corrected(spark, d, T0))
+
+
+def _clones_by_cell(spark, d, condition):
+    """Clones for matching: each cell of a condition, numbered in the order of its barcode, with its lineages."""
+    rows = fx.corrected(spark, d, condition)
+    # Cells are aggregates of reads, so one task numbers them.
+    from pyspark.sql import Window
+
+    cells = rows.select("cell_barcode").distinct().withColumn("clone_id", F.row_number().over(Window.orderBy("cell_barcode")).cast("long"))
+    return materialize(rows.join(cells, "cell_barcode").select("clone_id", F.col("corrected_lineage_barcode").alias("barcode"), "umi_count"))
+
+
+def _ranked(spark, d, weighted=False, condition=TREATED):
+    t0, t1 = _clones_by_cell(spark, d, T0), _clones_by_cell(spark, d, condition)
+    weigh = lambda x: x.groupBy("barcode").agg(F.sum("umi_count").alias("weight")) if weighted else None
+    p = TimepointParams(hamming_threshold=1, weight_by_umi=weighted)
+    sets = [x.select("clone_id", "barcode") for x in (t0, t1)]
+    return materialize(timepoints.match_clones(*sets, p, weigh(t0), weigh(t1))), sets[0], sets[1]
+
+
+def ranked_matches(spark, d):
+    return _rounded(_ranked(spark, d)[0])
+
+
+def ranked_matches_weighted(spark, d):
+    return _rounded(_ranked(spark, d, True)[0])
+
+
+def best_matches(spark, d):
+    return _rounded(timepoints.best_matches(_ranked(spark, d)[0]))
+
+
+def unmatched_clones(spark, d):
+    ranked, _, t1 = _ranked(spark, d)
+    return _rounded(timepoints.unmatched_clones(ranked, t1))
+
+
+def match_statistics(spark, d):
+    ranked, _, t1 = _ranked(spark, d)
+    return _rounded(timepoints.match_statistics(ranked, t1))
+
+
+def top_match_cells(spark, d):
+    """The grid's cells in long form; the columns of a grid depend on the data."""
+    ranked, _, _ = _ranked(spark, d)
+    top = timepoints.best_matches(ranked).orderBy(F.desc("similarity_score"), "T1_clone_id").limit(30).select("T1_clone_id")
+    return _rounded(ranked.join(F.broadcast(top), "T1_clone_id", "left_semi").select("T1_clone_id", "T0_clone_id", "similarity_score"))
+
+
+def direct_matches(spark, d):
+    return direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=1))
+
+
+def direct_matches_weighted(spark, d):
+    return direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=1, use_umi_weighting=True, jaccard_threshold=0.3, top_n=3))
+
+
+def direct_exact(spark, d):
+    """At distance 0 the greedy choice is the shared barcodes, which SQL can state."""
+    out = direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=0))
+    return out.select("T0_cell_barcode", "T1_cell_barcode", "T1_barcode_count", "matched_barcodes", "jaccard_similarity", "match_rank")
+
+
+def direct_summary(spark, d):
+    return _rounded(direct.match_summary(direct_matches(spark, d)))
+
+
+def _enriched(spark, d):
+    sizes = {}
+    t0 = _clones_by_cell(spark, d, T0)
+    for c in (CONTROL, TREATED):
+        ranked, _, t1 = _ranked(spark, d, condition=c)
+        rows = _clones_by_cell(spark, d, c)
+        weights = rows.groupBy("barcode").agg(F.sum("umi_count").alias("weight"))
+        sizes[c] = enrichment.sizes_by_t0(timepoints.best_matches(ranked), enrichment.clone_sizes(t1, weights))
+    own = enrichment.clone_sizes(t0.select("clone_id", "barcode"), t0.groupBy("barcode").agg(F.sum("umi_count").alias("weight")))
+    return materialize(enrichment.run_enrichment(own, sizes[CONTROL], sizes[TREATED]))
+
+
+def clone_sizes(spark, d):
+    t0 = _clones_by_cell(spark, d, T0)
+    return enrichment.clone_sizes(t0.select("clone_id", "barcode"), t0.groupBy("barcode").agg(F.sum("umi_count").alias("weight")))
+
+
+def enrichment_results(spark, d):
+    return _rounded(_enriched(spark, d))
+
+
+def enrichment_summary(spark, d):
+    return _rounded(enrichment.enrichment_summary(_enriched(spark, d)))
+
+
+def fisher_test(spark, d):
+    """The exact test on its own, over counts of line items by supplier."""
+    rows = read_table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[F.count_if(F.col("l_returnflag") == c).alias(n) for c, n in ((T0, "a"), (CONTROL, "b"), (TREATED, "c"))])
+    from cladeworks.functions.statistics import benjamini_hochberg, fisher_p
+
+    rows = rows.withColumn("p_value", fisher_p(F.col("a") + 1, F.col("b") + 1, F.col("a") + 1, F.col("c") + 1))
+    return _rounded(benjamini_hochberg(rows, "p_value", "q_value"))
+
+
+def cumulative_hist(spark, d):
+    rows = fx.reads(spark, d).select("cell_barcode", F.col("lineage_barcode").alias("gene"))
+    return _rounded(qc.cumulative_histogram(qc.molecules_per_cell(rows)))
+
+
+def retention(spark, d):
+    counts = _addresses(spark, d).agg(F.count("*").alias("original"), F.count_if(F.col("mismatches") <= 0).alias("processed"))
+    return counts.select("original", "processed", F.round(qc.retention(F.col("original"), F.col("processed")), 6).alias("percent"))
+
+
+def match_confidences(spark, d):
+    pairs = fx.corrected(spark, d, T0).alias("x").join(fx.corrected(spark, d, TREATED).alias("y"), ["cell_barcode", "corrected_lineage_barcode"])
+    c = match_confidence(F.col("x.umi_count"), F.col("y.umi_count"), F.col("x.total_lineages_per_cell"), F.col("y.total_lineages_per_cell"))
+    return pairs.select("cell_barcode", "corrected_lineage_barcode", F.round(c, 6).alias("confidence"))
+
+
+def hamming_distances(spark, d):
+    """Distance of each cell barcode to its translated one, and of unequal lengths to a shorter one."""
+    w = fx.whitelist(spark, d)
+    return w.select("*", hamming(F.col("cell_barcode_gex"), F.col("cell_barcode_feature")).cast("int").alias("distance"), hamming(F.col("cell_barcode_gex"), F.substring("cell_barcode_feature", 1, 9)).cast("int").alias("unequal"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        umi_counts, wsn_mismatch, filter_mismatch, address_count, collapse_altered, collapse_barcodes, translate_filter, correct_counts, lost_cells, single_lineage, cluster_lineages,
+        noise_stats, noise_filtered, lineage_hist, poisson_fit, fuzzy_pairs, clone_pairs_within, clone_pairs_full, clone_pairs_cross, clone_groups, clone_barcodes, graph_nodes, graph_edges,
+        graph_statistics, matched_cells, legacy_clones, ranked_matches, ranked_matches_weighted, best_matches, unmatched_clones, match_statistics, top_match_cells, direct_matches,
+        direct_matches_weighted, direct_exact, direct_summary, clone_sizes, enrichment_results, enrichment_summary, fisher_test, cumulative_hist, retention, match_confidences, hamming_distances,
+    )
+}
+
+
+def _mol() -> str:
+    return f"WITH {READS}, molecules AS (SELECT cell_barcode, umi, lineage_barcode, count(*) AS read_count FROM reads GROUP BY ALL)"
+
+
+_WSN = "list_sum(list_transform(range(1, 25), lambda i: CASE WHEN (i - 1) % 3 = 0 AND substr(lineage_barcode, i, 1) NOT IN ('A', 'T') THEN 1 WHEN (i - 1) % 3 = 1 AND substr(lineage_barcode, i, 1) NOT IN ('G', 'C') THEN 1 ELSE 0 END))::INT"
+_UMI = """u AS (SELECT *, sum(unique_umi_count) OVER (PARTITION BY cellbc)::BIGINT AS total_unique_umis, count(*) OVER (PARTITION BY cellbc) AS total_unique_lineage_barcodes
+FROM (SELECT cell_barcode AS cellbc, lineage_barcode, count(DISTINCT umi) AS unique_umi_count FROM molecules GROUP BY ALL))"""
+_SHORT = f"s AS ({fx.SHORT}), ok AS (SELECT * FROM s WHERE cell_barcode NOT LIKE '%N%' AND cell_barcode NOT LIKE '%GGGGG%')"
+_ALTERED = """c AS (SELECT cell_barcode, count(*) AS n, count(*) FILTER (substr(umi, 12, 1) = 'T') / count(*) > 0.9 AS high FROM ok GROUP BY 1),
+a AS (SELECT cell_barcode AS bc_old, substr(cell_barcode, 1, 15) AS bc_new FROM c WHERE high AND length(cell_barcode) = 16 AND substr(cell_barcode, 1, 15) IN (SELECT substr(cell_barcode, 1, 15) FROM c WHERE high AND n >= 20))"""
+_TRANSLATED = f"""w AS ({fx.sql(fx.WHITELIST)}), al AS ({fx.sql(fx.ALLOWED)}),
+t AS (SELECT w.cell_barcode_gex AS cell_barcode, umi, lineage_barcode, read_count FROM molecules m JOIN w ON m.cell_barcode = w.cell_barcode_feature WHERE read_count > 0 AND w.cell_barcode_gex IN (SELECT cell_barcode_gex FROM al))"""
+
+
+def _noise() -> str:
+    return f"""WITH {READS}, k AS ({fx.corrected_sql(T0)}),
+n AS (SELECT *, umi_count / sum(umi_count) OVER (PARTITION BY cell_barcode) * 10000.0 AS normalized_umi_count FROM k),
+l AS (SELECT *, ln(1 + normalized_umi_count) AS log_normalized_umi_count FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY cell_barcode ORDER BY log_normalized_umi_count DESC, corrected_lineage_barcode)::DOUBLE AS rank, count(*) OVER (PARTITION BY cell_barcode) AS lineage_count FROM l),
+e AS (SELECT *, avg(log_normalized_umi_count) FILTER (rank <= 1) OVER (PARTITION BY cell_barcode) AS expected_count, stddev_samp(log_normalized_umi_count) OVER (PARTITION BY lineage_count) AS std_dev,
+  max(log_normalized_umi_count) OVER (PARTITION BY lineage_count) = min(log_normalized_umi_count) OVER (PARTITION BY lineage_count) AS level, lineage_count < 5 AS is_small_group FROM r),
+z AS (SELECT *, CASE WHEN is_small_group OR std_dev IS NULL THEN NULL WHEN std_dev = 0 OR level THEN 0.0 ELSE (log_normalized_umi_count - expected_count) / std_dev END AS z_score FROM e),
+f AS (SELECT * REPLACE (count(*) OVER (PARTITION BY cell_barcode) AS lineage_count) FROM z WHERE abs(z_score) < 2)"""
+
+
+_NOISE_COLUMNS = "cell_barcode, corrected_lineage_barcode, umi_count, total_molecules_per_cell, total_lineages_per_cell, round(normalized_umi_count, 6) AS normalized_umi_count, round(log_normalized_umi_count, 6) AS log_normalized_umi_count, rank, round(expected_count, 6) AS expected_count, lineage_count, round(std_dev, 6) AS std_dev, is_small_group, round(z_score, 6) AS z_score"
+
+
+def _prep(name: str, source: str, condition: str) -> str:
+    return f"""{name} AS (SELECT '{source}' AS source, cell_barcode AS cell, corrected_lineage_barcode AS barcode, umi_count AS umi, row_number() OVER (PARTITION BY cell_barcode ORDER BY umi_count DESC, corrected_lineage_barcode) AS rank,
+  count(*) OVER (PARTITION BY cell_barcode) AS n FROM ({fx.corrected_sql(condition)}))"""
+
+
+def _pairs(cross: bool, d: int = 2, quick: bool = True) -> str:
+    two, test = ("p1", "TRUE") if cross else ("p0", "x.cell < y.cell")
+    exact = "bool_or(distance = 0)" if quick else "FALSE"
+    return f"""WITH RECURSIVE {READS}, {_prep("p0", "T0", T0)}, {_prep("p1", "T1", TREATED)},
+near AS (SELECT x.source AS s1, x.cell AS c1, y.source AS s2, y.cell AS c2, hamming(x.barcode, y.barcode) AS distance, x.n * y.n AS every,
+  0.7 * least(x.umi, y.umi) / greatest(x.umi, y.umi) + 0.3 / (1 + abs(x.rank - y.rank)) AS confidence
+  FROM p0 x JOIN {two} y ON {test} AND hamming(x.barcode, y.barcode) <= {d}),
+pairs AS (SELECT c1 AS cell_barcode_1, c2 AS cell_barcode_2, s1 AS source_condition_1, s2 AS source_condition_2, TRUE AS is_clone,
+  CASE WHEN {exact} THEN count(*) FILTER (distance = 0) ELSE count(*) END AS num_matches, count(*) FILTER (distance = 0) AS num_exact_matches,
+  CASE WHEN {exact} THEN 0 ELSE count(*) FILTER (distance > 0) END AS num_hamming_matches, CASE WHEN {exact} THEN count(*) FILTER (distance = 0) ELSE any_value(every) END AS num_barcode_comparisons,
+  min(distance)::BIGINT AS min_observed_distance, min(distance)::BIGINT AS best_hamming_distance, CASE WHEN {exact} THEN avg(confidence) FILTER (distance = 0) ELSE avg(confidence) END AS mean_match_confidence
+  FROM near GROUP BY ALL)"""
+
+
+_GROUPS = """, e AS (SELECT cell_barcode_1 AS a, cell_barcode_2 AS b FROM pairs UNION SELECT cell_barcode_2, cell_barcode_1 FROM pairs),
+nodes AS (SELECT DISTINCT cell FROM p0),
+reach AS (SELECT cell, cell AS root FROM nodes UNION SELECT e.b, reach.root FROM reach JOIN e ON e.a = reach.cell),
+parts AS (SELECT cell, min(root) AS root FROM reach GROUP BY 1),
+sizes AS (SELECT root, count(*) AS clone_size, row_number() OVER (ORDER BY count(*) DESC, root) AS "cloneID" FROM parts GROUP BY 1),
+groups AS (SELECT "cloneID", 'T0' AS source_condition, cell AS cell_barcode, clone_size, (SELECT count(*) FROM e WHERE a = cell) AS degree FROM parts JOIN sizes USING (root))"""
+
+
+def _cells(name: str, condition: str) -> str:
+    return f"{name} AS (SELECT dense_rank() OVER (ORDER BY cell_barcode) AS clone_id, corrected_lineage_barcode AS barcode, umi_count FROM ({fx.corrected_sql(condition)}))"
+
+
+def _match(t1: str, out: str) -> str:
+    """Ranked matches of the clones ``t1`` against ``x0``, with UMI weights."""
+    return f"""{out}_m AS (SELECT a.clone_id AS t1, a.barcode AS b1, b.clone_id AS t0, b.barcode AS b0 FROM {t1} a JOIN x0 b ON hamming(a.barcode, b.barcode) <= 1),
+{out}_w1 AS (SELECT barcode, sum(umi_count) AS w FROM {t1} GROUP BY 1), {out}_w0 AS (SELECT barcode, sum(umi_count) AS w FROM x0 GROUP BY 1),
+{out}_n1 AS (SELECT clone_id, count(*) AS n, sum(w) AS w FROM {t1} JOIN {out}_w1 USING (barcode) GROUP BY 1), {out}_n0 AS (SELECT clone_id, count(*) AS n, sum(w) AS w FROM x0 JOIN {out}_w0 USING (barcode) GROUP BY 1),
+{out}_c1 AS (SELECT t1, t0, count(*) AS k, sum(w) AS w FROM (SELECT DISTINCT t1, t0, b1 FROM {out}_m) JOIN {out}_w1 ON barcode = b1 GROUP BY ALL), {out}_c0 AS (SELECT t1, t0, sum(w) AS w FROM (SELECT DISTINCT t1, t0, b0 FROM {out}_m) JOIN {out}_w0 ON barcode = b0 GROUP BY ALL),
+{out}_s AS (SELECT c.t1 AS "T1_clone_id", c.t0 AS "T0_clone_id", c.k / (n1.n + n0.n - c.k) AS similarity_score, (c.w + o.w) / (n1.w + n0.w) AS umi_weighted_score, c.k AS num_matched_barcodes, n1.n AS "num_T1_barcodes", n0.n AS "num_T0_barcodes"
+  FROM {out}_c1 c JOIN {out}_c0 o USING (t1, t0) JOIN {out}_n1 n1 ON n1.clone_id = c.t1 JOIN {out}_n0 n0 ON n0.clone_id = c.t0),
+{out} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "T1_clone_id" ORDER BY similarity_score DESC, "T0_clone_id") AS match_rank FROM {out}_s) WHERE match_rank <= 5)"""
+
+
+_RANKED = f"WITH {READS}, {_cells('x0', T0)}, {_cells('x1', TREATED)}, {_match('x1', 'ranked')}"
+_SIM = "round(similarity_score, 6) AS similarity_score"
+_COUNTS = 'num_matched_barcodes, "num_T1_barcodes", "num_T0_barcodes"'
+
+
+def _fisher(a: str, b: str, c: str, d: str) -> str:
+    """Two-sided p over the support of the table [[a, b], [c, d]]."""
+    f = lambda e: f"lgamma(({e}) + 1)"
+    chance = lambda x: f"({f(f'{a} + {b}')} + {f(f'{c} + {d}')} + {f(f'{a} + {c}')} + {f(f'{b} + {d}')} - {f(f'{a} + {b} + {c} + {d}')} - {f(x)} - {f(f'{a} + {b} - ({x})')} - {f(f'{a} + {c} - ({x})')} - {f(f'{d} - {a} + ({x})')})"
+    return f"(SELECT least(1.0, sum(exp(v)) FILTER (v <= {chance(a)} + ln(1.0000001))) FROM (SELECT {chance('g.x')} AS v FROM (SELECT unnest(range(greatest(0, {a} - {d})::BIGINT, least({a} + {b}, {a} + {c})::BIGINT + 1)) AS x) g))"
+
+
+_BH = "least(1.0, min(p_value * m / r) OVER (ORDER BY r DESC ROWS UNBOUNDED PRECEDING))"
+_ENRICHED = f"""WITH {READS}, {_cells("x0", T0)}, {_cells("x1", TREATED)}, {_cells("x2", CONTROL)}, {_match("x1", "rt")}, {_match("x2", "rc")},
+z0 AS (SELECT clone_id, w AS size FROM rt_n0), zt AS (SELECT "T0_clone_id" AS clone_id, sum(n.w) AS size FROM rt JOIN rt_n1 n ON n.clone_id = "T1_clone_id" WHERE match_rank = 1 GROUP BY 1),
+zc AS (SELECT "T0_clone_id" AS clone_id, sum(n.w) AS size FROM rc JOIN rc_n1 n ON n.clone_id = "T1_clone_id" WHERE match_rank = 1 GROUP BY 1),
+y AS (SELECT z0.clone_id AS "Clone_ID", z0.size::BIGINT AS "T0_size", coalesce(zc.size, 0)::BIGINT AS "Control_size", coalesce(zt.size, 0)::BIGINT AS "Treated_size" FROM z0 LEFT JOIN zc USING (clone_id) LEFT JOIN zt USING (clone_id)),
+p AS (SELECT *, ("Control_size" + 1.0) / ("T0_size" + 1.0) AS "FC_control", ("Treated_size" + 1.0) / ("T0_size" + 1.0) AS "FC_treated", {_fisher('("T0_size" + 1)', '("Control_size" + 1)', '("T0_size" + 1)', '("Treated_size" + 1)')} AS p_value FROM y),
+q AS (SELECT *, log2("FC_treated" / "FC_control") AS "Log2_FC_ratio", row_number() OVER (ORDER BY p_value) AS r, count(*) OVER () AS m FROM p),
+h AS (SELECT *, {_BH} AS q_value FROM q),
+res AS (SELECT *, CASE WHEN q_value < 0.05 AND "Log2_FC_ratio" > 1 THEN 'Enriched' WHEN q_value < 0.05 AND "Log2_FC_ratio" < -1 THEN 'Depleted' ELSE 'Neutral' END AS "Status" FROM h)"""
+
+SQL = {
+    "umi_counts": f"{_mol()}, {_UMI} SELECT * FROM u",
+    "wsn_mismatch": f"WITH {READS} SELECT lineage_barcode, {_WSN} AS mismatches, count(*) AS reads FROM reads GROUP BY ALL",
+    "filter_mismatch": f"WITH {READS} SELECT readid, cell_barcode, umi, lineage_barcode, {_WSN} AS mismatches FROM reads WHERE {_WSN} <= 0",
+    "address_count": f"{_mol()} SELECT * FROM molecules",
+    "collapse_altered": f"{_mol()}, {_SHORT}, {_ALTERED} SELECT * FROM a",
+    "collapse_barcodes": f"""{_mol()}, {_SHORT}, {_ALTERED}
+SELECT CASE WHEN bc_old IS NULL THEN cell_barcode ELSE bc_new END AS cell_barcode, CASE WHEN bc_old IS NULL THEN umi ELSE concat(substr(cell_barcode, 16, 1), substr(umi, 1, 11)) END AS umi, lineage_barcode, sum(read_count)::BIGINT AS read_count
+FROM ok LEFT JOIN a ON bc_old = cell_barcode GROUP BY ALL""",
+    "translate_filter": f"{_mol()}, {_TRANSLATED} SELECT * FROM t",
+    "correct_counts": f"""{_mol()}, {_UMI}, k AS (SELECT cellbc AS cell_barcode, CASE WHEN lineage_barcode LIKE 'G%' THEN concat('A', substr(lineage_barcode, 2)) ELSE lineage_barcode END AS corrected_lineage_barcode, sum(unique_umi_count)::BIGINT AS umi_count FROM u GROUP BY ALL)
+SELECT *, sum(umi_count) OVER (PARTITION BY cell_barcode)::BIGINT AS total_molecules_per_cell, count(*) OVER (PARTITION BY cell_barcode) AS total_lineages_per_cell FROM k""",
+    "lost_cells": f"{_mol()}, {_TRANSLATED} SELECT DISTINCT cell_barcode FROM molecules WHERE cell_barcode NOT IN (SELECT cell_barcode FROM t)",
+    "single_lineage": f"WITH {READS}, k AS ({fx.corrected_sql()}) SELECT avg(CASE WHEN total_lineages_per_cell = 1 THEN 1.0 ELSE 0.0 END) AS single_lineage_fraction FROM k",
+    "noise_stats": f"{_noise()} SELECT {_NOISE_COLUMNS} FROM z",
+    "noise_filtered": f"{_noise()} SELECT {_NOISE_COLUMNS} FROM f",
+    "lineage_hist": f"{_noise()} SELECT lineage_count, count(DISTINCT cell_barcode) AS cells FROM f GROUP BY 1",
+    "fuzzy_pairs": f"""WITH {READS}, a AS (SELECT DISTINCT lineage_barcode AS b1 FROM reads WHERE condition = '{T0}'), b AS (SELECT DISTINCT lineage_barcode AS b2 FROM reads WHERE condition = '{TREATED}')
+SELECT b1, b2, hamming(b1, b2)::INT AS distance FROM a JOIN b ON hamming(b1, b2) <= 2""",
+    "clone_pairs_within": f"{_pairs(False)} SELECT * REPLACE (round(mean_match_confidence, 6) AS mean_match_confidence) FROM pairs",
+    "clone_pairs_full": f"{_pairs(False, 1, False)} SELECT * REPLACE (round(mean_match_confidence, 6) AS mean_match_confidence) FROM pairs",
+    "clone_pairs_cross": f"{_pairs(True)} SELECT * REPLACE (round(mean_match_confidence, 6) AS mean_match_confidence) FROM pairs",
+    "clone_groups": f"{_pairs(False)} {_GROUPS} SELECT * FROM groups",
+    "clone_barcodes": f"""{_pairs(False)} {_GROUPS} SELECT "cloneID", count(DISTINCT cell) AS count, string_agg(DISTINCT barcode, '_' ORDER BY barcode) AS clone_barcode FROM groups JOIN p0 ON p0.cell = groups.cell_barcode GROUP BY 1""",
+    "graph_nodes": f"""{_pairs(False)} {_GROUPS} SELECT cell_barcode, source_condition, degree, concat('Clone_', "cloneID") AS assigned_clone_id FROM groups""",
+    "graph_edges": f"""{_pairs(False)} SELECT concat(source_condition_1, '|', cell_barcode_1) AS node1, concat(source_condition_2, '|', cell_barcode_2) AS node2, num_matches, num_exact_matches, num_hamming_matches, best_hamming_distance,
+  round(mean_match_confidence, 6) AS mean_match_confidence, round(mean_match_confidence, 6) AS edge_weight FROM pairs""",
+    "graph_statistics": f"""{_pairs(False)} {_GROUPS} SELECT count(*) AS components, max(clone_size) AS largest, count(*) FILTER (clone_size = 1) AS singletons, sum(clone_size)::BIGINT AS cells, (SELECT count(*) FROM pairs) AS edges FROM sizes""",
+    "matched_cells": f"{_pairs(True)} SELECT cell_barcode_1 AS cell_barcode, source_condition_1 AS source_condition FROM pairs UNION SELECT cell_barcode_2, source_condition_2 FROM pairs",
+    "legacy_clones": f"""WITH {READS}, k AS ({fx.corrected_sql(T0)}), c AS (SELECT cell_barcode, string_agg(corrected_lineage_barcode, '_' ORDER BY corrected_lineage_barcode) AS clone_barcode FROM k GROUP BY 1),
+g AS (SELECT clone_barcode, count(*) AS cells, row_number() OVER (ORDER BY count(*) DESC, clone_barcode) AS "cloneID" FROM c GROUP BY 1) SELECT "cloneID", clone_barcode, cell_barcode, cells FROM c JOIN g USING (clone_barcode)""",
+    "ranked_matches": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, {_COUNTS}, match_rank::INT AS match_rank FROM ranked',
+    "ranked_matches_weighted": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, round(umi_weighted_score, 6) AS umi_weighted_score, {_COUNTS}, match_rank::INT AS match_rank FROM ranked',
+    "best_matches": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, {_COUNTS} FROM ranked WHERE match_rank = 1',
+    "unmatched_clones": f"""{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM} FROM ranked WHERE match_rank = 1 AND similarity_score < 0.8
+UNION ALL SELECT DISTINCT clone_id, NULL::BIGINT, 0.0 FROM x1 WHERE clone_id NOT IN (SELECT "T1_clone_id" FROM ranked)""",
+    "match_statistics": f"""{_RANKED}, b AS (SELECT n.clone_id, similarity_score AS s FROM ranked_n1 n LEFT JOIN ranked ON n.clone_id = "T1_clone_id" AND match_rank = 1)
+SELECT count(*) AS t1_clones, count(s) AS with_candidates, count(*) FILTER (s >= 0.8) AS matched, round(avg(s), 6) AS mean_similarity, round(median(s), 6) AS median_similarity, round(stddev_pop(s), 6) AS std_similarity, round(min(s), 6) AS min_similarity, round(max(s), 6) AS max_similarity FROM b""",
+    "top_match_cells": f"""{_RANKED}, t AS (SELECT "T1_clone_id" FROM ranked WHERE match_rank = 1 ORDER BY similarity_score DESC, "T1_clone_id" LIMIT 30) SELECT "T1_clone_id", "T0_clone_id", {_SIM} FROM ranked WHERE "T1_clone_id" IN (FROM t)""",
+    "direct_exact": f"""WITH {READS}, k0 AS ({fx.corrected_sql(T0)}), k1 AS ({fx.corrected_sql(TREATED)}),
+m AS (SELECT k1.cell_barcode AS c1, k0.cell_barcode AS c0, count(*)::INT AS k, any_value(k1.total_lineages_per_cell)::INT AS n1, any_value(k0.total_lineages_per_cell)::INT AS n0 FROM k1 JOIN k0 USING (corrected_lineage_barcode) GROUP BY ALL HAVING count(*) >= 2),
+r AS (SELECT *, k / (n1 + n0 - k) AS j, row_number() OVER (PARTITION BY c1 ORDER BY k / (n1 + n0 - k) DESC, k DESC, c0)::INT AS match_rank FROM m WHERE k / (n1 + n0 - k) >= 0.6)
+SELECT c0 AS "T0_cell_barcode", c1 AS "T1_cell_barcode", n1 AS "T1_barcode_count", k AS matched_barcodes, round(j, 6) AS jaccard_similarity, match_rank FROM r
+UNION ALL SELECT DISTINCT 'NO_MATCH', cell_barcode, total_lineages_per_cell::INT, 0, 0.0, 1 FROM k1 WHERE cell_barcode NOT IN (SELECT c1 FROM r)""",
+    "clone_sizes": f"WITH {READS}, {_cells('x0', T0)}, w AS (SELECT barcode, sum(umi_count) AS w FROM x0 GROUP BY 1) SELECT clone_id, sum(w)::BIGINT AS size FROM x0 JOIN w USING (barcode) GROUP BY 1",
+    "enrichment_results": f"""{_ENRICHED} SELECT "Clone_ID", "T0_size", "Control_size", "Treated_size", round("FC_control", 6) AS "FC_control", round("FC_treated", 6) AS "FC_treated", round("Log2_FC_ratio", 6) AS "Log2_FC_ratio", round(p_value, 6) AS p_value, round(q_value, 6) AS q_value, "Status" FROM res""",
+    "enrichment_summary": f"""{_ENRICHED} SELECT count(*) AS clones, count(*) FILTER ("Status" = 'Enriched') AS enriched, count(*) FILTER ("Status" = 'Depleted') AS depleted, count(*) FILTER ("Status" = 'Neutral') AS neutral,
+  round(avg("Log2_FC_ratio"), 6) AS mean, round(median("Log2_FC_ratio"), 6) AS median, round(stddev_samp("Log2_FC_ratio"), 6) AS std, round(min("Log2_FC_ratio"), 6) AS min, round(max("Log2_FC_ratio"), 6) AS max,
+  count(*) FILTER ("Control_size" = 0) AS absent_control, count(*) FILTER ("Treated_size" = 0) AS absent_treated, count(*) FILTER ("Control_size" = 0 AND "Treated_size" = 0) AS absent_both FROM res""",
+    "fisher_test": f"""WITH c AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = '{T0}') AS a, count(*) FILTER (l_returnflag = '{CONTROL}') AS b, count(*) FILTER (l_returnflag = '{TREATED}') AS c FROM lineitem GROUP BY 1),
+p AS (SELECT *, {_fisher("(a + 1)", "(b + 1)", "(a + 1)", "(c + 1)")} AS p_value FROM c), q AS (SELECT *, row_number() OVER (ORDER BY p_value) AS r, count(*) OVER () AS m FROM p)
+SELECT l_suppkey, a, b, c, round(p_value, 6) AS p_value, round({_BH}, 6) AS q_value FROM q""",
+    "cumulative_hist": f"""WITH {READS}, c AS (SELECT cell_barcode AS barcode, count(*) AS molecules, count(DISTINCT lineage_barcode) AS genes FROM reads GROUP BY 1)
+SELECT barcode, molecules, genes, round(sum(molecules) OVER w / sum(molecules) OVER (), 6) AS cum_fraction, round(avg(molecules) OVER w, 6) AS mean_molecules, round(avg(genes) OVER w, 6) AS mean_genes FROM c WINDOW w AS (ORDER BY molecules DESC, barcode ROWS UNBOUNDED PRECEDING)""",
+    "retention": f"WITH {READS} SELECT count(*) AS original, count(*) FILTER ({_WSN} <= 0) AS processed, round(count(*) FILTER ({_WSN} <= 0) / count(*) * 100, 6) AS percent FROM reads",
+    "match_confidences": f"""WITH {READS}, k0 AS ({fx.corrected_sql(T0)}), k1 AS ({fx.corrected_sql(TREATED)})
+SELECT cell_barcode, corrected_lineage_barcode, round(0.7 * least(k0.umi_count, k1.umi_count) / greatest(k0.umi_count, k1.umi_count) + 0.3 / (1 + abs(k0.total_lineages_per_cell - k1.total_lineages_per_cell)), 6) AS confidence FROM k0 JOIN k1 USING (cell_barcode, corrected_lineage_barcode)""",
+    "hamming_distances": f"WITH w AS ({fx.sql(fx.WHITELIST)}) SELECT *, hamming(cell_barcode_gex, cell_barcode_feature)::INT AS distance, 16 AS unequal FROM w",
+}
