@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.runtime import materialize, read_table
 
-SAMPLE_DOCS = 6_000
+SAMPLE_DOCS = 3_000
 #: Words and word beginnings kept as features, the toxic sample documents that one must be in, the lengths of beginnings.
 FEATURES, LEAST_DOCS, STEMS = 384, 4, range(4, 10)
 GRADES = 4
