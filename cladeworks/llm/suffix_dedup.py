@@ -6,8 +6,8 @@ equal anchors at equal offsets. Neighbouring windows with one anchor form a stre
 shard of the anchor's hash, so all equal windows meet in one shard and no shard depends on a document's
 size or source. Anchors that occur once cannot repeat and go no further; equal stretches travel once,
 with their count. Each shard sorts its suffixes by induction (``induced_sorting``) and neighbours in
-that order are compared over the whole window, byte for byte. Grouping uses 64-bit hashes of anchors
-and 128-bit hashes of stretches and texts.
+that order are compared over the whole window, byte for byte. Grouping uses 64-bit hashes of anchors,
+64 more bits for stretches, and 128-bit hashes of texts.
 
 Defined results: null and empty texts have no bytes, nothing removed, and the hash of the empty string;
 texts under ``WINDOW`` bytes stay whole; of equal windows all are removed, whichever came first; repeated
@@ -17,24 +17,28 @@ an empty table gives an empty result; other columns pass through ``remove_repeat
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.llm.induced_sorting import suffix_array
 from cladeworks.runtime import materialize, read_table
 
-WINDOW, GRAM = 400, 32
+WINDOW, GRAM = 400, 96
 GRAMS = WINDOW - GRAM + 1
 #: Bytes whose anchors are found at once; positions in them take 20 bits.
 CHUNK = 1 << 20
 #: Bytes that a task sorts at once, unless one anchor alone has more.
 SHARD_BYTES = 4 << 20
+#: A stretch's start and its number of windows, in one number.
+PLACE_BITS, PLACE_LOW = 10, 1023
 LOW = np.uint64((1 << 20) - 1)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -49,11 +53,14 @@ def words_at(data: np.ndarray) -> np.ndarray:
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hashes of the ``GRAM`` bytes at each position: of three parts of 32 bytes, by words of 8."""
     x = words_at(data)
-    h = x[:-24] * MIX[0] + x[8:-16] * MIX[1] + x[16:-8] * MIX[2] + x[24:] * MIX[3]
-    h ^= h >> np.uint64(29)
-    h *= MIX[4]
+    part = x[:-24] * MIX[0] + x[8:-16] * MIX[1] + x[16:-8] * MIX[2] + x[24:] * MIX[3]
+    part ^= part >> np.uint64(29)
+    h = part[:-64] * MIX[4] + part[32:-32] * MIX[0] + part[64:] * MIX[1]
     h ^= h >> np.uint64(32)
+    h *= MIX[3]
+    h ^= h >> np.uint64(29)
     return h
 
 
@@ -70,10 +77,10 @@ def window_anchors(h: np.ndarray) -> np.ndarray:
 
 
 def stretches(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Of a chunk of pieces: piece number, start in it, windows, anchor hash, and the stretch's 128-bit hash in two halves."""
+    """Of a chunk of pieces: piece number, anchor hash, hash of the stretch, start in the piece, number of windows."""
     raw = b"".join(pieces)
     if len(raw) < WINDOW:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     data = np.frombuffer(raw, dtype=np.uint8)
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes)
@@ -82,23 +89,32 @@ def stretches(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     at = np.arange(len(anchor))
     owner = np.repeat(np.arange(len(pieces)), sizes)[: len(anchor)]
     valid = at + WINDOW <= ends[owner]
-    heads = np.flatnonzero(valid & np.r_[True, (anchor[1:] != anchor[:-1]) | ~valid[:-1] | (owner[1:] != owner[:-1])])
-    stops = np.flatnonzero(valid & np.r_[(anchor[1:] != anchor[:-1]) | ~valid[1:] | (owner[1:] != owner[:-1]), True])
-    count = stops - heads + 1
-    view, digest = memoryview(raw), xxhash.xxh3_128_digest
-    marks = np.frombuffer(b"".join([digest(view[a:b]) for a, b in zip(heads.tolist(), (stops + WINDOW).tolist(), strict=True)]), dtype="<i8").reshape(-1, 2)
+    turn = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
+    heads = np.flatnonzero(valid & np.r_[True, turn | ~valid[:-1]])
+    stops = np.flatnonzero(valid & np.r_[turn | ~valid[1:], True])
+    view, digest = memoryview(raw), xxhash.xxh3_64_intdigest
+    marks = np.fromiter((digest(view[a:b]) for a, b in zip(heads.tolist(), (stops + WINDOW).tolist(), strict=True)), dtype=np.uint64, count=len(heads))
     who = owner[heads]
-    return who, heads - (ends - sizes)[who], count, h[anchor[heads]].view(np.int64), marks[:, 0], marks[:, 1]
+    return who, h[anchor[heads]].view(np.int64), marks.view(np.int64), heads - (ends - sizes)[who], stops - heads + 1
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch], col: int) -> Iterator[pa.RecordBatch]:
+    """Texts are compressed before they are dealt."""
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = pa.array([squeeze.compress(x.as_buffer()) for x in batch.column(col)], pa.binary())
+        yield batch.set_column(col, batch.schema.names[col], packed)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["k1", "k2", "h", "g1", "g2", "start", "n"]
+    """A row a text and chunk, with the stretches in arrays; start and windows share a number."""
 
-    def emit(pieces: list[bytes], rows: list[tuple[int, int]], offsets: list[int], keys: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        who, start, count, h, g1, g2 = stretches(pieces)
-        row, off = np.array([r for r in rows], dtype=np.int64), np.array(offsets, dtype=np.int64)
-        src = row[who] if len(who) else who
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[0][src], keys[1][src], h, g1, g2, start + (off[who] if len(who) else 0), count)], names)
+    def emit(pieces: list[bytes], rows: list[int], offsets: list[int], keys: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        who, h, g, start, n = stretches(pieces)
+        place = (start + np.array(offsets, dtype=np.int64)[who]) << PLACE_BITS | n
+        ends = pa.array(np.searchsorted(who, np.arange(len(pieces) + 1)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (h, g, place)]
+        return pa.RecordBatch.from_arrays([pa.array(keys[0][rows]), pa.array(keys[1][rows]), *lists], ["k1", "k2", "h", "g", "p"])
 
     for batch in batches:
         keys = (batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False))
@@ -122,15 +138,15 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the stretches that are asked of each text."""
-    names = ["h", "g1", "g2", "m", "n", "data"]
+    expand = zstandard.ZstdDecompressor()
     for batch in batches:
         for row in range(batch.num_rows):
             asked = batch.column(1)[row].values
-            data = batch.column(0)[row].as_buffer()
-            start, n = asked.field("start").to_numpy(), asked.field("n").to_numpy()
-            view = memoryview(data)
-            cut = [view[a:b] for a, b in zip(start.tolist(), (start + n + WINDOW - 1).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(asked.field(f) for f in ("h", "g1", "g2", "m", "n")), pa.array([bytes(c) for c in cut], pa.binary())], names)
+            view = memoryview(expand.decompress(batch.column(0)[row].as_buffer()))
+            place = asked.field("p").to_numpy()
+            start, n = place >> PLACE_BITS, place & PLACE_LOW
+            cut = [bytes(view[a:b]) for a, b in zip(start.tolist(), (start + n + WINDOW - 1).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(asked.field(f) for f in ("h", "g", "m")), pa.array(n), pa.array(cut, pa.binary())], ["h", "g", "m", "n", "data"])
 
 
 def repeated_windows(data: list[bytes], counts: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -166,45 +182,64 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size, last = 0, None
 
     def shard() -> pa.RecordBatch:
-        counts, windows = np.array([r[3] for r in held]), np.array([r[4] for r in held])
-        found = repeated_windows([r[5] for r in held], counts, windows)
+        counts, windows = np.array([r[2] for r in held]), np.array([r[3] for r in held])
+        found = repeated_windows([r[4] for r in held], counts, windows)
         out, at = [], 0
-        for h, g1, g2, _, n, data in held:
+        for h, g, _, n, data in held:
             flags = np.diff(np.r_[0, found[at : at + n].view(np.int8), 0])
             if flags.any():
-                out.append((h, g1, g2, [{"a": a, "b": b} for a, b in zip(np.flatnonzero(flags == 1).tolist(), np.flatnonzero(flags == -1).tolist(), strict=True)]))
+                out.append((h, g, ((np.flatnonzero(flags == 1) << PLACE_BITS) | np.flatnonzero(flags == -1)).tolist()))
             at += len(data) + 1
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))]
-        columns = list(zip(*out, strict=True)) if out else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["h", "g1", "g2", "runs"])
+        columns = list(zip(*out, strict=True)) if out else [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["h", "g", "runs"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if last is not None and row[:3] == last:  # a stretch fetched from more than one copy of its text
+            if last is not None and row[:2] == last:  # a stretch fetched from more than one copy of its text
                 continue
             if size >= SHARD_BYTES and row[0] != last[0]:
                 yield shard()
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
-            last = row[:3]
+            size += len(row[4])
+            last = row[:2]
     if held:
         yield shard()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that are done with."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def covered_ranges(texts: DataFrame) -> DataFrame:
     """``(k1, k2, ranges)``: byte ranges to remove, for the texts that have any. Input: ``data`` and its key ``k1, k2``."""
-    anchors = materialize(texts.mapInArrow(_anchors, "k1 long, k2 long, h long, g1 long, g2 long, start long, n long"))
-    one = F.min(F.struct("k1", "k2", "start", "n")).alias("one")
-    kinds = anchors.groupBy("h", "g1", "g2").agg(F.count("*").alias("m"), one)
-    often = kinds.groupBy("h").agg(F.sum("m").alias("all")).where("all > 1").select("h")
-    kept = kinds.join(often, "h").select("h", "g1", "g2", F.least("m", F.lit(2)).alias("m"), "one.*")
-    asked = kept.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g1", "g2", "m", "start", "n")).alias("asked"))
-    fetched = texts.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g1 long, g2 long, m long, n long, data binary")
-    sharded = fetched.repartition("h").sortWithinPartitions("h", "g1", "g2")
-    runs = materialize(sharded.mapInArrow(_sort_shards, "h long, g1 long, g2 long, runs array<struct<a:long,b:long>>"))
-    spans = anchors.join(runs, ["h", "g1", "g2"]).select("k1", "k2", F.explode(F.transform("runs", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"] + (WINDOW - 1)).alias("b")))).alias("span"))
-    return spans.groupBy("k1", "k2").agg(F.collect_set("span").alias("ranges"))
+    kept = _shared_stretches(texts)
+    release(texts.sparkSession)
+    runs = _repeated_runs(texts, kept)
+    release(texts.sparkSession)
+    spans = kept.join(runs, ["h", "g"]).select("k1", "k2", (F.shiftright("p", PLACE_BITS)).alias("start"), F.explode("runs").alias("run"))
+    ends = F.struct((F.col("start") + F.shiftright("run", PLACE_BITS)).alias("a"), (F.col("start") + F.col("run").bitwiseAND(PLACE_LOW) + (WINDOW - 1)).alias("b"))
+    return spans.groupBy("k1", "k2").agg(F.collect_set(ends).alias("ranges"))
+
+
+def _shared_stretches(texts: DataFrame) -> DataFrame:
+    """Stretches whose anchor occurs more than once in the corpus."""
+    found = materialize(texts.mapInArrow(_anchors, "k1 long, k2 long, h array<long>, g array<long>, p array<long>"))
+    often = found.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("all")).where("all > 1").select("h")
+    each = found.select("k1", "k2", F.explode(F.arrays_zip("h", "g", "p")).alias("s")).select("k1", "k2", "s.*")
+    return materialize(each.join(often, "h").select("k1", "k2", "h", "g", "p"))
+
+
+def _repeated_runs(texts: DataFrame, kept: DataFrame) -> DataFrame:
+    """Per distinct stretch, the runs of its windows that occur more than once."""
+    kinds = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min(F.struct("k1", "k2", "p")).alias("one"))
+    asked = kinds.select("h", "g", "m", "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "p")).alias("asked"))
+    packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
+    fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, n long, data binary")
+    sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
+    return materialize(sharded.mapInArrow(_sort_shards, "h long, g long, runs array<long>"))
 
 
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,10 +251,11 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _apply(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor()
     for batch in batches:
         rows = []
         for data, ranges in zip(batch.column("_sd_data"), batch.column("_sd_ranges"), strict=True):
-            raw = data.as_py()
+            raw = expand.decompress(data.as_buffer())
             if not ranges.is_valid:
                 rows.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw))
                 continue
@@ -242,7 +278,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", with_text: bool = Tr
     schema = docs.select(*old).schema
     for name in new:
         schema = schema.add(name, "binary" if name == "_sd_kept" else "string" if name == "kept_sha256" else "long")
-    joined = rows.join(ranges, ["_sd_k1", "_sd_k2"], "left").select(*old, "_sd_data", "_sd_ranges")
+    rows = rows.select(*old, "_sd_data", "_sd_k1", "_sd_k2")
+    packed = rows.mapInArrow(lambda it: _squeeze(it, len(old)), rows.schema)
+    joined = packed.join(ranges, ["_sd_k1", "_sd_k2"], "left").select(*old, "_sd_data", "_sd_ranges")
     return joined.mapInArrow(lambda it: _apply(it, [*old, *new]), schema)
 
 
