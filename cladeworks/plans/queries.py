@@ -73,7 +73,7 @@ def single_lineage(spark, d):
 
 
 def cluster_lineages(spark, d):
-    return cluster.cluster_lineages(umi_counts(spark, d), 1)
+    return cluster.cluster_lineages(materialize(umi_counts(spark, d)), 1)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def poisson_fit(spark, d):
 
 
 def fuzzy_pairs(spark, d):
-    a, b = (fx.reads(spark, d, c).select("lineage_barcode") for c in (T0, TREATED))
+    a, b = (materialize(fx.reads(spark, d, c).select("lineage_barcode").distinct()) for c in (T0, TREATED))
     return hamming_pairs(a, b, 2)
 
 
@@ -201,17 +201,21 @@ def top_match_cells(spark, d):
     return _rounded(ranked.join(F.broadcast(top), "T1_clone_id", "left_semi").select("T1_clone_id", "T0_clone_id", "similarity_score"))
 
 
+def _both(spark, d):
+    return [materialize(fx.corrected(spark, d, c)) for c in (T0, TREATED)]
+
+
 def direct_matches(spark, d):
-    return direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=1))
+    return direct.match_cells(*_both(spark, d), DirectParams(hamming_threshold=1))
 
 
 def direct_matches_weighted(spark, d):
-    return direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=1, use_umi_weighting=True, jaccard_threshold=0.3, top_n=3))
+    return direct.match_cells(*_both(spark, d), DirectParams(hamming_threshold=1, use_umi_weighting=True, jaccard_threshold=0.3, top_n=3))
 
 
 def direct_exact(spark, d):
     """At distance 0 the greedy choice is the shared barcodes, which SQL can state."""
-    out = direct.match_cells(fx.corrected(spark, d, T0), fx.corrected(spark, d, TREATED), DirectParams(hamming_threshold=0))
+    out = direct.match_cells(*_both(spark, d), DirectParams(hamming_threshold=0))
     return out.select("T0_cell_barcode", "T1_cell_barcode", "T1_barcode_count", "matched_barcodes", "jaccard_similarity", "match_rank")
 
 
