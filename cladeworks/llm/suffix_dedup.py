@@ -36,7 +36,7 @@ GRAMS = WINDOW - GRAM + 1
 #: Bytes whose anchors are found at once; positions in them take 20 bits.
 CHUNK = 1 << 20
 #: Bytes that a task sorts at once, unless one anchor alone has more.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: A stretch's start and its number of windows, in one number.
 PLACE_BITS, PLACE_LOW = 10, 1023
 LOW = np.uint64((1 << 20) - 1)
@@ -221,13 +221,14 @@ def covered_ranges(texts: DataFrame) -> DataFrame:
     release(texts.sparkSession)
     spans = kept.join(runs, ["h", "g"]).select("k1", "k2", (F.shiftright("p", PLACE_BITS)).alias("start"), F.explode("runs").alias("run"))
     ends = F.struct((F.col("start") + F.shiftright("run", PLACE_BITS)).alias("a"), (F.col("start") + F.col("run").bitwiseAND(PLACE_LOW) + (WINDOW - 1)).alias("b"))
-    return spans.groupBy("k1", "k2").agg(F.collect_set(ends).alias("ranges"))
+    return materialize(spans.groupBy("k1", "k2").agg(F.collect_set(ends).alias("ranges")))
 
 
 def _shared_stretches(texts: DataFrame) -> DataFrame:
     """Stretches whose anchor occurs more than once in the corpus."""
     found = materialize(texts.mapInArrow(_anchors, "k1 long, k2 long, h array<long>, g array<long>, p array<long>"))
     often = found.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("all")).where("all > 1").select("h")
+    often = materialize(often)  # both sides of a join are then plain exchanges, whose hot keys AQE splits
     each = found.select("k1", "k2", F.explode(F.arrays_zip("h", "g", "p")).alias("s")).select("k1", "k2", "s.*")
     return materialize(each.join(often, "h").select("k1", "k2", "h", "g", "p"))
 
@@ -236,6 +237,7 @@ def _repeated_runs(texts: DataFrame, kept: DataFrame) -> DataFrame:
     """Per distinct stretch, the runs of its windows that occur more than once."""
     kinds = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min(F.struct("k1", "k2", "p")).alias("one"))
     asked = kinds.select("h", "g", "m", "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "p")).alias("asked"))
+    asked = materialize(asked)
     packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
     fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, n long, data binary")
     sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
