@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     with the logarithm of the diameter; ``RuntimeError`` if ``max_rounds`` do not suffice. Self-loops
     count as nodes of their own component; nulls are ignored.
     """
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna()
+    pairs = materialize(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna())
     loops = pairs.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("component"))
     current = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None

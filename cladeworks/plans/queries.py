@@ -35,12 +35,16 @@ def address_count(spark, d):
     return molecules.count_addresses(fx.reads(spark, d))
 
 
+def _short(spark, d):
+    return materialize(fx.short_molecules(spark, materialize(address_count(spark, d))))
+
+
 def collapse_altered(spark, d):
-    return molecules.altered_barcodes(fx.short_molecules(spark, address_count(spark, d)), "10xv3")
+    return molecules.altered_barcodes(_short(spark, d), "10xv3")
 
 
 def collapse_barcodes(spark, d):
-    return molecules.recount(molecules.collapse_barcodes(fx.short_molecules(spark, address_count(spark, d)), "10xv3"))
+    return molecules.recount(molecules.collapse_barcodes(_short(spark, d), "10xv3"))
 
 
 def translate_filter(spark, d):
