@@ -215,7 +215,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     starts, at = {}, 0
     for part in sorted(sums):
         starts[part], at = at, at + sums[part]
-    ordered = ranged.repartition(max(1, len(sums)), "_pk_range").sortWithinPartitions("_pk_range", "_pk_key", "_pk_id", "_pk_ids")
+    ordered = ranged.repartitionById(len(bounds) + 1, F.col("_pk_range")).sortWithinPartitions("_pk_range", "_pk_key", "_pk_id", "_pk_ids")
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<long>" * with_ids
     return ordered.mapInArrow(lambda it: _cut(it, starts, length, with_ids), fields)
 
