@@ -151,7 +151,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataFra
     spread = F.pmod(F.xxhash64("_nn_id", "_nn_v"), F.lit(shards))
     held = index.select(spread.alias("shard"), F.lit(0).alias("query"), "_nn_id", "_nn_v")
     asked = queries.distinct().select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("query"), "_nn_id", "_nn_v")
-    together = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "query", "_nn_id")
+    together = held.unionByName(asked).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "query", "_nn_id")
     found = together.mapInArrow(lambda it: _search(it, k), "query_id long, vec_id long, score double")
     # A query's candidates from all shards: k a shard, so no group grows with the table's copies.
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
