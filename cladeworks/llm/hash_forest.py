@@ -34,7 +34,7 @@ TREES, BITS = 32, 64
 TREE_BITS = TREES.bit_length() - 1
 #: Rows of a shard; small tables still get up to ``LEAST_SHARDS`` of ``LEAST_ROWS`` for parallel work.
 SHARD_ROWS, LEAST_SHARDS, LEAST_ROWS = 8192, 8, 512
-LEAST_SHARE, LEAST_CANDIDATES = 0.45, 64
+LEAST_SHARE, LEAST_CANDIDATES = 0.55, 400
 NEIGHBOURS = 5
 QUERY_EVERY = 50
 
