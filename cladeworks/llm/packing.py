@@ -32,7 +32,7 @@ BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 #: Ids in a range of the order key, on average, and the most ranges.
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
 #: Words whose ids a worker keeps at once.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
