@@ -5,7 +5,8 @@ window of ``WINDOW`` bytes has an anchor, its least-hashed gram of ``GRAM`` byte
 equal anchors at equal offsets. Neighbouring windows with one anchor form a stretch, which goes to the
 shard of the anchor's hash, so all equal windows meet in one shard and no shard depends on a document's
 size or source. Anchors that occur once cannot repeat and go no further; equal stretches travel once,
-with their count. Each shard sorts its suffixes by induction (``induced_sorting``) and neighbours in
+with their count; an anchor with very many stretches is dealt by ranges of the offset, which equal windows
+share too. Each shard sorts its suffixes by induction (``induced_sorting``) and neighbours in
 that order are compared over the whole window, byte for byte. Grouping uses 64-bit hashes of anchors,
 64 more bits for stretches, and 128-bit hashes of texts.
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.llm.induced_sorting import suffix_array
-from cladeworks.runtime import materialize, read_table
+from cladeworks.runtime import materialize, read_table, sized
 
 WINDOW, GRAM = 400, 96
 GRAMS = WINDOW - GRAM + 1
@@ -37,8 +38,10 @@ GRAMS = WINDOW - GRAM + 1
 CHUNK = 1 << 20
 #: Bytes that a task sorts at once, unless one anchor alone has more.
 SHARD_BYTES = 2 << 20
-#: A stretch's start and its number of windows, in one number.
+#: A stretch's start, its anchor's place in it and its number of windows, in one number; runs likewise.
 PLACE_BITS, PLACE_LOW = 10, 1023
+#: Anchors with more distinct stretches are split by the anchor's offset in the window, so many offsets a band.
+CROWDED, BAND = 512, 32
 LOW = np.uint64((1 << 20) - 1)
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -77,10 +80,10 @@ def window_anchors(h: np.ndarray) -> np.ndarray:
 
 
 def stretches(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """Of a chunk of pieces: piece number, anchor hash, hash of the stretch, start in the piece, number of windows."""
+    """Of a chunk of pieces: piece number, anchor hash, hash of the stretch, start in the piece, the anchor's place in the stretch, number of windows."""
     raw = b"".join(pieces)
     if len(raw) < WINDOW:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     data = np.frombuffer(raw, dtype=np.uint8)
     sizes = np.array([len(p) for p in pieces])
     ends = np.cumsum(sizes)
@@ -95,7 +98,7 @@ def stretches(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     view, digest = memoryview(raw), xxhash.xxh3_64_intdigest
     marks = np.fromiter((digest(view[a:b]) for a, b in zip(heads.tolist(), (stops + WINDOW).tolist(), strict=True)), dtype=np.uint64, count=len(heads))
     who = owner[heads]
-    return who, h[anchor[heads]].view(np.int64), marks.view(np.int64), heads - (ends - sizes)[who], stops - heads + 1
+    return who, h[anchor[heads]].view(np.int64), marks.view(np.int64), heads - (ends - sizes)[who], anchor[heads] - heads, stops - heads + 1
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch], col: int) -> Iterator[pa.RecordBatch]:
@@ -110,8 +113,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row a text and chunk, with the stretches in arrays; start and windows share a number."""
 
     def emit(pieces: list[bytes], rows: list[int], offsets: list[int], keys: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-        who, h, g, start, n = stretches(pieces)
-        place = (start + np.array(offsets, dtype=np.int64)[who]) << PLACE_BITS | n
+        who, h, g, start, anchor, n = stretches(pieces)
+        place = ((start + np.array(offsets, dtype=np.int64)[who]) << PLACE_BITS | anchor) << PLACE_BITS | n
         ends = pa.array(np.searchsorted(who, np.arange(len(pieces) + 1)).astype(np.int32))
         lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (h, g, place)]
         return pa.RecordBatch.from_arrays([pa.array(keys[0][rows]), pa.array(keys[1][rows]), *lists], ["k1", "k2", "h", "g", "p"])
@@ -136,6 +139,14 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield emit(pieces, rows, offsets, keys)
 
 
+def bands(anchor: int, n: int, split: bool) -> list[tuple[int, int, int]]:
+    """``(band, first, stop)`` of a stretch's windows; those of one band have offsets to the anchor in one range."""
+    if not split:
+        return [(0, 0, n)]
+    edges = sorted({0, n, *(i for i in range(1, n) if (anchor - i) % BAND == BAND - 1)})
+    return [((anchor - i) // BAND, i, j) for i, j in zip(edges, edges[1:], strict=False)]
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the stretches that are asked of each text."""
     expand = zstandard.ZstdDecompressor()
@@ -144,9 +155,12 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             asked = batch.column(1)[row].values
             view = memoryview(expand.decompress(batch.column(0)[row].as_buffer()))
             place = asked.field("p").to_numpy()
-            start, n = place >> PLACE_BITS, place & PLACE_LOW
-            cut = [bytes(view[a:b]) for a, b in zip(start.tolist(), (start + n + WINDOW - 1).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(asked.field(f) for f in ("h", "g", "m")), pa.array(n), pa.array(cut, pa.binary())], ["h", "g", "m", "n", "data"])
+            start, anchor, n = place >> 2 * PLACE_BITS, place >> PLACE_BITS & PLACE_LOW, place & PLACE_LOW
+            out = []
+            for h, g, m, split, at, to, size in zip(*(asked.field(f).to_numpy(zero_copy_only=False).tolist() for f in ("h", "g", "m", "split")), start.tolist(), anchor.tolist(), n.tolist(), strict=True):
+                out += [(h, band, g, m, j - i, i, bytes(view[at + i : at + j + WINDOW - 1])) for band, i, j in bands(to, size, split)]
+            kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["h", "band", "g", "m", "n", "first", "data"])
 
 
 def repeated_windows(data: list[bytes], counts: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -182,27 +196,27 @@ def _sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size, last = 0, None
 
     def shard() -> pa.RecordBatch:
-        counts, windows = np.array([r[2] for r in held]), np.array([r[3] for r in held])
-        found = repeated_windows([r[4] for r in held], counts, windows)
+        counts, windows = np.array([r[3] for r in held]), np.array([r[4] for r in held])
+        found = repeated_windows([r[6] for r in held], counts, windows)
         out, at = [], 0
-        for h, g, _, n, data in held:
+        for h, _, g, _, n, first, data in held:
             flags = np.diff(np.r_[0, found[at : at + n].view(np.int8), 0])
             if flags.any():
-                out.append((h, g, ((np.flatnonzero(flags == 1) << PLACE_BITS) | np.flatnonzero(flags == -1)).tolist()))
+                out.append((h, g, ((np.flatnonzero(flags == 1) + first << PLACE_BITS) | np.flatnonzero(flags == -1) + first).tolist()))
             at += len(data) + 1
         columns = list(zip(*out, strict=True)) if out else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], ["h", "g", "runs"])
 
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if last is not None and row[:2] == last:  # a stretch fetched from more than one copy of its text
+            if last is not None and row[:3] == last:  # a stretch fetched from more than one copy of its text
                 continue
-            if size >= SHARD_BYTES and row[0] != last[0]:
+            if size >= SHARD_BYTES and row[:2] != last[:2]:
                 yield shard()
                 held, size = [], 0
             held.append(row)
-            size += len(row[4])
-            last = row[:2]
+            size += len(row[6])
+            last = row[:3]
     if held:
         yield shard()
 
@@ -219,7 +233,7 @@ def covered_ranges(texts: DataFrame) -> DataFrame:
     release(texts.sparkSession)
     runs = _repeated_runs(texts, kept)
     release(texts.sparkSession)
-    spans = kept.join(runs, ["h", "g"]).select("k1", "k2", (F.shiftright("p", PLACE_BITS)).alias("start"), F.explode("runs").alias("run"))
+    spans = kept.join(runs, ["h", "g"]).select("k1", "k2", (F.shiftright("p", 2 * PLACE_BITS)).alias("start"), F.explode("runs").alias("run"))
     ends = F.struct((F.col("start") + F.shiftright("run", PLACE_BITS)).alias("a"), (F.col("start") + F.col("run").bitwiseAND(PLACE_LOW) + (WINDOW - 1)).alias("b"))
     return materialize(spans.groupBy("k1", "k2").agg(F.collect_set(ends).alias("ranges")))
 
@@ -236,11 +250,13 @@ def _shared_stretches(texts: DataFrame) -> DataFrame:
 def _repeated_runs(texts: DataFrame, kept: DataFrame) -> DataFrame:
     """Per distinct stretch, the runs of its windows that occur more than once."""
     kinds = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min(F.struct("k1", "k2", "p")).alias("one"))
-    asked = kinds.select("h", "g", "m", "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "p")).alias("asked"))
-    asked = materialize(asked)
+    kinds = materialize(kinds.select("h", "g", "m", "one.*"))
+    crowded = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds")).where(F.col("kinds") > CROWDED).select("h", F.lit(True).alias("crowded")))
+    kinds = kinds.join(sized(crowded), "h", "left").withColumn("split", F.coalesce("crowded", F.lit(False)))
+    asked = materialize(kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "split", "p")).alias("asked")))
     packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
-    fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, n long, data binary")
-    sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
+    fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, band int, g long, m long, n long, first long, data binary")
+    sharded = fetched.repartition("h", "band").sortWithinPartitions("h", "band", "g")
     return materialize(sharded.mapInArrow(_sort_shards, "h long, g long, runs array<long>"))
 
 

@@ -289,7 +289,9 @@ def test_induced_sorting():
             assert induced_sorting.suffix_array(t, 10**6, memory, base).tolist() == want
 
 
-def test_suffix_dedup(spark, docs):
+@pytest.mark.parametrize("crowded", [suffix_dedup.CROWDED, 1])
+def test_suffix_dedup(spark, docs, monkeypatch, crowded):
+    monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
     folder, rows = docs
     texts = [(t or "").encode() for _, t, _ in rows]
     seen = Counter(b[i : i + 400] for b in texts for i in range(len(b) - 399))
@@ -306,6 +308,13 @@ def test_suffix_dedup(spark, docs):
     assert {"h", "data", "start", "n", "_sd_kept"} <= set(whole.columns) and whole.count() == len(rows)
 
 
+def test_bands_cover_a_stretch():
+    for anchor, n in ((304, 305), (10, 1), (100, 64), (304, 17)):
+        parts = suffix_dedup.bands(anchor, n, True)
+        assert [i for _, a, b in parts for i in range(a, b)] == list(range(n))
+        assert all((anchor - i) // suffix_dedup.BAND == band for band, a, b in parts for i in range(a, b))
+
+
 def test_jpeg_query(spark, docs):
     folder, rows = docs
     want = []
