@@ -13,12 +13,15 @@ of any length is encoded whole; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +35,7 @@ BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 #: Ids in a range of the order key, on average, and the most ranges.
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
 #: Words whose ids a worker keeps at once.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 600_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -51,28 +54,32 @@ class WordEncoder:
     CLOSING = b".,;:!?&$#%*|"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        # Of words of lower-case letters in normal form the vocabulary's normaliser and pattern change nothing.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {b"": b""}
         # A text with the literal of a special token could match across what looks like words.
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
 
     def _learn(self, stems: list[bytes]) -> None:
         texts = [s.decode("utf-8", "surrogatepass") for s in stems]
-        plain = [t.isalpha() for t in texts]
+        plain = [t.isalpha() and t == t.lower() and is_normalized("NFC", t) for t in texts]
         run = [s for s, p in zip(stems, plain, strict=True) if p]
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(t for t, p in zip(texts, plain, strict=True) if p)], add_special_tokens=False)[0].ids, dtype="<u2")
+        ids = np.array(self.plain.encode_batch_fast([" ".join(t for t, p in zip(texts, plain, strict=True) if p)], add_special_tokens=False)[0].ids, dtype="<u2")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(run):
             data, at = ids.tobytes(), 0
             for stem, stop in zip(run, (2 * stops).tolist(), strict=True):
                 self.stems[stem], at = data[at:stop], stop
-        else:  # a word of letters that normalises to more than one piece
+        else:  # white space by another reading
             plain = [False] * len(stems)
         rest = [(s, t) for s, t, p in zip(stems, texts, plain, strict=True) if not p]
         for encoding, (stem, _) in zip(self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), rest, strict=True):
@@ -84,21 +91,21 @@ class WordEncoder:
         last = stem[-1:]
         return stem if last.isalnum() or last > b"\x7f" and stem.decode("utf-8", "replace")[-1].isalpha() else word
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 16-bit integers."""
-        split = [None if any(s in t for s in self.special) else t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text (UTF-8) as little-endian 16-bit integers."""
+        split = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known, self.stems = {}, {b"": b""}
-        missing = set().union(*(w for w in split if w is not None)).difference(self.known)
+        known, stems = self.known, self.stems
+        missing = set().union(*(w for w in split if w is not None)).difference(known)
         parts = [(w, s, w[len(s) :]) for w in missing for s in (self._stem(w),)]
-        fresh = {x for _, s, t in parts for x in (s, t)}.difference(self.stems)
+        fresh = {x for _, s, t in parts for x in (s, t)}.difference(stems)
         if fresh:
             self._learn(list(fresh))
-        stems = self.stems
         for word, stem, tail in parts:
-            self.known[word] = stems[stem] + stems[tail]
-        known = self.known.__getitem__
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() if words is None else b"".join(map(known, words)) for t, words in zip(texts, split, strict=True)]
+            known[word] = stems[stem] + stems[tail] if tail else stems[stem]
+        ids, whole = known.__getitem__, self.tokenizer.encode
+        return [np.array(whole(t.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u2").tobytes() if words is None else b"".join(map(ids, words)) for t, words in zip(texts, split, strict=True)]
 
 
 @cache
@@ -153,14 +160,16 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 
     squeeze, encoder = zstandard.ZstdCompressor(level=1), _encoder(path)
     for whole in batches:
-        texts = whole.column(1).to_pylist()
+        column = whole.column(1)
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy()
         at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end] or "") < 4_000_000) and end - at < 256:
-                size += len(texts[end] or "")
+        while at < len(sizes):
+            end, size = at + 1, sizes[at]
+            while end < len(sizes) and size + sizes[end] < 4_000_000 and end - at < 256:
+                size += sizes[end]
                 end += 1
-            raw = [x + CLOSING_ID.to_bytes(2, "little") for x in encoder.encode([t or "" for t in texts[at:end]])]
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in column.slice(at, end - at)]
+            raw = [x + CLOSING_ID.to_bytes(2, "little") for x in encoder.encode(texts)]
             ids = [np.frombuffer(x, dtype="<u2") for x in raw]
             batch = whole.slice(at, end - at)
             key = hilbert_index(curve_cells(ids)) << SALT_BITS | (batch.column(2).to_numpy(zero_copy_only=False) & ((1 << SALT_BITS) - 1))
