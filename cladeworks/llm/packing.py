@@ -35,7 +35,7 @@ BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 #: Ids in a range of the order key, on average, and the most ranges.
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
 #: Words whose ids a worker keeps at once.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -62,28 +62,27 @@ class WordEncoder:
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {b"": b""}
         # A text with the literal of a special token could match across what looks like words.
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
 
-    def _learn(self, stems: list[bytes]) -> None:
-        texts = [s.decode("utf-8", "surrogatepass") for s in stems]
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
         plain = [t.isalpha() and t == t.lower() and is_normalized("NFC", t) for t in texts]
-        run = [s for s, p in zip(stems, plain, strict=True) if p]
-        ids = np.array(self.plain.encode_batch_fast([" ".join(t for t, p in zip(texts, plain, strict=True) if p)], add_special_tokens=False)[0].ids, dtype="<u2")
+        known, run = self.known, [w for w, p in zip(words, plain, strict=True) if p]
+        ids = np.array(self.plain.encode_batch_fast([" ".join([t for t, p in zip(texts, plain, strict=True) if p])], add_special_tokens=False)[0].ids, dtype="<u2")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(run):
             data, at = ids.tobytes(), 0
-            for stem, stop in zip(run, (2 * stops).tolist(), strict=True):
-                self.stems[stem], at = data[at:stop], stop
+            for word, stop in zip(run, (2 * stops).tolist(), strict=True):
+                known[word], at = data[at:stop], stop
         else:  # white space by another reading
-            plain = [False] * len(stems)
-        rest = [(s, t) for s, t, p in zip(stems, texts, plain, strict=True) if not p]
-        for encoding, (stem, _) in zip(self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), rest, strict=True):
-            self.stems[stem] = np.array(encoding.ids, dtype="<u2").tobytes()
+            plain = [False] * len(words)
+        rest = [(w, t) for w, t, p in zip(words, texts, plain, strict=True) if not p]
+        for encoding, (word, _) in zip(self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), rest, strict=True):
+            known[word] = np.array(encoding.ids, dtype="<u2").tobytes()
 
     def _stem(self, word: bytes) -> bytes:
         """The word without closing punctuation, if what is left ends in a letter or digit."""
@@ -95,15 +94,16 @@ class WordEncoder:
         """Ids of each text (UTF-8) as little-endian 16-bit integers."""
         split = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
         if len(self.known) > CACHED_WORDS:
-            self.known, self.stems = {}, {b"": b""}
-        known, stems = self.known, self.stems
-        missing = set().union(*(w for w in split if w is not None)).difference(known)
-        parts = [(w, s, w[len(s) :]) for w in missing for s in (self._stem(w),)]
-        fresh = {x for _, s, t in parts for x in (s, t)}.difference(stems)
-        if fresh:
-            self._learn(list(fresh))
-        for word, stem, tail in parts:
-            known[word] = stems[stem] + stems[tail] if tail else stems[stem]
+            self.known = {}
+        known, closing = self.known, self.CLOSING
+        missing = set().union(*[w for w in split if w is not None]).difference(known)
+        closed = [(w, s, w[len(s) :]) for w in missing if w[-1] in closing for s in (self._stem(w),) if len(s) < len(w)]
+        missing.difference_update([w for w, _, _ in closed])
+        missing.update([x for _, s, t in closed for x in (s, t) if x not in known])
+        if missing:
+            self._learn(list(missing))
+        for word, stem, tail in closed:
+            known[word] = known[stem] + known[tail]
         ids, whole = known.__getitem__, self.tokenizer.encode
         return [np.array(whole(t.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u2").tobytes() if words is None else b"".join(map(ids, words)) for t, words in zip(texts, split, strict=True)]
 
@@ -113,6 +113,12 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@cache
+def _buckets() -> np.ndarray:
+    """The hashed place of each id in a document's vector."""
+    return (np.arange(1 << 16, dtype=np.uint32) * np.uint32(40503) >> np.uint32(4)) % np.uint32(BUCKETS)
+
+
 @cache
 def _projection() -> np.ndarray:
     return np.random.default_rng(20).standard_normal((BUCKETS, DIMS)).astype(np.float32)
@@ -149,7 +155,7 @@ def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def curve_cells(ids: list[np.ndarray]) -> np.ndarray:
     """Quantised projections of hashed id vectors."""
-    vectors = np.stack([np.bincount((i * np.uint32(40503) >> 4) % BUCKETS, minlength=BUCKETS) for i in (x.astype(np.uint32) for x in ids)]).astype(np.float32)
+    vectors = np.stack([np.bincount(_buckets()[i], minlength=BUCKETS) for i in ids]).astype(np.float32)
     vectors = np.log1p(vectors)
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return np.clip((vectors @ _projection() + 3.0) * ((1 << BITS) / 6.0), 0, (1 << BITS) - 1).astype(np.int64)
