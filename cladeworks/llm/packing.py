@@ -53,9 +53,10 @@ class WordEncoder:
 
     CLOSING = b".,;:!?&$#%*|"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        self.cached_words = cached_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         # Of words of lower-case letters in normal form the vocabulary's normaliser and pattern change nothing.
@@ -93,7 +94,7 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text (UTF-8) as little-endian 16-bit integers."""
         split = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > self.cached_words:
             self.known = {}
         known, closing = self.known, self.CLOSING
         missing = set().union(*[w for w in split if w is not None]).difference(known)
@@ -109,8 +110,8 @@ class WordEncoder:
 
 
 @cache
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def _encoder(path: str, cached_words: int) -> WordEncoder:
+    return WordEncoder(path, cached_words)
 
 
 @cache
@@ -161,10 +162,10 @@ def curve_cells(ids: list[np.ndarray]) -> np.ndarray:
     return np.clip((vectors @ _projection() + 3.0) * ((1 << BITS) / 6.0), 0, (1 << BITS) - 1).astype(np.int64)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, cached_words: int) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    squeeze, encoder = zstandard.ZstdCompressor(level=1), _encoder(path)
+    squeeze, encoder = zstandard.ZstdCompressor(level=1), _encoder(path, cached_words)
     for whole in batches:
         column = whole.column(1)
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy()
@@ -214,11 +215,11 @@ def _cut(batches: Iterator[pa.RecordBatch], starts: dict[int, int], length: int,
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """One row a piece; ``with_ids`` adds the ids themselves."""
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None, with_ids: bool = False, cached_words: int = CACHED_WORDS) -> DataFrame:
+    """One row a piece; ``with_ids`` adds the ids themselves. Fewer ``cached_words`` cost time and save memory of the workers."""
     path = path or vocabulary_path()
     rows = docs.select(F.col(id_col).cast("long").alias("_pk_id"), F.col(text_col).alias("_pk_text"), F.xxhash64(F.col(id_col).cast("long")).alias("_pk_salt"))
-    coded = materialize(rows.mapInArrow(lambda it: _encode(it, path), "_pk_id long, _pk_key long, _pk_n long, _pk_ids binary"))
+    coded = materialize(rows.mapInArrow(lambda it: _encode(it, path, cached_words), "_pk_id long, _pk_key long, _pk_n long, _pk_ids binary"))
     total = coded.agg(F.coalesce(F.sum("_pk_n"), F.lit(0))).first()[0]
     parts = min(MAX_RANGES, max(1, -(-total // RANGE_IDS)))
     bounds = []
