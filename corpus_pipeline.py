@@ -36,9 +36,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences along the Hilbert curve."""
-    return packing.pack(docs)
+    return packing.pack(docs, cached_words=CACHED_WORDS)
 
 
+#: Words that packing remembers; its workers have served other stages and share the executor's memory with them.
+CACHED_WORDS = 300_000
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_dedup", drop_near_duplicates),
