@@ -3,12 +3,18 @@
 A page is read into blocks. Blocks inside ``article`` or ``main`` are its text; blocks of elements that
 are navigation, headers, footers, sidebars, notices, adverts, forms or comments, by name, role or class,
 are not. For everything outside the article, the token streams of a host's pages form a suffix array
-in buckets: its suffixes, as far as ``RUN`` tokens, are dealt by host and first tokens, so a host of any
-size is spread, and sorted in each bucket. An entry that more than one page has is a repeated run, and
-its places are covered; longer repeated strings are unions of such runs. On a page without an
-article the blocks that are neither boilerplate by markup nor covered for the larger part are its text.
-
-Text inside the article is never removed by repetition: mirrors and shared passages are text of their page.
+in buckets: a bucket has the stretches of the host's streams whose windows of ``RUN`` tokens have one
+anchor, so a host of any size is spread and equal windows meet. The suffixes of a bucket's stretches are
+sorted, neighbours in that order are compared for their common prefix, and intervals of neighbours that
+share ``RUN`` tokens and are of more than one page are repeated. A stretch ends where its anchor does, and
+the next one overlaps it by ``RUN - 1`` tokens: a repeated string of any length is the union of its
+windows, so runs that are put together on the page are the maximal ones of the whole array.
+
+On a page without an article the blocks that are neither boilerplate by markup nor covered for the larger
+part are its text. On a page with one, the article is its text, and so are such blocks outside it that
+have ``RUN`` tokens at least, if the host has another page; shorter ones, and hosts of one page, give the array
+nothing to judge by. Text inside the article is never removed by repetition: mirrors and shared passages
+are text of their page.
 
 Defined results: null and empty html give an empty text; character references are decoded; white space
 (Unicode's) inside a block becomes one space; pages of one host that are equal to the last byte count as
@@ -28,10 +34,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks.llm.induced_sorting import doubled_order
 from cladeworks.runtime import materialize, read_table, sized
 
-#: Tokens that a repeated run has at least; tokens that choose a suffix's bucket; buckets of a host.
-RUN, PREFIX, SPREAD = 8, 4, 4096
+#: Tokens that a repeated run has at least; tokens of an anchor; tokens that a task sorts at once, unless one bucket has more.
+RUN, PREFIX, SHARD_TOKENS = 8, 4, 1 << 18
+MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Share of a block's tokens that must be covered for it to count as boilerplate.
 COVERED = 0.5
 
@@ -153,58 +161,150 @@ def _tokens(text: str) -> list[str]:
     return text.lower().split()
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every suffix, cut to ``RUN`` tokens, of what is outside the article: host, bucket, page, position, tokens."""
-    names = ["host", "bucket", "page", "at", "tokens"]
+def stretches(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, number of windows and anchor hash of the stretches of a token stream.
+
+    The anchor of ``RUN`` tokens is their least-hashed gram of ``PREFIX`` tokens, the first of equals;
+    neighbouring windows with one anchor are a stretch. Equal windows have equal anchors.
+    """
+    n = len(marks) - RUN + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    gram = (np.lib.stride_tricks.sliding_window_view(marks, PREFIX).astype(np.uint64) * MIX).sum(axis=1)
+    gram ^= gram >> np.uint64(29)
+    gram *= MIX[0]
+    gram ^= gram >> np.uint64(32)
+    place = np.arange(n) + np.lib.stride_tricks.sliding_window_view(gram, RUN - PREFIX + 1).argmin(axis=1)
+    heads = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    return heads, np.diff(np.r_[heads, n]), gram[place[heads]].view(np.int64)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], judged: bool) -> Iterator[pa.RecordBatch]:
+    """Stretches of what is outside the article: host, anchor, page, position, tokens. An empty one stands for the page itself.
+
+    ``judged``: only of pages with blocks that repetition decides on.
+    """
+    names = ["host", "anchor", "page", "at", "tokens"]
     for batch in batches:
-        host, bucket, page, place, run = [], [], [], [], []
+        host, anchor, page, place, run = [], [], [], [], []
         for url, html, key in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            outside = [t for kind, t in blocks(html or "") if kind != MAIN]
-            marks = np.array([xxhash.xxh32_intdigest(w) for t in outside for w in _tokens(t)], dtype=np.uint32)
-            n = len(marks) - RUN + 1
-            if n < 1:
+            found = blocks(html or "")
+            if judged and not any(kind == OPEN for kind, _ in found):
                 continue
-            view = np.lib.stride_tricks.sliding_window_view(marks, RUN)
-            lead = (view[:, :PREFIX].astype(np.uint64) * np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint64)).sum(axis=1)
-            host += [host_of(url)] * n
-            bucket.append((lead >> np.uint64(13)) % np.uint64(SPREAD))
-            page += [key] * n
-            place.append(np.arange(n, dtype=np.int32))
-            raw = np.ascontiguousarray(view).astype(">u4").tobytes()
-            run += [raw[i : i + 4 * RUN] for i in range(0, len(raw), 4 * RUN)]
+            marks = np.array([xxhash.xxh32_intdigest(w) for kind, t in found if kind != MAIN for w in _tokens(t)], dtype=np.uint32)
+            starts, windows, anchors = stretches(marks)
+            raw = marks.tobytes()
+            host += [host_of(url)] * (len(starts) + 1)
+            page += [key] * (len(starts) + 1)
+            anchor.append(np.r_[0, anchors])
+            place.append(np.r_[0, starts])
+            run += [b"", *(raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), (starts + windows + RUN - 1).tolist(), strict=True))]
         if page:
-            yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(np.concatenate(bucket).astype(np.int32)), pa.array(page, pa.int64()), pa.array(np.concatenate(place)), pa.array(run, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(host), pa.array(np.concatenate(anchor)), pa.array(page, pa.int64()), pa.array(np.concatenate(place).astype(np.int32)), pa.array(run, pa.binary())], names)
+
 
+def host_stretches(pages: DataFrame, judged: bool = False) -> DataFrame:
+    return pages.select("url", "html", "page").mapInArrow(lambda it: _stretches(it, judged), "host string, anchor long, page long, at int, tokens binary")
 
-def suffix_entries(pages: DataFrame) -> DataFrame:
-    return pages.select("url", "html", "page").mapInArrow(_suffixes, "host string, bucket int, page long, at int, tokens binary")
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Symbols that each suffix of ``order`` shares with the next; ``left``: symbols up to the end of each one's stretch."""
+    a, b = order[:-1], order[1:]
+    most = np.minimum(left[a], left[b])
+    out = np.zeros(len(a), dtype=np.int64)
+    live = np.flatnonzero(most > 0)
+    while len(live):
+        live = live[text[a[live] + out[live]] == text[b[live] + out[live]]]
+        out[live] += 1
+        live = live[out[live] < most[live]]
+    return out
+
+
+def shared_runs(bucket: np.ndarray, tokens: list[bytes], lo: np.ndarray, hi: np.ndarray) -> list[list[tuple[int, int]]]:
+    """For each stretch, the maximal ``(start, end)`` that runs of ``RUN`` tokens of more than one page of its bucket cover.
+
+    The suffixes of all stretches are sorted together. Neighbours that share ``RUN`` tokens are one
+    interval of the order; it is repeated if the pages of its suffixes are not all the same.
+    """
+    sizes = np.array([len(t) // 4 for t in tokens])
+    ends = np.cumsum(sizes + 1)
+    starts = ends - sizes - 1
+    owner = np.repeat(np.arange(len(tokens)), sizes + 1)
+    left = ends[owner] - 1 - np.arange(ends[-1])
+    text = np.zeros(ends[-1], dtype=np.uint64)  # a stretch ends with 0, tokens of different buckets differ
+    text[left > 0] = (np.frombuffer(b"".join(tokens), dtype=np.uint32).astype(np.uint64) | (np.repeat(bucket, sizes).astype(np.uint64) + np.uint64(1)) << np.uint64(32))
+    order = doubled_order(np.unique(text, return_inverse=True)[1], int(sizes.max()) + 1)
+    order = order[left[order] >= RUN]
+    again = np.zeros(len(text), dtype=bool)
+    if len(order):
+        heads = np.flatnonzero(np.r_[True, common_prefixes(text, order, left) < RUN])
+        many = np.minimum.reduceat(lo[owner[order]], heads) < np.maximum.reduceat(hi[owner[order]], heads)
+        again[order] = np.repeat(many, np.diff(np.r_[heads, len(order)]))
+    turn = np.diff(np.r_[0, again.view(np.int8), 0])
+    out: list[list[tuple[int, int]]] = [[] for _ in tokens]
+    for a, b in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
+        out[owner[a]].append((a - int(starts[owner[a]]), b - 1 + RUN - int(starts[owner[a]])))
+    return out
+
+
+def _sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by host and anchor; whole buckets are sorted together."""
+    held: list[tuple] = []
+    size, bucket, last = 0, -1, None
+
+    def shard() -> pa.RecordBatch:
+        lo, hi = (np.array([r[i] for r in held], dtype=np.int64) for i in (3, 4))
+        runs = shared_runs(np.array([r[5] for r in held]), [r[2] for r in held], lo, hi)
+        out = [(*row[:3], found) for row, found in zip(held, runs, strict=True) if found or not row[2] and row[3] < row[4]]
+        host, anchor, tokens, found = zip(*out, strict=True) if out else [[]] * 4
+        pairs = pa.array([[{"a": a, "b": b} for a, b in r] for r in found], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
+        return pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(anchor, pa.int64()), pa.array(tokens, pa.binary()), pairs], ["host", "anchor", "tokens", "runs"])
+
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:2] != last:
+                if size >= SHARD_TOKENS:
+                    yield shard()
+                    held, size, bucket = [], 0, -1
+                bucket += 1
+            held.append((*row, bucket))
+            size += len(row[2]) // 4 + 1
+            last = row[:2]
+    if held:
+        yield shard()
 
 
 def repeated_runs(pages: DataFrame) -> DataFrame:
-    """``(host, tokens)`` of the entries of the suffix array that more than one page has.
+    """``(host, anchor, tokens, runs)``: the stretches with runs that more than one page of the host has.
 
-    Equal suffixes are one entry with their least and greatest page, summed before they are dealt, so a
-    footer on every page of a large host costs each task one row.
+    Equal stretches are one row with their least and greatest page, summed before they are dealt, so a
+    footer on every page of a large host costs each task one row. Of hosts with more than one page the
+    empty stretch is a row too.
     """
-    entries = suffix_entries(pages).groupBy("host", "bucket", "tokens").agg(F.min("page").alias("lo"), F.max("page").alias("hi"))
-    return entries.sortWithinPartitions("host", "tokens").where("lo < hi").select("host", "bucket", "tokens")
+    kinds = host_stretches(pages).groupBy("host", "anchor", "tokens").agg(F.min("page").alias("lo"), F.max("page").alias("hi"))
+    dealt = kinds.repartition("host", "anchor").sortWithinPartitions("host", "anchor")
+    return dealt.mapInArrow(_sort_buckets, "host string, anchor long, tokens binary, runs array<struct<a:int,b:int>>")
 
 
 def covered_places(pages: DataFrame, runs: DataFrame) -> DataFrame:
-    """``(page, places)``: where, in tokens outside the article, repeated runs start on these pages."""
-    found = suffix_entries(pages).join(sized(runs), ["host", "bucket", "tokens"])
-    return found.groupBy("page").agg(F.collect_set("at").alias("places"))
+    """``(page, places)``: the runs, in tokens outside the article, of these pages; no row where the host has one page only."""
+    found = host_stretches(pages, judged=True).join(sized(runs), ["host", "anchor", "tokens"])
+    moved = F.transform("runs", lambda r: F.struct((r["a"] + F.col("at")).alias("a"), (r["b"] + F.col("at")).alias("b")))
+    return found.groupBy("page").agg(F.flatten(F.collect_set(moved)).alias("places"))
 
 
-def page_text(html: str | None, places: list[int] | None) -> str:
+def page_text(html: str | None, places: list[dict[str, int]] | None) -> str:
     found = blocks(html or "")
-    if any(kind == MAIN for kind, _ in found):
-        return "\n".join(t for kind, t in found if kind == MAIN)
-    covered = {i for p in places or () for i in range(p, p + RUN)}
+    article = any(kind == MAIN for kind, _ in found)
+    covered = {i for p in places or () for i in range(p["a"], p["b"])}
     kept, at = [], 0
     for kind, text in found:
+        if kind == MAIN:
+            kept.append(text)
+            continue
         n = len(_tokens(text))
-        if kind == OPEN and sum(i in covered for i in range(at, at + n)) < COVERED * n:
+        judged = not article or places is not None and n >= RUN
+        if kind == OPEN and judged and sum(i in covered for i in range(at, at + n)) < COVERED * n:
             kept.append(text)
         at += n
     return "\n".join(kept)
@@ -213,10 +313,8 @@ def page_text(html: str | None, places: list[int] | None) -> str:
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``pages`` with ``_ht_text``."""
     keyed = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.xxhash64(F.col(url_col), F.col(html_col)).alias("page"))
-    # Only pages without an article need their places; the markup test is a cheap superset of the parser's.
-    marked = F.coalesce(F.col("html"), F.lit("")).rlike("(?i)<(?:article|main)\\b|role\\s*=\\s*[\"']?main\\b")
     runs = materialize(repeated_runs(keyed))
-    places = materialize(covered_places(keyed.where(~marked), runs))
+    places = materialize(covered_places(keyed, runs))
     names = [c for c in pages.columns if not c.startswith("_ht_")]
     rows = pages.select(*names, F.xxhash64(F.col(url_col), F.col(html_col)).alias("_ht_page"))
     joined = rows.join(sized(places.toDF("_ht_page", "_ht_places")), "_ht_page", "left")

@@ -368,6 +368,39 @@ def test_host_text_articles(spark):
         assert got[r.page_id] == "\n".join(p for p in parts if p)
 
 
+def test_host_text_outside_article(spark):
+    long = "a%d text%d outside%d the%d teaser%d that%d no%d other%d page%d has%d"
+    page = "<body><div><p>%s<p>this line is the same on every page of the host</div><article>teaser %d</article></body>"
+    rows = [(i, f"http://h.com/{i}", page % (long.replace("%d", str(i)), i)) for i in (0, 1, 2)] + [(7, "http://alone.com/", page % (long, 7))]
+    got = {r.page_id: r._ht_text for r in host_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: long.replace("%d", str(i)) + f"\nteaser {i}" for i in range(3)} | {7: "teaser 7"}
+
+
+def test_host_text_suffix_order():
+    rnd = np.random.default_rng(5)
+    n = host_text.RUN
+    for _ in range(30):
+        pages = [(int(rnd.integers(2)), rnd.integers(0, 2, int(rnd.integers(0, 60))).astype(np.uint32)) for _ in range(8)]
+        pages += [(h, np.r_[t[:20], np.uint32(9), t[20:]].astype(np.uint32)) for h, t in pages[:3]]
+        seen = defaultdict(set)
+        for k, (host, t) in enumerate(pages):
+            for i in range(len(t) - n + 1):
+                seen[host, t[i : i + n].tobytes()].add(k)
+        held, buckets, got = {}, {}, [set() for _ in pages]
+        for k, (host, t) in enumerate(pages):
+            starts, windows, anchors = host_text.stretches(t)
+            assert windows.sum() == max(0, len(t) - n + 1)
+            for a, w, anchor in zip(starts.tolist(), windows.tolist(), anchors.tolist(), strict=True):
+                bucket = buckets.setdefault((host, anchor), len(buckets))
+                held.setdefault((bucket, t[a : a + w + n - 1].tobytes()), []).append((k, a))
+        keys = sorted(held)
+        lo, hi = (np.array([f(held[key])[0] for key in keys]) for f in (min, max))
+        for key, runs in zip(keys, host_text.shared_runs(np.array([b for b, _ in keys]), [t for _, t in keys], lo, hi) if keys else [], strict=True):
+            for k, at in held[key]:
+                got[k] |= {i for a, b in runs for i in range(at + a, at + b)}
+        assert got == [{j for i in range(len(t) - n + 1) if len(seen[host, t[i : i + n].tobytes()]) > 1 for j in range(i, i + n)} for host, t in pages]
+
+
 def test_toxicity_held_out(spark):
     con = duckdb.connect()
     rows = con.sql("SELECT text, toxic FROM '/root/testdata/sf0.1/documents.parquet' JOIN '/root/testdata/sf0.1/labels.parquet' USING (doc_id) ORDER BY hash(doc_id) LIMIT 3000").fetchall()
