@@ -2,8 +2,10 @@
 
 A page is read into blocks. Blocks inside ``article`` or ``main`` are its text; blocks of elements that
 are navigation, headers, footers, sidebars, notices, adverts, forms or comments, by name, role or class,
-are not. For everything outside the article, the token streams of a host's pages form a suffix array
-in buckets: a bucket has the stretches of the host's streams whose windows of ``RUN`` tokens have one
+are not. A class or id counts by its whole label (``BOILER_LABELS``), and never on ``html``, ``body``, ``main``,
+``article`` or an element whose role is main; a label that is missed is left to repetition.
+
+For everything outside the article, the token streams of a host's pages form a suffix array in buckets: a bucket has the stretches of the host's streams whose windows of ``RUN`` tokens have one
 anchor, so a host of any size is spread and equal windows meet. The suffixes of a bucket's stretches are
 sorted, neighbours in that order are compared for their common prefix, and intervals of neighbours that
 share ``RUN`` tokens and are of more than one page are repeated. A stretch ends where its anchor does, and
@@ -52,10 +54,19 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 BOILER_TAGS = frozenset("nav header footer aside form button select dialog menu".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement sponsor sponsored promo sidebar menu nav navbar navigation breadcrumb breadcrumbs footer cookie cookies consent notice notices popup modal newsletter subscribe comment comments disqus social share sharing related widget".split())
-BOILER_NAMES = frozenset("header site-header page-header masthead topbar top-bar banner".split())
+BOILER_NAMES = frozenset("header masthead topbar banner".split())
+#: What a label of several words may have before and after one of the above; any other word, as in ``no-sidebar`` or ``related-work``, makes it another label.
+BEFORE, AFTER = ["", *"site page main global primary secondary left right top bottom".split()], ["", *"bar banner box list links menu nav widget widgets buttons button form slot unit popup modal overlay".split()]
+#: Further labels.
+MORE_LABELS = frozenset("adcontainer adwrapper adsbygoogle adplaceholder adspace footerwrapper footercontainer footerinner footercontent footerbottom relatedposts relatedarticles relatedcontent relatedstories relatedlinks commentsection commentssection commentsarea commentthread commentrespond disqusthread cookienotice cookieconsent cookieconsentbanner cookiepolicybanner gdprconsent newslettersignup newslettersubscribe socialmedia socialicons socialshare socialsharing sharetools sharingtools skiplinks topnavigation mainnavigation navmenu sidebarinner sidebararea widgetarea".split())
+BOILER_LABELS = frozenset(x + w + y for w in BOILER_WORDS | BOILER_NAMES for x in BEFORE for y in AFTER) | MORE_LABELS
 #: Elements that a new one of the same kind closes.
 CLOSED_BY = {"p": None, "li": frozenset(("ul", "ol")), "option": frozenset(("select",)), "dt": frozenset(("dl",)), "dd": frozenset(("dl",)), "tr": frozenset(("table",)), "td": frozenset(("tr",)), "th": frozenset(("tr",))}
-WORDS = re.compile(r"[^a-z0-9]+")
+JOINTS = re.compile(r"[-_]+")
+
+
+def is_article(name: str, attributes: str) -> bool:
+    return name in ("article", "main") or "role" in attributes and re.search(r"role\s*=\s*[\"']?main\b", attributes) is not None
 
 
 def is_boilerplate(name: str, attributes: str) -> bool:
@@ -63,14 +74,13 @@ def is_boilerplate(name: str, attributes: str) -> bool:
         return True
     if "=" not in attributes:
         return False
+    holder = name in ("html", "body") or is_article(name, attributes)
     for key, *values in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key == "role" and value.strip() in BOILER_ROLES:
             return True
-        if key in ("class", "id"):
-            for label in value.split():
-                if label in BOILER_NAMES or not BOILER_WORDS.isdisjoint(WORDS.split(label)):
-                    return True
+        if key in ("class", "id") and not holder and any(JOINTS.sub("", label) in BOILER_LABELS for label in value.split()):
+            return True
     return False
 
 
@@ -144,7 +154,7 @@ def blocks(html: str) -> list[tuple[int, str]]:
                 if stack[i][0] not in INLINE:
                     break
         b = name == "noscript" or name == "head" or is_boilerplate(name, found[3])
-        m = name in ("article", "main") or "role" in found[3] and re.search(r"role\s*=\s*[\"']?main\b", found[3]) is not None
+        m = is_article(name, found[3])
         stack.append((name, b, m))
         boiler += b
         main += m

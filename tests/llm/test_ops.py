@@ -368,6 +368,15 @@ def test_host_text_articles(spark):
         assert got[r.page_id] == "\n".join(p for p in parts if p)
 
 
+@pytest.mark.parametrize(("opened", "kept"), [
+    ("<body class='single no-sidebar'>", True), ("<body class='sidebar menu'>", True), ("<html class='has-notice'>", True), ("<article class='post comments-open'>", True), ("<article id='ad' class='comments'>", True), ("<main class='widget'>", True),
+    ("<div role='main' class='sidebar'>", True), ("<div id='related-work'>", True), ("<div class='post comments-open'>", True), ("<div class='share-price'>", True), ("<div id='with_menu'>", True), ("<div class=''>", True),
+    ("<div class='ad'>", False), ("<div class='x Site-Footer'>", False), ("<div id='main_menu'>", False), ("<div class='cookie-banner'>", False), ("<div class=leftSidebar>", False), ("<section id='related-posts'>", False), ("<div class='page-header'>", False), ("<article role='dialog'>", False),
+])
+def test_host_text_labels(opened, kept):
+    assert host_text.page_text(f"{opened}<p>text of the page", None) == "text of the page" * kept
+
+
 def test_host_text_outside_article(spark):
     long = "a%d text%d outside%d the%d teaser%d that%d no%d other%d page%d has%d"
     page = "<body><div><p>%s<p>this line is the same on every page of the host</div><article>teaser %d</article></body>"
