@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +43,8 @@ EXTRA = {
     "name": r"(?<=\b(?:Mr|Ms|Mrs|Dr|Herr|Frau|Mme|Sr|Sra)\.?\x20)[A-Z][a-z]{1,30}(?:\x20[A-Z][a-z]{1,30})?",
     "secret": r"(?<=\b(?:token|password|secret|api_key)\x20?=\x20?[\"'])[A-Za-z0-9_+/=-]{16,512}(?=[\"'])",
 }
-#: Literals that a text must hold for a kind's pattern to be tried.
-NEEDED = {"email": "@", "phone": "+", "mail": "at", "ip": ".", "ssn": "-"}
+#: Characters of which a text must hold one for a kind's pattern to be tried.
+NEEDED = {"email": "@", "phone": "+", "mail": "[(", "ip": ".", "ssn": "-"}
 KINDS = [*BASE, *EXTRA]
 #: Gazetteers: endings of domains, names, first octets of private networks, card issuers' digits.
 DOMAINS = r"(?i)(?:com|org|net|edu|gov|io|info|de|fr|es|uk|eu)$"
@@ -106,12 +107,16 @@ def _votes(kind: str, hit: Column, before: Column) -> tuple[Column, Column, Colu
     return shape, listed, context
 
 
+def _holds(characters: str) -> Column:
+    return reduce(Column.__or__, [F.contains("_pi_text", F.lit(c)) for c in characters])
+
+
 def proposed_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_pi_spans``: kind number, start, end, the three votes and a length class."""
     df = docs.withColumn("_pi_text", F.coalesce(F.col(text_col), F.lit("")))
     none = F.array().cast("array<string>")
     hits = {k: F.regexp_extract_all("_pi_text", F.lit(p), F.lit(0)) for k, p in (BASE | EXTRA).items()}
-    df = df.withColumns({f"_pi_hit_{k}": F.when(F.contains("_pi_text", F.lit(NEEDED[k])), h).otherwise(none) if k in NEEDED else h for k, h in hits.items()})
+    df = df.withColumns({f"_pi_hit_{k}": F.when(_holds(NEEDED[k]), h).otherwise(none) if k in NEEDED else h for k, h in hits.items()})
     df = df.withColumns({f"_pi_gap_{k}": F.when(F.size(f"_pi_hit_{k}") > 0, F.split("_pi_text", p, -1)).otherwise(none) for k, p in (BASE | EXTRA).items()})
 
     def lengths(kind: str) -> Column:

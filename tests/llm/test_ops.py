@@ -93,6 +93,12 @@ def test_pii_redaction(spark):
     assert out[2].text is None and out[3].text == "nothing" and out[3].extra == "k"
 
 
+def test_pii_written_out_address_in_capitals(spark):
+    df = spark.createDataFrame([(1, "JOHN [AT] CORP [DOT] COM"), (2, "JOHN (AT) CORP (DOT) COM"), (3, "nothing at all")], "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r._pi_spans] for r in pii.proposed_spans(df).collect()}
+    assert got == {1: [pii.KINDS.index("mail")], 2: [pii.KINDS.index("mail")], 3: []}
+
+
 def test_pii_model_finds_the_reliable_labeler():
     table = [((4, 1, 0, 1, 1), 500), ((4, 1, 0, 0, 1), 300), ((4, -1, 0, -1, 1), 400), ((4, -1, 0, 0, 1), 100)]
     model = pii.train(table)
