@@ -7,7 +7,8 @@ apart in 3 free bytes; its links are given as a spanning forest, so a dense post
 proportion to its members and still loses no connection.
 
 Defined results: null and empty texts have no words and fingerprint zero, which links like any other;
-one or two words are one shingle; repeated rows share a fingerprint and a component; a null doc_id is
+one or two words are one shingle; repeated rows share a fingerprint and a component; a repeated doc_id with
+different texts is a document for each text, in the component of that text; a null doc_id is
 kept and does not name a component unless no other id is there; an empty table gives an empty result.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.operators.components import connected_components
-from cladeworks.runtime import materialize, read_table
+from cladeworks.runtime import materialize, read_table, sized
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -57,13 +58,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         marks = np.fromiter((fingerprint(t.as_py()) for t in batch.column(0)), dtype=np.uint64, count=batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(marks.view(np.int64))], ["_sh_id", "_sh_fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(marks.view(np.int64))], [*batch.schema.names[1:], "_sh_fp"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(_sh_id, _sh_fp)`` a row; the fingerprint is the signed reading of the 64 bits."""
-    rows = docs.select(F.col(text_col).alias("_sh_text"), F.col(id_col).cast("long").alias("_sh_id"))
-    return rows.mapInArrow(_fingerprints, "_sh_id long, _sh_fp long")
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """``(_sh_id, _sh_fp)`` a row, with ``more`` between them; the fingerprint is the signed reading of the 64 bits."""
+    rows = docs.select(F.col(text_col).alias("_sh_text"), F.col(id_col).cast("long").alias("_sh_id"), *more)
+    return rows.mapInArrow(_fingerprints, rows.drop("_sh_text").schema.add("_sh_fp", "long"))
 
 
 def spanning_links(members: np.ndarray, chosen: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -152,24 +153,42 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return postings.mapInArrow(_posting_links, "src long, dst long").distinct()
 
 
+def _components(marked: DataFrame) -> DataFrame:
+    """``marked`` with ``_sh_part``, the component's least fingerprint, and ``_sh_component``, its smallest id."""
+    least = materialize(marked.groupBy("_sh_fp").agg(F.min("_sh_id").alias("_sh_least")))
+    parts = connected_components(fingerprint_links(least)).toDF("_sh_fp", "_sh_part")
+    named = least.join(parts, "_sh_fp", "left").withColumn("_sh_part", F.coalesce("_sh_part", "_sh_fp"))
+    names = named.groupBy("_sh_part").agg(F.min("_sh_least").alias("_sh_component"))
+    class_of = materialize(named.join(names, "_sh_part").select("_sh_fp", "_sh_part", "_sh_component"))
+    return marked.join(class_of, "_sh_fp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(_sh_id, _sh_fp, _sh_component)`` for each row of ``docs``."""
-    marked = materialize(fingerprints(docs, id_col, text_col))
-    least = materialize(marked.groupBy("_sh_fp").agg(F.min("_sh_id").alias("_sh_least")))
-    parts = connected_components(fingerprint_links(least)).withColumnRenamed("node", "_sh_fp")
-    named = least.join(parts, "_sh_fp", "left").withColumn("component", F.coalesce("component", "_sh_fp"))
-    names = named.groupBy("component").agg(F.min("_sh_least").alias("_sh_component"))
-    class_of = materialize(named.join(names, "component").select("_sh_fp", "_sh_component"))
-    return marked.join(class_of, "_sh_fp").select("_sh_id", "_sh_fp", "_sh_component")
+    return _components(materialize(fingerprints(docs, id_col, text_col))).select("_sh_id", "_sh_fp", "_sh_component")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; rows without an id stay."""
-    classes = materialize(near_duplicates(docs, id_col, text_col))
-    dropped = classes.where("_sh_id <> _sh_component").select(F.col("_sh_id").alias(id_col)).distinct()
-    kept = docs.join(dropped, id_col, "left_anti")
-    repeated = classes.where("_sh_id = _sh_component").groupBy("_sh_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates([id_col]) if repeated else kept
+    """``docs`` with one row of each component; rows without an id stay.
+
+    It is the row of the smallest id; where an id is there more than once, of those the least by text hash
+    and then row hash. The same id may stay for several components.
+    """
+    values = [F.col(c) for c in docs.columns]
+    row = F.struct(F.xxhash64(F.col(text_col)).alias("text"), F.xxhash64(*values, *[c.isNull() for c in values]).alias("row"))
+    classes = materialize(_components(materialize(fingerprints(docs, id_col, text_col, row.alias("_sh_row")))))
+    first = classes.where("_sh_id = _sh_component").groupBy("_sh_part").agg(F.min("_sh_row").alias("_sh_first"), F.count("*").alias("n"))
+    several = materialize(first.where("n > 1").select("_sh_part", "_sh_first"))
+    other = F.col("_sh_id") != F.col("_sh_component")
+    if several.limit(1).count():
+        classes = classes.join(sized(several), "_sh_part", "left")
+        other = other | (F.col("_sh_id").isNotNull() & F.coalesce(F.col("_sh_row") != F.col("_sh_first"), F.lit(False)))
+    dropped = classes.where(other).select(F.col("_sh_id").alias(id_col), "_sh_row").distinct()
+    keyed = docs.withColumn("_sh_row", row)
+    kept = keyed.join(dropped, [id_col, "_sh_row"], "left_anti")
+    if several.limit(1).count():  # rows that are equal in all columns
+        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, "_sh_row"]).unionByName(kept.where(F.col(id_col).isNull()))
+    return kept.select(*docs.columns)
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

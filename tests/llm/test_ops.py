@@ -192,6 +192,20 @@ def test_simhash(spark, docs):
     assert sorted(named) == sorted({c for c in components(marks, [d for d, _, _ in rows]) if c is not None})
 
 
+def test_simhash_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "s"), (2, a, "s"), (2, b, "s"), (2, b, "s"), (2, b, "t"), (3, b, "s"), (2, c, "s"), (None, a, "s"), (None, a, "s"), (1, a.upper(), "s"), (4, None, None), (4, "", None)]
+    want = {(1, "a"): 1, (2, "b"): 1, (2, "c"): 1, (None, "a"): 2, (4, ""): 1}
+    seen = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+        got = [tuple(r) for r in kept.collect()]
+        assert Counter((d, (t or "")[:1].lower()) for d, t, _ in got) == want
+        seen.add(frozenset(got))
+    assert len(seen) == 1
+
+
 def test_simhash_links(spark):
     rnd = random.Random(9)
     base = [rnd.getrandbits(64) for _ in range(6)]
