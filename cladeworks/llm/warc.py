@@ -1,8 +1,9 @@
 """WARC archives compressed record by record with a Zstandard dictionary of their own.
 
 Each archive (``.warc.zst``) starts with a skippable frame (magic 0x184D2A5D) that holds the dictionary,
-itself compressed; every record follows as a frame of its own. The dictionary is trained on the first
-records of the archive, ``SAMPLE_BYTES`` of them (a documented bound), which are archived like the rest.
+itself compressed; every record follows as a frame of its own. The dictionary is trained on records drawn
+from the whole archive, ``SAMPLE_BYTES`` of them (a documented bound), of a long one a piece from anywhere in
+it; until the last record is there all wait, compressed, in a scratch file of the task.
 Records with equal payloads of ``REVISIT_BYTES`` or more are written once: the row of the smallest
 page_id as a response, the others as revisits that name it. Archives go to the shared folder and the
 reader takes them from there; a lost task writes its archive anew under another name, and only archives
@@ -17,8 +18,11 @@ percent-encoded; payloads of any length are kept whole; an empty table gives no
 from __future__ import annotations
 
 import hashlib
+import heapq
+import random
 import re
 import struct
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -34,7 +38,8 @@ from cladeworks.runtime import ensure_checkpoint_dir, materialize, read_table, s
 REVISIT_BYTES = 100
 SKIPPABLE = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
-DICTIONARY_BYTES, SAMPLE_BYTES = 32 << 10, 1 << 20
+DICTIONARY_BYTES, SAMPLE_BYTES, PIECE_BYTES = 32 << 10, 1 << 20, 128 << 10
+#: Waiting bytes at which an archive is closed.
 ARCHIVE_BYTES = 1 << 30
 CHUNK = 256 << 10
 LEVEL = 3
@@ -73,46 +78,56 @@ def train_dictionary(samples: list[bytes]) -> zstandard.ZstdCompressionDict:
         return zstandard.ZstdCompressionDict(b"".join(samples)[-DICTIONARY_BYTES:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
+class Sample:
+    """Records with the least priorities, as far as ``SAMPLE_BYTES``; priorities and pieces are pseudo-random, but the same in a rerun."""
+
+    def __init__(self):
+        self.random, self.heap, self.held = random.Random(0), [], 0
+
+    def add(self, data: bytes) -> None:
+        priority, place = self.random.random(), self.random.random()
+        if self.heap and self.held >= SAMPLE_BYTES and -priority <= self.heap[0][0]:
+            return
+        piece = data[int(place * max(0, len(data) - PIECE_BYTES + 1)) :][:PIECE_BYTES]
+        heapq.heappush(self.heap, (-priority, piece))
+        self.held += len(piece)
+        while self.held - len(self.heap[0][1]) >= SAMPLE_BYTES:
+            self.held -= len(heapq.heappop(self.heap)[1])
+
+    def pieces(self) -> list[bytes]:
+        return [piece for _, piece in self.heap]
+
+
 class ArchiveWriter:
-    """One archive; holds back its first records until the dictionary is trained."""
+    """One archive; its records wait in a scratch file until the dictionary is trained on a sample of all."""
 
     def __init__(self, folder: str, name: str):
         self.fs, root = open_folder(folder)
         self.path, self.uri = f"{root}/{name}", f"{folder}/{name}"
-        self.out, self.squeeze = None, None
-        self.waiting: list[bytes] = []
-        self.held = self.size = self.records = 0
+        self.scratch, self.sample = tempfile.TemporaryFile(), Sample()  # noqa: SIM115
+        self.fast = zstandard.ZstdCompressor(level=1)
+        self.size = self.records = 0
 
     def add(self, data: bytes) -> None:
         self.records += 1
-        if self.squeeze:
-            self._put(self.squeeze.compress(data))
-            return
-        self.waiting.append(data)
-        self.held += len(data)
-        if self.held >= SAMPLE_BYTES:
-            self._start()
-
-    def _start(self) -> None:
-        # A long record gives its head to the training only; it is archived whole.
-        dictionary = train_dictionary([x[: SAMPLE_BYTES // 8] for x in self.waiting])
-        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.out = self.fs.open_output_stream(self.path, compression=None)
-        body = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
-        self._put(struct.pack("<II", SKIPPABLE, len(body)) + body)
-        self.squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
-        for data in self.waiting:
-            self._put(self.squeeze.compress(data))
-        self.waiting = []
-
-    def _put(self, data: bytes) -> None:
-        self.out.write(data)
-        self.size += len(data)
+        self.sample.add(data)
+        packed = self.fast.compress(data)
+        self.scratch.write(struct.pack("<Q", len(packed)) + packed)
+        self.size += len(packed)
 
     def close(self) -> tuple[str, int, int]:
-        if not self.squeeze:
-            self._start()
-        self.out.close()
+        dictionary = train_dictionary(self.sample.pieces())
+        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
+        body = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes())
+        squeeze, expand = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary), zstandard.ZstdDecompressor()
+        self.scratch.seek(0)
+        with self.scratch, self.fs.open_output_stream(self.path, compression=None) as out:
+            out.write(struct.pack("<II", SKIPPABLE, len(body)) + body)
+            self.size = 8 + len(body)
+            while head := self.scratch.read(8):
+                data = squeeze.compress(expand.decompress(self.scratch.read(struct.unpack("<Q", head)[0])))
+                out.write(data)
+                self.size += len(data)
         return self.uri, self.records, self.size
 
 

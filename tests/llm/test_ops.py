@@ -269,6 +269,22 @@ def test_warc_records(tmp_path):
         list(warc.read_archive(f"file:{tmp_path}/cut.warc.zst"))
 
 
+def test_warc_dictionary_of_late_records(tmp_path):
+    rnd = random.Random(3)
+    early, late = ("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(700)).encode() for _ in range(2))
+    rows = [b"%s %d" % (early, i) for i in range(2500)] + [b"%s %d" % (late, i) for i in range(2500)]
+    writer = warc.ArchiveWriter(f"file:{tmp_path}", "late.warc.zst")
+    for i, p in enumerate(rows):
+        writer.add(warc.record(i, "u", p, hashlib.sha256(p).hexdigest(), False, None, "r"))
+    uri, n, size = writer.close()
+    assert n == 5000 and [p for _, p in warc.read_archive(uri)] == rows
+    assert size < 5000 * 350  # about 170 bytes a record of a known source; 700 random letters take 400 alone
+    sample = warc.Sample()
+    for i in range(40):
+        sample.add(bytes([i]) * (200 << 10) + b"end" * (40 << 10))
+    assert sum(map(len, sample.pieces())) >= warc.SAMPLE_BYTES and len({p[0] for p in sample.pieces()}) > 1 and any(p.endswith((b"end", b"nde", b"den")) for p in sample.pieces())
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
