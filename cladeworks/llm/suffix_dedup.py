@@ -37,6 +37,8 @@ GRAMS = WINDOW - GRAM + 1
 CHUNK = 1 << 20
 #: Bytes that a task sorts at once, unless one anchor alone has more.
 SHARD_BYTES = 2 << 20
+#: Suffixes that wait in memory; the queues of an ordinary shard have more, and go on in a scratch file.
+QUEUED = 1 << 19
 #: A stretch's start and its number of windows, in one number.
 PLACE_BITS, PLACE_LOW = 10, 1023
 LOW = np.uint64((1 << 20) - 1)
@@ -160,7 +162,7 @@ def repeated_windows(data: list[bytes], counts: np.ndarray, windows: np.ndarray)
     for a, n, m in zip(starts.tolist(), windows.tolist(), counts.tolist(), strict=True):
         valid[a : a + n] = True
         many[a : a + n] = m > 1
-    order = suffix_array(text, WINDOW)
+    order = suffix_array(text, WINDOW, memory=QUEUED)
     order = order[valid[order]]
     words = words_at(np.frombuffer(raw, dtype=np.uint8))
     left = np.flatnonzero(~(many[order[1:]] & many[order[:-1]]))

@@ -342,6 +342,20 @@ def test_suffix_dedup(spark, docs):
     assert {"h", "data", "start", "n", "_sd_kept"} <= set(whole.columns) and whole.count() == len(rows)
 
 
+def test_suffix_dedup_spills_an_ordinary_shard(monkeypatch):
+    files, queues = [], induced_sorting.Queue.flush
+    monkeypatch.setattr(induced_sorting.Queue, "flush", lambda self, file: (files.append(file), queues(self, file)))
+    rnd = np.random.default_rng(2)
+    data = [rnd.integers(97, 123, 1000, dtype=np.uint8).tobytes() for _ in range(suffix_dedup.SHARD_BYTES // 1000)]
+    data[-1] = b"x" * 500 + data[3][:500]
+    found = suffix_dedup.repeated_windows(data, np.ones(len(data), dtype=np.int64), np.full(len(data), 601))
+    want = np.zeros(len(found), dtype=bool)
+    want[3 * 1001 : 3 * 1001 + 101] = True
+    want[(len(data) - 1) * 1001 : (len(data) - 1) * 1001 + 101] = True
+    want[(len(data) - 1) * 1001 + 500 : (len(data) - 1) * 1001 + 601] = True
+    assert files and (found == want).all()
+
+
 def test_jpeg_query(spark, docs):
     folder, rows = docs
     want = []
