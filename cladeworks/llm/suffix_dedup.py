@@ -5,7 +5,8 @@ window of ``WINDOW`` bytes has an anchor, its least-hashed gram of ``GRAM`` byte
 equal anchors at equal offsets. Neighbouring windows with one anchor form a stretch, which goes to the
 shard of the anchor's hash, so all equal windows meet in one shard and no shard depends on a document's
 size or source. Anchors that occur once cannot repeat and go no further; equal stretches travel once,
-with their count. Each shard sorts its suffixes by induction (``induced_sorting``) and neighbours in
+with their count; where an anchor's stretches are all of one kind, or all occur again, there is nothing to
+compare. Each shard sorts its suffixes by induction (``induced_sorting``) and neighbours in
 that order are compared over the whole window, byte for byte. Grouping uses 64-bit hashes of anchors,
 64 more bits for stretches, and 128-bit hashes of texts.
 
@@ -236,14 +237,22 @@ def _shared_stretches(texts: DataFrame) -> DataFrame:
 
 
 def _repeated_runs(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per distinct stretch, the runs of its windows that occur more than once."""
-    kinds = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min(F.struct("k1", "k2", "p")).alias("one"))
-    asked = kinds.select("h", "g", "m", "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "p")).alias("asked"))
+    """Per distinct stretch, the runs of its windows that occur more than once.
+
+    Equal windows have one anchor at one offset, so they lie in different occurrences of it. Where all of an
+    anchor's stretches occur more than once, or there is one only, its windows are decided by that; only the
+    stretches of other anchors are fetched and sorted.
+    """
+    kinds = materialize(kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min(F.struct("k1", "k2", "p")).alias("one")))
+    mixed = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.min("m").alias("least")).where("kinds > 1 and least = 1").select("h"))
+    asked = kinds.join(mixed, "h").select("h", "g", "m", "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct("h", "g", "m", "p")).alias("asked"))
     asked = materialize(asked)
     packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
     fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, n long, data binary")
     sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
-    return materialize(sharded.mapInArrow(_sort_shards, "h long, g long, runs array<long>"))
+    sorted_runs = sharded.mapInArrow(_sort_shards, "h long, g long, runs array<long>")
+    decided = kinds.where("m > 1").join(mixed, "h", "left_anti").select("h", "g", F.array(F.col("one.p").bitwiseAND(PLACE_LOW)).alias("runs"))
+    return materialize(sorted_runs.unionByName(decided))
 
 
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
