@@ -230,10 +230,10 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, left: np.ndarray) -> np
     return out
 
 
-def shared_runs(bucket: np.ndarray, tokens: list[bytes], lo: np.ndarray, hi: np.ndarray) -> list[list[tuple[int, int]]]:
-    """For each stretch, the maximal ``(start, end)`` that runs of ``RUN`` tokens of more than one page of its bucket cover.
+def shared_runs(bucket: np.ndarray, tokens: list[bytes], lo: np.ndarray, hi: np.ndarray, run: int = RUN) -> list[list[tuple[int, int]]]:
+    """For each stretch, the maximal ``(start, end)`` that runs of ``run`` tokens of more than one page of its bucket cover.
 
-    The suffixes of all stretches are sorted together. Neighbours that share ``RUN`` tokens are one
+    The suffixes of all stretches are sorted together. Neighbours that share ``run`` tokens are one
     interval of the order; it is repeated if the pages of its suffixes are not all the same.
     """
     sizes = np.array([len(t) // 4 for t in tokens])
@@ -244,16 +244,16 @@ def shared_runs(bucket: np.ndarray, tokens: list[bytes], lo: np.ndarray, hi: np.
     text = np.zeros(ends[-1], dtype=np.uint64)  # a stretch ends with 0, tokens of different buckets differ
     text[left > 0] = (np.frombuffer(b"".join(tokens), dtype=np.uint32).astype(np.uint64) | (np.repeat(bucket, sizes).astype(np.uint64) + np.uint64(1)) << np.uint64(32))
     order = doubled_order(np.unique(text, return_inverse=True)[1], int(sizes.max()) + 1)
-    order = order[left[order] >= RUN]
+    order = order[left[order] >= run]
     again = np.zeros(len(text), dtype=bool)
     if len(order):
-        heads = np.flatnonzero(np.r_[True, common_prefixes(text, order, left) < RUN])
+        heads = np.flatnonzero(np.r_[True, common_prefixes(text, order, left) < run])
         many = np.minimum.reduceat(lo[owner[order]], heads) < np.maximum.reduceat(hi[owner[order]], heads)
         again[order] = np.repeat(many, np.diff(np.r_[heads, len(order)]))
     turn = np.diff(np.r_[0, again.view(np.int8), 0])
     out: list[list[tuple[int, int]]] = [[] for _ in tokens]
     for a, b in zip(np.flatnonzero(turn == 1).tolist(), np.flatnonzero(turn == -1).tolist(), strict=True):
-        out[owner[a]].append((a - int(starts[owner[a]]), b - 1 + RUN - int(starts[owner[a]])))
+        out[owner[a]].append((a - int(starts[owner[a]]), b - 1 + run - int(starts[owner[a]])))
     return out
 
 

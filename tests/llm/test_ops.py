@@ -337,11 +337,45 @@ def test_suffix_dedup(spark, docs):
                 mask[i : i + 400] = True
         kept = bytes(x for x, m in zip(b, mask, strict=True) if not m)
         want.append((doc, len(b), int(mask.sum()), int((np.diff(np.r_[0, mask.astype(int)]) == 1).sum()), hashlib.sha256(kept).hexdigest()))
-    assert bag(suffix_dedup.op6_suffix_dedup(spark, folder).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()) == bag(want)
+    words = [WORDS.findall(t or "") for _, t, _ in rows]
+    holders = defaultdict(set)
+    for i, w in enumerate(words):
+        for j in range(len(w) - 50):
+            holders[tuple(w[j : j + 51])].add(i)
+    for i, w in enumerate(words):
+        mask = np.zeros(len(w), dtype=int)
+        for j in range(len(w) - 50):
+            if len(holders[tuple(w[j : j + 51])]) > 1:
+                mask[j : j + 51] = 1
+        want[i] += (int((np.diff(np.r_[0, mask]) == 1).sum()), int(mask.sum()))
+    assert any(w[5] for w in want)
+    assert bag(suffix_dedup.op6_suffix_dedup(spark, folder).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "passage_words").collect()) == bag(want)
     whole = suffix_dedup.remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"))
     assert {"h", "data", "start", "n", "_sd_kept"} <= set(whole.columns) and whole.count() == len(rows)
 
 
+def test_passages_under_the_byte_window(spark):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdé") for _ in range(rnd.randrange(1, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    shared, own = prose(51), prose(60)
+    rows = [(1, f"{prose(40)} {shared}\n{prose(9)}"), (2, f"{shared.replace(' ', chr(9))} {prose(70)}"), (3, f"{own} x {own}"), (4, prose(80)), (5, shared.split(" ", 1)[1]), (6, prose(90)), (7, None)]
+    rows.append((8, rows[5][1]))
+    got = {r.doc_id: (r.n_passages, r.passage_words) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=False).collect()}
+    assert got == {1: (1, 51), 2: (1, 51), 3: (0, 0), 4: (0, 0), 5: (0, 0), 6: (1, 90), 7: (0, 0), 8: (1, 90)}
+
+
+def test_words_of_long_texts(monkeypatch):
+    rnd = random.Random(8)
+    data = ("".join(rnd.choice("ab  \n\té") for _ in range(5000)) + "z" * 700 + " end").encode()
+    whole = suffix_dedup.text_words(data)
+    stretches = suffix_dedup.word_stretches([data])
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 300)
+    assert len(whole) == len(data.split()) and suffix_dedup.text_words(data).tolist() == whole.tolist()
+    windows = lambda found: sorted((h, s + i) for _, h, _, s, n in zip(*(x.tolist() for x in found), strict=True) for i in range(n))
+    assert windows(suffix_dedup.word_stretches([data])) == windows(stretches)
+
+
 def test_suffix_dedup_spills_an_ordinary_shard(monkeypatch):
     files, queues = [], induced_sorting.Queue.flush
     monkeypatch.setattr(induced_sorting.Queue, "flush", lambda self, file: (files.append(file), queues(self, file)))
