@@ -325,40 +325,43 @@ def release(spark: SparkSession) -> None:
 
 def covered_ranges(texts: DataFrame) -> DataFrame:
     """``(k1, k2, ranges, passages)``: ranges of bytes to remove, and of words that another document has, for the texts that have any. Input: ``data`` and its key ``k1, k2``."""
-    kept = _shared_stretches(texts)
+    rows = texts.withColumn("doc", F.monotonically_increasing_id())
+    found = materialize(rows.mapInArrow(_anchors, "k1 long, k2 long, doc long, h array<long>, g array<long>, p array<long>"))
+    kept = _shared_stretches(found)
     release(texts.sparkSession)
-    runs = _repeated_runs(texts, kept)
+    names = found.select("doc", "k1", "k2").distinct()
+    runs = _repeated_runs(texts, names, kept)
     release(texts.sparkSession)
-    spans = kept.join(runs, ["h", "g"]).select("k1", "k2", (F.col("p").bitwiseAND(OF_WORDS) != 0).alias("words"), F.shiftright("p", PLACE_BITS).alias("start"), F.explode("runs").alias("run"))
+    spans = kept.join(runs, ["h", "g"]).select("doc", (F.col("p").bitwiseAND(OF_WORDS) != 0).alias("words"), F.shiftright("p", PLACE_BITS).alias("start"), F.explode("runs").alias("run"))
     more = F.when(F.col("words"), PASSAGE - 1).otherwise(WINDOW - 1)
     ends = F.struct((F.col("start") + F.shiftright("run", PLACE_BITS)).alias("a"), (F.col("start") + F.col("run").bitwiseAND(PLACE_LOW) + more).alias("b"))
     # collect_set leaves out nulls
-    return materialize(spans.groupBy("k1", "k2").agg(F.collect_set(F.when(~F.col("words"), ends)).alias("ranges"), F.collect_set(F.when(F.col("words"), ends)).alias("passages")))
+    by_doc = spans.groupBy("doc").agg(F.collect_set(F.when(~F.col("words"), ends)).alias("ranges"), F.collect_set(F.when(F.col("words"), ends)).alias("passages"))
+    # Copies of a text have equal ranges.
+    return materialize(by_doc.join(names, "doc").select("k1", "k2", "ranges", "passages").dropDuplicates(["k1", "k2"]))
 
 
-def _shared_stretches(texts: DataFrame) -> DataFrame:
+def _shared_stretches(found: DataFrame) -> DataFrame:
     """Stretches whose anchor occurs more than once in the corpus."""
-    rows = texts.withColumn("doc", F.monotonically_increasing_id())
-    found = materialize(rows.mapInArrow(_anchors, "k1 long, k2 long, doc long, h array<long>, g array<long>, p array<long>"))
     often = found.select(F.explode("h").alias("h")).groupBy("h").agg(F.count("*").alias("all")).where("all > 1").select("h")
     often = materialize(often)  # both sides of a join are then plain exchanges, whose hot keys AQE splits
-    each = found.select("k1", "k2", "doc", F.explode(F.arrays_zip("h", "g", "p")).alias("s")).select("k1", "k2", "doc", "s.*")
-    return materialize(each.join(often, "h").select("k1", "k2", "doc", "h", "g", "p"))
+    each = found.select("doc", F.explode(F.arrays_zip("h", "g", "p")).alias("s")).select("doc", "s.*")
+    return materialize(each.join(often, "h").select("doc", "h", "g", "p"))
 
 
-def _repeated_runs(texts: DataFrame, kept: DataFrame) -> DataFrame:
+def _repeated_runs(texts: DataFrame, names: DataFrame, kept: DataFrame) -> DataFrame:
     """Per distinct stretch, the runs of its windows that occur more than once, or of words in more than one document.
 
     Equal windows have one anchor at one offset, so they lie in different occurrences of it. Where all of an
     anchor's stretches occur again, or there is one only, its windows are decided by that; only the stretches of
     other anchors are fetched and sorted.
     """
-    summed = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min(F.struct("k1", "k2", "p")).alias("one"))
+    summed = kept.groupBy("h", "g").agg(F.least(F.count("*"), F.lit(2)).alias("m"), F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min(F.struct("doc", "p")).alias("one"))
     again = F.when(F.col("one.p").bitwiseAND(OF_WORDS) != 0, F.col("lo") < F.col("hi")).otherwise(F.col("m") > 1)
     kinds = materialize(summed.withColumn("again", again))
     mixed = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.min("again").alias("all")).where("kinds > 1 and not all").select("h"))
-    asked = kinds.join(mixed, "h").select(*SHARED, "one.*").groupBy("k1", "k2").agg(F.collect_list(F.struct(*SHARED, "p")).alias("asked"))
-    asked = materialize(asked)
+    asked = kinds.join(mixed, "h").select(*SHARED, "one.*").groupBy("doc").agg(F.collect_list(F.struct(*SHARED, "p")).alias("asked"))
+    asked = materialize(asked.join(names, "doc").select("k1", "k2", "asked"))
     packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
     fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, lo long, hi long, n long, data binary")
     sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
