@@ -41,11 +41,11 @@ from cladeworks.runtime import materialize, read_table
 WINDOW, GRAM = 400, 96
 GRAMS = WINDOW - GRAM + 1
 #: Bytes whose anchors are found at once; positions in them take 20 bits.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Bytes that a task sorts at once, unless one anchor alone has more.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Suffixes that wait in memory; the queues of an ordinary shard have more, and go on in a scratch file.
-QUEUED = 1 << 19
+QUEUED = 1 << 18
 #: Words of a passage, and of its grams.
 PASSAGE, WORD_GRAM = 51, 13
 #: A stretch's start, whether it is of words, and its number of windows, in one number.
@@ -205,10 +205,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)]
-        texts = [value.as_buffer().to_pybytes() if value.is_valid else b"" for value in batch.column(0)]
         pieces, rows, offsets, size = [], [], [], 0
         whole, owners, total = [], [], 0
-        for row, data in enumerate(texts):
+        for row, value in enumerate(batch.column(0)):
+            data = value.as_buffer().to_pybytes() if value.is_valid else b""
             for off in range(0, len(data) - WINDOW + 1, CHUNK - WINDOW + 1):
                 piece = data[off : off + CHUNK]
                 if size + len(piece) > CHUNK:
@@ -379,7 +379,7 @@ def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _apply(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    expand = zstandard.ZstdDecompressor()
+    expand, with_text = zstandard.ZstdDecompressor(), "_sd_kept" in names
     for batch in batches:
         rows = []
         for data, ranges, passages in zip(*(batch.column(c) for c in ("_sd_data", "_sd_ranges", "_sd_passages")), strict=True):
@@ -387,11 +387,11 @@ def _apply(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.R
             again = merged(passages.values.field("a").to_numpy(), passages.values.field("b").to_numpy()) if passages.is_valid and len(passages) else None
             words = (len(again[0]), int((again[1] - again[0]).sum())) if again else (0, 0)
             if not ranges.is_valid or not len(ranges):
-                rows.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), *words, raw))
+                rows.append((len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), *words, raw if with_text else b""))
                 continue
             a, b = merged(ranges.values.field("a").to_numpy(), ranges.values.field("b").to_numpy())
             kept = b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)], strict=True))
-            rows.append((len(raw), len(raw) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), *words, kept))
+            rows.append((len(raw), len(raw) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), *words, kept if with_text else b""))
         made = dict(zip([*MADE, "_sd_kept"], zip(*rows, strict=True) if rows else [[]] * 7, strict=True))
         kinds = MADE | {"_sd_kept": pa.binary()}
         yield pa.RecordBatch.from_arrays([pa.array(made[n], kinds[n]) if n in made else batch.column(n) for n in names], names)
