@@ -327,9 +327,10 @@ def covered_ranges(texts: DataFrame) -> DataFrame:
     """``(k1, k2, ranges, passages)``: ranges of bytes to remove, and of words that another document has, for the texts that have any. Input: ``data`` and its key ``k1, k2``."""
     rows = texts.withColumn("doc", F.monotonically_increasing_id())
     found = materialize(rows.mapInArrow(_anchors, "k1 long, k2 long, doc long, h array<long>, g array<long>, p array<long>"))
+    names = materialize(found.select("doc", "k1", "k2").distinct())
     kept = _shared_stretches(found)
+    del found  # and with it its checkpoint
     release(texts.sparkSession)
-    names = found.select("doc", "k1", "k2").distinct()
     runs = _repeated_runs(texts, names, kept)
     release(texts.sparkSession)
     spans = kept.join(runs, ["h", "g"]).select("doc", (F.col("p").bitwiseAND(OF_WORDS) != 0).alias("words"), F.shiftright("p", PLACE_BITS).alias("start"), F.explode("runs").alias("run"))
@@ -362,6 +363,8 @@ def _repeated_runs(texts: DataFrame, names: DataFrame, kept: DataFrame) -> DataF
     mixed = materialize(kinds.groupBy("h").agg(F.count("*").alias("kinds"), F.min("again").alias("all")).where("kinds > 1 and not all").select("h"))
     asked = kinds.join(mixed, "h").select(*SHARED, "one.*").groupBy("doc").agg(F.collect_list(F.struct(*SHARED, "p")).alias("asked"))
     asked = materialize(asked.join(names, "doc").select("k1", "k2", "asked"))
+    del summed
+    release(texts.sparkSession)
     packed = texts.select("data", "k1", "k2").mapInArrow(lambda it: _squeeze(it, 0), "data binary, k1 long, k2 long")
     fetched = packed.join(asked, ["k1", "k2"]).select("data", "asked").mapInArrow(_fetch, "h long, g long, m long, lo long, hi long, n long, data binary")
     sharded = fetched.repartition("h").sortWithinPartitions("h", "g")
