@@ -34,7 +34,9 @@ def match_confidence(umi1: Column, umi2: Column, rank1: Column, rank2: Column) -
 
 def serialise_matches(matches: Column) -> Column:
     """``b1|b2|d:..|c:..|u1:..|u2:..|r1:..|r2:..`` joined by semicolons."""
-    one = lambda m: F.format_string("%s|%s|d:%d|c:%.4f|u1:%d|u2:%d|r1:%d|r2:%d", m["barcode_1"], m["barcode_2"], m["distance"], m["confidence"], m["umi_1"].cast("long"), m["umi_2"].cast("long"), m["rank_1"].cast("long"), m["rank_2"].cast("long"))
+    # format_number rounds the binary value, half to even, as C and Python do; format_string does not.
+    whole = lambda m, c: m[c].cast("long").cast("string")
+    one = lambda m: F.concat(m["barcode_1"], F.lit("|"), m["barcode_2"], F.lit("|d:"), m["distance"].cast("string"), F.lit("|c:"), F.format_number(m["confidence"], 4), *[x for label, c in (("u1", "umi_1"), ("u2", "umi_2"), ("r1", "rank_1"), ("r2", "rank_2")) for x in (F.lit(f"|{label}:"), whole(m, c))])
     return F.array_join(F.transform(matches, one), ";")
 
 

@@ -7,44 +7,87 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from cladeworks.runtime import ranged, sized
+
 #: Tables whose chance is within this factor of the observed one count as no more likely.
 NEAR = 1 + 1e-7
+#: Terms of a tail summed at once.
+TERMS = 4096
+_SMALL = np.fromiter(map(math.lgamma, range(1, 257)), dtype=float, count=256)
+
 
+def log_factorials(x: np.ndarray) -> np.ndarray:
+    """Logarithms of factorials: a table of the first 256, beyond it Stirling's series."""
+    z = np.maximum(x, 256).astype(float)
+    series = z * np.log(z) - z + 0.5 * np.log(2 * math.pi * z) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return np.where(x < 256, _SMALL[np.minimum(x, 255)], series)
 
-def log_factorials(n: int) -> np.ndarray:
-    return np.fromiter(map(math.lgamma, range(1, n + 2)), dtype=float, count=n + 1)
 
+def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
+    """Sum of the hypergeometric chances that are no greater than the observed table's.
 
-def fisher_two_sided(a: int, b: int, c: int, d: int, logs: np.ndarray) -> float:
-    """Sum of the hypergeometric chances that are no greater than the observed table's."""
+    The chances rise up to the mode and fall beyond it, so the tables that count are two tails. Each is
+    summed outwards from its edge, found by bisection, until terms no longer matter.
+    """
     row, col, n = a + b, a + c, a + b + c + d
-    x = np.arange(max(0, col - (c + d)), min(row, col) + 1)
-    chance = logs[row] + logs[n - row] + logs[col] + logs[n - col] - logs[n] - logs[x] - logs[row - x] - logs[col - x] - logs[n - row - col + x]
-    chance = np.exp(chance)
-    seen = chance[a - x[0]]
-    return float(min(1.0, chance[chance <= seen * NEAR].sum()))
+    low, high = max(0, col - (c + d)), min(row, col)
+    fixed = log_factorials(np.array([row, n - row, col, n - col, n])) @ [1, 1, 1, 1, -1]
+
+    def logs(x: np.ndarray) -> np.ndarray:
+        return fixed - log_factorials(x) - log_factorials(row - x) - log_factorials(col - x) - log_factorials(n - row - col + x)
+
+    at = lambda x: float(logs(np.array([x]))[0])
+    limit, mode = at(a) + math.log(NEAR), min(max((row + 1) * (col + 1) // (n + 2), low), high)
+    if at(mode) <= limit:
+        return 1.0
+
+    def tail(edge: int, step: int) -> float:
+        """From the outermost place inwards to the last one, next to the mode, that is within the limit."""
+        outer, inner = 0, abs(mode - edge)  # the mode itself is beyond the limit
+        if at(edge) > limit:
+            return 0.0
+        while inner - outer > 1:
+            half = (outer + inner) // 2
+            outer, inner = (half, inner) if at(edge + step * half) <= limit else (outer, half)
+        total, left = 0.0, outer
+        while left >= 0:
+            terms = np.exp(logs(edge + step * np.arange(max(0, left - TERMS + 1), left + 1)))
+            total += float(terms.sum())
+            left -= TERMS
+            if terms[0] < total * 1e-17:
+                break
+        return total
+
+    return min(1.0, tail(low, 1) + tail(high, -1))
 
 
 @pandas_udf(DoubleType())
 def fisher_p(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype=float)
-    logs = log_factorials(int((a + b + c + d).max()))
-    return pd.Series([fisher_two_sided(*row, logs) for row in zip(a, b, c, d, strict=True)])
+    return pd.Series([fisher_two_sided(*map(int, row)) for row in zip(a, b, c, d, strict=True)], dtype=float)
 
 
 def benjamini_hochberg(df: DataFrame, p: str, q: str) -> DataFrame:
-    """``df`` with step-up q values. The windows are over all rows, which are aggregates (clones) here."""
-    whole = Window.partitionBy()
-    df = df.withColumns({"_bh_r": F.row_number().over(Window.orderBy(p)), "_bh_m": F.count("*").over(whole)})
-    down = Window.orderBy(F.desc("_bh_r")).rowsBetween(Window.unboundedPreceding, 0)
-    value: Column = F.least(F.lit(1.0), F.min(F.col(p) * F.col("_bh_m") / F.col("_bh_r")).over(down))
-    return df.withColumn(q, value).drop("_bh_r", "_bh_m")
+    """``df`` with step-up q values. Equal p values share one, so they are counted first.
+
+    The distinct values are range-sorted; a rank is the rows of the ranges before plus those before inside
+    the range, and the least of what follows is likewise taken over ranges and inside each.
+    """
+    values = ranged(df.groupBy(F.col(p).alias("_bh_p")).agg(F.count("*").alias("_bh_n")), F.asc_nulls_first("_bh_p"))
+    inside = Window.partitionBy("_part").orderBy("_nth")
+    ranges = values.groupBy("_part").agg(F.sum("_bh_n").alias("rows"))  # a row a partition
+    ranges = ranges.select("_part", (F.sum("rows").over(Window.orderBy("_part")) - F.col("rows")).alias("before"), F.sum("rows").over(Window.partitionBy()).alias("all"))
+    rank = F.col("before") + F.sum("_bh_n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    stepped = values.join(sized(ranges), "_part").withColumn("_bh_v", F.col("_bh_p") * F.col("all") / rank)
+    onward = stepped.groupBy("_part").agg(F.min("_bh_v").alias("least"))
+    onward = onward.select("_part", F.min("least").over(Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)).alias("later"))
+    here = F.min("_bh_v").over(inside.rowsBetween(0, Window.unboundedFollowing))
+    known = stepped.join(sized(onward), "_part").select(F.col("_bh_p").alias(p), F.when(F.col("_bh_p").isNotNull(), F.least(F.lit(1.0), here, F.coalesce("later", F.lit(1.0)))).alias(q))
+    return df.join(known, df[p].eqNullSafe(known[p])).select(*[df[c] for c in df.columns], known[q])
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,10 @@ from cladeworks.config import CloneParams
 from cladeworks.functions.sequences import hamming, match_confidence, serialise_matches
 from cladeworks.operators.components import connected_components
 from cladeworks.operators.similarity import hamming_pairs
+from cladeworks.runtime import materialize, numbered
 
 HUB_DEGREE = 10
+#: Output columns, in the order that readers of the files expect.
 PAIR = ["source_condition_1", "cell_barcode_1", "source_condition_2", "cell_barcode_2"]
 COLUMNS = ["cell_barcode_1", "cell_barcode_2", "source_condition_1", "source_condition_2", "is_clone", "num_matches", "num_exact_matches", "num_hamming_matches", "num_barcode_comparisons", "min_observed_distance", "best_hamming_distance", "mean_match_confidence", "matched_barcode_pairs"]
 
@@ -77,34 +79,61 @@ def all_pairs(one: DataFrame, two: DataFrame | None = None, p: CloneParams = Clo
     )
 
 
-def nodes_of(*prepared: DataFrame) -> DataFrame:
-    out = prepared[0].select("source", "cell")
-    for other in prepared[1:]:
-        out = out.unionByName(other.select("source", "cell"))
-    return out.distinct()
-
-
 def node_id(source: str | Column, cell: str | Column) -> Column:
     return F.concat_ws("|", source, cell)
 
 
-def clone_groups(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(cloneID, source_condition, cell_barcode, clone_size, degree)``; cells without a match are clones of one.
+def _classes(prepared: DataFrame) -> DataFrame:
+    """``(source, cell, class, barcodes)``: cells with the same set of barcodes are one class, as they have the same matches."""
+    cells = prepared.groupBy("source", "cell").agg(F.array_sort(F.collect_set("barcode")).alias("barcodes"))
+    return cells.withColumn("class", F.md5(F.concat_ws("|", "source", F.array_join("barcodes", "_"))))
+
 
-    Clones are numbered by falling size, then by their least (source, cell).
+def clone_groups(one: DataFrame, two: DataFrame | None = None, p: CloneParams = CloneParams(), degrees: bool = True) -> DataFrame:
+    """``(cloneID, source_condition, cell_barcode, clone_size, degree)`` of prepared cells; cells without a match are clones of one.
+
+    No pair of cells is listed: a class of cells is tied to its barcodes and each barcode to those near it,
+    so the links are linear in the rows however many cells share a lineage. Across two inputs only
+    barcodes with a near one on the other side tie cells. Clones are numbered by falling size, then by
+    their least (source, cell).
     """
-    edges = pairs.where("is_clone").select(node_id(PAIR[0], PAIR[1]).alias("src"), node_id(PAIR[2], PAIR[3]).alias("dst"))
-    parts = connected_components(edges)
-    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    degrees = both.groupBy(F.col("src").alias("node")).agg(F.countDistinct("dst").alias("degree"))
-    named = nodes.withColumn("node", node_id("source", "cell")).join(parts, "node", "left").join(degrees, "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
+    sides = [one] if two is None else [one, two]
+    cells = [materialize(_classes(x)) for x in sides]
+    near = materialize(hamming_pairs(one.select("barcode"), sides[-1].select("barcode"), p.hamming_threshold))
+    owned = [x.select("class", F.explode("barcodes").alias("barcode")).distinct() for x in cells]
+    node = lambda i, c: F.concat(F.lit(f"{i}|"), F.col(c))
+    last = len(sides) - 1
+    edges = near.where("b1 < b2" if two is None else "true").select(node(0, "b1").alias("src"), node(last, "b2").alias("dst"))
+    for i, (rows, b) in enumerate(zip(owned, ("b1", "b2"), strict=False)):
+        tied = rows if two is None else rows.join(near.select(F.col(b).alias("barcode")).distinct(), "barcode", "left_semi")
+        edges = edges.unionByName(tied.select(node("class", "class").alias("src"), node(i, "barcode").alias("dst")))
+    parts = connected_components(edges).where(F.col("node").startswith("class|")).select(F.substring("node", 7, 32).alias("class"), "component")
+    every = cells[0] if two is None else cells[0].unionByName(cells[1])
+    named = every.join(parts, "class", "left")
+    # A cell of a class without links is alone, even if the class has more cells.
+    named = named.withColumn("component", F.coalesce("component", F.concat_ws("|", F.lit("cell"), "source", "cell")))
+    if degrees:
+        named = named.join(_class_degrees(cells, owned, near), "class", "left")
+    named = materialize(named.withColumn("degree", F.coalesce("degree", F.lit(0).cast("long")) if degrees else F.lit(None).cast("long")).drop("barcodes"))
     sizes = named.groupBy("component").agg(F.count("*").alias("clone_size"), F.min(F.struct("source", "cell")).alias("first"))
-    sizes = sizes.withColumn("cloneID", F.row_number().over(Window.orderBy(F.desc("clone_size"), "first")).cast("long"))
-    return named.join(sizes, "component").select("cloneID", F.col("source").alias("source_condition"), F.col("cell").alias("cell_barcode"), "clone_size", F.coalesce("degree", F.lit(0).cast("long")).alias("degree"))
+    sizes = numbered(sizes, "cloneID", F.desc("clone_size"), F.col("first"))
+    return named.join(sizes, "component").select("cloneID", F.col("source").alias("source_condition"), F.col("cell").alias("cell_barcode"), "clone_size", "degree")
+
+
+def _class_degrees(cells: list[DataFrame], owned: list[DataFrame], near: DataFrame) -> DataFrame:
+    """``(class, degree)``: matched cells of a cell, summed over the classes that its class meets."""
+    left, right = owned[0].toDF("class", "b1"), owned[-1].toDF("other", "b2")
+    met = near.join(left, "b1").join(right, "b2").select("class", "other").distinct()
+    sizes = [x.groupBy("class").agg(F.count("*").alias("n")) for x in cells]
+    counted = lambda pairs, sizes: pairs.join(sizes.withColumnRenamed("class", "other"), "other").groupBy("class")
+    if len(cells) == 1:  # a class meets itself, but a cell is not its own match
+        return counted(met, sizes[0]).agg((F.sum("n") - 1).alias("degree"))
+    back = met.select(F.col("other").alias("class"), F.col("class").alias("other"))
+    return counted(met, sizes[1]).agg(F.sum("n").alias("degree")).unionByName(counted(back, sizes[0]).agg(F.sum("n").alias("degree")))
 
 
 def hub_cells(groups: DataFrame, degree: int = HUB_DEGREE) -> DataFrame:
+    """Cells with more matches than a clone of ordinary size explains."""
     return groups.where(F.col("degree") > degree)
 
 
@@ -140,9 +169,10 @@ def graph_edges(pairs: DataFrame) -> DataFrame:
     )
 
 
-def graph_statistics(groups: DataFrame, pairs: DataFrame) -> DataFrame:
-    sizes = groups.groupBy("cloneID").agg(F.count("*").alias("n"))
-    return sizes.agg(F.count("*").alias("components"), F.max("n").alias("largest"), F.count_if(F.col("n") == 1).alias("singletons"), F.sum("n").alias("cells")).crossJoin(pairs.agg(F.count_if("is_clone").alias("edges")))
+def graph_statistics(groups: DataFrame) -> DataFrame:
+    """Counts of the graph; each link of it is in the degree of two cells."""
+    sizes = groups.groupBy("cloneID").agg(F.count("*").alias("n"), F.sum("degree").alias("ends"))
+    return sizes.agg(F.count("*").alias("components"), F.max("n").alias("largest"), F.count_if(F.col("n") == 1).alias("singletons"), F.sum("n").alias("cells"), F.coalesce(F.sum("ends") / 2, F.lit(0)).cast("long").alias("edges"))
 
 
 def exact_set_clones(filtered: DataFrame, max_lineage_count: int | None = None) -> DataFrame:
@@ -150,5 +180,5 @@ def exact_set_clones(filtered: DataFrame, max_lineage_count: int | None = None)
     kept = filtered if max_lineage_count is None else filtered.where(F.col("lineage_count") < max_lineage_count)
     cells = kept.groupBy("cell_barcode").agg(F.array_join(F.array_sort(F.collect_list("corrected_lineage_barcode")), "_").alias("clone_barcode"))
     clones = cells.groupBy("clone_barcode").agg(F.count("*").alias("cells"))
-    clones = clones.withColumn("cloneID", F.row_number().over(Window.orderBy(F.desc("cells"), "clone_barcode")).cast("long"))
+    clones = numbered(clones, "cloneID", F.desc("cells"), F.col("clone_barcode"))
     return cells.join(clones, "clone_barcode").select("cloneID", "clone_barcode", "cell_barcode", "cells")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cladeworks.config import DirectParams
 from cladeworks.functions.sequences import greedy_one_to_one
 from cladeworks.operators.similarity import hamming_pairs
+from cladeworks.runtime import materialize
 
 NO_MATCH = "NO_MATCH"
 
@@ -18,6 +19,24 @@ def cells_of(corrected: DataFrame) -> DataFrame:
     return summed.groupBy("cell").agg(F.array_sort(F.collect_list("barcode")).alias("barcodes"), F.map_from_entries(F.collect_list(F.struct("barcode", "umi"))).alias("umis"), F.sum("umi").alias("total"))
 
 
+def _candidates(near: DataFrame, of_new: DataFrame, of_old: DataFrame, p: DirectParams) -> DataFrame:
+    """``(t1_cell, t0_cell)`` of pairs that may match, without meeting at common barcodes.
+
+    A pair with at least m matches, taken one to one, has one among all but m - 1 of the T1 cell's barcodes.
+    So only those with the fewest owners of near barcodes look for partners. m is ``min_matched_barcodes``;
+    without UMI weights also the Jaccard threshold's share of either cell, which bounds their sizes too.
+    """
+    j = 0.0 if p.use_umi_weighting else p.jaccard_threshold
+    least = lambda n: F.greatest(F.lit(p.min_matched_barcodes), F.ceil(F.round(F.col(n) * j, 9)).cast("int"))
+    owners = of_old.groupBy("b2").agg(F.count("*").alias("owners"))
+    common = near.join(owners, "b2").groupBy("b1").agg(F.sum("owners").alias("owners"))
+    rare = Window.partitionBy("t1_cell").orderBy(F.coalesce("owners", F.lit(0)), "b1")
+    first = of_new.join(common, "b1", "left").withColumn("nth", F.row_number().over(rare)).where(F.col("nth") <= F.col("t1_cell_n") - least("t1_cell_n") + 1)
+    met = first.where("owners is not null").join(near, "b1").join(of_old, "b2")
+    fits = (F.col("t0_cell_n") >= least("t1_cell_n")) & (F.col("t1_cell_n") >= least("t0_cell_n"))
+    return met.where(fits).select("t1_cell", "t0_cell").distinct()
+
+
 def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams()) -> DataFrame:
     """Ranked matches of every T1 cell; a T1 cell without one has a row of placeholders.
 
@@ -25,10 +44,11 @@ def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams())
     matches greedily by (distance, T1, T0). With UMI weights, threshold and rank use the weighted score.
     Scores are ranked as they are and rounded for output.
     """
-    old, new = cells_of(t0), cells_of(t1)
-    near = hamming_pairs(t1.select("corrected_lineage_barcode"), t0.select("corrected_lineage_barcode"), p.hamming_threshold, strict_length=True)
-    owners = lambda df, b, c: df.select(F.col("corrected_lineage_barcode").alias(b), F.col("cell_barcode").alias(c)).distinct()
-    met = near.join(owners(t1, "b1", "t1_cell"), "b1").join(owners(t0, "b2", "t0_cell"), "b2")
+    old, new = materialize(cells_of(t0)), materialize(cells_of(t1))
+    near = materialize(hamming_pairs(t1.select("corrected_lineage_barcode"), t0.select("corrected_lineage_barcode"), p.hamming_threshold, strict_length=True))
+    owners = lambda df, b, c: df.select(F.explode("barcodes").alias(b), F.col("cell").alias(c), F.size("barcodes").alias(f"{c}_n"))
+    of_new, of_old = owners(new, "b1", "t1_cell"), owners(old, "b2", "t0_cell")
+    met = _candidates(near, of_new, of_old, p).join(of_new.drop("t1_cell_n"), "t1_cell").join(near, "b1").join(of_old.drop("t0_cell_n"), ["t0_cell", "b2"])
     pairs = met.groupBy("t1_cell", "t0_cell").agg(F.collect_list(F.struct("distance", F.col("b1").alias("t1"), F.col("b2").alias("t0"))).alias("edges"))
     pairs = pairs.withColumn("taken", greedy_one_to_one(F.col("edges"))).withColumn("matched", F.size("taken")).where(F.col("matched") >= p.min_matched_barcodes)
     side = lambda df, n: df.select(F.col("cell").alias(f"{n}_cell"), F.col("barcodes").alias(f"{n}_barcodes"), F.col("umis").alias(f"{n}_umis"), F.col("total").alias(f"{n}_total"))

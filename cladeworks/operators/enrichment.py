@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cladeworks.config import EnrichmentParams
 from cladeworks.functions.statistics import benjamini_hochberg, fisher_p
 
+#: Output columns, in the order that readers of the file expect.
 COLUMNS = ["Clone_ID", "T0_size", "Control_size", "Treated_size", "FC_control", "FC_treated", "Log2_FC_ratio", "p_value", "q_value", "Status"]
 
 
@@ -57,6 +58,11 @@ def top_clones(results: DataFrame, status: str, n: int = 10) -> DataFrame:
     return results.where(F.col("Status") == status).orderBy(order, "Clone_ID").limit(n)
 
 
+def top_changed(results: DataFrame, n: int = 10) -> DataFrame:
+    """The strongest clones of both statuses."""
+    return top_clones(results, "Enriched", n).unionByName(top_clones(results, "Depleted", n))
+
+
 def plot_points(results: DataFrame) -> DataFrame:
     """Coordinates of the volcano, MA and trajectory plots, and log sizes of the heat map."""
     log_of = lambda c, least: F.log2(F.greatest(F.col(c), F.lit(least)))

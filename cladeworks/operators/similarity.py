@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeworks.functions.sequences import hamming
+from cladeworks.runtime import sized
 
 
 def _segments(seq: Column, d: int) -> Column:
@@ -36,6 +37,7 @@ def hamming_pairs(left: DataFrame, right: DataFrame, d: int, strict_length: bool
     first = F.size(F.filter(F.arrays_zip("s1", "s2"), lambda z: z["s1"] == z["s2"])) == F.size(F.filter(F.transform(F.arrays_zip("s1", "s2"), lambda z, i: (z["s1"] == z["s2"]) & (i >= F.col("at"))), lambda x: x))
     long_ones = met.where(first).select("b1", "b2", hamming(F.col("b1"), F.col("b2")).alias("distance"))
     short1, short2 = a.where(F.length("b1") <= d), b.where(F.length("b2") <= d)
+    # Two strings of at most d letters are always within d, so without ``strict_length`` all their pairs are the result.
     same = F.length("b1") == F.length("b2") if strict_length else F.lit(True)
-    short = short1.join(F.broadcast(short2), same).select("b1", "b2", hamming(F.col("b1"), F.col("b2")).alias("distance"))
+    short = short1.join(sized(short2), same).select("b1", "b2", hamming(F.col("b1"), F.col("b2")).alias("distance"))
     return long_ones.unionByName(short).where(F.col("distance") <= d)

@@ -7,9 +7,13 @@ sequences one substitution apart, and some an error at a fixed base, which is a
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeworks.runtime import read_table
+from cladeworks.config import CAPTURE_SEQUENCE
+from cladeworks.runtime import ensure_checkpoint_dir, read_table
+from cladeworks.sources import tables
 
 CLASSES = 40
 
@@ -57,6 +61,18 @@ FROM (SELECT *, cast(length(umi) + ascii(substr(umi, 1, 1)) + ascii(substr(umi,
 """
 
 
+#: Reads as the two mates of a run: a barcode of 84 bases before the capture sequence; some lack it, some start too late, some ids differ.
+PREFIX = "I:R:F:"
+LONG_BARCODE = "concat(lineage_barcode, lineage_barcode, lineage_barcode, substr(lineage_barcode, 1, 12))"
+_NO = "CAST(readid AS BIGINT)"
+MATES = f"""
+SELECT {_NO} AS number, concat('{PREFIX}', readid, ' 1:N:0') AS id1, concat(cell_barcode, umi, 'TTTT') AS seq1,
+  concat('{PREFIX}', readid, CASE WHEN {_NO} % 11 = 0 THEN '9' ELSE '' END, ' 2:N:0') AS id2,
+  CASE WHEN {_NO} % 13 = 0 THEN concat('AC', {LONG_BARCODE}, 'AATT') WHEN {_NO} % 17 = 0 THEN concat(lineage_barcode, '{CAPTURE_SEQUENCE}', 'AA') ELSE concat('AC', {LONG_BARCODE}, '{CAPTURE_SEQUENCE}', 'AA') END AS seq2
+FROM reads
+"""
+
+
 def _views(sql: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {n: read_table(spark, sf_dir, n.removesuffix("_source")) for n in ("lineitem_source", "supplier_source") if n in sql}
     for n in names:
@@ -91,6 +107,21 @@ def corrected(spark: SparkSession, sf_dir: str, condition: str | None = None) ->
     return with_totals(rows.groupBy("cell_barcode", F.col("lineage_barcode").alias("corrected_lineage_barcode")).agg(F.countDistinct("umi").alias("umi_count")))
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a file that a query writes and reads."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def fastq(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both mates, written as FASTQ (the second gzipped) and read back."""
+    mates, out = spark.sql(MATES.replace("FROM reads", "FROM {reads}"), reads=reads(spark, sf_dir)), []
+    for i, compression in ((1, "none"), (2, "gzip")):
+        path = folder(spark, f"read{i}")
+        tables.write_fastq(mates.selectExpr("number", "seq1", "seq2", f"id{i} AS id", f"seq{i} AS seq"), path, ["number", "seq1", "seq2"], compression)
+        out.append(tables.read_fastq(spark, path))
+    return out[0], out[1]
+
+
 def sql(text: str) -> str:
     """A fixture for DuckDB."""
     return text.replace("lineitem_source", "lineitem").replace("supplier_source", "supplier")

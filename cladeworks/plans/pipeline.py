@@ -92,8 +92,7 @@ class Pipeline:
     def _clones(self) -> DataFrame:
         filtered = self._filtered()
         prepared = clones.prepare_cells(filtered, self.params.source, self.params.clones.max_lineage_count)
-        pairs = clones.clone_pairs(prepared, p=self.params.clones)
-        groups = clones.clone_groups(pairs, clones.nodes_of(prepared))
+        groups = clones.clone_groups(prepared, p=self.params.clones, degrees=False).drop("degree")
         return groups.join(clones.clone_barcodes(prepared, groups), "cloneID", "left")
 
     def _own(self) -> DataFrame:

@@ -13,7 +13,8 @@ from cladeworks.functions.sequences import hamming, match_confidence, wsn_mismat
 from cladeworks.operators import clones, cluster, direct, enrichment, molecules, noise, qc, timepoints
 from cladeworks.operators.similarity import hamming_pairs
 from cladeworks.plans import fixtures as fx
-from cladeworks.runtime import materialize, read_table
+from cladeworks.runtime import materialize, numbered, read_table, sized
+from cladeworks.sources import tables
 
 T0, CONTROL, TREATED = "A", "N", "R"
 READS = f"reads AS ({fx.sql(fx.READS)})"
@@ -98,7 +99,7 @@ def lineage_hist(spark, d):
 
 def poisson_fit(spark, d):
     fit = noise.poisson_quality(noise.filter_noise(fx.corrected(spark, d, T0)))
-    return spark.createDataFrame([(fit.observed_mean, fit.rate, fit.ks_statistic, fit.p_value, fit.percent_infected)], "observed_mean double, rate double, ks_statistic double, p_value double, percent_infected double")
+    return _rounded(spark.createDataFrame([(fit.observed_mean, fit.rate, fit.ks_statistic, fit.p_value, fit.percent_infected)], "observed_mean double, rate double, ks_statistic double, p_value double, percent_infected double"))
 
 
 def fuzzy_pairs(spark, d):
@@ -111,43 +112,64 @@ def _prepared(spark, d, condition=T0, source="T0"):
 
 
 def clone_pairs_within(spark, d):
-    return _rounded(clones.clone_pairs(_prepared(spark, d)).drop("matched_barcode_pairs"))
+    return _rounded(clones.clone_pairs(_prepared(spark, d)))
 
 
 def clone_pairs_full(spark, d):
-    return _rounded(clones.clone_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=1, quick_mode=False)).drop("matched_barcode_pairs"))
+    return _rounded(clones.clone_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=1, quick_mode=False)))
 
 
 def clone_pairs_cross(spark, d):
-    return _rounded(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")).drop("matched_barcode_pairs"))
+    return _rounded(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")))
 
 
-def _graph(spark, d, condition=T0, source="T0"):
+def _groups(spark, d, condition=T0, source="T0"):
     prepared = _prepared(spark, d, condition, source)
-    pairs = materialize(clones.clone_pairs(prepared))
-    return prepared, pairs, materialize(clones.clone_groups(pairs, clones.nodes_of(prepared)))
+    return prepared, materialize(clones.clone_groups(prepared))
 
 
 def clone_groups(spark, d):
-    return _graph(spark, d)[2]
+    return _groups(spark, d)[1]
+
+
+def clone_groups_cross(spark, d):
+    return clones.clone_groups(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"), CloneParams(hamming_threshold=0))
 
 
 def clone_barcodes(spark, d):
-    prepared, _, groups = _graph(spark, d)
+    prepared, groups = _groups(spark, d)
     return clones.clone_counts(groups, clones.clone_barcodes(prepared, groups))
 
 
+def few_lineage_clones(spark, d):
+    """Clones of cells below a number of lineages."""
+    rows = fx.corrected(spark, d, T0).withColumn("lineage_count", F.col("total_lineages_per_cell"))
+    return clones.clone_groups(materialize(clones.prepare_cells(rows, "T0", 20)), p=CloneParams(hamming_threshold=0))
+
+
 def graph_nodes(spark, d):
-    return clones.graph_nodes(_graph(spark, d)[2])
+    return clones.graph_nodes(_groups(spark, d)[1])
+
+
+def hub_cells(spark, d):
+    return clones.hub_cells(_groups(spark, d)[1], 1)
 
 
 def graph_edges(spark, d):
-    return _rounded(clones.graph_edges(_graph(spark, d)[1]))
+    return _rounded(clones.graph_edges(clones.clone_pairs(_prepared(spark, d))))
 
 
 def graph_statistics(spark, d):
-    _, pairs, groups = _graph(spark, d)
-    return clones.graph_statistics(groups, pairs)
+    return clones.graph_statistics(_groups(spark, d)[1])
+
+
+def all_pairs_within(spark, d):
+    """Every pair of cells is the result, so it grows with the square of the cells."""
+    return _rounded(clones.all_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=0)).drop("matched_barcode_pairs"))
+
+
+def all_pairs_cross(spark, d):
+    return _rounded(clones.all_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"), CloneParams(hamming_threshold=0)).drop("matched_barcode_pairs"))
 
 
 def matched_cells(spark, d):
@@ -160,20 +182,23 @@ def legacy_clones(spark, d):
 
 def _clones_by_cell(spark, d, condition):
     """Clones for matching: each cell of a condition, numbered in the order of its barcode, with its lineages."""
-    rows = fx.corrected(spark, d, condition)
-    # Cells are aggregates of reads, so one task numbers them.
-    from pyspark.sql import Window
-
-    cells = rows.select("cell_barcode").distinct().withColumn("clone_id", F.row_number().over(Window.orderBy("cell_barcode")).cast("long"))
+    rows = materialize(fx.corrected(spark, d, condition))
+    cells = numbered(rows.select("cell_barcode").distinct(), "clone_id", F.col("cell_barcode"))
     return materialize(rows.join(cells, "cell_barcode").select("clone_id", F.col("corrected_lineage_barcode").alias("barcode"), "umi_count"))
 
 
-def _ranked(spark, d, weighted=False, condition=TREATED):
-    t0, t1 = _clones_by_cell(spark, d, T0), _clones_by_cell(spark, d, condition)
-    weigh = lambda x: x.groupBy("barcode").agg(F.sum("umi_count").alias("weight")) if weighted else None
+def _weights(rows):
+    return rows.groupBy("barcode").agg(F.sum("umi_count").alias("weight"))
+
+
+def _ranked_of(t0, t1, weighted=False):
     p = TimepointParams(hamming_threshold=1, weight_by_umi=weighted)
     sets = [x.select("clone_id", "barcode") for x in (t0, t1)]
-    return materialize(timepoints.match_clones(*sets, p, weigh(t0), weigh(t1))), sets[0], sets[1]
+    return materialize(timepoints.match_clones(*sets, p, *((_weights(t0), _weights(t1)) if weighted else (None, None)))), sets[0], sets[1]
+
+
+def _ranked(spark, d, weighted=False, condition=TREATED):
+    return _ranked_of(_clones_by_cell(spark, d, T0), _clones_by_cell(spark, d, condition), weighted)
 
 
 def ranked_matches(spark, d):
@@ -228,15 +253,13 @@ def direct_summary(spark, d):
 
 
 def _enriched(spark, d):
-    sizes = {}
     t0 = _clones_by_cell(spark, d, T0)
+    sizes = {}
     for c in (CONTROL, TREATED):
-        ranked, _, t1 = _ranked(spark, d, condition=c)
         rows = _clones_by_cell(spark, d, c)
-        weights = rows.groupBy("barcode").agg(F.sum("umi_count").alias("weight"))
-        sizes[c] = enrichment.sizes_by_t0(timepoints.best_matches(ranked), enrichment.clone_sizes(t1, weights))
-    own = enrichment.clone_sizes(t0.select("clone_id", "barcode"), t0.groupBy("barcode").agg(F.sum("umi_count").alias("weight")))
-    return materialize(enrichment.run_enrichment(own, sizes[CONTROL], sizes[TREATED]))
+        ranked, _, t1 = _ranked_of(t0, rows)
+        sizes[c] = enrichment.sizes_by_t0(timepoints.best_matches(ranked), enrichment.clone_sizes(t1, _weights(rows)))
+    return materialize(enrichment.run_enrichment(enrichment.clone_sizes(t0.select("clone_id", "barcode"), _weights(t0)), sizes[CONTROL], sizes[TREATED]))
 
 
 def clone_sizes(spark, d):
@@ -248,6 +271,25 @@ def enrichment_results(spark, d):
     return _rounded(_enriched(spark, d))
 
 
+def top_changed(spark, d):
+    """The ten clones of each status with the strongest ratio."""
+    results = _enriched(spark, d)
+    return _rounded(enrichment.top_changed(results))
+
+
+def plot_points(spark, d):
+    return _rounded(enrichment.plot_points(_enriched(spark, d)))
+
+
+def ratio_histogram(spark, d):
+    return enrichment.ratio_histogram(_enriched(spark, d))
+
+
+def barcode_sizes(spark, d):
+    """Sizes of clones where no UMIs are known."""
+    return enrichment.clone_sizes(_clones_by_cell(spark, d, T0).select("clone_id", "barcode"))
+
+
 def enrichment_summary(spark, d):
     return _rounded(enrichment.enrichment_summary(_enriched(spark, d)))
 
@@ -283,6 +325,106 @@ def hamming_distances(spark, d):
     return w.select("*", hamming(F.col("cell_barcode_gex"), F.col("cell_barcode_feature")).cast("int").alias("distance"), hamming(F.col("cell_barcode_gex"), F.substring("cell_barcode_feature", 1, 9)).cast("int").alias("unequal"))
 
 
+def fastq_records(spark, d):
+    """Records of a plain and of a gzipped file, by ordinal."""
+    one, two = fx.fastq(spark, d)
+    return one.select("ord", F.col("id").alias("id1"), F.col("seq").alias("seq1")).join(two.select("ord", F.col("id").alias("id2"), F.col("seq").alias("seq2")), "ord")
+
+
+def fastq_extract(spark, d):
+    return molecules.extract_addresses(*fx.fastq(spark, d), fx.PREFIX)
+
+
+def extraction_counts(spark, d):
+    return molecules.extraction_counters(*fx.fastq(spark, d), fx.PREFIX)
+
+
+def addresses_file(spark, d):
+    """Addresses written and read back, among lines that are no addresses."""
+    path = fx.folder(spark, "addresses")
+    rows = _addresses(spark, d).select("readid", "cell_barcode", "umi", "lineage_barcode", "mismatches")
+    broken = rows.select(F.concat_ws(" ", "readid", "umi").alias("value"))
+    rows.select(F.concat_ws("\t", *rows.columns).alias("value")).unionByName(broken).write.text(path)
+    return tables.read_addresses(spark, path)
+
+
+def molecules_file(spark, d):
+    path = fx.folder(spark, "molecules")
+    tables.write_words(address_count(spark, d), path)
+    return tables.read_molecules(spark, path)
+
+
+def corrections_file(spark, d):
+    """Corrections with a header line, read back with and without it."""
+    path = fx.folder(spark, "corrections")
+    tables.write_tsv(_corrections(umi_counts(spark, d)), path, header=True)
+    return tables.read_corrections(spark, path)
+
+
+def whitelist_file(spark, d):
+    path = fx.folder(spark, "whitelist")
+    tables.write_tsv(fx.whitelist(spark, d).select("cell_barcode_gex", "cell_barcode_feature"), path, compression="gzip")
+    return tables.read_whitelist(spark, path).drop("line")
+
+
+def allow_list_file(spark, d):
+    """Allowed cells from a file of one column and from one of three."""
+    one, three = fx.folder(spark, "allow1"), fx.folder(spark, "allow3")
+    rows = fx.allowed(spark, d)
+    tables.write_tsv(rows, one, single=True)
+    tables.write_tsv(rows.select("cell_barcode_gex", F.lit(1), F.lit("x")), three, single=True)
+    return tables.read_allow_list(spark, one).select("cell_barcode_gex").unionByName(tables.read_allow_list(spark, three).select("cell_barcode_gex"))
+
+
+def counts_file(spark, d):
+    path = fx.folder(spark, "counts")
+    tables.write_tsv(fx.corrected(spark, d), path, header=True)
+    return tables.read_counts(spark, path)
+
+
+def clones_file(spark, d):
+    """Clone barcodes written, read back and taken apart."""
+    path = fx.folder(spark, "clones")
+    tables.write_tsv(clone_barcodes(spark, d).select("cloneID", "clone_barcode"), path, header=True)
+    return timepoints.explode_clones(tables.read_clone_barcodes(spark, path))
+
+
+def clone_map_file(spark, d):
+    path = fx.folder(spark, "map")
+    tables.write_tsv(best_matches(spark, d), path, header=True)
+    return tables.read_clone_map(spark, path)
+
+
+def matches_file(spark, d):
+    """Direct matches as the CSV file has them."""
+    path = fx.folder(spark, "matches")
+    tables.write_matches(direct_exact(spark, d), path)
+    return spark.read.option("header", True).csv(path)
+
+
+def graph_file(spark, d):
+    """Links of the graph as JSON lines, read back."""
+    path, edges = fx.folder(spark, "graph"), graph_edges(spark, d)
+    tables.graph_records(edges).write.text(path)
+    return spark.read.schema(edges.schema).json(path)
+
+
+def cell_counts(spark, d):
+    """Cells before and after translation."""
+    return qc.cells_before_and_after(address_count(spark, d), _untranslated(spark, d))
+
+
+def _untranslated(spark, d):
+    """Molecules of cells that translation keeps, under their own names."""
+    w = fx.whitelist(spark, d).join(sized(fx.allowed(spark, d)), "cell_barcode_gex", "left_semi")
+    return address_count(spark, d).join(sized(w.select(F.col("cell_barcode_feature").alias("cell_barcode"))), "cell_barcode", "left_semi")
+
+
+def clone_size_histogram(spark, d):
+    groups = _groups(spark, d)[1]
+    return groups.select("cloneID", "clone_size").distinct().groupBy("clone_size").agg(F.count("*").alias("clones"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -290,6 +432,8 @@ QUERIES = {
         noise_stats, noise_filtered, lineage_hist, poisson_fit, fuzzy_pairs, clone_pairs_within, clone_pairs_full, clone_pairs_cross, clone_groups, clone_barcodes, graph_nodes, graph_edges,
         graph_statistics, matched_cells, legacy_clones, ranked_matches, ranked_matches_weighted, best_matches, unmatched_clones, match_statistics, top_match_cells, direct_matches,
         direct_matches_weighted, direct_exact, direct_summary, clone_sizes, enrichment_results, enrichment_summary, fisher_test, cumulative_hist, retention, match_confidences, hamming_distances,
+        clone_groups_cross, few_lineage_clones, hub_cells, all_pairs_within, all_pairs_cross, top_changed, plot_points, ratio_histogram, barcode_sizes, fastq_records, fastq_extract, extraction_counts, addresses_file, molecules_file,
+        corrections_file, whitelist_file, allow_list_file, counts_file, clones_file, clone_map_file, matches_file, graph_file, cell_counts, clone_size_histogram,
     )
 }
 
@@ -299,6 +443,7 @@ def _mol() -> str:
 
 
 _WSN = "list_sum(list_transform(range(1, 25), lambda i: CASE WHEN (i - 1) % 3 = 0 AND substr(lineage_barcode, i, 1) NOT IN ('A', 'T') THEN 1 WHEN (i - 1) % 3 = 1 AND substr(lineage_barcode, i, 1) NOT IN ('G', 'C') THEN 1 ELSE 0 END))::INT"
+_LONG_WSN = _WSN.replace("range(1, 25)", "range(1, 85)").replace("lineage_barcode", "b")
 _UMI = """u AS (SELECT *, sum(unique_umi_count) OVER (PARTITION BY cellbc)::BIGINT AS total_unique_umis, count(*) OVER (PARTITION BY cellbc) AS total_unique_lineage_barcodes
 FROM (SELECT cell_barcode AS cellbc, lineage_barcode, count(DISTINCT umi) AS unique_umi_count FROM molecules GROUP BY ALL))"""
 _SHORT = f"s AS ({fx.SHORT}), ok AS (SELECT * FROM s WHERE cell_barcode NOT LIKE '%N%' AND cell_barcode NOT LIKE '%GGGGG%')"
@@ -331,14 +476,16 @@ def _pairs(cross: bool, d: int = 2, quick: bool = True) -> str:
     two, test = ("p1", "TRUE") if cross else ("p0", "x.cell < y.cell")
     exact = "bool_or(distance = 0)" if quick else "FALSE"
     return f"""WITH RECURSIVE {READS}, {_prep("p0", "T0", T0)}, {_prep("p1", "T1", TREATED)},
-near AS (SELECT x.source AS s1, x.cell AS c1, y.source AS s2, y.cell AS c2, hamming(x.barcode, y.barcode) AS distance, x.n * y.n AS every,
-  0.7 * least(x.umi, y.umi) / greatest(x.umi, y.umi) + 0.3 / (1 + abs(x.rank - y.rank)) AS confidence
+near AS (SELECT x.source AS s1, x.cell AS c1, y.source AS s2, y.cell AS c2, hamming(x.barcode, y.barcode) AS distance, x.n * y.n AS every, x.barcode AS b1, y.barcode AS b2, x.umi AS u1, y.umi AS u2, x.rank AS r1, y.rank AS r2,
+  0.7 * (least(x.umi, y.umi) / greatest(x.umi, y.umi)) + 0.3 / (1 + abs(x.rank - y.rank)) AS confidence
   FROM p0 x JOIN {two} y ON {test} AND hamming(x.barcode, y.barcode) <= {d}),
+told AS (SELECT *, concat(b1, '|', b2, '|d:', distance, '|c:', printf('%.4f', confidence), '|u1:', u1, '|u2:', u2, '|r1:', r1, '|r2:', r2) AS m FROM near),
 pairs AS (SELECT c1 AS cell_barcode_1, c2 AS cell_barcode_2, s1 AS source_condition_1, s2 AS source_condition_2, TRUE AS is_clone,
   CASE WHEN {exact} THEN count(*) FILTER (distance = 0) ELSE count(*) END AS num_matches, count(*) FILTER (distance = 0) AS num_exact_matches,
   CASE WHEN {exact} THEN 0 ELSE count(*) FILTER (distance > 0) END AS num_hamming_matches, CASE WHEN {exact} THEN count(*) FILTER (distance = 0) ELSE any_value(every) END AS num_barcode_comparisons,
-  min(distance)::BIGINT AS min_observed_distance, min(distance)::BIGINT AS best_hamming_distance, CASE WHEN {exact} THEN avg(confidence) FILTER (distance = 0) ELSE avg(confidence) END AS mean_match_confidence
-  FROM near GROUP BY ALL)"""
+  min(distance)::BIGINT AS min_observed_distance, min(distance)::BIGINT AS best_hamming_distance, CASE WHEN {exact} THEN avg(confidence) FILTER (distance = 0) ELSE avg(confidence) END AS mean_match_confidence,
+  CASE WHEN {exact} THEN string_agg(m, ';' ORDER BY b1, b2) FILTER (distance = 0) ELSE string_agg(m, ';' ORDER BY b1, b2) END AS matched_barcode_pairs
+  FROM told GROUP BY ALL)"""
 
 
 _GROUPS = """, e AS (SELECT cell_barcode_1 AS a, cell_barcode_2 AS b FROM pairs UNION SELECT cell_barcode_2, cell_barcode_1 FROM pairs),
@@ -349,6 +496,58 @@ sizes AS (SELECT root, count(*) AS clone_size, row_number() OVER (ORDER BY count
 groups AS (SELECT "cloneID", 'T0' AS source_condition, cell AS cell_barcode, clone_size, (SELECT count(*) FROM e WHERE a = cell) AS degree FROM parts JOIN sizes USING (root))"""
 
 
+def _every(cross: bool) -> str:
+    """All pairs of cells, matched at distance 0 or not."""
+    two, test = ("c1", "TRUE") if cross else ("c0", "x.cell < y.cell")
+    side = lambda c, p: f"{c} AS (SELECT source, cell, list(barcode) AS bs FROM {p} GROUP BY ALL)"
+    zero = lambda c: f"coalesce({c}, 0)::BIGINT AS {c}"
+    return f"""{_pairs(cross, 0)}, {side("c0", "p0")}, {side("c1", "p1")},
+every AS (SELECT x.cell AS cell_barcode_1, y.cell AS cell_barcode_2, x.source AS source_condition_1, y.source AS source_condition_2, list_min(flatten([[hamming(a, b) for b in y.bs] for a in x.bs]))::BIGINT AS observed, len(x.bs) * len(y.bs) AS n FROM c0 x JOIN {two} y ON {test})
+SELECT cell_barcode_1, cell_barcode_2, source_condition_1, source_condition_2, coalesce(is_clone, FALSE) AS is_clone, {zero("num_matches")}, {zero("num_exact_matches")}, {zero("num_hamming_matches")},
+  coalesce(num_barcode_comparisons, n) AS num_barcode_comparisons, observed AS min_observed_distance, best_hamming_distance, round(mean_match_confidence, 6) AS mean_match_confidence
+FROM every LEFT JOIN pairs USING (cell_barcode_1, cell_barcode_2, source_condition_1, source_condition_2)"""
+
+
+def _components(ends: str, rows: str) -> str:
+    """Components, numbered, with degrees, of ``rows(source, cell)`` tied by ``ends(s1, c1, s2, c2)``."""
+    return f"""ends AS ({ends}), e AS (SELECT s1 || '|' || c1 AS a, s2 || '|' || c2 AS b FROM ends UNION SELECT s2 || '|' || c2, s1 || '|' || c1 FROM ends),
+nodes AS (SELECT DISTINCT source, cell, source || '|' || cell AS node FROM ({rows})),
+reach AS (SELECT node, node AS root FROM nodes UNION SELECT e.b, reach.root FROM reach JOIN e ON e.a = reach.node),
+parts AS (SELECT node, min(root) AS root FROM reach GROUP BY 1),
+sizes AS (SELECT root, count(*) AS clone_size, row_number() OVER (ORDER BY count(*) DESC, min(struct_pack(source, cell))) AS "cloneID" FROM parts JOIN nodes USING (node) GROUP BY 1)
+SELECT "cloneID", source AS source_condition, cell AS cell_barcode, clone_size, (SELECT count(*) FROM e WHERE a = node) AS degree FROM parts JOIN sizes USING (root) JOIN nodes USING (node)"""
+
+
+def _direct(d: int, least: float, weighted: bool, top: int = 0) -> str:
+    """Greedy one-to-one matches, an edge of each pair of cells a round."""
+    score = "weighted" if weighted else "jaccard"
+    cut = f"WHERE match_rank <= {top}" if top else ""
+    extra, none = (", round(weighted, 6) AS umi_weighted_similarity", ", 0.0::DOUBLE") if weighted else ("", "")
+    side = lambda n, c: f"k{n} AS ({fx.corrected_sql(c)}), s{n} AS (SELECT cell_barcode AS c, string_agg(corrected_lineage_barcode, ';' ORDER BY corrected_lineage_barcode) AS t, count(*)::INT AS n, sum(umi_count)::BIGINT AS u FROM k{n} GROUP BY 1)"
+    return f"""WITH RECURSIVE {READS}, {side(0, T0)}, {side(1, TREATED)},
+g AS (SELECT k1.cell_barcode AS c1, k0.cell_barcode AS c0, list({{'d': hamming(k1.corrected_lineage_barcode, k0.corrected_lineage_barcode), 'a': k1.corrected_lineage_barcode, 'b': k0.corrected_lineage_barcode, 'w': least(k1.umi_count, k0.umi_count)}}
+  ORDER BY hamming(k1.corrected_lineage_barcode, k0.corrected_lineage_barcode), k1.corrected_lineage_barcode, k0.corrected_lineage_barcode) AS e
+  FROM k1 JOIN k0 ON hamming(k1.corrected_lineage_barcode, k0.corrected_lineage_barcode) <= {d} GROUP BY ALL),
+r AS (SELECT c1, c0, e, 1 AS i, []::VARCHAR[] AS a, []::VARCHAR[] AS b, 0 AS k, 0 AS far, 0::BIGINT AS w FROM g UNION ALL
+  SELECT c1, c0, e, i + 1, CASE WHEN free THEN list_append(a, e[i].a) ELSE a END, CASE WHEN free THEN list_append(b, e[i].b) ELSE b END, k + free::INT, far + CASE WHEN free THEN e[i].d ELSE 0 END::INT, w + CASE WHEN free THEN e[i].w ELSE 0 END
+  FROM (SELECT *, NOT list_contains(a, e[i].a) AND NOT list_contains(b, e[i].b) AS free FROM r WHERE i <= len(e))),
+t AS (SELECT c1, c0, k, far / k AS mean, w, s1.n AS n1, s0.n AS n0, s1.t AS t1, s0.t AS t0, k / (s1.n + s0.n - k) AS jaccard, w / (s1.u + s0.u - w) AS weighted FROM r JOIN s1 ON s1.c = c1 JOIN s0 ON s0.c = c0 WHERE i = len(e) + 1 AND k >= 2),
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c1 ORDER BY {score} DESC, k DESC, mean, c0)::INT AS match_rank FROM t WHERE {score} >= {least}) {cut}),
+direct AS (SELECT c0 AS "T0_cell_barcode", t0 AS "T0_barcodes", n0 AS "T0_barcode_count", c1 AS "T1_cell_barcode", t1 AS "T1_barcodes", n1 AS "T1_barcode_count", k AS matched_barcodes, round(jaccard, 6) AS jaccard_similarity{extra}, match_rank FROM o
+UNION ALL SELECT 'NO_MATCH', 'NO_MATCH', 0, c, t, n, 0, 0.0{none}, 1 FROM s1 WHERE c NOT IN (SELECT c1 FROM o))"""
+
+
+_POISSON = """, ph AS (SELECT lineage_count AS v, count(DISTINCT cell_barcode) AS n FROM f GROUP BY 1), pm AS (SELECT sum(v * n) / sum(n) AS mean, sum(n) AS total, count(*) AS c FROM ph),
+pb AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, mean::DOUBLE AS hi FROM pm UNION ALL SELECT i + 1, CASE WHEN x < mean THEN mid ELSE lo END, CASE WHEN x < mean THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, (lo + hi) / 2 / (1 - exp(-(lo + hi) / 2)) AS x, mean FROM pb, pm WHERE i < 100)),
+pr AS (SELECT CASE WHEN mean <= 1 THEN 0.0 ELSE (lo + hi) / 2 END AS rate FROM pb, pm WHERE i = 100),
+py AS (SELECT 1 AS s, sum(n) OVER (ORDER BY v) / total AS y FROM ph, pm UNION ALL
+  SELECT -1, sum(CASE WHEN rate = 0 THEN CASE WHEN g.i = 1 THEN 1.0 ELSE 0.0 END ELSE exp(g.i * ln(greatest(rate, 1e-300)) - rate - lgamma(g.i + 1)) / (1 - exp(-rate)) END) OVER (ORDER BY g.i) FROM pr, (SELECT unnest(range(1, (SELECT c + 1 FROM pm)::BIGINT)) AS i) g),
+pk AS (SELECT max(abs(gap)) AS gap FROM (SELECT sum(s) OVER (ORDER BY y RANGE UNBOUNDED PRECEDING) AS gap FROM py)),
+pp AS (SELECT CASE WHEN gap = 0 THEN 1.0 ELSE least(1.0, greatest(0.0, (SELECT 2 * sum(CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END * exp(2 * lgamma(c + 1) - lgamma(c - j * gap + 1) - lgamma(c + j * gap + 1))) FROM (SELECT unnest(range(1, (c // greatest(gap, 1) + 1)::BIGINT)) AS j)))) END AS p FROM pk, pm)
+SELECT round(mean, 6) AS observed_mean, round(rate, 6) AS rate, round(gap / c, 6) AS ks_statistic, round(p, 6) AS p_value, round((1 - exp(-rate)) * 100, 6) AS percent_infected FROM pm, pr, pk, pp"""
+
+
 def _cells(name: str, condition: str) -> str:
     return f"{name} AS (SELECT dense_rank() OVER (ORDER BY cell_barcode) AS clone_id, corrected_lineage_barcode AS barcode, umi_count FROM ({fx.corrected_sql(condition)}))"
 
@@ -386,6 +585,13 @@ q AS (SELECT *, log2("FC_treated" / "FC_control") AS "Log2_FC_ratio", row_number
 h AS (SELECT *, {_BH} AS q_value FROM q),
 res AS (SELECT *, CASE WHEN q_value < 0.05 AND "Log2_FC_ratio" > 1 THEN 'Enriched' WHEN q_value < 0.05 AND "Log2_FC_ratio" < -1 THEN 'Depleted' ELSE 'Neutral' END AS "Status" FROM h)"""
 
+#: Direct matches at distance 0 as rows.
+_EXACT = f"""WITH {READS}, k0 AS ({fx.corrected_sql(T0)}), k1 AS ({fx.corrected_sql(TREATED)}),
+m AS (SELECT k1.cell_barcode AS c1, k0.cell_barcode AS c0, count(*)::INT AS k, any_value(k1.total_lineages_per_cell)::INT AS n1, any_value(k0.total_lineages_per_cell)::INT AS n0 FROM k1 JOIN k0 USING (corrected_lineage_barcode) GROUP BY ALL HAVING count(*) >= 2),
+r AS (SELECT *, k / (n1 + n0 - k) AS j, row_number() OVER (PARTITION BY c1 ORDER BY k / (n1 + n0 - k) DESC, k DESC, c0)::INT AS match_rank FROM m WHERE k / (n1 + n0 - k) >= 0.6),
+x AS (SELECT c0 AS "T0_cell_barcode", c1 AS "T1_cell_barcode", n1 AS "T1_barcode_count", k AS matched_barcodes, round(j, 6) AS jaccard_similarity, match_rank FROM r
+UNION ALL SELECT DISTINCT 'NO_MATCH', cell_barcode, total_lineages_per_cell::INT, 0, 0.0, 1 FROM k1 WHERE cell_barcode NOT IN (SELECT c1 FROM r))"""
+
 SQL = {
     "umi_counts": f"{_mol()}, {_UMI} SELECT * FROM u",
     "wsn_mismatch": f"WITH {READS} SELECT lineage_barcode, {_WSN} AS mismatches, count(*) AS reads FROM reads GROUP BY ALL",
@@ -398,6 +604,33 @@ FROM ok LEFT JOIN a ON bc_old = cell_barcode GROUP BY ALL""",
     "translate_filter": f"{_mol()}, {_TRANSLATED} SELECT * FROM t",
     "correct_counts": f"""{_mol()}, {_UMI}, k AS (SELECT cellbc AS cell_barcode, CASE WHEN lineage_barcode LIKE 'G%' THEN concat('A', substr(lineage_barcode, 2)) ELSE lineage_barcode END AS corrected_lineage_barcode, sum(unique_umi_count)::BIGINT AS umi_count FROM u GROUP BY ALL)
 SELECT *, sum(umi_count) OVER (PARTITION BY cell_barcode)::BIGINT AS total_molecules_per_cell, count(*) OVER (PARTITION BY cell_barcode) AS total_lineages_per_cell FROM k""",
+    "cluster_lineages": f"""WITH RECURSIVE {_mol().removeprefix("WITH ")}, {_UMI}, l AS (SELECT x.cellbc AS cell, x.lineage_barcode AS child, y.lineage_barcode AS parent FROM u x JOIN u y ON x.cellbc = y.cellbc AND y.unique_umi_count >= 5 * x.unique_umi_count AND levenshtein(x.lineage_barcode, y.lineage_barcode) <= 1
+  AND x.lineage_barcode <> y.lineage_barcode QUALIFY row_number() OVER (PARTITION BY x.cellbc, x.lineage_barcode ORDER BY y.unique_umi_count DESC, y.lineage_barcode) = 1),
+up AS (SELECT cellbc AS cell, lineage_barcode AS seq, lineage_barcode AS root FROM u UNION ALL SELECT up.cell, up.seq, l.parent FROM up JOIN l ON l.cell = up.cell AND l.child = up.root)
+SELECT up.cell AS cell_barcode, root AS canonical_sequence, seq AS sequence_in_cluster FROM up LEFT JOIN l ON l.cell = up.cell AND l.child = up.root WHERE l.child IS NULL""",
+    "poisson_fit": f"{_noise().replace('WITH ', 'WITH RECURSIVE ', 1)} {_POISSON}",
+    "direct_matches": f"{_direct(1, 0.6, False)} SELECT * FROM direct",
+    "direct_matches_weighted": f"{_direct(1, 0.3, True, 3)} SELECT * FROM direct",
+    "direct_summary": f"""{_direct(1, 0.6, False)}, b AS (SELECT *, CASE WHEN match_rank = 1 AND matched_barcodes > 0 THEN jaccard_similarity END AS s FROM direct)
+SELECT count(s) AS matched, count(*) FILTER (matched_barcodes = 0) AS unmatched, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(min(s), 6) AS min, round(max(s), 6) AS max FROM b""",
+    "clone_groups_cross": f"{_pairs(True, 0)}, {_components('SELECT s1, c1, s2, c2 FROM near', 'SELECT source, cell FROM p0 UNION ALL SELECT source, cell FROM p1')}",
+    "few_lineage_clones": f"{_pairs(False, 0)}, {_components('SELECT x.source AS s1, x.cell AS c1, y.source AS s2, y.cell AS c2 FROM p0 x JOIN p0 y ON x.barcode = y.barcode AND x.cell < y.cell AND x.n < 20 AND y.n < 20', 'SELECT source, cell FROM p0 WHERE n < 20')}",
+    "hub_cells": f"{_pairs(False)} {_GROUPS} SELECT * FROM groups WHERE degree > 1",
+    "clone_size_histogram": f"{_pairs(False)} {_GROUPS} SELECT clone_size, count(*) AS clones FROM sizes GROUP BY 1",
+    "all_pairs_within": _every(False),
+    "all_pairs_cross": _every(True),
+    "fastq_records": f"WITH {READS}, mates AS ({fx.MATES}) SELECT row_number() OVER (ORDER BY number, seq1, seq2) - 1 AS ord, id1, seq1, id2, seq2 FROM mates",
+    "fastq_extract": f"WITH {READS} SELECT readid, cell_barcode, umi, b AS lineage_barcode, {_LONG_WSN} AS mismatches FROM (SELECT *, {fx.LONG_BARCODE} AS b FROM reads WHERE readid::BIGINT % 11 <> 0 AND readid::BIGINT % 13 <> 0 AND readid::BIGINT % 17 <> 0)",
+    "extraction_counts": f"""WITH {READS}, x AS (SELECT *, readid::BIGINT % 13 <> 0 AS found, readid::BIGINT % 13 <> 0 AND readid::BIGINT % 17 <> 0 AS whole, readid::BIGINT % 11 <> 0 AS paired, {_LONG_WSN} AS mm FROM (SELECT *, {fx.LONG_BARCODE} AS b FROM reads))
+SELECT count(*) AS reads, count(*) FILTER (found) AS with_capture, count(*) FILTER (whole) AS with_barcode, count(*) FILTER (whole AND paired) AS emitted, count(*) FILTER (whole AND mm > 0) AS with_mismatches, count(*) FILTER (whole AND NOT paired) AS unpaired FROM x""",
+    "addresses_file": f"WITH {READS} SELECT readid, cell_barcode, umi, lineage_barcode, {_WSN} AS mismatches FROM reads",
+    "molecules_file": f"{_mol()} SELECT * FROM molecules",
+    "corrections_file": f"{_mol()}, {_UMI} SELECT cellbc AS cell_barcode, concat('A', substr(lineage_barcode, 2)) AS canonical_sequence, lineage_barcode AS sequence_in_cluster FROM u WHERE lineage_barcode LIKE 'G%'",
+    "whitelist_file": fx.sql(fx.WHITELIST),
+    "allow_list_file": f"{fx.sql(fx.ALLOWED)} UNION ALL {fx.sql(fx.ALLOWED)}",
+    "counts_file": f"WITH {READS} {fx.corrected_sql()}",
+    "clones_file": f'{_pairs(False)} {_GROUPS} SELECT DISTINCT "cloneID" AS clone_id, barcode FROM groups JOIN p0 ON p0.cell = groups.cell_barcode',
+    "cell_counts": f"{_mol()}, {_TRANSLATED}, k AS (SELECT DISTINCT m.cell_barcode FROM molecules m JOIN w ON m.cell_barcode = w.cell_barcode_feature WHERE w.cell_barcode_gex IN (SELECT cell_barcode_gex FROM al)) SELECT (SELECT count(DISTINCT cell_barcode) FROM molecules) AS before, (SELECT count(*) FROM k) AS after, (SELECT count(DISTINCT cell_barcode) FROM molecules) - (SELECT count(*) FROM k) AS lost",
     "lost_cells": f"{_mol()}, {_TRANSLATED} SELECT DISTINCT cell_barcode FROM molecules WHERE cell_barcode NOT IN (SELECT cell_barcode FROM t)",
     "single_lineage": f"WITH {READS}, k AS ({fx.corrected_sql()}) SELECT avg(CASE WHEN total_lineages_per_cell = 1 THEN 1.0 ELSE 0.0 END) AS single_lineage_fraction FROM k",
     "noise_stats": f"{_noise()} SELECT {_NOISE_COLUMNS} FROM z",
@@ -412,6 +645,8 @@ SELECT b1, b2, hamming(b1, b2)::INT AS distance FROM a JOIN b ON hamming(b1, b2)
     "clone_barcodes": f"""{_pairs(False)} {_GROUPS} SELECT "cloneID", count(DISTINCT cell) AS count, string_agg(DISTINCT barcode, '_' ORDER BY barcode) AS clone_barcode FROM groups JOIN p0 ON p0.cell = groups.cell_barcode GROUP BY 1""",
     "graph_nodes": f"""{_pairs(False)} {_GROUPS} SELECT cell_barcode, source_condition, degree, concat('Clone_', "cloneID") AS assigned_clone_id FROM groups""",
     "graph_edges": f"""{_pairs(False)} SELECT concat(source_condition_1, '|', cell_barcode_1) AS node1, concat(source_condition_2, '|', cell_barcode_2) AS node2, num_matches, num_exact_matches, num_hamming_matches, best_hamming_distance,
+  round(mean_match_confidence, 6) AS mean_match_confidence, round(mean_match_confidence, 6) AS edge_weight FROM pairs""",
+    "graph_file": f"""{_pairs(False)} SELECT concat(source_condition_1, '|', cell_barcode_1) AS node1, concat(source_condition_2, '|', cell_barcode_2) AS node2, num_matches, num_exact_matches, num_hamming_matches, best_hamming_distance,
   round(mean_match_confidence, 6) AS mean_match_confidence, round(mean_match_confidence, 6) AS edge_weight FROM pairs""",
     "graph_statistics": f"""{_pairs(False)} {_GROUPS} SELECT count(*) AS components, max(clone_size) AS largest, count(*) FILTER (clone_size = 1) AS singletons, sum(clone_size)::BIGINT AS cells, (SELECT count(*) FROM pairs) AS edges FROM sizes""",
     "matched_cells": f"{_pairs(True)} SELECT cell_barcode_1 AS cell_barcode, source_condition_1 AS source_condition FROM pairs UNION SELECT cell_barcode_2, source_condition_2 FROM pairs",
@@ -420,18 +655,23 @@ g AS (SELECT clone_barcode, count(*) AS cells, row_number() OVER (ORDER BY count
     "ranked_matches": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, {_COUNTS}, match_rank::INT AS match_rank FROM ranked',
     "ranked_matches_weighted": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, round(umi_weighted_score, 6) AS umi_weighted_score, {_COUNTS}, match_rank::INT AS match_rank FROM ranked',
     "best_matches": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM}, {_COUNTS} FROM ranked WHERE match_rank = 1',
+    "clone_map_file": f'{_RANKED} SELECT "T1_clone_id", "T0_clone_id" FROM ranked WHERE match_rank = 1',
     "unmatched_clones": f"""{_RANKED} SELECT "T1_clone_id", "T0_clone_id", {_SIM} FROM ranked WHERE match_rank = 1 AND similarity_score < 0.8
 UNION ALL SELECT DISTINCT clone_id, NULL::BIGINT, 0.0 FROM x1 WHERE clone_id NOT IN (SELECT "T1_clone_id" FROM ranked)""",
     "match_statistics": f"""{_RANKED}, b AS (SELECT n.clone_id, similarity_score AS s FROM ranked_n1 n LEFT JOIN ranked ON n.clone_id = "T1_clone_id" AND match_rank = 1)
 SELECT count(*) AS t1_clones, count(s) AS with_candidates, count(*) FILTER (s >= 0.8) AS matched, round(avg(s), 6) AS mean_similarity, round(median(s), 6) AS median_similarity, round(stddev_pop(s), 6) AS std_similarity, round(min(s), 6) AS min_similarity, round(max(s), 6) AS max_similarity FROM b""",
     "top_match_cells": f"""{_RANKED}, t AS (SELECT "T1_clone_id" FROM ranked WHERE match_rank = 1 ORDER BY similarity_score DESC, "T1_clone_id" LIMIT 30) SELECT "T1_clone_id", "T0_clone_id", {_SIM} FROM ranked WHERE "T1_clone_id" IN (FROM t)""",
-    "direct_exact": f"""WITH {READS}, k0 AS ({fx.corrected_sql(T0)}), k1 AS ({fx.corrected_sql(TREATED)}),
-m AS (SELECT k1.cell_barcode AS c1, k0.cell_barcode AS c0, count(*)::INT AS k, any_value(k1.total_lineages_per_cell)::INT AS n1, any_value(k0.total_lineages_per_cell)::INT AS n0 FROM k1 JOIN k0 USING (corrected_lineage_barcode) GROUP BY ALL HAVING count(*) >= 2),
-r AS (SELECT *, k / (n1 + n0 - k) AS j, row_number() OVER (PARTITION BY c1 ORDER BY k / (n1 + n0 - k) DESC, k DESC, c0)::INT AS match_rank FROM m WHERE k / (n1 + n0 - k) >= 0.6)
-SELECT c0 AS "T0_cell_barcode", c1 AS "T1_cell_barcode", n1 AS "T1_barcode_count", k AS matched_barcodes, round(j, 6) AS jaccard_similarity, match_rank FROM r
-UNION ALL SELECT DISTINCT 'NO_MATCH', cell_barcode, total_lineages_per_cell::INT, 0, 0.0, 1 FROM k1 WHERE cell_barcode NOT IN (SELECT c1 FROM r)""",
+    "direct_exact": f"{_EXACT} SELECT * FROM x",
+    "matches_file": f"""{_EXACT} SELECT "T0_cell_barcode", "T1_cell_barcode", "T1_barcode_count"::VARCHAR AS "T1_barcode_count", matched_barcodes::VARCHAR AS matched_barcodes, printf('%.6f', jaccard_similarity) AS jaccard_similarity, match_rank::VARCHAR AS match_rank FROM x""",
     "clone_sizes": f"WITH {READS}, {_cells('x0', T0)}, w AS (SELECT barcode, sum(umi_count) AS w FROM x0 GROUP BY 1) SELECT clone_id, sum(w)::BIGINT AS size FROM x0 JOIN w USING (barcode) GROUP BY 1",
     "enrichment_results": f"""{_ENRICHED} SELECT "Clone_ID", "T0_size", "Control_size", "Treated_size", round("FC_control", 6) AS "FC_control", round("FC_treated", 6) AS "FC_treated", round("Log2_FC_ratio", 6) AS "Log2_FC_ratio", round(p_value, 6) AS p_value, round(q_value, 6) AS q_value, "Status" FROM res""",
+    "top_changed": f"""{_ENRICHED} SELECT "Clone_ID", "T0_size", "Control_size", "Treated_size", round("FC_control", 6) AS "FC_control", round("FC_treated", 6) AS "FC_treated", round("Log2_FC_ratio", 6) AS "Log2_FC_ratio", round(p_value, 6) AS p_value, round(q_value, 6) AS q_value, "Status"
+  FROM res WHERE "Status" <> 'Neutral' QUALIFY row_number() OVER (PARTITION BY "Status" ORDER BY CASE WHEN "Status" = 'Depleted' THEN "Log2_FC_ratio" ELSE -"Log2_FC_ratio" END, "Clone_ID") <= 10""",
+    "plot_points": f"""{_ENRICHED} SELECT "Clone_ID", "Status", round("Log2_FC_ratio", 6) AS "Log2_FC_ratio", round(-log10(greatest(q_value, 1e-300)) + 0.0, 6) + 0.0 AS neg_log10_q, round(log2(greatest(("Control_size" + "Treated_size") / 2, 0.5)), 6) AS mean_log2_size,
+  round(log2(greatest("FC_control", 1e-10)), 6) AS log2_fc_control, round(log2(greatest("FC_treated", 1e-10)), 6) AS log2_fc_treated, round(log2("T0_size" + 1.0), 6) AS log2_t0, round(log2("Control_size" + 1.0), 6) AS log2_control, round(log2("Treated_size" + 1.0), 6) AS log2_treated FROM res""",
+    "ratio_histogram": f"""{_ENRICHED}, w AS (SELECT min("Log2_FC_ratio") AS lo, CASE WHEN max("Log2_FC_ratio") = min("Log2_FC_ratio") THEN 1.0 ELSE (max("Log2_FC_ratio") - min("Log2_FC_ratio")) / 80 END AS width FROM res)
+SELECT least(floor(("Log2_FC_ratio" - lo) / width), 79)::INT AS bin, count(*) AS clones FROM res, w GROUP BY 1""",
+    "barcode_sizes": f"WITH {READS}, {_cells('x0', T0)} SELECT clone_id, count(DISTINCT barcode) AS size FROM x0 GROUP BY 1",
     "enrichment_summary": f"""{_ENRICHED} SELECT count(*) AS clones, count(*) FILTER ("Status" = 'Enriched') AS enriched, count(*) FILTER ("Status" = 'Depleted') AS depleted, count(*) FILTER ("Status" = 'Neutral') AS neutral,
   round(avg("Log2_FC_ratio"), 6) AS mean, round(median("Log2_FC_ratio"), 6) AS median, round(stddev_samp("Log2_FC_ratio"), 6) AS std, round(min("Log2_FC_ratio"), 6) AS min, round(max("Log2_FC_ratio"), 6) AS max,
   count(*) FILTER ("Control_size" = 0) AS absent_control, count(*) FILTER ("Treated_size" = 0) AS absent_treated, count(*) FILTER ("Control_size" = 0 AND "Treated_size" = 0) AS absent_both FROM res""",

@@ -13,20 +13,27 @@ from cladeworks.runtime import materialize, sized
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``(ord, id, seq)`` of the four-line records of one file, plain, gzipped or bz2.
+    """``(ord, id, seq)`` of the four-line records of a file, or of the files of a folder by name, plain, gzipped or bz2.
 
     Lines are numbered without gathering them: a block's lines are consecutive where it is read, and the
     counts of the blocks before it, a row each, give its first number.
     """
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("m"), F.col("_metadata.file_block_start").alias("block"))
-    per = lines.groupBy("block").agg(F.min("m").alias("first"), F.count("*").alias("lines"))
-    ahead = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    per = materialize(per.select("block", "first", F.coalesce(F.sum("lines").over(ahead), F.lit(0)).alias("ahead")))
-    numbered = lines.join(sized(per), "block").select("value", (F.col("ahead") + F.col("m") - F.col("first")).alias("n"))
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("m"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    per = lines.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("lines"))
+    ahead = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    per = materialize(per.select("file", "block", "first", F.coalesce(F.sum("lines").over(ahead), F.lit(0)).alias("ahead")))
+    numbered = lines.join(sized(per), ["file", "block"]).select("value", (F.col("ahead") + F.col("m") - F.col("first")).alias("n"))
     records = numbered.where("n % 4 < 2").groupBy(F.floor(F.col("n") / 4).alias("ord"))
     return records.agg(F.max(F.when(F.col("n") % 4 == 0, F.substring("value", 2, 1 << 20))).alias("id"), F.max(F.when(F.col("n") % 4 == 1, F.col("value"))).alias("seq"))
 
 
+def write_fastq(reads: DataFrame, path: str, order: list[str], compression: str = "none") -> None:
+    """``(id, seq)`` as four-line records in the order of columns; the files of the folder follow each other by name."""
+    lines = F.explode(F.array(F.concat(F.lit("@"), "id"), F.col("seq"), F.lit("+"), F.repeat(F.lit("I"), F.length("seq"))))
+    ordered = reads.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select(lines.alias("value")).write.mode("overwrite").option("compression", compression).text(path)
+
+
 def read_words(spark: SparkSession, path: str, schema: StructType, exact: bool = True) -> DataFrame:
     """White-space delimited lines; lines with another number of fields (or fewer, if not ``exact``) are dropped."""
     parts = spark.read.text(path).select(F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ").alias("p"))
@@ -88,27 +95,39 @@ def read_clone_map(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("T1_clone_id").cast("long").alias("T1_clone_id"), F.col("T0_clone_id").cast("long").alias("T0_clone_id"))
 
 
-def write_tsv(df: DataFrame, path: str, header: bool = False, single: bool = False) -> None:
+def write_tsv(df: DataFrame, path: str, header: bool = False, single: bool = False, compression: str = "none") -> None:
     out = df.coalesce(1) if single else df
-    out.write.mode("overwrite").option("sep", "\t").option("header", header).option("quote", "").csv(path)
+    out.write.mode("overwrite").option("sep", "\t").option("header", header).option("quote", "").option("compression", compression).csv(path)
 
 
-def write_matches(df: DataFrame, path: str) -> None:
-    """Direct matches as CSV, similarities with six decimals."""
+def write_words(df: DataFrame, path: str) -> None:
+    """Lines of fields with a space between."""
+    df.select(F.concat_ws(" ", *df.columns).alias("value")).write.mode("overwrite").text(path)
+
+
+def matches_text(df: DataFrame) -> DataFrame:
+    """Direct matches in the order of the file, similarities with six decimals."""
     text = [F.format_string("%.6f", c).alias(c) if c.endswith("_similarity") else F.col(c) for c in df.columns]
-    df.orderBy("T1_cell_barcode", "match_rank").select(*text).write.mode("overwrite").option("header", True).csv(path)
+    return df.orderBy("T1_cell_barcode", "match_rank").select(*text)
+
+
+def write_matches(df: DataFrame, path: str) -> None:
+    matches_text(df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def graph_document(nodes: DataFrame, edges: DataFrame) -> str:
-    """Node-link JSON of a clone graph, assembled on the driver: for graphs of a size that a viewer takes."""
-    clone = {f"{r.source_condition}|{r.cell_barcode}": r.assigned_clone_id for r in nodes.collect()}
-    degree = {f"{r.source_condition}|{r.cell_barcode}": r.degree for r in nodes.collect()}
-    listed = [{"id": k, "source_condition": k.partition("|")[0], "cell_barcode": k.partition("|")[2], "degree": degree[k], "clone_id": clone[k]} for k in sorted(clone)]
+    """Node-link JSON of a clone graph, assembled on the driver: for graphs of a size that a viewer takes.
+
+    Keys are fixed values that viewers expect. ``graph_records`` writes graphs of any size.
+    """
+    held = {f"{r.source_condition}|{r.cell_barcode}": r for r in nodes.collect()}
+    listed = [{"id": k, "source_condition": held[k].source_condition, "cell_barcode": held[k].cell_barcode, "degree": held[k].degree, "clone_id": held[k].assigned_clone_id} for k in sorted(held)]
     links = []
-    for r in edges.orderBy("node1", "node2").collect():
+    for r in edges.orderBy("node1", "node2").toLocalIterator():
         row = r.asDict()
         a, b = row.pop("node1"), row.pop("node2")
-        links.append({"source": a, "target": b, **row, "confidence": row["mean_match_confidence"], "hamming": row["best_hamming_distance"], "source_clone_id": clone.get(a), "target_clone_id": clone.get(b), "source_degree": degree.get(a, 0), "target_degree": degree.get(b, 0)})
+        ends = {f"{side}_{key}": getattr(held[x], column) for side, x in (("source", a), ("target", b)) if x in held for key, column in (("clone_id", "assigned_clone_id"), ("degree", "degree"))}
+        links.append({"source": a, "target": b, **row, "confidence": row["mean_match_confidence"], "hamming": row["best_hamming_distance"], **ends})
     return json.dumps({"directed": False, "graph": {}, "nodes": listed, "links": links}, indent=2)
 
 
@@ -117,6 +136,11 @@ def graph_records(edges: DataFrame) -> DataFrame:
     return edges.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A short text as a folder with one file, wherever Spark can write."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def report(title: str, row: dict) -> str:
     """A one-row summary as text."""
     width = max(map(len, row), default=0)

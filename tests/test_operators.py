@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cladeworks import config
+from cladeworks import config, runtime
 from cladeworks.functions import sequences, statistics
 from cladeworks.operators import clones, cluster, components, direct, enrichment, molecules, noise, qc, similarity, timepoints
 
@@ -116,10 +116,46 @@ def test_all_pairs_hold_misses(spark):
 
 def test_components_chain(spark):
     one = prepared(spark, {"a": {"AAAAAAAA": 1}, "b": {"AAAAAACC": 1}, "c": {"AAAACCCC": 1}, "d": {"GGGGGGGG": 1}})
-    groups = clones.clone_groups(clones.clone_pairs(one), clones.nodes_of(one)).collect()
+    groups = clones.clone_groups(one).collect()
     assert {r.cell_barcode: (r.cloneID, r.clone_size, r.degree) for r in groups} == {"a": (1, 3, 1), "b": (1, 3, 2), "c": (1, 3, 1), "d": (2, 1, 0)}
 
 
+def test_groups_match_pairs(spark):
+    rnd = random.Random(7)
+    pool = ["".join(rnd.choice("AC") for _ in range(7)) for _ in range(30)]
+    make = lambda source, n: clones.prepare_cells(spark.createDataFrame([(f"{source}{i}", b, 1, 3) for i in range(n) for b in set(rnd.choices(pool, k=rnd.randrange(1, 3)))], "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long"), source)
+    one, two = make("x", 40).cache(), make("y", 30).cache()
+    for other in (None, two):
+        for d in (0, 1):
+            p = config.CloneParams(hamming_threshold=d)
+            pairs = [((r.source_condition_1, r.cell_barcode_1), (r.source_condition_2, r.cell_barcode_2)) for r in clones.clone_pairs(one, other, p).collect()]
+            cells = {(r.source, r.cell) for x in (one, other) if x is not None for r in x.collect()}
+            group = {c: c for c in cells}
+
+            def find(x, group=group):
+                while group[x] != x:
+                    x = group[x]
+                return x
+
+            for a, b in pairs:
+                a, b = find(a), find(b)
+                group[max(a, b)] = min(a, b)
+            got = clones.clone_groups(one, other, p).collect()
+            assert {(r.source_condition, r.cell_barcode) for r in got} == cells
+            assert {(r.source_condition, r.cell_barcode): r.degree for r in got} == {c: sum(c in x for x in pairs) for c in cells}
+            numbers = {}
+            for r in got:
+                numbers.setdefault(r.cloneID, set()).add(find((r.source_condition, r.cell_barcode)))
+            assert all(len(x) == 1 for x in numbers.values()) and len(numbers) == len({find(c) for c in cells})
+
+
+def test_a_common_lineage_lists_no_pairs(spark):
+    n = 100_000
+    rows = spark.range(n).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("cell"), F.lit("ACGTACGT").alias("barcode"), F.lit(1.0).alias("umi"), F.lit(1.0).alias("rank"), F.lit(1).alias("barcodes"))
+    out = clones.clone_groups(rows).agg(F.countDistinct("cloneID").alias("clones"), F.min("clone_size").alias("size"), F.max("degree").alias("degree")).first()
+    assert (out.clones, out.size, out.degree) == (1, n, n - 1)
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100 + rnd.randrange(60), 100 + rnd.randrange(60)) for _ in range(40)] + [(7, 7), (500, 500)]
@@ -204,8 +240,15 @@ def test_parameters_are_checked(spark):
 
 
 def test_fisher_and_fold(spark):
-    logs = statistics.log_factorials(100)
-    assert statistics.fisher_two_sided(11, 6, 11, 31, logs) == pytest.approx(0.008131176, abs=1e-9)
+    assert statistics.fisher_two_sided(11, 6, 11, 31) == pytest.approx(0.008131176, abs=1e-9)
+    rnd = random.Random(1)
+    for _ in range(300):
+        a, b, c, d = (rnd.randrange(1, rnd.choice((4, 40, 400))) for _ in range(4))
+        row, col, n = a + b, a + c, a + b + c + d
+        chance = {x: math.comb(row, x) * math.comb(n - row, col - x) for x in range(max(0, col - c - d), min(row, col) + 1)}
+        want = sum(v for v in chance.values() if v <= chance[a] * statistics.NEAR) / math.comb(n, col)
+        assert statistics.fisher_two_sided(a, b, c, d) == pytest.approx(want, rel=1e-7)
+    assert statistics.fisher_two_sided(10**9, 10**9 + 10**5, 10**9, 10**9) == pytest.approx(0.1138, abs=1e-3)
     size = lambda n: spark.createDataFrame([(1, n)], "clone_id long, size long")
     row = enrichment.run_enrichment(size(9), size(4), size(19)).first()
     assert (row.FC_control, row.FC_treated, row.Log2_FC_ratio) == (0.5, 2.0, 2.0)
@@ -214,6 +257,19 @@ def test_fisher_and_fold(spark):
 def test_benjamini_hochberg(spark):
     df = spark.createDataFrame([(p,) for p in (0.01, 0.02, 0.03)], "p double")
     assert [round(r.q, 9) for r in statistics.benjamini_hochberg(df, "p", "q").collect()] == [0.03] * 3
+    rnd = random.Random(3)
+    p = [rnd.choice((0.001, 0.04, 0.5, 1.0, rnd.random())) for _ in range(200)]
+    order = sorted(p)
+    least = [min(1.0, *(x * len(p) / i for i, x in enumerate(order, 1) if x >= v)) for v in p]
+    got = statistics.benjamini_hochberg(spark.createDataFrame(list(enumerate(p)), "i int, p double"), "p", "q").orderBy("i").collect()
+    assert [r.q for r in got] == pytest.approx(least)
+    assert statistics.benjamini_hochberg(df.limit(0), "p", "q").count() == 0
+
+
+def test_numbered(spark):
+    rows = [(x * 7919 % 1000, x % 3) for x in range(1000)]
+    got = runtime.numbered(spark.createDataFrame(rows, "a int, b int").repartition(5), "n", F.desc("b"), F.col("a")).collect()
+    assert {(r.a, r.b): r.n for r in got} == {r: i for i, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1)}
 
 
 def test_poisson():
@@ -233,6 +289,28 @@ def test_clusters(spark):
     assert got == {("c", "AAAAAA"): "AAAAAA", ("c", "AAAAAC"): "AAAAAA", ("c", "AAAACC"): "AAAAAA", ("c", "AAAAG"): "AAAAG", ("c", "TTTTTT"): "TTTTTT", ("d", "AAAAAC"): "AAAAAC"}
 
 
+def test_neighbours_by_segments(spark):
+    rnd = random.Random(4)
+    seqs = {"".join(rnd.choice("AC") for _ in range(rnd.randrange(0, 9))) for _ in range(60)}
+    rows = [(c, s, rnd.randrange(1, 9)) for c in "xy" for s in seqs]
+    n = {(c, s): k for c, s, k in rows}
+
+    def edits(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return last[-1]
+
+    df = spark.createDataFrame(rows, "cellbc string, lineage_barcode string, unique_umi_count long")
+    for d in (1, 2, 3):
+        want = {(c, a, b) for c in "xy" for a in seqs for b in seqs if a != b and edits(a, b) <= d and (n[c, b] > n[c, a] or n[c, b] == n[c, a] and b < a)}
+        got = [(r.cell, r.child, r.parent) for r in cluster.neighbour_pairs(df, d).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_retention(spark):
     row = spark.range(1).select(qc.retention(F.lit(0), F.lit(0)).alias("none"), qc.retention(F.lit(4), F.lit(1)).alias("some")).first()
     assert (row.none, row.some) == (0.0, 25.0)

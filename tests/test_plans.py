@@ -86,7 +86,7 @@ def test_graph_document(spark):
     rows = [("a", "AAAA", 2, 1), ("b", "AAAA", 2, 1)]
     one = clones.prepare_cells(spark.createDataFrame(rows, "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long"), "s")
     pairs = clones.clone_pairs(one)
-    groups = clones.clone_groups(pairs, clones.nodes_of(one))
+    groups = clones.clone_groups(one)
     doc = json.loads(tables.graph_document(clones.graph_nodes(groups), clones.graph_edges(pairs)))
     assert [n["id"] for n in doc["nodes"]] == ["s|a", "s|b"] and doc["links"][0]["target_clone_id"] == "Clone_1"
 
