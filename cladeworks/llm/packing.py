@@ -34,6 +34,9 @@ VOCABULARY = "word_bpe_49k.json"
 BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 #: Ids in a range of the order key, on average, and the most ranges.
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
+BOUND_IDS = 512
+#: Bytes of text encoded at once, unless one text has more.
+BATCH_BYTES = 8_000_000
 #: Words whose ids a worker keeps at once.
 CACHED_WORDS = 1_000_000
 
@@ -44,11 +47,47 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: Bytes of words hashed at once.
+HASH_BYTES = 1 << 19
+#: An odd number whose powers weigh the bytes of a word, and two random values for each byte.
+HASH_BASE = 0x9E3779B97F4A7C15
+BYTE_VALUES = np.random.default_rng(64).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2^64."""
+    up, down = (np.full(n, x, dtype=np.uint64) for x in (HASH_BASE, pow(HASH_BASE, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def word_marks(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each word (binary, without nulls), as differences of prefix sums over the bytes."""
+    n = len(words)
+    bounds = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + n + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)
+    out = np.zeros((2, n), dtype=np.uint64)
+    at = 0
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASH_BYTES, side="right")) - 1)
+        piece = data[bounds[at] : bounds[end]]
+        starts, stops = bounds[at:end] - bounds[at], bounds[at + 1 : end + 1] - bounds[at]
+        up, down = _powers(HASH_BYTES + 1) if len(piece) <= HASH_BYTES else _powers.__wrapped__(len(piece) + 1)
+        for k in (0, 1):
+            sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+            np.cumsum(BYTE_VALUES[k][piece] * up[: len(piece)], out=sums[1:])
+            out[k, at:end] = (sums[stops] - sums[starts]) * down[starts]
+        at = end
+    return out[0], out[1]
+
+
 class WordEncoder:
     """Encodes texts word by word with a bounded memory of words; no token of the vocabulary spans white space.
 
     A-Z is lowered first, which the vocabulary's own normaliser does anyway. Closing punctuation is a
-    piece of its own to it, so a word's stem and its closing punctuation are looked up apart.
+    piece of its own to it, so a word's stem and its closing punctuation are looked up apart. Words are
+    remembered by two 64-bit hashes, sorted by the first; two words with one first hash are not both kept.
     """
 
     CLOSING = b".,;:!?&$#%*|"
@@ -62,28 +101,48 @@ class WordEncoder:
         # Of words of lower-case letters in normal form the vocabulary's normaliser and pattern change nothing.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.known: dict[bytes, bytes] = {}
         # A text with the literal of a special token could match across what looks like words.
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-
-    def _learn(self, words: list[bytes]) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start anew, with the empty word, which has no ids."""
+        self.marks, self.others = (np.zeros(1, dtype=np.uint64) for _ in range(2))
+        self.first, self.size = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.pool, self.used = np.zeros(1 << 16, dtype="<u2"), 0
+
+    def _store(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of each word's ids in the pool."""
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
+        more = np.frombuffer(b"".join(ids), dtype="<u2")
+        if self.used + len(more) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), 2 * len(more)), dtype="<u2")])
+        self.pool[self.used : self.used + len(more)] = more
+        first = self.used + np.cumsum(size) - size
+        self.used += len(more)
+        return first, size
+
+    def _tokens(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words met for the first time."""
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         plain = [t.isalpha() and t == t.lower() and is_normalized("NFC", t) for t in texts]
-        known, run = self.known, [w for w, p in zip(words, plain, strict=True) if p]
-        ids = np.array(self.plain.encode_batch_fast([" ".join([t for t, p in zip(texts, plain, strict=True) if p])], add_special_tokens=False)[0].ids, dtype="<u2")
+        out: list[bytes] = [b""] * len(words)
+        run = [i for i, p in enumerate(plain) if p]
+        ids = np.array(self.plain.encode_batch_fast([" ".join([texts[i] for i in run])], add_special_tokens=False)[0].ids, dtype="<u2")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(run):
             data, at = ids.tobytes(), 0
-            for word, stop in zip(run, (2 * stops).tolist(), strict=True):
-                known[word], at = data[at:stop], stop
+            for i, stop in zip(run, (2 * stops).tolist(), strict=True):
+                out[i], at = data[at:stop], stop
         else:  # white space by another reading
             plain = [False] * len(words)
-        rest = [(w, t) for w, t, p in zip(words, texts, plain, strict=True) if not p]
-        for encoding, (word, _) in zip(self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), rest, strict=True):
-            known[word] = np.array(encoding.ids, dtype="<u2").tobytes()
+        rest = [i for i, p in enumerate(plain) if not p]
+        for encoding, i in zip(self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), rest, strict=True):
+            out[i] = np.array(encoding.ids, dtype="<u2").tobytes()
+        return out
 
     def _stem(self, word: bytes) -> bytes:
         """The word without closing punctuation, if what is left ends in a letter or digit."""
@@ -91,22 +150,64 @@ class WordEncoder:
         last = stem[-1:]
         return stem if last.isalnum() or last > b"\x7f" and stem.decode("utf-8", "replace")[-1].isalpha() else word
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text (UTF-8) as little-endian 16-bit integers."""
-        split = [None if any(s in t for s in self.special) else t.lower().split() for t in texts]
-        if len(self.known) > self.cached_words:
-            self.known = {}
-        known, closing = self.known, self.CLOSING
-        missing = set().union(*[w for w in split if w is not None]).difference(known)
-        closed = [(w, s, w[len(s) :]) for w in missing if w[-1] in closing for s in (self._stem(w),) if len(s) < len(w)]
-        missing.difference_update([w for w, _, _ in closed])
-        missing.update([x for _, s, t in closed for x in (s, t) if x not in known])
-        if missing:
-            self._learn(list(missing))
-        for word, stem, tail in closed:
-            known[word] = known[stem] + known[tail]
-        ids, whole = known.__getitem__, self.tokenizer.encode
-        return [np.array(whole(t.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids, dtype="<u2").tobytes() if words is None else b"".join(map(ids, words)) for t, words in zip(texts, split, strict=True)]
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        closing = self.CLOSING
+        stems = {i: s for i, w in enumerate(words) if w[-1] in closing for s in (self._stem(w),) if len(s) < len(w)}
+        out: list[bytes] = [b""] * len(words)
+        if stems:
+            parts = list({x for i, s in stems.items() for x in (s, words[i][len(s) :])})
+            first, size = self._places(pa.array(parts, pa.binary()))
+            ids = dict(zip(parts, (self.pool[a : a + n].tobytes() for a, n in zip(first.tolist(), size.tolist(), strict=True)), strict=True))
+            for i, s in stems.items():
+                out[i] = ids[s] + ids[words[i][len(s) :]]
+        rest = [i for i in range(len(words)) if i not in stems]
+        for i, found in zip(rest, self._tokens([words[i] for i in rest]) if rest else [], strict=True):
+            out[i] = found
+        return self._store(out)
+
+    def _places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids in the pool of distinct words; those met for the first time are learned together."""
+        marks, others = word_marks(words)
+        order = np.argsort(marks)
+        at = np.minimum(np.searchsorted(self.marks, marks[order]), len(self.marks) - 1)
+        seen = (self.marks[at] == marks[order]) & (self.others[at] == others[order])
+        first, size = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        first[order[seen]], size[order[seen]] = self.first[at[seen]], self.size[at[seen]]
+        new = order[~seen]
+        if len(new):
+            first[new], size[new] = self._learn(words.take(pa.array(new)).to_pylist())
+            fresh = marks[new]
+            at = np.searchsorted(self.marks, fresh)
+            alone = np.r_[True, fresh[1:] != fresh[:-1]] & (self.marks[np.minimum(at, len(self.marks) - 1)] != fresh)
+            at, new = at[alone], new[alone]
+            self.marks, self.others = np.insert(self.marks, at, marks[new]), np.insert(self.others, at, others[new])
+            self.first, self.size = np.insert(self.first, at, first[new]), np.insert(self.size, at, size[new])
+        return first, size
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (strings without nulls) as 16-bit integers.
+
+        A batch's words are told apart by Arrow, so the memory of words is asked once for each distinct one, and
+        their ids are gathered for all places at once.
+        """
+        whole = np.zeros(len(texts), dtype=bool)
+        for literal in self.special:
+            whole |= pc.match_substring(texts, literal).to_numpy(zero_copy_only=False)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(whole), "", texts)))
+        coded = lists.flatten().dictionary_encode()
+        if len(self.marks) > self.cached_words:
+            self._forget()
+        first, size = self._places(coded.dictionary.cast(pa.binary()))
+        at = coded.indices.to_numpy()
+        counts = size[at]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        stream = self.pool[np.repeat(first[at] - (ends - counts), counts) + np.arange(total)]
+        bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        out = [stream[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype="<u2")
+        return out
 
 
 @cache
@@ -172,15 +273,13 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, cached_words: int) ->
         at = 0
         while at < len(sizes):
             end, size = at + 1, sizes[at]
-            while end < len(sizes) and size + sizes[end] < 4_000_000 and end - at < 256:
+            while end < len(sizes) and size + sizes[end] < BATCH_BYTES:
                 size += sizes[end]
                 end += 1
-            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in column.slice(at, end - at)]
-            raw = [x + CLOSING_ID.to_bytes(2, "little") for x in encoder.encode(texts)]
-            ids = [np.frombuffer(x, dtype="<u2") for x in raw]
+            ids = [np.append(x, np.uint16(CLOSING_ID)) for x in encoder.encode(column.slice(at, end - at).fill_null(""))]
             batch = whole.slice(at, end - at)
             key = hilbert_index(curve_cells(ids)) << SALT_BITS | (batch.column(2).to_numpy(zero_copy_only=False) & ((1 << SALT_BITS) - 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key), pa.array([len(i) for i in ids], pa.int64()), pa.array([squeeze.compress(x) for x in raw], pa.binary())], ["_pk_id", "_pk_key", "_pk_n", "_pk_ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key), pa.array([len(i) for i in ids], pa.int64()), pa.array([squeeze.compress(x.tobytes()) for x in ids], pa.binary())], ["_pk_id", "_pk_key", "_pk_n", "_pk_ids"])
             at = end
 
 
@@ -225,7 +324,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     bounds = []
     if parts > 1:
         shares = [i / parts for i in range(1, parts)]
-        bounds = sorted(set(coded.agg(F.percentile_approx("_pk_key", shares, max(10_000, 20 * parts))).first()[0]))
+        # A document counts once for each BOUND_IDS ids, so ranges have about equal numbers of ids.
+        weighed = coded.select(F.explode(F.array_repeat("_pk_key", F.ceil(F.col("_pk_n") / BOUND_IDS).cast("int"))).alias("_pk_key"))
+        bounds = sorted(set(weighed.agg(F.percentile_approx("_pk_key", shares, max(10_000, 20 * parts))).first()[0]))
     ranged = coded.mapInArrow(lambda it: _ranges(it, bounds), "_pk_id long, _pk_key long, _pk_n long, _pk_ids binary, _pk_range int")
     sums = dict(coded.select("_pk_key", "_pk_n").mapInArrow(lambda it: _ranges(it, bounds), "_pk_key long, _pk_n long, _pk_range int").groupBy("_pk_range").agg(F.sum("_pk_n")).collect())
     starts, at = {}, 0

@@ -310,6 +310,24 @@ def test_packing(spark, docs):
     assert all(covered[d, 0] == len(group) for d, group in ids.items())
 
 
+def test_word_memory(monkeypatch):
+    """Words whose hashes clash, and a memory that is full, change no ids."""
+    from tokenizers import Tokenizer
+
+    path = packing.vocabulary_path()
+    tokenizer = Tokenizer.from_file(path)
+    rnd = random.Random(2)
+    texts = [t or "" for t in odd_texts()] + [" ".join("".join(rnd.choice("abcé.,!") for _ in range(rnd.randrange(1, 5))) for _ in range(300)) for _ in range(6)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    real = packing.word_marks
+    for clash, cached in ((None, 10**6), (None, 20), (7, 10**6), (0, 10**6)):
+        monkeypatch.setattr(packing, "word_marks", real if clash is None else lambda words, m=clash: (real(words)[0] & np.uint64(m), real(words)[1]))
+        encoder = packing.WordEncoder(path, cached)
+        for half in (texts[::2], texts[1::2], texts[::2]):
+            got = encoder.encode(packing.pa.array(half))
+            assert [g.tolist() for g in got] == [want[texts.index(t)] for t in half]
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(4)] * 4, indexing="ij"), -1).reshape(-1, 4)
     index = packing.hilbert_index(grid, 2)
