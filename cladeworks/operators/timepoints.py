@@ -73,8 +73,14 @@ def match_statistics(ranked: DataFrame, t1: DataFrame, p: TimepointParams = Time
     )
 
 
+def similarity_histogram(best: DataFrame, bins: int = 20) -> DataFrame:
+    """Best matches by bin of their similarity from 0 to 1; what exceeds 1 is in the last."""
+    bin_ = F.least(F.floor(F.col("similarity_score") * bins), F.lit(bins - 1)).cast("int")
+    return best.groupBy(bin_.alias("bin")).agg(F.count("*").alias("clones"))
+
+
 def top_match_grid(ranked: DataFrame, clones: int = 30) -> DataFrame:
     """Similarities of the most similar best matches as a grid: a row a T1 clone, a column a T0 clone, 0 where there is none."""
     top = best_matches(ranked).orderBy(F.desc("similarity_score"), "T1_clone_id").limit(clones).select("T1_clone_id")
-    cells = ranked.join(F.broadcast(top), "T1_clone_id", "left_semi")
+    cells = ranked.join(F.broadcast(top), "T1_clone_id", "left_semi")  # ``clones`` rows
     return cells.groupBy("T1_clone_id").pivot("T0_clone_id").agg(F.first("similarity_score")).na.fill(0.0)

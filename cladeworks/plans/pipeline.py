@@ -1,4 +1,4 @@
-"""The twelve steps as one resumable plan.
+"""The steps as one resumable plan.
 
 Steps are functions from DataFrames to a DataFrame. What is expensive or final is written as Parquet under
 the run's folder, and a run that starts later reads it from there; everything else stays lazy.
@@ -14,8 +14,9 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeworks.config import CloneParams, EnrichmentParams, NoiseParams, TimepointParams
-from cladeworks.operators import clones, cluster, enrichment, molecules, noise, timepoints
+from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, CloneParams, DirectParams, EnrichmentParams, NoiseParams, TimepointParams
+from cladeworks.operators import clones, cluster, direct, enrichment, molecules, noise, timepoints
+from cladeworks.plans import reports
 from cladeworks.sources import tables
 
 
@@ -31,11 +32,14 @@ class PipelineParams:
     clones: CloneParams = field(default_factory=CloneParams)
     timepoints: TimepointParams = field(default_factory=TimepointParams)
     enrichment: EnrichmentParams = field(default_factory=EnrichmentParams)
+    direct: DirectParams = field(default_factory=DirectParams)
+    capture: str = CAPTURE_SEQUENCE
+    barcode_length: int = BARCODE_LENGTH
 
 
 @dataclass
 class Inputs:
-    """Tables that a run starts from; the last four only matter for steps 11 and 12."""
+    """Tables that a run starts from; the last ones only matter for steps 11 to 14."""
 
     read1: DataFrame | None = None
     read2: DataFrame | None = None
@@ -45,15 +49,16 @@ class Inputs:
     t0_filtered: DataFrame | None = None
     control_clones: DataFrame | None = None
     control_filtered: DataFrame | None = None
+    t0_counts: DataFrame | None = None
 
 
-STEPS = ["addresses", "filtered_addresses", "molecules", "collapsed", "recounted", "translated", "umi_counts", "corrections", "corrected", "clones", "matches", "enrichment"]
+STEPS = ["addresses", "filtered_addresses", "molecules", "collapsed", "recounted", "translated", "umi_counts", "corrections", "corrected", "clones", "matches", "enrichment", "direct_matches", "cross_clones"]
 #: Steps whose result is written and can be resumed from.
-WRITTEN = {"addresses", "corrections", "corrected", "clones", "matches", "enrichment"}
+WRITTEN = {"addresses", "corrections", "corrected", "clones", "matches", "enrichment", "direct_matches", "cross_clones"}
 
 
 class Pipeline:
-    """Runs steps ``start`` to ``stop`` (1 to 12) under ``folder``; results are attributes of ``tables``."""
+    """Runs steps ``start`` to ``stop`` (1 to 14) under ``folder``; results are attributes of ``tables``."""
 
     def __init__(self, spark: SparkSession, folder: str, inputs: Inputs, params: PipelineParams = PipelineParams()):
         self.spark, self.folder, self.inputs, self.params = spark, folder, inputs, params
@@ -63,7 +68,7 @@ class Pipeline:
     def _steps(self) -> dict[str, Callable[[], DataFrame]]:
         i, p, t = self.inputs, self.params, self.table
         return {
-            "addresses": lambda: molecules.extract_addresses(i.read1, i.read2, p.prefix),
+            "addresses": lambda: molecules.extract_addresses(i.read1, i.read2, p.prefix, p.capture, p.barcode_length),
             "filtered_addresses": lambda: molecules.filter_mismatches(t("addresses"), p.max_mismatches),
             "molecules": lambda: molecules.count_addresses(t("filtered_addresses")),
             "collapsed": lambda: molecules.collapse_barcodes(t("molecules"), p.technology),
@@ -75,6 +80,8 @@ class Pipeline:
             "clones": self._clones,
             "matches": self._matches,
             "enrichment": self._enrichment,
+            "direct_matches": lambda: direct.match_cells(i.t0_counts, t("corrected"), p.direct),
+            "cross_clones": self._cross_clones,
         }
 
     def table(self, name: str) -> DataFrame:
@@ -95,6 +102,12 @@ class Pipeline:
         groups = clones.clone_groups(prepared, p=self.params.clones, degrees=False).drop("degree")
         return groups.join(clones.clone_barcodes(prepared, groups), "cloneID", "left")
 
+    def _cross_clones(self) -> DataFrame:
+        """Clones of cells of this run and of the earlier timepoint together."""
+        p = self.params
+        old = clones.prepare_cells(noise.filter_noise(self.inputs.t0_counts, p.noise), "T0", p.clones.max_lineage_count)
+        return clones.clone_groups(old, clones.prepare_cells(self._filtered(), p.source, p.clones.max_lineage_count), p.clones)
+
     def _own(self) -> DataFrame:
         return timepoints.explode_clones(self.table("clones").select("cloneID", "clone_barcode").distinct())
 
@@ -111,9 +124,16 @@ class Pipeline:
         treated = enrichment.sizes_by_t0(timepoints.best_matches(self.table("matches")), enrichment.clone_sizes(self._own(), weigh(self._filtered()) if i.t0_filtered is not None else None))
         return enrichment.run_enrichment(enrichment.clone_sizes(t0, weigh(i.t0_filtered)), enrichment.sizes_by_t0(against, enrichment.clone_sizes(control, weigh(i.control_filtered))), treated, self.params.enrichment)
 
+    def _missing(self, steps: list[str]) -> list[str]:
+        """Inputs that the steps need and the run has not."""
+        needs = {"addresses": ["read1", "read2"], "translated": ["whitelist", "allowed"], "matches": ["t0_clones"], "enrichment": ["t0_clones", "control_clones"], "direct_matches": ["t0_counts"], "cross_clones": ["t0_counts"]}
+        return sorted({n for s in steps for n in needs.get(s, []) if getattr(self.inputs, n) is None})
+
     def run(self, start: int = 1, stop: int = 10) -> dict[str, DataFrame]:
         if not 1 <= start <= stop <= len(STEPS):
             raise ValueError(f"steps run from 1 to {len(STEPS)}")
+        if missing := self._missing(STEPS[start - 1 : stop]):
+            raise ValueError(f"missing inputs: {', '.join(missing)}")
         for name in STEPS[start - 1 : stop]:
             began = time.time()
             df = self._steps()[name]()
@@ -121,11 +141,11 @@ class Pipeline:
                 df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
                 df = self.spark.read.parquet(f"{self.folder}/{name}")
             self.tables[name] = df
-            self.log.append({"step": name, "seconds": round(time.time() - began, 3)})
+            self.log.append({"step": name, "written": name in WRITTEN, "seconds": round(time.time() - began, 3)})
         return self.tables
 
     def run_log(self) -> str:
-        return json.dumps({"parameters": asdict(self.params), "steps": self.log}, indent=2)
+        return json.dumps({"parameters": asdict(self.params), "steps": self.log, "duration_seconds": round(sum(s["seconds"] for s in self.log), 3)}, indent=2)
 
 
 def retention_report(pipeline: Pipeline) -> DataFrame:
@@ -137,8 +157,27 @@ def retention_report(pipeline: Pipeline) -> DataFrame:
     return df.withColumn("percent", retention(F.col("original"), F.col("rows")))
 
 
+#: The order of the final tables; a minus sign is for falling values.
+ORDERS = {
+    "umi_counts": ["-unique_umi_count", "cellbc", "lineage_barcode"], "corrections": ["cell_barcode", "canonical_sequence", "sequence_in_cluster"],
+    "corrected": ["-umi_count", "cell_barcode", "corrected_lineage_barcode"], "cross_clones": ["cloneID", "source_condition", "cell_barcode"],
+}
+
+
 def save(pipeline: Pipeline, folder: str) -> None:
-    """Tab-separated finals of a run."""
-    for name in ("corrected", "clones", "matches", "enrichment"):
-        if name in pipeline.tables:
-            tables.write_tsv(pipeline.tables[name], f"{folder}/{name}", header=True)
+    """Tab-separated finals of a run, in order, with the reports of matching and enrichment."""
+    got, p = pipeline.tables, pipeline.params
+    for name, order in ORDERS.items():
+        if name in got:
+            columns = [F.desc(c[1:]) if c.startswith("-") else F.col(c) for c in order]
+            tables.write_tsv(got[name].orderBy(*columns), f"{folder}/{name}.tsv", header=True)
+    if "clones" in got:
+        rows = got["clones"]
+        tables.write_tsv(rows.groupBy("cloneID", "clone_barcode").agg(F.count("*").alias("count")).orderBy("cloneID"), f"{folder}/cloneID_cloneBarcode.tsv", header=True)
+        tables.write_tsv(clones.clone_cells(rows).orderBy("cloneID", "cell_barcode"), f"{folder}/cloneID_cellBarcode.tsv", header=True)
+    if "matches" in got:
+        reports.write_matching(pipeline.spark, got["matches"], pipeline._own(), p.timepoints, folder)
+    if "enrichment" in got:
+        reports.write_enrichment(pipeline.spark, got["enrichment"], p.enrichment, folder)
+    if "direct_matches" in got:
+        tables.write_matches(got["direct_matches"], f"{folder}/direct_matches.csv")

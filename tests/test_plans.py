@@ -6,7 +6,8 @@ import random
 
 import pytest
 
-from cladeworks.config import CAPTURE_SEQUENCE, NoiseParams
+from cladeworks.__main__ import main
+from cladeworks.config import CAPTURE_SEQUENCE, DirectParams, NoiseParams
 from cladeworks.operators import clones
 from cladeworks.plans.pipeline import STEPS, Inputs, Pipeline, PipelineParams, retention_report
 from cladeworks.sources import tables
@@ -62,6 +63,38 @@ def test_pipeline_and_resume(spark, reads):
     assert {r.Status for r in last["enrichment"].collect()} == {"Neutral"}
     with pytest.raises(ValueError):
         run.run(3, 2)
+    with pytest.raises(ValueError, match="t0_counts"):
+        run.run(13, 13)
+    both.t0_counts = spark.createDataFrame(out["corrected"].collect(), out["corrected"].schema)
+    more = Pipeline(spark, str(folder / "out"), both, PipelineParams(prefix="I:R:F:", noise=p.noise, direct=DirectParams(min_matched_barcodes=1))).run(13, 14)
+    assert {r.jaccard_similarity for r in more["direct_matches"].where("match_rank = 1").collect()} == {1.0}
+    assert sorted(r.clone_size for r in more["cross_clones"].collect()) == [4] * 8
+
+
+def rows_of(spark, path, sep="\t"):
+    return spark.read.option("sep", sep).option("header", True).csv(str(path)).collect()
+
+
+def test_command_line(spark, reads):
+    folder, cells = reads
+    (folder / "w.tsv").write_text("".join(f"{c[::-1]}\t{c}\n" for c in cells))
+    (folder / "a.tsv").write_text("".join(f"{c[::-1]}\n" for c in cells))
+    at = lambda name: str(folder / name)
+    noise = ["--min-group-size", "1", "--z-threshold", "9"]
+    main(["pipeline", "--fastq1", at("r1.fastq.gz"), "--fastq2", at("r2.fastq.gz"), "--prefix", "I:R:F:", "--technology", "10xv3", "--whitelist", at("w.tsv"), "--allowed", at("a.tsv"), "--out", at("run"), "--min-reads", "0", "--max-distance", "1", *noise], spark)
+    counts = [int(r.umi_count) for r in rows_of(spark, folder / "run/corrected.tsv")]
+    assert counts == sorted(counts, reverse=True) and len(rows_of(spark, folder / "run/cloneID_cloneBarcode.tsv")) == 2 and len(rows_of(spark, folder / "run/retention.tsv")) == 3
+    main(["clones", "--counts", at("run/corrected.tsv"), "--all-pairs", "--out", at("c"), *noise], spark)
+    assert len(rows_of(spark, folder / "c/clone_pairs.tsv")) == 6 and any("components" in r.value for r in spark.read.text(at("c/clone_statistics.txt")).collect())
+    own = ["--t0-clones", at("c/cloneID_cloneBarcode.tsv")]
+    main(["match-timepoints", *own, "--t1-clones", at("c/cloneID_cloneBarcode.tsv"), "--out", at("m")], spark)
+    assert {r.similarity_score for r in rows_of(spark, folder / "m/best_matches.txt")} == {"1.0"}
+    main(["direct", "--t0", at("run/corrected.tsv"), "--condition", f"Ctrl={at('run/corrected.tsv')}", "--out", at("d")], spark)
+    assert {r.jaccard_similarity for r in rows_of(spark, folder / "d/T0_to_Ctrl_direct_matches.csv", ",") if r.match_rank == "1"} == {"1.000000"}
+    main(["enrich", *own, "--control-clones", at("c/cloneID_cloneBarcode.tsv"), "--treated-clones", at("c/cloneID_cloneBarcode.tsv"), "--treated-matches", at("m/best_matches.txt"), "--out", at("e")], spark)
+    assert len(rows_of(spark, folder / "e/differential_enrichment_results.txt")) == 2
+    with pytest.raises(SystemExit):
+        main(["match-timepoints", "--t0-clones", "x", "--t1-clones", "y", "--out", "z", "--similarity-threshold", "2"], spark)
 
 
 def test_files(spark, tmp_path):
