@@ -36,7 +36,9 @@ BUCKETS, DIMS, BITS, SALT_BITS = 256, 4, 10, 22
 RANGE_IDS, MAX_RANGES = 2_000_000, 20_000
 BOUND_IDS = 512
 #: Bytes of text encoded at once, unless one text has more.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
+#: New words given to the tokenizer at once; its results are large.
+LEARNED = 4096
 #: Words whose ids a worker keeps at once.
 CACHED_WORDS = 1_000_000
 
@@ -161,8 +163,10 @@ class WordEncoder:
             for i, s in stems.items():
                 out[i] = ids[s] + ids[words[i][len(s) :]]
         rest = [i for i in range(len(words)) if i not in stems]
-        for i, found in zip(rest, self._tokens([words[i] for i in rest]) if rest else [], strict=True):
-            out[i] = found
+        for k in range(0, len(rest), LEARNED):
+            some = rest[k : k + LEARNED]
+            for i, found in zip(some, self._tokens([words[i] for i in some]), strict=True):
+                out[i] = found
         return self._store(out)
 
     def _places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -202,7 +206,9 @@ class WordEncoder:
         counts = size[at]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
-        stream = self.pool[np.repeat(first[at] - (ends - counts), counts) + np.arange(total)]
+        place = np.arange(total)
+        place += np.repeat(first[at] - (ends - counts), counts)
+        stream = self.pool[place]
         bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         out = [stream[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for i in np.flatnonzero(whole).tolist():
