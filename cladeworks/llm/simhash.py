@@ -1,10 +1,10 @@
 """SimHash near-duplicates through a byte-position inverted index with count filtering.
 
 Two 64-bit fingerprints at no more than 3 differing bits agree in at least 5 of their 8 bytes. The index
-has a posting for each choice of 5 byte positions and their values. Within a posting, pairs tally their
-shared positional bytes, those that reach 5 are verified bit by bit. A posting only tells its members
-apart in 3 free bytes; its links are given as a spanning forest, so a dense posting costs rows in
-proportion to its members and still loses no connection.
+has a posting for each of 14 choices of 4 byte positions and their values; among any 5 positions lies one
+of the choices, so linked fingerprints meet. Within a posting, pairs tally their shared positional bytes;
+those that reach the guaranteed 5 are verified bit by bit. A posting's links are given as a spanning
+forest, so a dense one costs rows in proportion to its members and still loses no connection.
 
 Defined results: null and empty texts have no words and fingerprint zero, which links like any other;
 one or two words are one shingle; repeated rows share a fingerprint and a component; a repeated doc_id with
@@ -32,7 +32,11 @@ MAX_BITS = 3
 BYTES = 8
 #: Bytes that two linked fingerprints share at least.
 SHARED_BYTES = BYTES - MAX_BITS
-POSITIONS = list(combinations(range(BYTES), SHARED_BYTES))
+#: The least number of choices of 4 positions that any 5 of the 8 hold one of.
+POSITIONS = [
+    (0, 1, 2, 4), (0, 1, 3, 5), (0, 1, 6, 7), (0, 2, 3, 6), (0, 2, 5, 7), (0, 3, 4, 7), (0, 4, 5, 6),
+    (1, 2, 3, 7), (1, 2, 5, 6), (1, 3, 4, 6), (1, 4, 5, 7), (2, 3, 4, 5), (2, 4, 6, 7), (3, 5, 6, 7),
+]
 MASKS = np.array([sum(0xFF << (8 * p) for p in chosen) for chosen in POSITIONS], dtype=np.uint64)
 #: Postings up to this size compare members with each other; beyond, each member looks its neighbours up.
 BLOCK = 4096
@@ -67,6 +71,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(_fingerprints, rows.drop("_sh_text").schema.add("_sh_fp", "long"))
 
 
+def shared_bytes(apart: np.ndarray) -> np.ndarray:
+    """Positional bytes that are equal, from the differing bits of pairs."""
+    return (np.ascontiguousarray(apart).view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
+
+
+def _linked(apart: np.ndarray) -> np.ndarray:
+    """Count filter, then the bits of the pairs that it leaves."""
+    near = shared_bytes(apart) >= SHARED_BYTES
+    near[near] = np.bitwise_count(apart[near]) <= MAX_BITS
+    return near
+
+
 def spanning_links(members: np.ndarray, chosen: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """A spanning forest of the links among the distinct fingerprints of one posting."""
     if len(members) > BLOCK:
@@ -76,9 +92,7 @@ def spanning_links(members: np.ndarray, chosen: int) -> tuple[list[np.ndarray],
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            apart = left ^ at
-            tally = sum(((apart >> np.uint64(8 * p)) & np.uint64(0xFF)) == 0 for p in range(BYTES))
-            near = (tally >= SHARED_BYTES) & (np.bitwise_count(apart) <= MAX_BITS)
+            near = _linked(left ^ at)
             if near.any():
                 found = left[near]
                 tails.append(np.full(len(found), at))
@@ -119,7 +133,7 @@ def _posting_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (c[1:] != c[:-1])])
         sizes = np.diff(np.r_[starts, len(c)])
         twos = starts[sizes == 2]
-        near = np.bitwise_count(f[twos] ^ f[twos + 1]) <= MAX_BITS
+        near = _linked(f[twos] ^ f[twos + 1])
         tails, heads = [f[twos][near]], [f[twos + 1][near]]
         for at, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
             t, h = spanning_links(f[at : at + n], int(c[at]))

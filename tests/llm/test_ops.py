@@ -229,10 +229,14 @@ def test_simhash_links(spark):
     assert [find(m) for m in marks] == want
 
 
+def test_simhash_choices_meet():
+    assert all(any(set(four) <= set(five) for four in simhash.POSITIONS) for five in itertools.combinations(range(8), 5))
+
+
 def test_simhash_large_posting():
     rnd = np.random.default_rng(0)
     members = np.unique(rnd.integers(0, 1 << 24, 6000, dtype=np.uint64))
-    chosen = simhash.POSITIONS.index((3, 4, 5, 6, 7))
+    chosen = simhash.POSITIONS.index((3, 5, 6, 7))
     sizes = [sum(map(len, way(members, chosen)[0])) for way in (simhash._spanning_by_lookup, _scan)]
     assert sizes[0] == sizes[1]
 
