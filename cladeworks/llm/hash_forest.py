@@ -14,7 +14,8 @@ recall of 0.9 needs that many, while close clusters are found within the first p
 Defined results: vectors that are null, empty, zero, or hold nulls or non-finite numbers take no part,
 as queries or as candidates; so do rows with a null id; rows with the query's own id are no candidates;
 vectors of another length than the query are not compared; ties go to the smaller id; with fewer than k
-candidates all are returned; an empty table gives an empty result.
+candidates all are returned; an empty table gives an empty result; only id and vector are read, so other
+columns cannot clash.
 """
 
 from __future__ import annotations

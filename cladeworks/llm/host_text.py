@@ -21,7 +21,8 @@ are text of their page.
 Defined results: null and empty html give an empty text; character references are decoded; white space
 (Unicode's) inside a block becomes one space; pages of one host that are equal to the last byte count as
 one page for repetition; a null or odd url has its own empty host; unclosed elements end with their
-parent; texts of any length are kept whole; an empty table gives an empty result.
+parent; texts of any length are kept whole; an empty table gives an empty result; a
+block covered for exactly half counts as boilerplate; input columns of the prefix ``_ht_`` are replaced.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ ranges and inside each range finds where the source's budget is spent. Whole epo
 Defined results: a null text has size 0; a null source is a source of its own and comes last; sources
 without words get target 0; rows of equal source, key and size (repeats of a document) share the cut
 evenly, rounded down; an empty table gives an empty result. Helper columns carry the prefix ``_mx_``,
-so other columns of the input pass through untouched.
+so other columns of the input pass through untouched; ``mixed_documents`` takes columns of any name. Texts of any
+length are counted whole.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cladeworks.llm.columns import apart
 from cladeworks.runtime import materialize, read_table, sized
 
 SEED = "mix-1"
@@ -107,6 +109,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The document at the cut comes with its first words only. Documents without words stay once, as
     they cost nothing.
     """
+    return apart(docs, _mixed, id_col=id_col, text_col=text_col, source_col=source_col, chars_col=chars_col)
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, chars_col: str) -> DataFrame:
     taken = mix(docs, id_col, text_col, source_col)
     first = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), F.col("_mx_part").cast("string"), F.lit("}+"))
     head = F.call_function("regexp_extract", F.col(text_col), first, F.lit(0))

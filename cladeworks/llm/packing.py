@@ -8,7 +8,8 @@ ranges before it end. Only range boundaries and sums, at most ``MAX_RANGES`` of
 
 Defined results: null and empty texts give the closing id alone; equal keys are ordered by a hash of the
 id, then the id, then the content, so repeated rows lie side by side; a null doc_id sorts first; a text
-of any length is encoded whole; an empty table gives no pieces.
+of any length is encoded whole; an empty table gives no pieces; only id and text are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations

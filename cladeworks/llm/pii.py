@@ -13,7 +13,8 @@ capitalised name after a title or cue) and ``secret`` (a quoted credential). Pos
 the end exclusive.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results; whole texts are
-scanned whatever their length; an empty table gives an empty result; helper columns start with ``_pi_``.
+scanned whatever their length; an empty table gives an empty result; helper columns start with ``_pi_``, and
+``redact`` takes columns of any name.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks.llm.columns import apart
 from cladeworks.runtime import materialize, read_table
 
 #: Base kinds, as listed in the contract. Patterns start only where a leftmost match can start, and are
@@ -218,6 +220,10 @@ def _label(s: Column) -> Column:
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with each accepted span replaced by ``[KIND]``; where spans overlap, the first starts the cut."""
+    return apart(docs, _redacted, text_col=text_col, chars_col=chars_col)
+
+
+def _redacted(docs: DataFrame, text_col: str, chars_col: str) -> DataFrame:
     proposed = materialize(proposed_spans(docs, text_col))  # with the texts, so that patterns run once
     found = accepted_spans(proposed, fit(proposed))
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])

@@ -20,4 +20,5 @@ QUERIES = {
 SQL = {
     "op2_source_mix": mixing.SQL,
     "op4_warc_dictionary": warc.SQL,
+    "op6_suffix_dedup": suffix_dedup.SQL,
 }

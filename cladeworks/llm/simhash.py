@@ -9,7 +9,8 @@ forest, so a dense one costs rows in proportion to its members and still loses n
 Defined results: null and empty texts have no words and fingerprint zero, which links like any other;
 one or two words are one shingle; repeated rows share a fingerprint and a component; a repeated doc_id with
 different texts is a document for each text, in the component of that text; a null doc_id is
-kept and does not name a component unless no other id is there; an empty table gives an empty result.
+kept and does not name a component unless no other id is there; an empty table gives an empty result; texts of any
+length are hashed whole; only id and text are read, and ``deduplicate`` takes columns of any name.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks.llm.columns import apart
 from cladeworks.operators.components import connected_components
 from cladeworks.runtime import materialize, read_table, sized
 
@@ -188,6 +190,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     It is the row of the smallest id; where an id is there more than once, of those the least by text hash
     and then row hash. The same id may stay for several components.
     """
+    return apart(docs, _deduplicated, id_col=id_col, text_col=text_col)
+
+
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     values = [F.col(c) for c in docs.columns]
     row = F.struct(F.xxhash64(F.col(text_col)).alias("text"), F.xxhash64(*values, *[c.isNull() for c in values]).alias("row"))
     classes = materialize(_components(materialize(fingerprints(docs, id_col, text_col, row.alias("_sh_row")))))

@@ -18,7 +18,8 @@ Defined results: null and empty texts have no bytes, nothing removed, and the ha
 texts under ``WINDOW`` bytes stay whole; of equal windows all are removed, whichever came first; repeated
 rows are equal texts, so from ``WINDOW`` bytes on they are removed whole; spans that touch are one span;
 copies of a text have its passages; a passage
-that only its own document repeats is none; an empty table gives an empty result; other columns pass through ``remove_repeats``.
+that only its own document repeats is none; texts of any length are read in chunks that
+overlap; an empty table gives an empty result; input columns named like new ones are replaced, others pass through ``remove_repeats``.
 """
 
 from __future__ import annotations
@@ -427,3 +428,24 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", with_text: bool = Tr
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
+
+
+def _runs(places: str, reach: int, name: str) -> str:
+    """Maximal runs, as ``(r, a, b)``, of windows of ``reach`` that start at ``places(r, i)``."""
+    turn = f"coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + {reach}, TRUE)::INT"
+    return f"{name} AS (SELECT r, min(i) AS a, max(i) + {reach} AS b FROM (SELECT r, i, sum(t) OVER (PARTITION BY r ORDER BY i) AS k FROM (SELECT r, i, {turn} AS t FROM {places})) GROUP BY r, k)"
+
+
+#: Every window of every text, told apart by hash; for tables of a few million bytes.
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT r, i, hash(array_slice(t, i + 1, i + {WINDOW})) AS h FROM (SELECT r, t, unnest(range(octet_length(t) - {WINDOW - 1})) AS i FROM d)),
+again AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)), {_runs("again", WINDOW, "s")},
+p AS (SELECT r, i, hash(array_to_string(ws[i + 1 : i + {PASSAGE}], ' ')) AS h FROM (SELECT r, ws, unnest(range(len(ws) - {PASSAGE - 1})) AS i FROM d)),
+also AS (SELECT r, i FROM p WHERE h IN (SELECT h FROM p GROUP BY h HAVING min(r) < max(r))), {_runs("also", PASSAGE, "q")},
+cut AS (SELECT r, count(*) AS n, sum(b - a)::BIGINT AS removed, max(b) AS stop, string_agg(hex(array_slice(t, before + 1, a)), '' ORDER BY a) AS head FROM (SELECT r, a, b, t, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM s JOIN d USING (r)) GROUP BY r),
+told AS (SELECT r, count(*) AS n, sum(b - a)::BIGINT AS words FROM q GROUP BY r)
+SELECT doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(cut.n, 0)::BIGINT AS n_spans,
+  sha256(CASE WHEN removed IS NULL THEN t ELSE unhex(head || hex(array_slice(t, stop + 1, octet_length(t)))) END) AS kept_sha256, coalesce(told.n, 0)::BIGINT AS n_passages, coalesce(words, 0)::BIGINT AS passage_words
+FROM d LEFT JOIN cut USING (r) LEFT JOIN told USING (r)
+"""

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks.llm.columns import apart
 from cladeworks.runtime import materialize, read_table
 
 SAMPLE_DOCS = 3_000
@@ -150,9 +151,11 @@ def train(texts: list[Counter], toxic: np.ndarray) -> OrdinalModel:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text, label in zip(batch.column(0), batch.column(1), strict=True):
-            counts = Counter(words(text.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([list(counts)]), pa.array([list(counts.values())], pa.list_(pa.int64())), pa.array([label.as_py()], pa.int32())], ["words", "counts", "toxic"])
+        for at in range(0, batch.num_rows, 128):
+            part = batch.slice(at, 128)
+            counts = [Counter(words(text.as_py())) for text in part.column(0)]
+            lists = [pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*lists, *part.columns[1:]], ["words", "counts", "toxic", "by_id", "by_text"])
 
 
 def sample_ids(labels: DataFrame, rows: int = SAMPLE_DOCS) -> DataFrame:
@@ -163,15 +166,16 @@ def sample_ids(labels: DataFrame, rows: int = SAMPLE_DOCS) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel:
     chosen = materialize(sample_ids(labels)).withColumnRenamed("doc_id", "_tx_id")
     rows = docs.select(F.col(id_col).alias("_tx_id"), F.col(text_col).alias("_tx_text")).join(F.broadcast(chosen), "_tx_id")
-    counts = rows.select("_tx_text", "_tx_label").mapInArrow(_word_counts, "words array<string>, counts array<long>, toxic int")
-    # Repeats of an id can bring more rows than ids; the bound holds for rows too.
-    table = counts.limit(SAMPLE_DOCS).toArrow()
+    rows = rows.select("_tx_text", "_tx_label", F.xxhash64("_tx_id"), F.xxhash64("_tx_text"))
+    counts = rows.mapInArrow(_word_counts, "words array<string>, counts array<long>, toxic int, by_id long, by_text long")
+    # Repeats of an id can bring more rows than ids; the bound holds for rows too, in an order that reruns keep.
+    table = counts.orderBy("by_id", "by_text", "toxic").limit(SAMPLE_DOCS).toArrow()
     docs_words = [Counter(dict(zip(w, n, strict=True))) for w, n in zip(table["words"].to_pylist(), table["counts"].to_pylist(), strict=True)]
     return train(docs_words, np.array(table["toxic"].to_pylist(), dtype=bool))
 
 
 def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_tx_severity`` (expected grade), ``_tx_chance`` (of any toxicity) and ``_tx_grade`` (likeliest)."""
+    """``docs`` with ``_tx_severity`` (expected grade), ``_tx_chance`` (of any toxicity) and ``_tx_grade`` (likeliest); columns of the prefix ``_tx_`` are replaced."""
     fields = [f for f in docs.schema.fields if not f.name.startswith("_tx_")]
     names = [f.name for f in fields]
 
@@ -198,7 +202,8 @@ def score(docs: DataFrame, model: OrdinalModel, text_col: str = "text") -> DataF
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without those that are flagged."""
-    return score(docs, fit(docs, labels, text_col=text_col), text_col).where(F.col("_tx_chance") < THRESHOLD).select(*docs.columns)
+    model = fit(docs, labels, text_col=text_col)
+    return apart(docs, lambda rows, text_col: score(rows, model, text_col).where(F.col("_tx_chance") < THRESHOLD).select(*rows.columns), text_col=text_col)
 
 
 def op9_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,6 +245,25 @@ def test_simhash_repeated_ids(spark):
     assert len(seen) == 1
 
 
+def test_columns_named_like_the_operators_own(spark):
+    """What returns the columns of its input takes any names."""
+    names = ["doc_id", "text", "source", "n_chars", "_tx_chance", "_sh_row", "_sh_fp", "_pi_spans", "_pi_text", "_mx_size", "_mx_key", "_mx_source", "c0"]
+    prose = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, f"{prose} mail a{i}@b.com" if i % 2 else f"other{i} " * 60, "s", 9, 0.5, 1, 2, [3], "t", 4, 5, "u", 6) for i in range(8)]
+    df = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    for out in (toxicity.reject_toxic(df, labels), simhash.deduplicate(df), pii.redact(df), mixing.mixed_documents(df)):
+        assert out.columns == names and out.count() > 0
+        assert {tuple(r)[4:] for r in out.select(*names[:7], *names[8:]).collect()} == {r[4:7] + r[8:] for r in rows}
+
+
+def test_suffix_dedup_against_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    got, want = suffix_dedup.op6_suffix_dedup(spark, DATA), con.sql(suffix_dedup.SQL)
+    assert bag(got.collect()) == bag(tuple(r[want.columns.index(c)] for c in got.columns) for r in want.fetchall())
+
+
 def test_simhash_links(spark):
     rnd = random.Random(9)
     base = [rnd.getrandbits(64) for _ in range(6)]
