@@ -49,6 +49,8 @@ def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams())
     owners = lambda df, b, c: df.select(F.explode("barcodes").alias(b), F.col("cell").alias(c), F.size("barcodes").alias(f"{c}_n"))
     of_new, of_old = owners(new, "b1", "t1_cell"), owners(old, "b2", "t0_cell")
     met = _candidates(near, of_new, of_old, p).join(of_new.drop("t1_cell_n"), "t1_cell").join(near, "b1").join(of_old.drop("t0_cell_n"), ["t0_cell", "b2"])
+    # Few bytes but much work: partitions stay as many as configured instead of being joined by size.
+    met = met.repartition(int(t0.sparkSession.conf.get("spark.sql.shuffle.partitions")), "t1_cell", "t0_cell")
     pairs = met.groupBy("t1_cell", "t0_cell").agg(F.collect_list(F.struct("distance", F.col("b1").alias("t1"), F.col("b2").alias("t0"))).alias("edges"))
     pairs = pairs.withColumn("taken", greedy_one_to_one(F.col("edges"))).withColumn("matched", F.size("taken")).where(F.col("matched") >= p.min_matched_barcodes)
     side = lambda df, n: df.select(F.col("cell").alias(f"{n}_cell"), F.col("barcodes").alias(f"{n}_barcodes"), F.col("umis").alias(f"{n}_umis"), F.col("total").alias(f"{n}_total"))
