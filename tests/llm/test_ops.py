@@ -628,18 +628,65 @@ def test_forest(spark, tmp_path):
     assert got[1200] == [(1250, pytest.approx(1.0))] and not {1000, 1050, 1100, 1150, 1300} & set(got)
 
 
-def test_pipeline_stages(spark, docs):
+def test_pipeline_against_brute_force(spark, docs, tmp_path):
+    """Each stage on what the stage before it wrote."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
-    folder, rows = docs
-    docs_df = spark.read.parquet(f"{folder}/documents.parquet")
+    folder, _ = docs
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["toxicity", "simhash_dedup", "pii", "source_mix", "packing"]
-    kept = stages["simhash_dedup"](spark, docs_df, folder)
-    marks = [fingerprint(t) for _, t, _ in rows]
-    assert len({r.doc_id for r in kept.collect() if r.doc_id is not None}) == len(set(components(marks, [d for d, _, _ in rows])) - {None})
-    assert kept.columns == docs_df.columns
-    clean = stages["pii"](spark, docs_df, folder)
-    assert clean.count() == len(rows) and clean.columns == docs_df.columns
-    pieces = corpus_pipeline.run(spark, folder)
-    assert pieces.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(pieces.columns)
+    read = lambda df: [(r.doc_id, r.text, r.source) for r in df.collect()]
+
+    def through(name, df):
+        stages[name](spark, df, folder).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        assert name == "packing" or out.columns == df.columns
+        return out
+
+    df = spark.read.parquet(f"{folder}/documents.parquet")
+    before = read(df)
+    model = toxicity.fit(df, spark.read.parquet(f"{folder}/labels.parquet"))
+    chance = lambda text: model.exceed(model.matrix([text], {}))[0, 0] if model.vocabulary else 0.0
+    df = through("toxicity", df)
+    assert bag(read(df)) == bag(r for r in before if chance(r[1]) < toxicity.THRESHOLD) and df.count() > 0
+
+    before = read(df)
+    df = through("simhash_dedup", df)
+    marks = [fingerprint(t) for _, t, _ in before]
+    parts, ids = components(marks, [d for d, _, _ in before]), [d for d, _, _ in before]
+    after = read(df)
+    assert sorted(d for d, _, _ in after if d is not None) == sorted(set(parts) - {None}) and bag(after) <= bag(before)
+    assert sum(d is None for d, _, _ in after) == sum(d is None for d in ids)
+
+    before = read(df)
+    df = through("pii", df)
+    after = read(df)
+    base = re.compile("|".join(f"(?:{p})" for p in (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", r"(?<![0-9])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9])")))
+    same = Counter((d, s) for d, _, s in before)
+    assert same == Counter((d, s) for d, _, s in after) and not any(base.search(t or "") for _, t, _ in after)
+    plain = {(d, t) for d, t, _ in before if t and not re.search(r"[0-9@\[(=]|\b(?:Mr|Ms|Mrs|Dr|Herr|Frau|Mme|Sr|Sra)\b", t)}
+    assert plain <= {(d, t) for d, t, _ in after}
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/pii/*.parquet'")
+    taken, empty = Counter(), Counter()
+    for doc, size, *_, n in con.sql(f"SELECT doc_id, size, taken FROM ({mixing.SQL})").fetchall():
+        taken[doc] += n
+        empty[doc] += size == 0
+    df = through("source_mix", df)
+    got, bare = Counter(), Counter()
+    for doc, text, _ in read(df):
+        n = len(WORDS.findall(text or ""))
+        got[doc] += n
+        bare[doc] += n == 0
+    assert +got == +taken and +bare == +empty
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    ids = defaultdict(list)
+    for doc, text, _ in read(df):
+        ids[doc].append(tokenizer.encode(text or "", add_special_tokens=False).ids + [1])
+    pieces = through("packing", df).collect()
+    assert sum(p.length for p in pieces) == sum(len(x) for group in ids.values() for x in group)
+    assert all(any(len(x) == p.doc_tokens and zlib.crc32(np.array(x[p.start : p.start + p.length], "<u4").tobytes()) == p.ids_crc32 for x in ids[p.doc_id]) for p in pieces)
+    assert corpus_pipeline.run(spark, folder).agg(F.sum("length")).first()[0] == sum(p.length for p in pieces)
