@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, toxicity, warc
+from cladeworks.llm import filter_audit, hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
@@ -15,10 +15,12 @@ QUERIES = {
     "op7_progressive_jpeg": progressive_jpeg.op7_progressive_jpeg,
     "op8_host_text": host_text.op8_host_text,
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 
 SQL = {
     "op2_source_mix": mixing.SQL,
     "op4_warc_dictionary": warc.SQL,
     "op6_suffix_dedup": suffix_dedup.SQL,
+    "op11_filter_audit": filter_audit.SQL,
 }
