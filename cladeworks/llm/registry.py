@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import filter_audit, hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, toxicity, warc
+from cladeworks.llm import filter_audit, hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, token_alignment, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_host_text": host_text.op8_host_text,
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
 }
 
 SQL = {

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cladeworks.llm import hash_forest, host_text, induced_sorting, mixing, packing, pii, progressive_jpeg, registry, simhash, suffix_dedup, toxicity, warc
+from cladeworks.llm import filter_audit, hash_forest, host_text, induced_sorting, mixing, packing, pii, progressive_jpeg, registry, simhash, suffix_dedup, token_alignment, toxicity, warc
 
 DATA = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -690,3 +690,136 @@ def test_pipeline_against_brute_force(spark, docs, tmp_path):
     assert sum(p.length for p in pieces) == sum(len(x) for group in ids.values() for x in group)
     assert all(any(len(x) == p.doc_tokens and zlib.crc32(np.array(x[p.start : p.start + p.length], "<u4").tobytes()) == p.ids_crc32 for x in ids[p.doc_id]) for p in pieces)
     assert corpus_pipeline.run(spark, folder).agg(F.sum("length")).first()[0] == sum(p.length for p in pieces)
+
+
+def masks_by_hand(rows, labels):
+    """(part, failing letters, good, toxic) of each row."""
+    first = {}
+    for doc, text, _ in rows:
+        if doc is not None:
+            first[text or ""] = min(doc, first.get(text or "", doc))
+    good, toxic = ({i for i, *v in labels if i is not None and v[k] == 1} for k in (0, 1))
+    out = []
+    for doc, text, source in rows:
+        text = text or ""
+        found = WORDS.findall(text)
+        fails = "A" * (len(found) < 50) + "B" * (100 * len(set(found)) < 65 * len(found)) + "C" * (100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text)) + "D" * bool(re.search("[#$%&*|]", text))
+        fails += "E" * (doc is not None and doc > first.get(text, doc))
+        out.append((source or "", fails, doc in good, doc in toxic))
+    return out
+
+
+def audit_by_hand(rows, labels):
+    found = masks_by_hand(rows, labels)
+    want = {}
+    for part in {m[0] for m in found}:
+        mine = [m[1:] for m in found if m[0] == part]
+        removed_by = Counter()
+        for order in map("".join, itertools.permutations("ABCDE")):
+            for step, letter in enumerate(order, 1):
+                alive = [m for m in mine if not set(m[0]) & set(order[: step - 1])]
+                gone = [m for m in alive if letter in m[0]]
+                failing = sum(letter in m[0] for m in mine)
+                removed_by[letter] += len(gone)
+                want[part, order, step] = [len(alive) - len(gone), len(gone), failing - len(gone), sum(m[0] == letter for m in mine), sum(m[1] for m in gone), sum(m[2] for m in gone)]
+        for (p, order, step), value in want.items():
+            if p == part:
+                value.append(removed_by[order[step - 1]])
+    return want
+
+
+def test_filter_audit(spark, docs):
+    folder, rows = docs
+    labels = [tuple(r) for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    got = filter_audit.op11_filter_audit(spark, folder).collect()
+    assert {(r[0], r[1], r[2]): list(r)[3:] for r in got} == audit_by_hand(rows, labels) and len(got) == 600 * len({r[0] for r in got})
+    assert any(s is None for *_, s in rows), "a null part is the empty string"
+
+
+def test_filter_audit_copies_and_parts(spark):
+    """Copies in several parts, repeated ids, rows without an id, a part named like the null one."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, long, f"p{i % 3}") for i in range(5, 40)] + [(5, long, "p2"), (5, long, "p1"), (None, long, "p0"), (None, long, "p0"), (3, None, None), (4, "", ""), (9, "x | y", None), (9, "other", None)]
+    labels = [(5, 1, 0), (5, 0, 1), (6, None, 1), (None, 1, 1), (4, 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"part": F.lit("x"), "n": F.lit(1), "id": F.lit(7), "copy": F.lit(0), "good": F.lit(1)})
+    got = filter_audit.outcomes(filter_audit.mask_histograms(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))).collect()
+    assert {(r[0], r[1], r[2]): list(r)[3:] for r in got} == audit_by_hand(rows, labels)
+
+
+def test_incidence_matrices_are_whole():
+    m = filter_audit.incidence()
+    assert all(x.shape == (32, 600) and x.dtype.kind == "i" for x in m.values())
+    assert (m["removed"] + m["redundant"] == np.repeat([[mask >> "ABCDE".index(x) & 1 for o in filter_audit.ORDERS for x in o] for mask in range(32)], 1, axis=0)).all()
+
+
+def alignment_by_hand(rows):
+    """Rows of op12 from token spans, compared one by one."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a_model.encode_special_tokens = True
+    b_model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    alphabet = token_alignment.byte_level_alphabet()
+    names = {i: t for t, i in a_model.get_vocab().items()}
+
+    def spans(tokens):
+        out, at = [], 0
+        for i, piece in tokens:
+            out.append((at, at + len(piece), i))
+            at += len(piece)
+        return out
+
+    linked, parts = Counter(), []
+    for doc, text, _ in rows:
+        a = [(i, bytes(alphabet[c] for c in names[i])) for i in a_model.encode(f" {text}", add_special_tokens=False).ids] if text else []
+        b = [(i, bytes([int(p[3:5], 16)]) if re.fullmatch("<0x..>", p) and b_model.is_byte(i) else p.replace("\u2581", " ").encode()) for i in b_model.encode(text) for p in [b_model.id_to_piece(i)]] if text else []
+        if not text or any(b"".join(x[1] for x in side) != f" {text}".encode() for side in (a, b)):
+            a = b = []
+        a, b = spans(a), spans(b)
+        links = []
+        first = 0
+        for s, e, i in a:
+            while first < len(b) and b[first][1] <= s:
+                first += 1
+            k = first
+            while k < len(b) and b[k][0] < e:
+                links.append((i, b[k][2]))
+                k += 1
+        linked.update(links)
+        stops = sorted({e for _, e, _ in a} & {e for _, e, _ in b})
+        groups, lo = [], 0
+        for stop in stops:
+            groups.append("|".join(",".join(str(i) for _, e, i in side if lo < e <= stop) for side in (a, b)))
+            lo = stop
+        parts.append((doc, len(a), len(b), len(groups), links, ";".join(groups)))
+    top = Counter()
+    for (_, b), n in linked.items():
+        top[b] = max(top[b], n)
+    return [(d, na, nb, g, len(links), sum(linked[x] == top[x[1]] for x in links), sum(linked[x] for x in links), text) for d, na, nb, g, links, text in parts]
+
+
+@pytest.mark.parametrize("sent", [token_alignment.SENT_PAIRS, 40])
+def test_token_alignment(spark, docs, sent, monkeypatch):
+    """Also with few pairs sent, so that most links are resolved by the join."""
+    folder, rows = docs
+    more = [(2000, "x\u2581y", "s"), (2001, "<s> <0x41> </s> <unk>", "s"), (2002, " lead", "s"), (2003, "tab\tnew\n\n  line ", "s"), (2004, "\U0001f600\u0301 \u4f60\u597d \u00a0 \ufeff", "s"), (2005, " " * 25_000 + "end", "s")]
+    table = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "source").union(spark.createDataFrame(more, "doc_id long, text string, source string")).withColumns({"row": F.lit(1), "a": F.lit("x"), "pair": F.lit(2)})
+    want = alignment_by_hand(rows + more)
+    got = token_alignment.aligned(table, sent_pairs=sent, groups=True).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups").collect()
+    assert bag(r[:7] + (r[8],) for r in got) == bag(want)
+    assert all(r.groups_sha256 == (hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else "") for r in got)
+    assert {r.doc_id for r in got if r.n_a == 0} >= {1000, 1001, 2000}
+
+
+def test_fast_byte_encoder_agrees(spark):
+    """The rank encoder against the vocabulary's own tokenizer, on every fourth code point in several places."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model.encode_special_tokens = True
+    texts = [f"a{chr(c)}b1{chr(c)}2.{chr(c)}.  {chr(c)} {chr(c)}" for c in range(1, 0x30000, 4) if not 0xD800 <= c < 0xE000] + ["<|endoftext|>", "we'll 'S don't"]
+    want = model.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
+    assert all(list(w.ids) == g.tolist() for w, g in zip(want, token_alignment.byte_tokens().encode(texts), strict=True))
