@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cladeworks.llm import filter_audit, hash_forest, host_text, mixing, packing, pii, progressive_jpeg, simhash, suffix_dedup, token_alignment, toxicity, warc
+from cladeworks.llm import filter_audit, hash_forest, host_text, mixing, packing, pii, progressive_jpeg, rule_ensemble, simhash, suffix_dedup, token_alignment, toxicity, warc
 
 QUERIES = {
     "op1_pii_spans": pii.op1_pii_spans,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_ordinal_toxicity": toxicity.op9_ordinal_toxicity,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_rule_ensemble": rule_ensemble.op13_rule_ensemble,
 }
 
 SQL = {

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cladeworks.llm import filter_audit, hash_forest, host_text, induced_sorting, mixing, packing, pii, progressive_jpeg, registry, simhash, suffix_dedup, token_alignment, toxicity, warc
+from cladeworks.llm import filter_audit, hash_forest, host_text, induced_sorting, mixing, packing, pii, progressive_jpeg, registry, rule_ensemble, simhash, suffix_dedup, token_alignment, toxicity, warc
 
 DATA = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -823,3 +823,70 @@ def test_fast_byte_encoder_agrees(spark):
     texts = [f"a{chr(c)}b1{chr(c)}2.{chr(c)}.  {chr(c)} {chr(c)}" for c in range(1, 0x30000, 4) if not 0xD800 <= c < 0xE000] + ["<|endoftext|>", "we'll 'S don't"]
     want = model.encode_batch([f" {t}" for t in texts], add_special_tokens=False)
     assert all(list(w.ids) == g.tolist() for w, g in zip(want, token_alignment.byte_tokens().encode(texts), strict=True))
+
+
+def statistics_by_hand(text):
+    import regex
+
+    text = text or ""
+    found, lines = WORDS.findall(text), [x for x in text.split("\n") if x]
+    n, chars = max(len(found), 1), max(len(text), 1)
+    count = lambda p: len(regex.findall(p, text))
+    out = [len(found), sum(map(len, found)) / n, 100 * len(set(found)) / n, 100 * sum(x == y for x, y in itertools.pairwise(found)) / n, 100 * (len(lines) - len(set(lines))) / max(len(lines), 1), len(found) / max(len(lines), 1)]
+    return out + [100 * count(p) / chars for p in rule_ensemble.CHARACTERS.values()] + [100 * count(p) / n for p in rule_ensemble.PATTERNS.values()]
+
+
+def test_rule_ensemble(spark, docs):
+    """Every score from statistics computed by hand and rules applied one by one; folds by hand."""
+    folder, rows = docs
+    table, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    more = spark.createDataFrame([(3000, "a a a b\nb\n\na", "s")], "doc_id long, text string, source string")
+    table = table.select("doc_id", "text", "source").union(more).withColumns({"_qu_words": F.lit("clash"), "_id": F.lit(1), "_text": F.lit("t"), "quality": F.lit(1)})
+    model = rule_ensemble.fit(table, labels)
+    got = rule_ensemble.score(table, model).select("doc_id", "text", *(f"_qu_{s}" for s in rule_ensemble.STATISTICS), "_qu_score").collect()
+    assert len(got) == len(rows) + 1
+    for doc, text, *stats, value in got:
+        want = statistics_by_hand(text)
+        assert stats == pytest.approx(want), (doc, dict(zip(rule_ensemble.STATISTICS, zip(stats, want))))
+        logit = model.intercept + sum(w for rule, w in zip(model.rules, model.weights) if all((stats[s] > b) == above for s, above, b in rule))
+        assert value == pytest.approx(1 / (1 + np.exp(-logit)))
+    result = rule_ensemble.op13_rule_ensemble(spark, folder).collect()
+    assert len(result) == len(rows) and all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.3) for r in result)
+
+
+def test_rule_ensemble_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    result = rule_ensemble.op13_rule_ensemble(spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("predicted", "quality").collect()
+    right = [p == q for p, q in result]
+    assert len(right) > 50 and sum(right) >= 0.95 * len(right)
+
+
+def test_rules_and_weights_are_sparse_and_learn_conjunctions():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(0, 100, (3000, len(rule_ensemble.STATISTICS)))
+    y = ((x[:, 0] > 60) & (x[:, 3] <= 40) | (x[:, 5] > 90)).astype(float)
+    model = rule_ensemble.train(x[:2000], y[:2000])
+    logit = model.intercept + model.matches(x[2000:]) @ model.weights
+    assert np.mean((logit > 0) == (y[2000:] == 1)) > 0.95
+    assert 0 < len(model.rules) < len(rule_ensemble.tree_rules(x[:2000], y[:2000])) and all(1 <= len(r) <= rule_ensemble.DEPTH for r in model.rules)
+    assert all((model.weights != 0).tolist())
+
+
+def test_lasso_meets_its_conditions():
+    """At the minimum the slope of a used rule equals the penalty against its sign, of others it is within the penalty."""
+    rng = np.random.default_rng(1)
+    z = (rng.random((400, 12)) < 0.4).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(1 - 3 * z[:, 0] + 2 * z[:, 1]))).astype(float)
+    w, b = rule_ensemble.fit_lasso(z, y, penalty=0.02, steps=5000)
+    scale = z.std(axis=0)
+    slope = ((z - z.mean(axis=0)) / scale).T @ (1 / (1 + np.exp(-(z @ w + b))) - y) / len(y)
+    used = w != 0
+    assert used.any() and not used.all()
+    assert np.allclose(slope[used], -0.02 * np.sign(w[used]), atol=1e-4) and (np.abs(slope[~used]) <= 0.02 + 1e-4).all()
+
+
+def test_rule_ensemble_without_two_kinds(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, quality int")
+    model = rule_ensemble.fit(rows, labels)
+    assert model.rules == [] and {round(r._qu_score, 6) for r in rule_ensemble.score(rows, model).collect()} == {round(2 / 3, 6)}
