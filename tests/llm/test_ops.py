@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -536,9 +537,78 @@ def test_host_text_articles(spark):
     ("<body class='single no-sidebar'>", True), ("<body class='sidebar menu'>", True), ("<html class='has-notice'>", True), ("<article class='post comments-open'>", True), ("<article id='ad' class='comments'>", True), ("<main class='widget'>", True),
     ("<div role='main' class='sidebar'>", True), ("<div id='related-work'>", True), ("<div class='post comments-open'>", True), ("<div class='share-price'>", True), ("<div id='with_menu'>", True), ("<div class=''>", True),
     ("<div class='ad'>", False), ("<div class='x Site-Footer'>", False), ("<div id='main_menu'>", False), ("<div class='cookie-banner'>", False), ("<div class=leftSidebar>", False), ("<section id='related-posts'>", False), ("<div class='page-header'>", False), ("<article role='dialog'>", False),
+    ("<div class='reader-comments'>", False), ("<div class='user-comment'>", False), ("<section id='userComments'>", False), ("<div class='comment-body'>", False), ("<div class='top-bar'>", False), ("<div class='adcontainer'>", False), ("<div id='widget-area'>", False), ("<div class='sponsored-content'>", False),
+    ("<div class='entry-header'>", True), ("<span class='hljs-comment'>", True), ("<div class='market-share'>", True), ("<div class='no-comments'>", True), ("<div class='article-body'>", True), ("<div class='link-list'>", True), ("<div class='addition'>", True), ("<div class='---'>", True),
 ])
 def test_host_text_labels(opened, kept):
-    assert host_text.page_text(f"{opened}<p>text of the page", None) == "text of the page" * kept
+    assert host_text.page_text(host_text.blocks(f"{opened}<p>text of the page"), None) == "text of the page" * kept
+
+
+@pytest.mark.parametrize("unit", ["</x", "<a ", '<a "', "<a '", "<a =\"'", "<", "<!", "<!-", "<?", "<b>", "<b></i>", "<p><b>", "<p></p><b>", "<div><p></p>", "<td><div>", "<li></li><b>", "<aaaa", "<a b", "&#1", "&", "<script", "</script ", "<a x='", "<a class='comment", '<a "<b>', "<br>", "<title", "<p>x"])
+def test_host_text_broken_pages_take_linear_time(unit):
+    """A megabyte of what is never closed; also closed at last, and with an attribute of a megabyte."""
+    for html in (unit * (1_000_000 // len(unit)), unit * (1_000_000 // len(unit)) + ">", "<p>" + unit * 5 + "x" * 10, f"<a y={'b' * 1_000_000} {unit}>z", "<div>" * 1000 + unit * 100_000):
+        began = time.process_time()
+        host_text.blocks(html)
+        assert time.process_time() - began < 5, (unit, len(html))
+
+
+def blocks_of_tags(html):
+    """Text between tags by the plainest rule, for pages of p, b and div with quoted attributes."""
+    out, text, i = [], "", 0
+    while i < len(html):
+        end = None
+        if html[i] == "<" and re.match("</?[a-z]", html[i:]):
+            k, quote = i + 1, None
+            while k < len(html):
+                c = html[k]
+                if quote:
+                    quote = None if c == quote else quote
+                elif c in "\"'":
+                    quote = c
+                elif c == ">":
+                    end = k + 1
+                    break
+                k += 1
+        if end is None:
+            text += html[i]
+            i += 1
+        else:
+            name = re.match("</?([a-z]*)", html[i:])[1]
+            if name not in ("a", "b"):
+                out.append(text)
+                text = ""
+            i = end
+    return [" ".join(t.split()) for t in [*out, text] if t.split()]
+
+
+def test_host_text_tags_by_hand():
+    rnd = random.Random(8)
+    for _ in range(3000):
+        html = "".join(rnd.choice(["<p>", "</p>", "<b>", "</b>", "<div x='>'>", "<", ">", '"', "'", "a ", "z", "<p ", "<b y=\"'\">", "</div>"]) for _ in range(rnd.randrange(14)))
+        assert [t for _, t in host_text.blocks(html)] == blocks_of_tags(html), html
+
+
+def test_host_text_references():
+    assert [t for _, t in host_text.blocks("&#0000000065;&#" + "9" * 6000 + ";&#x0000000000041;&#x" + "f" * 6000 + "; &amp;amp; &#00000000000;")] == ["A\ufffdA\ufffd &amp; \ufffd"]
+
+
+def test_host_text_coverage_of_blocks():
+    rnd = random.Random(3)
+    for _ in range(500):
+        found = [(rnd.choice((host_text.MAIN, host_text.OPEN, host_text.BOILER)), " ".join("abc"[rnd.randrange(3)] for _ in range(rnd.randint(1, 14)))) for _ in range(rnd.randrange(6))]
+        places = rnd.choice([None, [{"a": a, "b": a + rnd.randint(1, 9)} for a in (rnd.randrange(40) for _ in range(rnd.randrange(5)))]])
+        covered = {i for p in places or () for i in range(p["a"], p["b"])}
+        kept, at = [], 0
+        for kind, text in found:
+            n = len(text.split())
+            if kind == host_text.MAIN:
+                kept.append(text)
+                continue
+            if kind == host_text.OPEN and (not any(k == host_text.MAIN for k, _ in found) or places is not None and n >= host_text.RUN) and len(covered & set(range(at, at + n))) < n / 2:
+                kept.append(text)
+            at += n
+        assert host_text.page_text(found, places) == "\n".join(kept)
 
 
 def test_host_text_outside_article(spark):
