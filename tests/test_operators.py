@@ -120,7 +120,9 @@ def test_components_chain(spark):
     assert {r.cell_barcode: (r.cloneID, r.clone_size, r.degree) for r in groups} == {"a": (1, 3, 1), "b": (1, 3, 2), "c": (1, 3, 1), "d": (2, 1, 0)}
 
 
-def test_groups_match_pairs(spark):
+@pytest.mark.parametrize("listed", [64, 1])
+def test_groups_match_pairs(spark, monkeypatch, listed):
+    monkeypatch.setattr(clones, "LISTED_OWNERS", listed)  # beyond it degrees come from bitmaps
     rnd = random.Random(7)
     pool = ["".join(rnd.choice("AC") for _ in range(7)) for _ in range(30)]
     make = lambda source, n: clones.prepare_cells(spark.createDataFrame([(f"{source}{i}", b, 1, 3) for i in range(n) for b in set(rnd.choices(pool, k=rnd.randrange(1, 3)))], "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long"), source)
@@ -156,6 +158,16 @@ def test_a_common_lineage_lists_no_pairs(spark):
     assert (out.clones, out.size, out.degree) == (1, n, n - 1)
 
 
+def test_a_common_lineage_beside_own_ones_lists_no_pairs(spark):
+    """All cells share one barcode and each has another of its own; a thousand pairs also share a rare one."""
+    n = 100_000
+    own = "concat_ws('', transform(sequence(0, 8), i -> repeat(substr('ACGT', cast(shiftright(id, 2 * i) & 3 as int) + 1, 1), 2)))"
+    rare = "concat('TTTTTTTTTTTT', concat_ws('', transform(sequence(0, 5), i -> repeat(substr('ACGT', cast(shiftright(id % 1000, 2 * i) & 3 as int) + 1, 1), 2))))"
+    rows = spark.range(n).selectExpr("'s' AS source", "cast(id as string) AS cell", f"explode(filter(array('GGGGGGGGGGGGGGGGGGGGGGGG', {own}, if(id < 2000, {rare}, null)), x -> x is not null)) AS barcode", "1.0D AS umi", "1.0D AS rank", "2L AS barcodes")
+    out = clones.clone_groups(rows, p=config.CloneParams(hamming_threshold=0)).agg(F.countDistinct("cloneID").alias("clones"), F.min("degree").alias("least"), F.max("degree").alias("most")).first()
+    assert (out.clones, out.least, out.most) == (1, n - 1, n - 1)
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100 + rnd.randrange(60), 100 + rnd.randrange(60)) for _ in range(40)] + [(7, 7), (500, 500)]
