@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeworks.config import TimepointParams
 from cladeworks.operators.similarity import hamming_pairs
+from cladeworks.runtime import materialize
+
+#: T0 clones that own a barcode which is still probed clone by clone.
+COMMON_OWNERS = 64
 
 
 def explode_clones(clone_barcodes: DataFrame) -> DataFrame:
@@ -25,15 +29,60 @@ def _sized(clones: DataFrame, weights: DataFrame | None, name: str) -> DataFrame
     return rows.select(F.col("clone_id").alias(f"{name}_clone_id"), F.col("barcode").alias(f"{name}_barcode"), weight.alias(f"{name}_weight"), F.count("*").over(each).alias(f"num_{name}_barcodes"), F.sum(weight).over(each).alias(f"{name}_total"))
 
 
+def _similarity(matched: Column) -> Column:
+    return matched / F.nullif(F.col("num_T1_barcodes") + F.col("num_T0_barcodes") - matched, F.lit(0).cast("long"))
+
+
+def _candidates(near: DataFrame, t0: DataFrame, t1: DataFrame, top_n: int) -> DataFrame:
+    """``(T1_clone_id, T0_clone_id)``: a superset of the best ``top_n`` pairs of each T1 clone, without meeting at barcodes that many T0 clones own.
+
+    Rare barcodes are probed first: pairs that they tie have a score at least that of these matches, and the ``top_n``-th such score
+    closes a T1 clone if no pair tied by its common barcodes alone can reach it. For the others only what those common barcodes are
+    counts, so T1 clones with the same ones share a profile. Among the pairs of a profile with the same number of matches the smaller T0
+    clone is better, then the lesser id, whatever the T1 clone's size; so ``top_n`` T0 clones for each number are enough. A rarely tied pair beats its
+    place in that list, so the best of both together are the best of all.
+    """
+    owners = t0.groupBy("T0_barcode").agg(F.count("*").alias("owners"))
+    tagged = near.join(owners.select("T0_barcode", (F.col("owners") > COMMON_OWNERS).alias("common")), "T0_barcode").select("T1_barcode", "T0_barcode", "common")
+    rare = tagged.where("not common").join(t1.select("T1_clone_id", "T1_barcode", "num_T1_barcodes"), "T1_barcode").join(t0.select("T0_clone_id", "T0_barcode", "num_T0_barcodes"), "T0_barcode")
+    sizes = [F.first(c).alias(c) for c in ("num_T1_barcodes", "num_T0_barcodes")]
+    tied = rare.groupBy("T1_clone_id", "T0_clone_id").agg(F.countDistinct("T1_barcode").alias("matched"), *sizes)
+    nth = Window.partitionBy("T1_clone_id").orderBy(F.desc("least"), "T0_clone_id")
+    tied = tied.withColumn("least", _similarity(F.col("matched"))).withColumn("nth", F.row_number().over(nth))
+    if not tagged.where("common").limit(1).count():  # the scores are whole
+        return tied.where(F.col("nth") <= top_n).select("T1_clone_id", "T0_clone_id")
+    tied = materialize(tied)
+    # A T1 barcode counts by the common barcodes near it, a T1 clone by the list of these.
+    signs = materialize(tagged.where("common").groupBy("T1_barcode").agg(F.array_sort(F.collect_set("T0_barcode")).alias("common")).withColumn("sign", F.md5(F.array_join("common", "_"))))
+    clones = t1.join(signs.select("T1_barcode", "sign"), "T1_barcode").groupBy("T1_clone_id", "num_T1_barcodes").agg(F.array_sort(F.collect_list("sign")).alias("signs"))
+    clones = materialize(clones.withColumn("profile", F.md5(F.array_join("signs", "_"))).withColumn("common", F.size("signs").cast("long")))
+    held = tied.where(F.col("nth") == top_n).select("T1_clone_id", F.col("least").alias("reached"))
+    least_size = t0.agg(F.min("num_T0_barcodes")).first()[0] or 1
+    bound = F.col("common") / (F.col("num_T1_barcodes") + F.lit(least_size) - F.col("common"))
+    open_ = clones.join(held, "T1_clone_id", "left").where(F.col("reached").isNull() | (F.col("reached") <= bound))
+    profiles = open_.groupBy("profile").agg(F.first("signs").alias("signs")).select("profile", F.explode("signs").alias("sign")).groupBy("profile", "sign").agg(F.count("*").alias("times"))
+    holders = signs.groupBy("sign").agg(F.first("common").alias("common")).select("sign", F.explode("common").alias("T0_barcode")).join(t0, "T0_barcode").select("sign", "T0_clone_id", "num_T0_barcodes").distinct()
+    met = profiles.join(holders, "sign").groupBy("profile", "T0_clone_id", "num_T0_barcodes").agg(F.sum("times").alias("matched"))
+    first = Window.partitionBy("profile", "matched").orderBy("num_T0_barcodes", "T0_clone_id")
+    listed = met.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= top_n)
+    best = Window.partitionBy("T1_clone_id").orderBy(F.desc("least"), "T0_clone_id")
+    commonly = open_.join(listed.drop("nth"), "profile").withColumn("least", _similarity(F.col("matched"))).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= top_n)
+    # Common matches may lift a pair tied by a rare barcode: it stays if with all of them it could reach the top.
+    most = F.least(F.col("matched") + F.coalesce("common", F.lit(0).cast("long")), F.col("num_T1_barcodes"))
+    rarely = tied.join(clones.select("T1_clone_id", "common"), "T1_clone_id", "left").join(held, "T1_clone_id", "left").where(F.col("reached").isNull() | (_similarity(most) >= F.col("reached")))
+    return rarely.select("T1_clone_id", "T0_clone_id").unionByName(commonly.select("T1_clone_id", "T0_clone_id")).distinct()
+
+
 def match_clones(t0: DataFrame, t1: DataFrame, p: TimepointParams = TimepointParams(), t0_weights: DataFrame | None = None, t1_weights: DataFrame | None = None) -> DataFrame:
     """Up to ``top_n`` matches a T1 clone, best first; inputs as ``explode_clones`` gives them.
 
     Similarity counts distinct T1 barcodes that match, over the union's size, so several T1 barcodes may
     match one T0 barcode and it can exceed 1. UMI weights add a column and do not rank. Ties go to the
-    lesser T0 clone.
+    lesser T0 clone. Only pairs that may be among the best are put together.
     """
-    near = hamming_pairs(t1.select("barcode"), t0.select("barcode"), p.hamming_threshold).toDF("T1_barcode", "T0_barcode", "distance")
-    met = near.join(_sized(t1, t1_weights, "T1"), "T1_barcode").join(_sized(t0, t0_weights, "T0"), "T0_barcode")
+    near = materialize(hamming_pairs(t1.select("barcode"), t0.select("barcode"), p.hamming_threshold).toDF("T1_barcode", "T0_barcode", "distance"))
+    new, old = materialize(_sized(t1, t1_weights, "T1")), materialize(_sized(t0, t0_weights, "T0"))
+    met = _candidates(near, old, new, p.top_n).join(new, "T1_clone_id").join(near, "T1_barcode").join(old, ["T0_clone_id", "T0_barcode"])
     # A pair's barcodes are deduplicated on each side before they are counted and weighed.
     side = lambda n: F.collect_set(F.struct(f"{n}_barcode", f"{n}_weight")).alias(n)
     pairs = met.groupBy("T1_clone_id", "T0_clone_id").agg(side("T1"), side("T0"), *[F.first(c).alias(c) for c in ("num_T1_barcodes", "num_T0_barcodes", "T1_total", "T0_total")])
@@ -41,7 +90,7 @@ def match_clones(t0: DataFrame, t1: DataFrame, p: TimepointParams = TimepointPar
     weigh = lambda n: F.aggregate(n, F.lit(0.0), lambda s, x: s + x[f"{n}_weight"])
     total = F.col("T1_total") + F.col("T0_total")
     pairs = pairs.withColumns({
-        "similarity_score": F.col("num_matched_barcodes") / F.nullif(F.col("num_T1_barcodes") + F.col("num_T0_barcodes") - F.col("num_matched_barcodes"), F.lit(0).cast("long")),
+        "similarity_score": _similarity(F.col("num_matched_barcodes")),
         "umi_weighted_score": F.when(total > 0, (weigh("T1") + weigh("T0")) / F.nullif(total, F.lit(0.0))).otherwise(0.0),
     }).where("similarity_score is not null")
     best = Window.partitionBy("T1_clone_id").orderBy(F.desc("similarity_score"), "T0_clone_id")

@@ -90,6 +90,32 @@ def test_blocked_join_is_complete(spark):
             assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+@pytest.mark.parametrize("r", [1, 2, 3, 4])
+def test_choices_of_segments_are_complete(spark, monkeypatch, r):
+    """Whatever the number of segments chosen, also with more of them than letters."""
+    monkeypatch.setattr(similarity, "segments_chosen", lambda a, b, d: r)
+    rnd = random.Random(r)
+    seqs = sorted({"".join(rnd.choice("AC") for _ in range(n)) for n in (3, 4, 5, 8) * 12})
+    df = spark.createDataFrame([(x,) for x in seqs], "b string")
+    dist = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
+    for d in (1, 2):
+        rows = [tuple(x) for x in similarity.hamming_pairs(df, df, d, True).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == {(a, b, dist(a, b)) for a in seqs for b in seqs if len(a) == len(b) and dist(a, b) <= d}
+
+
+def test_dense_barcodes_choose_longer_keys(spark):
+    rnd = random.Random(1)
+    make = lambda n, size: spark.createDataFrame([("".join(rnd.choice("ACGT") for _ in range(size)),) for _ in range(n)], "b string").distinct()
+    dense, sparse = make(2000, 8).cache(), make(500, 24).cache()
+    one, two = dense.toDF("b1"), dense.toDF("b2")
+    found = similarity.candidates(one, two, 2, [1, 2, 3, 4])
+    r = similarity.segments_chosen(one, two, 2)
+    assert r > 1 and 20 * found[r][0] < dense.count() ** 2 and 3 * found[r][0] < found[1][0]
+    assert similarity.segments_chosen(sparse.toDF("b1"), sparse.toDF("b2"), 2) == 1
+    held = similarity._keys(one, "b1", 2, 2).join(similarity._keys(two, "b2", 2, 2), ["len", "at", "key"]).count()
+    assert held == found[2][0], "the count is of the pairs that are made"
+
+
 def prepared(spark, cells):
     rows = [(c, b, u, len(bs)) for c, bs in cells.items() for b, u in bs.items()]
     df = spark.createDataFrame(rows, "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long")
@@ -203,6 +229,40 @@ def test_unmatched_and_grid(spark):
     assert {tuple(r) for r in timepoints.top_match_grid(ranked).select("T1_clone_id", "8", "9").collect()} == {(1, 0.0, 1.0), (2, 1 / 3, 0.0)}
 
 
+@pytest.mark.parametrize(("common", "top"), [(64, 2), (3, 2), (1, 1), (1, 3), (0, 4)])
+def test_best_clones_match_brute_force(spark, monkeypatch, common, top):
+    """Whatever number of owners makes a barcode a common one."""
+    monkeypatch.setattr(timepoints, "COMMON_OWNERS", common)
+    rnd = random.Random(common * 10 + top)
+    pool = sorted({"".join(rnd.choice("AC") for _ in range(7)) for _ in range(40)})
+    weight = lambda i: 1 / (1 + i) ** 1.2
+    make = lambda n: {i: sorted({*rnd.choices(pool, [weight(k) for k in range(len(pool))], k=rnd.randrange(1, 6)), *(pool[:1] if rnd.random() < 0.7 else [])}) for i in range(n)}
+    t0, t1 = make(25), make(25)
+    near = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    want = set()
+    for c1, s1 in t1.items():
+        scores = []
+        for c0, s0 in t0.items():
+            m = sum(any(near(a, b) for b in s0) for a in s1)
+            if m:
+                scores.append((-m / (len(s1) + len(s0) - m), c0, m))
+        want |= {(c1, c0, round(-s, 9), m, rank) for rank, (s, c0, m) in enumerate(sorted(scores)[:top], 1)}
+    df = lambda x: spark.createDataFrame([(c, b) for c, bs in x.items() for b in bs], "clone_id long, barcode string")
+    got = timepoints.match_clones(df(t0), df(t1), config.TimepointParams(hamming_threshold=1, top_n=top)).collect()
+    assert {(r.T1_clone_id, r.T0_clone_id, round(r.similarity_score, 9), r.num_matched_barcodes, r.match_rank) for r in got} == want and len(got) == len(want)
+
+
+def test_a_barcode_of_all_clones_meets_no_pairs(spark):
+    """20,000 clones a side share one barcode, half of them have one of their own besides: 400 million pairs are not made."""
+    n = 20_000
+    own = "concat_ws('', transform(sequence(0, 7), i -> repeat(substr('ACGT', cast(shiftright(id, 2 * i) & 3 as int) + 1, 1), 2)))"
+    clones_ = lambda k: spark.range(n).selectExpr("id AS clone_id", f"explode(if(id % 2 = {k}, array('GGGGGGGGGGGGGGGGTT', {own}), array('GGGGGGGGGGGGGGGGTT'))) AS barcode")
+    p = config.TimepointParams(hamming_threshold=0, top_n=2)
+    rows = timepoints.match_clones(clones_(0), clones_(1), p).where("match_rank <= 2").groupBy("T0_clone_id", "similarity_score", "match_rank").count().collect()
+    # T0 clones with the one barcode alone are those of odd id; the least of them are everyone's best.
+    assert {tuple(r) for r in rows} == {(1, 1.0, 1, n // 2), (3, 1.0, 2, n // 2), (1, 0.5, 1, n // 2), (3, 0.5, 2, n // 2)}
+
+
 def test_direct_is_one_to_one(spark):
     t1 = counts(spark, [("n", "AAAA", 3), ("n", "AAAC", 2), ("m", "GGGG", 1)])
     t0 = counts(spark, [("o", "AAAA", 1)])
