@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, CELL_BASES, TECHNOLOGIES, UMI_BASES
 from cladeworks.functions.sequences import wsn_mismatches
-from cladeworks.runtime import sized
+from cladeworks.runtime import materialize, sized
 
 
 def pair_reads(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = CAPTURE_SEQUENCE, length: int = BARCODE_LENGTH) -> DataFrame:
@@ -78,7 +78,7 @@ def collapse_barcodes(molecules: DataFrame, technology: str) -> DataFrame:
     """Molecules with repaired barcodes: the cell barcode's last base becomes the UMI's first. Rows are not summed yet."""
     umi_at, cell_at, cell_length = TECHNOLOGIES[technology]
     altered = altered_barcodes(molecules, technology).select(F.col("bc_old").alias("cell_barcode"), F.lit(True).alias("altered"))
-    rows = _usable(molecules).join(sized(altered), "cell_barcode", "left")
+    rows = _usable(molecules).join(sized(materialize(altered)), "cell_barcode", "left")
     rewrite = F.col("altered").isNotNull() | (F.length("cell_barcode") != cell_length)
     return rows.select(
         F.when(rewrite, F.substring("cell_barcode", 1, cell_at)).otherwise(F.col("cell_barcode")).alias("cell_barcode"),
@@ -94,9 +94,9 @@ def translate_cells(molecules: DataFrame, whitelist: DataFrame, allowed: DataFra
     """
     gex = F.max_by("cell_barcode_gex", order) if order else F.max("cell_barcode_gex")
     names = whitelist.groupBy("cell_barcode_feature").agg(gex.alias("gex")).withColumnRenamed("cell_barcode_feature", "cell_barcode")
-    kept = molecules.where(F.col("read_count") > min_reads).join(sized(names), "cell_barcode").where("gex is not null")
+    kept = molecules.where(F.col("read_count") > min_reads).join(sized(materialize(names)), "cell_barcode").where("gex is not null")
     allow = allowed.select(F.col("cell_barcode_gex").alias("gex")).distinct()
-    return kept.join(sized(allow), "gex", "left_semi").select(F.col("gex").alias("cell_barcode"), "umi", "lineage_barcode", "read_count")
+    return kept.join(sized(materialize(allow)), "gex", "left_semi").select(F.col("gex").alias("cell_barcode"), "umi", "lineage_barcode", "read_count")
 
 
 def umi_counts(molecules: DataFrame) -> DataFrame:

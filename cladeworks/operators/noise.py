@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.config import NoiseParams
 from cladeworks.functions.statistics import PoissonFit, fit_truncated_poisson
-from cladeworks.runtime import sized
+from cladeworks.runtime import materialize, sized
 
 
 def noise_statistics(corrected: DataFrame, p: NoiseParams = NoiseParams()) -> DataFrame:
@@ -28,7 +28,7 @@ def noise_statistics(corrected: DataFrame, p: NoiseParams = NoiseParams()) -> Da
     })
     # The deviation needs all cells of one lineage count; those are few keys, so it is summed first and joined.
     spread = df.groupBy("lineage_count").agg(F.stddev_samp("log_normalized_umi_count").alias("std_dev"), (F.max("log_normalized_umi_count") == F.min("log_normalized_umi_count")).alias("level"))
-    df = df.join(sized(spread), "lineage_count", "left")
+    df = df.join(sized(materialize(spread)), "lineage_count", "left")
     z = (F.col("log_normalized_umi_count") - F.col("expected_count")) / F.nullif(F.col("std_dev"), F.lit(0.0))
     lone = (F.col("std_dev") == 0) | F.col("level")
     df = df.withColumn("z_score", F.when(F.col("is_small_group") | F.col("std_dev").isNull(), F.lit(None).cast("double")).when(lone, 0.0).otherwise(z))

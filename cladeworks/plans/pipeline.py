@@ -26,7 +26,7 @@ class PipelineParams:
     technology: str = "10xv3"
     max_mismatches: int = 0
     min_reads: int = 1
-    max_distance: int = 8
+    max_distance: int = 3
     source: str = "T1"
     noise: NoiseParams = field(default_factory=NoiseParams)
     clones: CloneParams = field(default_factory=CloneParams)

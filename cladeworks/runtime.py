@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if its counted rows and its estimated bytes stay within these bounds.
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 32 << 20
-#: Rows whose width is looked at to estimate bytes.
-WIDTH_ROWS = 1_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,17 +33,19 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def sized(dim: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if ``dim`` has at most ``bound`` rows and, where it holds more than plain columns, few bytes; else leave the join to AQE."""
-    n = dim.limit(bound + 1).count() if rows is None else rows
-    if n > bound:
+    """Hint a broadcast if ``dim`` has at most ``bound`` rows and few bytes, both measured in one pass; else leave the join to AQE.
+
+    ``dim`` is computed for the measure and again for the join, so what is dear to compute comes materialized.
+    ``rows`` is its count, if that is known to be small.
+    """
+    if rows is not None and rows > bound:
         return dim
     wide = [F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) for c, t in dim.dtypes if "<" in t or t == "binary"]
     wide += [F.coalesce(F.length(c), F.lit(0)) for c, t in dim.dtypes if t == "string"]
-    if wide and n > WIDTH_ROWS:
-        total = dim.agg(F.sum(sum(wide[1:], wide[0]).cast("long"))).first()[0]
-        if (total or 0) > BROADCAST_BYTES:
-            return dim
-    return F.broadcast(dim)
+    if rows is not None and not wide:
+        return F.broadcast(dim)
+    n, total = dim.limit(bound + 1).agg(F.count("*"), F.sum(sum(wide, F.lit(0)).cast("long"))).first()
+    return F.broadcast(dim) if n <= bound and (total or 0) <= BROADCAST_BYTES else dim
 
 
 def ranged(df: DataFrame, *order: Column) -> DataFrame:
