@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.config import DirectParams
 from cladeworks.functions.sequences import greedy_one_to_one
+from cladeworks.functions.statistics import exact_median
 from cladeworks.operators.similarity import hamming_pairs
 from cladeworks.runtime import materialize
 
@@ -86,8 +87,9 @@ def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams())
 def match_summary(matches: DataFrame) -> DataFrame:
     """Counts of matched and unmatched T1 cells, and the spread of the best similarities."""
     hit = (F.col("match_rank") == 1) & (F.col("matched_barcodes") > 0)
-    score = F.when(hit, F.col("jaccard_similarity"))
-    return matches.agg(F.count_if(hit).alias("matched"), F.count_if(F.col("matched_barcodes") == 0).alias("unmatched"), F.avg(score).alias("mean"), F.median(score).alias("median"), F.min(score).alias("min"), F.max(score).alias("max"))
+    matches = materialize(matches.select("match_rank", "matched_barcodes", F.when(hit, F.col("jaccard_similarity")).alias("best")))
+    score = F.col("best")
+    return matches.agg(F.count_if(hit).alias("matched"), F.count_if(F.col("matched_barcodes") == 0).alias("unmatched"), F.avg(score).alias("mean"), F.lit(exact_median(matches, "best")).cast("double").alias("median"), F.min(score).alias("min"), F.max(score).alias("max"))
 
 
 def validate_counts(corrected: DataFrame) -> None:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeworks.config import EnrichmentParams
-from cladeworks.functions.statistics import benjamini_hochberg, fisher_p
+from cladeworks.functions.statistics import benjamini_hochberg, exact_median, with_fisher_p
+from cladeworks.runtime import materialize
 
 #: Output columns, in the order that readers of the file expect.
 COLUMNS = ["Clone_ID", "T0_size", "Control_size", "Treated_size", "FC_control", "FC_treated", "Log2_FC_ratio", "p_value", "q_value", "Status"]
@@ -35,7 +36,8 @@ def run_enrichment(t0: DataFrame, control: DataFrame, treated: DataFrame, p: Enr
     fold = lambda c: (F.col(c) + p.pseudocount) / (F.col("T0_size") + p.pseudocount)
     df = df.withColumns({"FC_control": fold("Control_size"), "FC_treated": fold("Treated_size")})
     whole = lambda c: F.col(c).cast("long") + 1
-    df = df.withColumns({"Log2_FC_ratio": F.log2(F.col("FC_treated") / F.col("FC_control")), "p_value": fisher_p(whole("T0_size"), whole("Control_size"), whole("T0_size"), whole("Treated_size"))})
+    df = materialize(df.withColumn("Log2_FC_ratio", F.log2(F.col("FC_treated") / F.col("FC_control"))))
+    df = materialize(with_fisher_p(df, whole("T0_size"), whole("Control_size"), whole("T0_size"), whole("Treated_size"), "p_value"))
     df = benjamini_hochberg(df.withColumnRenamed("clone_id", "Clone_ID"), "p_value", "q_value")
     sure, ratio = F.col("q_value") < p.fdr_threshold, F.col("Log2_FC_ratio")
     status = F.when(sure & (ratio > p.log2fc_threshold), "Enriched").when(sure & (ratio < -p.log2fc_threshold), "Depleted").otherwise("Neutral")
@@ -47,7 +49,7 @@ def enrichment_summary(results: DataFrame) -> DataFrame:
     no_control, no_treated = F.col("Control_size") == 0, F.col("Treated_size") == 0
     return results.agg(
         F.count("*").alias("clones"), *[F.count_if(F.col("Status") == s).alias(s.lower()) for s in ("Enriched", "Depleted", "Neutral")],
-        F.avg(ratio).alias("mean"), F.median(ratio).alias("median"), F.stddev_samp(ratio).alias("std"), F.min(ratio).alias("min"), F.max(ratio).alias("max"),
+        F.avg(ratio).alias("mean"), F.lit(exact_median(results, "Log2_FC_ratio")).cast("double").alias("median"), F.stddev_samp(ratio).alias("std"), F.min(ratio).alias("min"), F.max(ratio).alias("max"),
         F.count_if(no_control).alias("absent_control"), F.count_if(no_treated).alias("absent_treated"), F.count_if(no_control & no_treated).alias("absent_both"),
     )
 

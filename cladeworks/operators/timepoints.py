@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeworks.config import TimepointParams
+from cladeworks.functions.statistics import exact_median
 from cladeworks.operators.similarity import hamming_pairs
 from cladeworks.runtime import materialize
 
@@ -114,11 +115,11 @@ def unmatched_clones(ranked: DataFrame, t1: DataFrame, p: TimepointParams = Time
 
 def match_statistics(ranked: DataFrame, t1: DataFrame, p: TimepointParams = TimepointParams()) -> DataFrame:
     """One row of counts and of mean, median, population deviation and range of the best similarities."""
-    all_t1 = t1.select(F.col("clone_id").alias("T1_clone_id")).distinct().join(best_matches(ranked), "T1_clone_id", "left")
+    all_t1 = materialize(t1.select(F.col("clone_id").alias("T1_clone_id")).distinct().join(best_matches(ranked).select("T1_clone_id", "similarity_score"), "T1_clone_id", "left"))
     score = F.col("similarity_score")
     return all_t1.agg(
         F.count("*").alias("t1_clones"), F.count(score).alias("with_candidates"), F.count_if(score >= p.similarity_threshold).alias("matched"),
-        F.avg(score).alias("mean_similarity"), F.median(score).alias("median_similarity"), F.stddev_pop(score).alias("std_similarity"), F.min(score).alias("min_similarity"), F.max(score).alias("max_similarity"),
+        F.avg(score).alias("mean_similarity"), F.lit(exact_median(all_t1, "similarity_score")).cast("double").alias("median_similarity"), F.stddev_pop(score).alias("std_similarity"), F.min(score).alias("min_similarity"), F.max(score).alias("max_similarity"),
     )
 
 

@@ -297,9 +297,10 @@ def enrichment_summary(spark, d):
 def fisher_test(spark, d):
     """The exact test on its own, over counts of line items by supplier."""
     rows = read_table(spark, d, "lineitem").groupBy("l_suppkey").agg(*[F.count_if(F.col("l_returnflag") == c).alias(n) for c, n in ((T0, "a"), (CONTROL, "b"), (TREATED, "c"))])
-    from cladeworks.functions.statistics import benjamini_hochberg, fisher_p
+    from cladeworks.functions.statistics import benjamini_hochberg, with_fisher_p
 
-    rows = rows.withColumn("p_value", fisher_p(F.col("a") + 1, F.col("b") + 1, F.col("a") + 1, F.col("c") + 1))
+    rows = materialize(rows)
+    rows = materialize(with_fisher_p(rows, F.col("a") + 1, F.col("b") + 1, F.col("a") + 1, F.col("c") + 1, "p_value"))
     return _rounded(benjamini_hochberg(rows, "p_value", "q_value"))
 
 

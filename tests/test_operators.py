@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,20 +314,43 @@ def test_parameters_are_checked(spark):
 
 
 def test_fisher_and_fold(spark):
-    assert statistics.fisher_two_sided(11, 6, 11, 31) == pytest.approx(0.008131176, abs=1e-9)
     rnd = random.Random(1)
-    for _ in range(300):
-        a, b, c, d = (rnd.randrange(1, rnd.choice((4, 40, 400))) for _ in range(4))
+    tables = sorted({tuple(rnd.randrange(1, rnd.choice((4, 40, 400))) for _ in range(4)) for _ in range(300)} | {(11, 6, 11, 31), (1, 1, 1, 1), (0, 5, 5, 0), (0, 0, 0, 0), (0, 7, 0, 3), (31, 32, 33, 34)})
+    want = {}
+    for a, b, c, d in tables:
         row, col, n = a + b, a + c, a + b + c + d
         chance = {x: math.comb(row, x) * math.comb(n - row, col - x) for x in range(max(0, col - c - d), min(row, col) + 1)}
-        want = sum(v for v in chance.values() if v <= chance[a] * statistics.NEAR) / math.comb(n, col)
-        assert statistics.fisher_two_sided(a, b, c, d) == pytest.approx(want, rel=1e-7)
-    assert statistics.fisher_two_sided(10**9, 10**9 + 10**5, 10**9, 10**9) == pytest.approx(0.1138, abs=1e-3)
+        want[a, b, c, d] = sum(v for v in chance.values() if v <= chance[a] * statistics.NEAR) / math.comb(n, col)
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate([*tables, *tables[:5]])], "i int, a long, b long, c long, d long")
+    got = statistics.with_fisher_p(df, *map(F.col, "abcd"), "p")
+    rows = got.collect()
+    assert got.columns == ["i", "a", "b", "c", "d", "p"] and sorted(r.i for r in rows) == list(range(len(tables) + 5))
+    for r in rows:
+        assert r.p == pytest.approx(want[r.a, r.b, r.c, r.d], rel=1e-9), r
+    assert want[11, 6, 11, 31] == pytest.approx(0.008131176, abs=1e-9)
+    large = spark.createDataFrame([(10**9, 10**9 + 10**5, 10**9, 10**9), (10**6, 10**6, 10**6, 2 * 10**6)], "a long, b long, c long, d long")
+    assert {r.a: r.p for r in statistics.fisher_tables(large).collect()} == pytest.approx({10**9: 0.1138, 10**6: 0.0}, abs=1e-3)
     size = lambda n: spark.createDataFrame([(1, n)], "clone_id long, size long")
     row = enrichment.run_enrichment(size(9), size(4), size(19)).first()
     assert (row.FC_control, row.FC_treated, row.Log2_FC_ratio) == (0.5, 2.0, 2.0)
 
 
+def test_log_factorials(spark):
+    ks = [*range(200), 1000, 12345, 10**6, 10**9, 10**12]
+    got = spark.createDataFrame([(k,) for k in ks], "k long").select("k", statistics.log_factorial(F.col("k")).alias("v")).collect()
+    assert all(r.v == pytest.approx(math.lgamma(r.k + 1), rel=1e-13, abs=1e-13) for r in got)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 200, 201])
+def test_exact_median(spark, n):
+    rnd = random.Random(n)
+    values = [rnd.choice((rnd.random(), 0.5, -3.0, float(rnd.randrange(4)))) for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, None]], "v double").repartition(5)
+    want = float(np.median(values)) if n else None
+    assert statistics.exact_median(df, "v") == want
+    assert df.agg(F.median("v")).first()[0] == want
+
+
 def test_benjamini_hochberg(spark):
     df = spark.createDataFrame([(p,) for p in (0.01, 0.02, 0.03)], "p double")
     assert [round(r.q, 9) for r in statistics.benjamini_hochberg(df, "p", "q").collect()] == [0.03] * 3
