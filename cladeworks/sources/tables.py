@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,19 +16,48 @@ from cladeworks import schemas
 from cladeworks.runtime import materialize, sized
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """``(ord, id, seq)`` of the four-line records of a file, or of the files of a folder by name, plain, gzipped or bz2.
+def numbered_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Lines ``(value, n, file, line, head)`` of a file, or of the files of a folder by name, plain, gzipped or bz2, and a row a block read.
 
-    Lines are numbered without gathering them: a block's lines are consecutive where it is read, and the
-    counts of the blocks before it, a row each, give its first number.
+    ``n`` counts all lines from 0, ``line`` those of a file from 1; ``head`` is the first line of a block. Lines are numbered without gathering
+    them: a block's lines are consecutive where it is read, and the counts of the blocks before it, a row each, give its first number.
     """
     lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("m"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     per = lines.groupBy("file", "block").agg(F.min("m").alias("first"), F.count("*").alias("lines"))
     ahead = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    per = materialize(per.select("file", "block", "first", F.coalesce(F.sum("lines").over(ahead), F.lit(0)).alias("ahead")))
-    numbered = lines.join(sized(per), ["file", "block"]).select("value", (F.col("ahead") + F.col("m") - F.col("first")).alias("n"))
-    records = numbered.where("n % 4 < 2").groupBy(F.floor(F.col("n") / 4).alias("ord"))
-    return records.agg(F.max(F.when(F.col("n") % 4 == 0, F.substring("value", 2, 1 << 20))).alias("id"), F.max(F.when(F.col("n") % 4 == 1, F.col("value"))).alias("seq"))
+    per = per.select("file", "block", "first", "lines", F.coalesce(F.sum("lines").over(ahead), F.lit(0)).alias("ahead"))
+    per = materialize(per.withColumn("in_file", F.col("ahead") - F.min("ahead").over(Window.partitionBy("file"))))
+    place, held = F.col("m") - F.col("first"), sized(per)
+    numbered = lines.join(held, ["file", "block"]).select("value", (F.col("ahead") + place).alias("n"), "file", (F.col("in_file") + place + 1).alias("line"), (place == 0).alias("head"))
+    # Blocks too many to send bring the lines out of their order.
+    return numbered.sortWithinPartitions("n") if held is per else numbered, per
+
+
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records whose id and sequence follow each other in a block; the last line waits for the next batch."""
+    waiting = None
+    for batch in batches:
+        held = pa.Table.from_batches([batch]) if waiting is None else pa.concat_tables([waiting, pa.Table.from_batches([batch])])
+        value, n, head = held["value"].combine_chunks(), held["n"].to_numpy(), held["head"].to_numpy()
+        ids = np.flatnonzero((n[:-1] % 4 == 0) & (n[1:] == n[:-1] + 1) & ~head[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(n[ids] // 4), pc.utf8_slice_codeunits(value.take(pa.array(ids)), 1), value.take(pa.array(ids + 1))], ["ord", "id", "seq"])
+        waiting = held.slice(max(0, len(n) - 1))
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """``(ord, id, seq)`` of the four-line records of a file, or of the files of a folder by name, plain, gzipped or bz2.
+
+    A record is put together where its lines are read, so none is shuffled. Where a block ends between the two
+    lines that matter, these are the last line of one block and the first of the next; they are joined on the side.
+    """
+    lines, per = numbered_lines(spark, path)
+    records = lines.select("value", "n", "head").mapInArrow(_assembled, "ord long, id string, seq string")
+    torn = per.where("ahead % 4 = 1")
+    if torn.isEmpty():
+        return records
+    numbers = torn.select(F.explode(F.array(F.col("ahead") - 1, F.col("ahead"))).alias("n"))
+    halves = lines.join(sized(numbers), "n").groupBy(F.floor(F.col("n") / 4).alias("ord"))
+    return records.unionByName(halves.agg(F.max(F.when(F.col("n") % 4 == 0, F.expr("substring(value, 2)"))).alias("id"), F.max(F.when(F.col("n") % 4 == 1, F.col("value"))).alias("seq")))
 
 
 def write_fastq(reads: DataFrame, path: str, order: list[str], compression: str = "none") -> None:
@@ -62,8 +95,10 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
-    """With ``line``, the order in which later lines overrule earlier ones."""
-    return read_tsv(spark, path, schemas.WHITELIST).withColumn("line", F.monotonically_increasing_id())
+    """With ``line``, the order in which later lines overrule earlier ones: by file name, then by line."""
+    lines, _ = numbered_lines(spark, path)
+    parts = F.split("value", "\t")
+    return lines.where("value <> ''").select(*[F.get(parts, i).cast(f.dataType).alias(f.name) for i, f in enumerate(schemas.WHITELIST.fields)], F.col("n").alias("line"))
 
 
 def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
@@ -75,14 +110,43 @@ def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
     return read_tsv(spark, path, StructType(schemas.ALLOW_LIST.fields[:width]))
 
 
-def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Corrected counts with header, validated."""
-    from cladeworks.operators.direct import validate_counts
+def _count_lines(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """Lines of corrected counts with a column a field, and the names of the header, which every file has."""
+    first = spark.read.text(path).limit(1).collect()
+    names = first[0][0].rstrip("\r").split("\t") if first else []
+    if missing := {"cell_barcode", "corrected_lineage_barcode", "umi_count"}.difference(names):
+        raise ValueError(f"missing columns: {', '.join(sorted(missing))}")
+    lines, _ = numbered_lines(spark, path)
+    parts = F.split(F.regexp_replace("value", "\r$", ""), "\t")
+    kept = lines.where("line > 1 and value <> ''").select("file", "line", "value", F.size(parts).alias("fields"), *[F.get(parts, i).alias(f"f{i}") for i in range(len(names))])
+    return kept, names
+
+
+def count_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, line, reason, value)`` of the lines of corrected counts that are not valid, by the first fault of each."""
+    lines, names = _count_lines(spark, path)
+    field = lambda name: F.col(f"f{names.index(name)}")
+    empty = lambda name: field(name).isNull() | (field(name) == "")
+    count = field("umi_count")
+    reason = (
+        F.when(F.col("fields") != len(names), F.format_string(f"%d fields instead of {len(names)}", F.col("fields")))
+        .when(empty("cell_barcode"), "no cell barcode").when(empty("corrected_lineage_barcode"), "no lineage barcode")
+        .when(count.try_cast("long").isNull(), "count is not a whole number").when(count.try_cast("double") < 0, "count is negative")
+    )
+    return lines.select("file", "line", reason.alias("reason"), "value").where("reason is not null")
+
 
-    names = spark.read.option("sep", "\t").option("header", True).csv(path)
-    validate_counts(names)
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Corrected counts with header; ``ValueError`` with the first bad line and what is wrong with it, if there is one."""
+    rejects = count_rejects(spark, path)
+    if wrong := rejects.count():
+        bad = rejects.orderBy("file", "line").first()
+        raise ValueError(f"{wrong} lines are not valid counts, first {bad.file}, line {bad.line}: {bad.reason}")
+    lines, names = _count_lines(spark, path)
+    if lines.isEmpty():
+        raise ValueError("no counts")
     long = ("umi_count", "total_molecules_per_cell", "total_lineages_per_cell")
-    return names.select(*[F.col(c).cast("long").alias(c) if c in long else F.col(c) for c in names.columns])
+    return lines.select(*[F.col(f"f{i}").cast("long").alias(c) if c in long else F.col(f"f{i}").alias(c) for i, c in enumerate(names)])
 
 
 def read_clone_barcodes(spark: SparkSession, path: str) -> DataFrame:

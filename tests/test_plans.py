@@ -5,10 +5,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cladeworks.__main__ import main
 from cladeworks.config import CAPTURE_SEQUENCE, DirectParams, NoiseParams
-from cladeworks.operators import clones
+from cladeworks.operators import clones, molecules
 from cladeworks.plans.pipeline import STEPS, Inputs, Pipeline, PipelineParams, retention_report
 from cladeworks.sources import tables
 from cladeworks.streaming import addresses
@@ -42,6 +43,68 @@ def test_fastq(spark, reads):
     assert a == b and len(a) == 400 and a[17].id == "I:R:F:17 2"
 
 
+@pytest.mark.parametrize("block", [37, 64, 211, 1000])
+def test_fastq_over_many_blocks(spark, tmp_path, block):
+    """Records that blocks tear at every line, files of a folder in the order of their names, long ids, a cut-off last record."""
+    rnd = random.Random(block)
+    want = []
+    for name in ("b", "a", "c"):
+        rows = [(f"{name}{i} " + "y" * rnd.randrange(30), "ACGT"[i % 4] * rnd.randrange(1, 90)) for i in range(60)]
+        fastq(tmp_path / f"{name}.fastq", rows, zipped=False)
+        want.append((name, rows))
+    want = [r for _, rows in sorted(want) for r in rows] + [("cut", "AC")]
+    with open(tmp_path / "c.fastq", "a") as out:
+        out.write("@cut\nAC\n")
+    conf = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "1"}
+    held = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert [tuple(r) for r in tables.read_fastq(spark, str(tmp_path)).orderBy("ord").collect()] == [(i, *r) for i, r in enumerate(want)]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_fastq_ids_are_whole(spark, tmp_path):
+    fastq(tmp_path / "x.fastq", [("i" * 1_100_000, "A" * 50), ("j", "C")], zipped=False)
+    assert [(len(r.id), r.seq) for r in tables.read_fastq(spark, str(tmp_path / "x.fastq")).orderBy("ord").collect()] == [(1_100_000, "A" * 50), (1, "C")]
+
+
+def test_reads_take_one_exchange(spark, reads):
+    folder, _ = reads
+    mates = [tables.read_fastq(spark, str(folder / "r2.fastq")) for _ in range(2)]
+    plan = molecules.extract_addresses(*mates, "I:R:F:")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_whitelist_lines_overrule_by_file_name(spark, tmp_path):
+    """Files of falling size: the last one by name counts, whichever is read first."""
+    for name, lines in (("a.tsv", 400), ("b.tsv", 40), ("c.tsv", 1)):
+        (tmp_path / name).write_text("".join(f"{name}{i}\tx{i}\n" for i in range(lines)))
+    rows = tables.read_whitelist(spark, str(tmp_path))
+    last = {r.cell_barcode_feature: r.g for r in rows.groupBy("cell_barcode_feature").agg(F.max_by("cell_barcode_gex", "line").alias("g")).collect()}
+    assert last["x0"] == "c.tsv0" and last["x1"] == "b.tsv1" and last["x39"] == "b.tsv39" and last["x40"] == "a.tsv40" and len(last) == 400
+
+
+def test_rejects_have_lines_and_reasons(spark, tmp_path):
+    head = "cell_barcode\tcorrected_lineage_barcode\tumi_count\n"
+    (tmp_path / "a.tsv").write_text(head + "".join(f"c{i}\tb\t1\n" for i in range(300)))
+    (tmp_path / "b.tsv").write_text(head + "".join(f"d{i}\tb\t{i}\n" for i in range(40)))
+    assert tables.read_counts(spark, str(tmp_path)).count() == 340
+    (tmp_path / "c.tsv").write_text(head + "c\tb\t2\n\tb\t1\nc\t\t1\nc\tb\tx\nc\tb\t-1\nc\tb\n")
+    got = [(r.line, r.reason) for r in tables.count_rejects(spark, str(tmp_path)).orderBy("file", "line").collect()]
+    assert got == [(3, "no cell barcode"), (4, "no lineage barcode"), (5, "count is not a whole number"), (6, "count is negative"), (7, "2 fields instead of 3")]
+    with pytest.raises(ValueError, match="5 lines .*c.tsv, line 3: no cell barcode"):
+        tables.read_counts(spark, str(tmp_path))
+    (tmp_path / "d.tsv").write_text("cell_barcode\tx\n")
+    with pytest.raises(ValueError, match="missing columns: corrected_lineage_barcode, umi_count"):
+        tables.read_counts(spark, str(tmp_path / "d.tsv"))
+    (tmp_path / "e.tsv").write_text(head)
+    with pytest.raises(ValueError, match="no counts"):
+        tables.read_counts(spark, str(tmp_path / "e.tsv"))
+
+
 def test_pipeline_and_resume(spark, reads):
     folder, cells = reads
     white = spark.createDataFrame([(c[::-1], c) for c in cells], "cell_barcode_gex string, cell_barcode_feature string")
