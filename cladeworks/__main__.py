@@ -186,7 +186,7 @@ def run_clones(spark: SparkSession, a: argparse.Namespace) -> None:
     _ordered(pairs, f"{a.out}/clone_pairs.tsv", *clones.PAIR)
     _ordered(clones.graph_edges(pairs), f"{a.out}/clone_graph_edges.tsv", "node1", "node2")
     _ordered(clones.graph_nodes(groups), f"{a.out}/clone_graph_nodes.tsv", "source_condition", "cell_barcode")
-    tables.graph_records(clones.graph_edges(pairs)).write.mode("overwrite").text(f"{a.out}/clone_graph.json")
+    tables.write_graph(clones.graph_nodes(groups), clones.graph_edges(pairs), f"{a.out}/clone_graph.json")
     hubs = clones.hub_cells(groups)
     _ordered(hubs, f"{a.out}/hub_cells.tsv", F.desc("degree"), "cell_barcode")
     row = clones.graph_statistics(groups).first().asDict() | {"hubs": hubs.count()}

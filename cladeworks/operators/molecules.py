@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, CELL_BASES, TECHNOLOGIES, UMI_BASES
@@ -26,18 +26,25 @@ def pair_reads(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = C
     return both.withColumn("paired", F.col("id1") == F.col("id2")).withColumn("mismatches", wsn_mismatches(F.col("lineage_barcode")))
 
 
-def extract_addresses(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = CAPTURE_SEQUENCE, length: int = BARCODE_LENGTH) -> DataFrame:
-    kept = pair_reads(read1, read2, prefix, capture, length).where("lineage_barcode is not null and paired")
+def extract_addresses(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = CAPTURE_SEQUENCE, length: int = BARCODE_LENGTH, observation: Observation | None = None) -> DataFrame:
+    """Addresses of reads whose mates agree and that hold a barcode; ``observation`` gets the counters of the extraction when they are computed."""
+    pairs = pair_reads(read1, read2, prefix, capture, length)
+    if observation is not None:
+        pairs = pairs.observe(observation, *_counters())
+    kept = pairs.where("lineage_barcode is not null and paired")
     return kept.select(F.col("id2").alias("readid"), "cell_barcode", "umi", "lineage_barcode", "mismatches")
 
 
 def extraction_counters(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = CAPTURE_SEQUENCE, length: int = BARCODE_LENGTH) -> DataFrame:
-    pairs = pair_reads(read1, read2, prefix, capture, length)
+    return pair_reads(read1, read2, prefix, capture, length).agg(*_counters())
+
+
+def _counters() -> list[Column]:
     whole = F.col("lineage_barcode").isNotNull()
-    return pairs.agg(
+    return [
         F.count("*").alias("reads"), F.count_if("found").alias("with_capture"), F.count_if(whole).alias("with_barcode"),
         F.count_if(whole & F.col("paired")).alias("emitted"), F.count_if(whole & (F.col("mismatches") > 0)).alias("with_mismatches"), F.count_if(whole & ~F.coalesce("paired", F.lit(False))).alias("unpaired"),
-    )
+    ]
 
 
 def filter_mismatches(addresses: DataFrame, most: int) -> DataFrame:

@@ -11,7 +11,8 @@ import time
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, CloneParams, DirectParams, EnrichmentParams, NoiseParams, TimepointParams
@@ -35,6 +36,8 @@ class PipelineParams:
     direct: DirectParams = field(default_factory=DirectParams)
     capture: str = CAPTURE_SEQUENCE
     barcode_length: int = BARCODE_LENGTH
+    #: Parts of the cells that the clustering step writes one by one, so that a run can resume inside it.
+    cluster_buckets: int = 1
 
 
 @dataclass
@@ -53,29 +56,36 @@ class Inputs:
 
 
 STEPS = ["addresses", "filtered_addresses", "molecules", "collapsed", "recounted", "translated", "umi_counts", "corrections", "corrected", "clones", "matches", "enrichment", "direct_matches", "cross_clones"]
+#: Steps whose rows are counted while a later step is written.
+OBSERVED = {"filtered_addresses", "molecules", "collapsed", "translated"}
 #: Steps whose result is written and can be resumed from.
-WRITTEN = {"addresses", "corrections", "corrected", "clones", "matches", "enrichment", "direct_matches", "cross_clones"}
+WRITTEN = {"addresses", "umi_counts", "corrections", "corrected", "clones", "matches", "enrichment", "direct_matches", "cross_clones"}
 
 
 class Pipeline:
-    """Runs steps ``start`` to ``stop`` (1 to 14) under ``folder``; results are attributes of ``tables``."""
+    """Runs steps ``start`` to ``stop`` (1 to 14) under ``folder``; results are in ``tables``, what was counted on the way in ``metrics``.
 
-    def __init__(self, spark: SparkSession, folder: str, inputs: Inputs, params: PipelineParams = PipelineParams()):
-        self.spark, self.folder, self.inputs, self.params = spark, folder, inputs, params
+    With ``resume`` the clustering step keeps the buckets of cells that an earlier run with the same parameters finished.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, inputs: Inputs, params: PipelineParams = PipelineParams(), resume: bool = False):
+        self.spark, self.folder, self.inputs, self.params, self.resume = spark, folder, inputs, params, resume
         self.tables: dict[str, DataFrame] = {}
+        self.metrics: dict[str, dict[str, int]] = {}
         self.log: list[dict] = []
+        self._watched: dict[str, Observation] = {}
 
     def _steps(self) -> dict[str, Callable[[], DataFrame]]:
         i, p, t = self.inputs, self.params, self.table
         return {
-            "addresses": lambda: molecules.extract_addresses(i.read1, i.read2, p.prefix, p.capture, p.barcode_length),
+            "addresses": lambda: molecules.extract_addresses(i.read1, i.read2, p.prefix, p.capture, p.barcode_length, self._watch("addresses")),
             "filtered_addresses": lambda: molecules.filter_mismatches(t("addresses"), p.max_mismatches),
             "molecules": lambda: molecules.count_addresses(t("filtered_addresses")),
             "collapsed": lambda: molecules.collapse_barcodes(t("molecules"), p.technology),
             "recounted": lambda: molecules.recount(t("collapsed")),
             "translated": lambda: molecules.translate_cells(t("recounted"), i.whitelist, i.allowed, p.min_reads, "line" if "line" in i.whitelist.columns else None),
             "umi_counts": lambda: molecules.umi_counts(t("translated")),
-            "corrections": lambda: cluster.cluster_lineages(t("umi_counts"), p.max_distance),
+            "corrections": self._corrections,
             "corrected": lambda: molecules.correct_counts(t("umi_counts"), t("corrections")),
             "clones": self._clones,
             "matches": self._matches,
@@ -87,12 +97,45 @@ class Pipeline:
     def table(self, name: str) -> DataFrame:
         """A step's result: of this run, else as an earlier run wrote it, else planned now."""
         if name not in self.tables:
-            if name in WRITTEN:
+            if name == "corrections":
+                self.tables[name] = self._read_corrections()
+            elif name in WRITTEN:
                 self.tables[name] = self.spark.read.parquet(f"{self.folder}/{name}")
             else:
                 self.tables[name] = self._steps()[name]()
         return self.tables[name]
 
+    def _watch(self, name: str) -> Observation:
+        self._watched[name] = Observation()
+        return self._watched[name]
+
+    def _marks(self) -> set[int]:
+        """Buckets of the clustering step that were finished with the present parameters."""
+        try:
+            return {int(r[0]) for r in self.spark.read.text(f"{self.folder}/corrections_done/*").select(F.split("value", " ")).collect() for r in r if r[1] == self._cluster_key()}
+        except AnalysisException:  # no bucket is done
+            return set()
+
+    def _cluster_key(self) -> str:
+        return f"{self.params.max_distance}/{self.params.cluster_buckets}"
+
+    def _corrections(self) -> DataFrame:
+        """Clusters bucket by bucket of cells. A bucket is marked when it is written; a run that resumes leaves marked ones as they are."""
+        n, counts = self.params.cluster_buckets, self.table("umi_counts")
+        done = self._marks() if self.resume else set()
+        for k in range(n):
+            if k not in done:
+                part = counts.where(F.pmod(F.xxhash64("cellbc"), F.lit(n)) == k)
+                tables.write_text(self.spark, f"{k} unfinished", f"{self.folder}/corrections_done/{k}")
+                cluster.cluster_lineages(part, self.params.max_distance).write.mode("overwrite").parquet(f"{self.folder}/corrections/{k}")
+                tables.write_text(self.spark, f"{k} {self._cluster_key()}", f"{self.folder}/corrections_done/{k}")
+        return self._read_corrections()
+
+    def _read_corrections(self) -> DataFrame:
+        if missing := set(range(self.params.cluster_buckets)) - self._marks():
+            raise ValueError(f"{len(missing)} of {self.params.cluster_buckets} buckets of corrections are not finished with these parameters")
+        return self.spark.read.parquet(*[f"{self.folder}/corrections/{k}" for k in range(self.params.cluster_buckets)])
+
     def _filtered(self) -> DataFrame:
         return noise.filter_noise(self.table("corrected"), self.params.noise)
 
@@ -137,22 +180,30 @@ class Pipeline:
         for name in STEPS[start - 1 : stop]:
             began = time.time()
             df = self._steps()[name]()
+            if name in OBSERVED:
+                df = df.observe(self._watch(name), F.count("*").alias("rows"))
             if name in WRITTEN:
-                df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
-                df = self.spark.read.parquet(f"{self.folder}/{name}")
+                if name != "corrections":
+                    df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+                    df = self.spark.read.parquet(f"{self.folder}/{name}")
+                # What was planned since the last written step ran with this one.
+                self.metrics |= {step: watched.get for step, watched in self._watched.items()}
+                self._watched = {}
             self.tables[name] = df
             self.log.append({"step": name, "written": name in WRITTEN, "seconds": round(time.time() - began, 3)})
         return self.tables
 
     def run_log(self) -> str:
-        return json.dumps({"parameters": asdict(self.params), "steps": self.log, "duration_seconds": round(sum(s["seconds"] for s in self.log), 3)}, indent=2)
+        steps = [s | ({"counts": self.metrics[s["step"]]} if s["step"] in self.metrics else {}) for s in self.log]
+        return json.dumps({"parameters": asdict(self.params), "steps": steps, "duration_seconds": round(sum(s["seconds"] for s in self.log), 3)}, indent=2)
 
 
 def retention_report(pipeline: Pipeline) -> DataFrame:
-    """Rows left after each of the first three steps, as a share of the addresses."""
+    """Rows left after each of the first three steps, as a share of the addresses; what the run has counted is not counted again."""
     from cladeworks.operators.qc import retention
 
-    counts = [(s, pipeline.table(s).count()) for s in STEPS[:3]]
+    counted = {s: m["emitted" if s == "addresses" else "rows"] for s, m in pipeline.metrics.items()}
+    counts = [(s, counted[s] if s in counted else pipeline.table(s).count()) for s in STEPS[:3]]
     df = pipeline.spark.createDataFrame([(s, n, counts[0][1]) for s, n in counts], "step string, rows long, original long")
     return df.withColumn("percent", retention(F.col("original"), F.col("rows")))
 

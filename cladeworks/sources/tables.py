@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -179,24 +178,40 @@ def write_matches(df: DataFrame, path: str) -> None:
     matches_text(df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def graph_document(nodes: DataFrame, edges: DataFrame) -> str:
-    """Node-link JSON of a clone graph, assembled on the driver: for graphs of a size that a viewer takes.
+#: Keys of nodes and links, in the order that viewers expect.
+NODE_KEYS = ["id", "source_condition", "cell_barcode", "degree", "clone_id"]
+LINK_KEYS = [
+    "source", "target", "source_condition_1", "source_condition_2", "num_matches", "num_exact_matches", "num_hamming_matches", "best_hamming_distance",
+    "mean_match_confidence", "confidence", "edge_weight", "hamming", "source_clone_id", "target_clone_id", "source_degree", "target_degree",
+]
 
-    Keys are fixed values that viewers expect. ``graph_records`` writes graphs of any size.
-    """
-    held = {f"{r.source_condition}|{r.cell_barcode}": r for r in nodes.collect()}
-    listed = [{"id": k, "source_condition": held[k].source_condition, "cell_barcode": held[k].cell_barcode, "degree": held[k].degree, "clone_id": held[k].assigned_clone_id} for k in sorted(held)]
-    links = []
-    for r in edges.orderBy("node1", "node2").toLocalIterator():
-        row = r.asDict()
-        a, b = row.pop("node1"), row.pop("node2")
-        ends = {f"{side}_{key}": getattr(held[x], column) for side, x in (("source", a), ("target", b)) if x in held for key, column in (("clone_id", "assigned_clone_id"), ("degree", "degree"))}
-        links.append({"source": a, "target": b, **row, "confidence": row["mean_match_confidence"], "hamming": row["best_hamming_distance"], **ends})
-    return json.dumps({"directed": False, "graph": {}, "nodes": listed, "links": links}, indent=2)
+
+def graph_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(part, key, other, value)``: the lines of a node-link document in JSON, in the order of the first three columns."""
+    node = nodes.select(F.concat_ws("|", "source_condition", "cell_barcode").alias("id"), "source_condition", "cell_barcode", "degree", F.col("assigned_clone_id").alias("clone_id"))
+    end = lambda i, side: node.select(F.col("id").alias(f"node{i}"), F.col("source_condition").alias(f"source_condition_{i}"), F.col("clone_id").alias(f"{side}_clone_id"), F.col("degree").alias(f"{side}_degree"))
+    links = edges.join(end(1, "source"), "node1", "left").join(end(2, "target"), "node2", "left")
+    links = links.withColumns({"source": F.col("node1"), "target": F.col("node2"), "confidence": F.col("mean_match_confidence"), "hamming": F.col("best_hamming_distance")})
+    links = links.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("source_degree", "target_degree")})
+    rows = []
+    for part, df, keys, order in ((1, node, NODE_KEYS, ["id", "id"]), (3, links, LINK_KEYS, ["source", "target"])):
+        text = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+        first = df.agg(F.min(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])).alias("k")).first().k
+        comma = F.lit("") if first is None else F.when((F.col(order[0]) == first[0]) & (F.col(order[1]) == first[1]), "").otherwise(",")
+        rows.append(df.select(F.lit(part).alias("part"), F.col(order[0]).alias("key"), F.col(order[1]).alias("other"), F.concat(comma, text).alias("value")))
+    frame = [(0, '{"directed": false, "graph": {}, "nodes": ['), (2, '], "links": ['), (4, "]}")]
+    fixed = nodes.sparkSession.createDataFrame([(k, "", "", v) for k, v in frame], "part int, key string, other string, value string")
+    return fixed.unionByName(rows[0]).unionByName(rows[1])
+
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """A node-link document of any size: range-sorted files that, joined by name, are one JSON text."""
+    lines = materialize(graph_lines(nodes, edges)).repartitionByRange("part", "key", "other").sortWithinPartitions("part", "key", "other")
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def graph_records(edges: DataFrame) -> DataFrame:
-    """The links as JSON lines, for graphs of any size."""
+    """The links as JSON lines."""
     return edges.select(F.to_json(F.struct("*")).alias("value"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cladeworks.__main__ import main
 from cladeworks.config import CAPTURE_SEQUENCE, DirectParams, NoiseParams
-from cladeworks.operators import clones, molecules
+from cladeworks.operators import clones, cluster, molecules
 from cladeworks.plans.pipeline import STEPS, Inputs, Pipeline, PipelineParams, retention_report
 from cladeworks.sources import tables
 from cladeworks.streaming import addresses
@@ -115,6 +115,9 @@ def test_pipeline_and_resume(spark, reads):
     out = run.run()
     assert out["addresses"].count() == 400 and out["corrected"].select("cell_barcode").distinct().count() == 4
     assert sorted(r.clone_size for r in out["clones"].collect()) == [2, 2, 2, 2]
+    steps = {x["step"]: x.get("counts") for x in json.loads(run.run_log())["steps"]}
+    assert steps["addresses"] == {"reads": 400, "with_capture": 400, "with_barcode": 400, "emitted": 400, "with_mismatches": 0, "unpaired": 0}
+    assert all(steps[x]["rows"] == out[x].count() for x in ("filtered_addresses", "molecules", "translated")) and steps["corrected"] is None
     assert [r.rows for r in retention_report(run).collect()] == sorted((r.rows for r in retention_report(run).collect()), reverse=True)
     again = Pipeline(spark, str(folder / "out"), inputs, p).run(10, 10)
     assert again["clones"].count() == 4 and json.loads(run.run_log())["steps"][0]["step"] == STEPS[0]
@@ -134,6 +137,37 @@ def test_pipeline_and_resume(spark, reads):
     assert sorted(r.clone_size for r in more["cross_clones"].collect()) == [4] * 8
 
 
+def test_clustering_resumes_between_buckets(spark, tmp_path, monkeypatch):
+    """A run that dies after two of four buckets; the next does the other two only, and has the same rows. Other parameters start anew."""
+    rnd = random.Random(9)
+    rows = sorted({(f"c{rnd.randrange(30)}", "".join(rnd.choice("AC") for _ in range(8)), rnd.randrange(1, 40)) for _ in range(200)})
+    spark.createDataFrame(rows, "cellbc string, lineage_barcode string, unique_umi_count long").groupBy("cellbc", "lineage_barcode").agg(F.max("unique_umi_count").alias("unique_umi_count")).write.parquet(str(tmp_path / "umi_counts"))
+    p = PipelineParams(max_distance=1, cluster_buckets=4)
+    make = lambda p=p, resume=True: Pipeline(spark, str(tmp_path), Inputs(), p, resume)
+    seen, whole = [], cluster.cluster_lineages
+
+    def dies(counts, distance, after=2):
+        if len(seen) == after:
+            raise RuntimeError("lost")
+        seen.append(1)
+        return whole(counts, distance)
+
+    monkeypatch.setattr(cluster, "cluster_lineages", dies)
+    with pytest.raises(RuntimeError):
+        make().run(8, 8)
+    with pytest.raises(ValueError, match="2 of 4 buckets"):
+        make().table("corrections")
+    monkeypatch.setattr(cluster, "cluster_lineages", lambda c, d: dies(c, d, 4))
+    got = make().run(8, 8)["corrections"]
+    want = whole(spark.read.parquet(str(tmp_path / "umi_counts")), 1)
+    got = sorted(map(tuple, got.collect()))
+    assert len(seen) == 4 and got == sorted(map(tuple, want.collect()))
+    with pytest.raises(ValueError, match="4 of 4|2 of 2"):
+        make(PipelineParams(max_distance=1, cluster_buckets=2)).table("corrections")
+    monkeypatch.setattr(cluster, "cluster_lineages", lambda c, d: dies(c, d, 6))
+    assert make(PipelineParams(max_distance=1, cluster_buckets=2)).run(8, 8)["corrections"].count() == len(got) and len(seen) == 6
+
+
 def rows_of(spark, path, sep="\t"):
     return spark.read.option("sep", sep).option("header", True).csv(str(path)).collect()
 
@@ -178,13 +212,32 @@ def test_files(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "t")).count() == 2
 
 
-def test_graph_document(spark):
-    rows = [("a", "AAAA", 2, 1), ("b", "AAAA", 2, 1)]
-    one = clones.prepare_cells(spark.createDataFrame(rows, "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long"), "s")
-    pairs = clones.clone_pairs(one)
-    groups = clones.clone_groups(one)
-    doc = json.loads(tables.graph_document(clones.graph_nodes(groups), clones.graph_edges(pairs)))
-    assert [n["id"] for n in doc["nodes"]] == ["s|a", "s|b"] and doc["links"][0]["target_clone_id"] == "Clone_1"
+def test_graph_document(spark, tmp_path):
+    """Files joined by name are one document, over several files, with every node and link in order."""
+    cells = {f"c{i:02}": ("AAAA" if i % 3 else "GGGG") for i in range(12)} | {"lone": "TTTT"}
+    rows = [(c, b, 2, 1) for c, b in cells.items()]
+    one = clones.prepare_cells(spark.createDataFrame(rows, "cell_barcode string, corrected_lineage_barcode string, umi_count long, lineage_count long"), "s").cache()
+    groups, pairs = clones.clone_groups(one).cache(), clones.clone_pairs(one).cache()
+    nodes, edges = clones.graph_nodes(groups), clones.graph_edges(pairs)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_graph(nodes, edges, str(tmp_path / "g"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "g").glob("part-*"))
+    doc = json.loads("".join(p.read_text() for p in parts))
+    held = {f"{r.source_condition}|{r.cell_barcode}": r for r in nodes.collect()}
+    want = {"directed": False, "graph": {}, "nodes": [{"id": k, "source_condition": r.source_condition, "cell_barcode": r.cell_barcode, "degree": r.degree, "clone_id": r.assigned_clone_id} for k, r in sorted(held.items())], "links": []}
+    for e in sorted(edges.collect(), key=lambda e: (e.node1, e.node2)):
+        x, y = held[e.node1], held[e.node2]
+        want["links"].append({
+            "source": e.node1, "target": e.node2, "source_condition_1": x.source_condition, "source_condition_2": y.source_condition, "num_matches": e.num_matches, "num_exact_matches": e.num_exact_matches,
+            "num_hamming_matches": e.num_hamming_matches, "best_hamming_distance": e.best_hamming_distance, "mean_match_confidence": e.mean_match_confidence, "confidence": e.mean_match_confidence,
+            "edge_weight": e.edge_weight, "hamming": e.best_hamming_distance, "source_clone_id": x.assigned_clone_id, "target_clone_id": y.assigned_clone_id, "source_degree": x.degree, "target_degree": y.degree,
+        })
+    assert len(parts) > 1 and doc == want and [list(x) for x in doc["links"]] == [list(x) for x in want["links"]]
+    tables.write_graph(nodes.limit(0), edges.limit(0), str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == {"directed": False, "graph": {}, "nodes": [], "links": []}
 
 
 def test_stream(spark, tmp_path):
