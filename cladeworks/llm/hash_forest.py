@@ -14,7 +14,8 @@ recall of 0.9 needs that many, while close clusters are found within the first p
 Defined results: vectors that are null, empty, zero, or hold nulls or non-finite numbers take no part,
 as queries or as candidates; so do rows with a null id; rows with the query's own id are no candidates;
 vectors of another length than the query are not compared; ties go to the smaller id; with fewer than k
-candidates all are returned; an empty table gives an empty result; only id and vector are read, so other
+candidates all are returned; a repeated id is listed once, by its nearest vector, and never for a query of that id; query rows of one id
+with different vectors are answered apart, equal ones once; an empty table gives an empty result; only id and vector are read, so other
 columns cannot clash.
 """
 
@@ -63,6 +64,7 @@ class Forest:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.repeats = len(np.unique(ids)) < len(ids)
         keys = tree_keys(hash_strings(vectors))
         self.order = np.argsort(keys, axis=0, kind="stable").T.reshape(-1)
         self.sorted = np.sort(keys, axis=0).T.reshape(-1)
@@ -95,11 +97,14 @@ class Forest:
         found = self.candidates(tree_keys(hash_strings(query[None, :]))[0], max(LEAST_CANDIDATES, int(LEAST_SHARE * len(self.ids))))
         found = found[self.ids[found] != query_id]
         scores = cosines(self.vectors[found], self.norms[found], query)
-        if len(found) > k:
+        if len(found) > k and not self.repeats:
             bound = np.partition(scores, len(scores) - k)[len(scores) - k]
             keep = scores >= bound
             found, scores = found[keep], scores[keep]
-        best = np.lexsort((self.ids[found], -scores))[:k]
+        best = np.lexsort((self.ids[found], -scores))
+        if self.repeats:  # an id counts by its nearest vector
+            best = best[np.sort(np.unique(self.ids[found[best]], return_index=True)[1])]
+        best = best[:k]
         return self.ids[found[best]], scores[best]
 
 
@@ -127,7 +132,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
 
     for batch in batches:
         out = []
-        vectors = batch.column(3)
+        vectors, marks = batch.column(3), batch.column(4)
         for row, (where, query, i) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
             if where != shard:
                 shard, waiting, forests = where, [], None
@@ -139,10 +144,10 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 forests, waiting = build(), []
             if len(v) in forests:
                 ids, scores = forests[len(v)].nearest(i, v, k)
-                out += [(i, int(n), float(s)) for n, s in zip(ids, scores, strict=True)]
+                out += [(i, marks[row].as_py(), int(n), float(s)) for n, s in zip(ids, scores, strict=True)]
         if out:
-            q, n, s = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["query_id", "vec_id", "score"])
+            q, mark, n, s = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(mark, pa.int64()), pa.array(n, pa.int64()), pa.array(s, pa.float64())], ["query_id", "mark", "vec_id", "score"])
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
@@ -150,12 +155,14 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS) -> DataFra
     rows = index.count()
     shards = max(1, -(-rows // SHARD_ROWS), min(LEAST_SHARDS, -(-rows // LEAST_ROWS)))
     spread = F.pmod(F.xxhash64("_nn_id", "_nn_v"), F.lit(shards))
-    held = index.select(spread.alias("shard"), F.lit(0).alias("query"), "_nn_id", "_nn_v")
-    asked = queries.distinct().select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("query"), "_nn_id", "_nn_v")
+    mark = F.xxhash64("_nn_v").alias("mark")  # tells query rows of one id apart
+    held = index.select(spread.alias("shard"), F.lit(0).alias("query"), "_nn_id", "_nn_v", mark)
+    asked = queries.distinct().select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("query"), "_nn_id", "_nn_v", mark)
     together = held.unionByName(asked).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "query", "_nn_id")
-    found = together.mapInArrow(lambda it: _search(it, k), "query_id long, vec_id long, score double")
+    found = together.mapInArrow(lambda it: _search(it, k), "query_id long, mark long, vec_id long, score double")
     # A query's candidates from all shards: k a shard, so no group grows with the table's copies.
-    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = found.groupBy("query_id", "mark", "vec_id").agg(F.max("score").alias("score"))
+    nth = F.row_number().over(Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", nth).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

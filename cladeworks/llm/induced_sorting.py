@@ -4,7 +4,8 @@ S* suffixes (an S-type suffix after an L-type one) are sorted first: their subst
 induction pass and named, and the string of names is sorted by recursion. From them an ascending pass
 induces the L-type and a descending pass the S-type suffixes. A priority queue of (first symbol, arrival)
 is what both passes need; here it is one queue a symbol, whose blocks go to a scratch file once more than
-``memory`` suffixes wait, so a text may be far larger than memory. Positions move in whole blocks.
+``memory`` suffixes wait. Positions move in whole blocks. What waits is bounded by ``memory``; the text, its types, the names and the
+finished order are arrays in memory, some 20 bytes a symbol, so a shard's size is what bounds a task.
 
 A reduced string of at most ``base`` names is sorted by prefix doubling in memory, which also carries the
 common-prefix bound: two suffixes are told apart as far as ``depth`` symbols, which is all the caller asks.

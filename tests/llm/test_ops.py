@@ -960,3 +960,21 @@ def test_rule_ensemble_without_two_kinds(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1)], "doc_id long, quality int")
     model = rule_ensemble.fit(rows, labels)
     assert model.rules == [] and {round(r._qu_score, 6) for r in rule_ensemble.score(rows, model).collect()} == {round(2 / 3, 6)}
+
+
+def test_forest_repeated_ids(spark):
+    """Ids that are there twice, with equal or different vectors: no neighbour twice, query rows apart by vector."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(8)) for i in range(60)]
+    rows += [(50, rows[50][1] + 1e-3 * rng.standard_normal(8)), (14, rows[14][1]), (1, rows[1][1] + 1e-3), (1, rows[50][1] + 1e-4), (0, rows[0][1])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    vectors = hash_forest.usable(df, "vec_id", "embedding")
+    got = [tuple(r) for r in hash_forest.search(vectors, vectors.where("_nn_id % 50 = 0")).collect()]
+    want = Counter()
+    for q, v in {(i, tuple(v)) for i, v in rows if i % 50 == 0}:
+        best = {}
+        for i, x in rows:
+            if i != q:
+                best[i] = max(best.get(i, -2), float(hash_forest.cosines(x[None, :], np.sqrt((x[None, :] ** 2).sum(axis=1)), np.array(v))[0]))
+        want.update((q, rank, i, s) for rank, (s, i) in enumerate(sorted(((s, i) for i, s in best.items()), key=lambda t: (-t[0], t[1]))[:5], 1))
+    assert Counter(got) == want and len(got) == 15
