@@ -48,9 +48,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Tokens(NamedTuple):
-    """A vocabulary: how texts are encoded, and the bytes of each id."""
+    """A vocabulary: how a text is encoded, the bytes that a list of ids stands for, and those of each id."""
 
-    encode: Callable[[list[str]], list[np.ndarray]]
+    encode: Callable[[str], list[int]]
+    joined: Callable[[list[int]], bytes]
     pieces: list[bytes]
 
 
@@ -85,15 +86,11 @@ def byte_tokens(name: str = BYTE_VOCABULARY) -> Tokens:
         pieces[i] = piece
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            text = " " + text
-            ids = slow.encode(text, add_special_tokens=False).ids if _spaced_out(text) else fast.encode_ordinary(text)
-            out.append(np.array(ids, dtype=np.int64))
-        return out
+    def encode(text: str) -> list[int]:
+        text = " " + text
+        return slow.encode(text, add_special_tokens=False).ids if _spaced_out(text) else fast.encode_ordinary(text)
 
-    return Tokens(encode, pieces)
+    return Tokens(encode, fast.decode_bytes, pieces)
 
 
 @cache
@@ -104,7 +101,7 @@ def piece_tokens(name: str = PIECE_VOCABULARY) -> Tokens:
     model = sentencepiece.SentencePieceProcessor(model_file=_path(name))
     size = model.get_piece_size()
     pieces = [bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace("▁", " ").encode() for i in range(size)]
-    return Tokens(lambda texts: [np.array(model.encode(t), dtype=np.int64) for t in texts], pieces)
+    return Tokens(model.encode, lambda ids: b"".join(map(pieces.__getitem__, ids)), pieces)
 
 
 def _spaced_out(text: str) -> bool:
@@ -136,15 +133,13 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, a_name: str, b_name: st
             sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
             for at, end in _cuts(sizes):
                 part = batch.slice(at, end - at)
-                texts = part.column(2).to_pylist()
-                columns: list[list[bytes]] = [[b""] * len(texts), [b""] * len(texts)]
-                held = [i for i, t in enumerate(texts) if t]
-                ids = [side.encode([texts[i] for i in held]) for side in sides]
-                for k, i in enumerate(held):
-                    whole = b" " + texts[i].encode()
-                    if all(b"".join(map(side.pieces.__getitem__, x[k].tolist())) == whole for side, x in zip(sides, ids, strict=True)):
-                        for column, x, kind in zip(columns, ids, types, strict=True):
-                            column[i] = x[k].astype(kind).tobytes()
+                columns: list[list[bytes]] = [[b""] * part.num_rows, [b""] * part.num_rows]
+                for i, text in enumerate(part.column(2).to_pylist()):
+                    if text:
+                        whole, ids = b" " + text.encode(), [side.encode(text) for side in sides]
+                        if all(side.joined(x) == whole for side, x in zip(sides, ids, strict=True)):
+                            for column, x, kind in zip(columns, ids, types, strict=True):
+                                column[i] = np.array(x, dtype=kind).tobytes()
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, pa.binary()) for c in columns)], ["row", "doc_id", "a", "b"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
