@@ -13,8 +13,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeworks import schemas
 from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, TECHNOLOGIES, CloneParams, DirectParams, EnrichmentParams, NoiseParams, TimepointParams
-from cladeworks.operators import clones, direct, enrichment, noise, timepoints
+from cladeworks.operators import clones, direct, enrichment, noise, qc, timepoints
 from cladeworks.plans import reports
 from cladeworks.plans.pipeline import STEPS, Inputs, Pipeline, PipelineParams, retention_report, save
 from cladeworks.runtime import materialize
@@ -81,6 +82,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-mismatches", type=_whole(0), default=0)
     p.add_argument("--min-reads", type=_whole(0), default=1)
     p.add_argument("--max-distance", type=_whole(1), default=3, help="Levenshtein distance of clustering")
+    p.add_argument("--cluster-buckets", type=_whole(1), default=1, help="parts of the cells that clustering writes one by one")
+    p.add_argument("--resume", action="store_true", help="keep the parts that an earlier run with the same options finished")
     p.add_argument("--t0-clones")
     p.add_argument("--t0-filtered")
     p.add_argument("--control-clones")
@@ -91,6 +94,14 @@ def parser() -> argparse.ArgumentParser:
     for options in (_noise_options, _clone_options, _match_options, _enrichment_options):
         options(p)
 
+    p = commands.add_parser("reads", help="records of a processed file as a share of the original's")
+    for name in ("original", "processed", "out"):
+        p.add_argument(f"--{name}", required=True)
+
+    p = commands.add_parser("cells", help="molecules and genes by cell, cumulated")
+    p.add_argument("--addresses", required=True, help="lines of cell barcode, UMI and gene")
+    p.add_argument("--out", required=True)
+
     p = commands.add_parser("clones", help="corrected counts to clones, within one condition or across two")
     p.add_argument("--counts", required=True)
     p.add_argument("--other-counts", help="a second condition: clones then hold cells of both")
@@ -154,9 +165,9 @@ def run_pipeline(spark: SparkSession, a: argparse.Namespace) -> None:
     )
     params = PipelineParams(
         a.prefix, a.technology, a.max_mismatches, a.min_reads, a.max_distance, a.sample, _noise_params(a), _clone_params(a), _match_params(a),
-        EnrichmentParams(a.pseudocount, a.fdr_threshold, a.log2fc_threshold), capture=a.capture, barcode_length=a.barcode_length,
+        EnrichmentParams(a.pseudocount, a.fdr_threshold, a.log2fc_threshold), capture=a.capture, barcode_length=a.barcode_length, cluster_buckets=a.cluster_buckets,
     )
-    run = Pipeline(spark, f"{a.out}/steps", inputs, params)
+    run = Pipeline(spark, f"{a.out}/steps", inputs, params, a.resume)
     run.run(a.start, a.stop)
     save(run, a.out)
     if a.start <= 3 <= a.stop:
@@ -225,7 +236,23 @@ def run_enrich(spark: SparkSession, a: argparse.Namespace) -> None:
     reports.write_enrichment(spark, materialize(enrichment.run_enrichment(sizes["t0"], sizes["control"], sizes["treated"], p)), p, a.out)
 
 
-COMMANDS = {"pipeline": run_pipeline, "clones": run_clones, "match-timepoints": run_match, "direct": run_direct, "enrich": run_enrich}
+def run_reads(spark: SparkSession, a: argparse.Namespace) -> None:
+    """How many records of a file a later file still has."""
+    original, processed = (qc.record_count(spark, path) for path in (a.original, a.processed))
+    percent = processed / original * 100 if original else 0.0
+    tables.write_text(spark, tables.report("Reads", {"original": original, "processed": processed, "percent": percent}), f"{a.out}/reads.txt")
+
+
+def run_cells(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Cells by falling molecules with cumulative share and running means, from lines of barcode, UMI and gene."""
+    cells = qc.molecules_per_cell(tables.read_words(spark, a.addresses, schemas.GENE_ADDRESS, exact=False), "barcode")
+    rows = materialize(qc.cumulative_histogram(cells))
+    order = (F.desc("molecules"), "barcode")
+    _ordered(rows.select("barcode", "molecules", F.format_string("%f", "cum_fraction").alias("cum_fraction")), f"{a.out}/cumulative_histogram.tsv", *order)
+    _ordered(rows, f"{a.out}/cell_curves.tsv", *order)
+
+
+COMMANDS = {"reads": run_reads, "cells": run_cells, "pipeline": run_pipeline, "clones": run_clones, "match-timepoints": run_match, "direct": run_direct, "enrich": run_enrich}
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cladeworks.config import BARCODE_LENGTH, CAPTURE_SEQUENCE, CloneParams, DirectParams, EnrichmentParams, NoiseParams, TimepointParams
 from cladeworks.operators import clones, cluster, direct, enrichment, molecules, noise, timepoints
 from cladeworks.plans import reports
+from cladeworks.runtime import materialize
 from cladeworks.sources import tables
 
 
@@ -225,6 +226,9 @@ def save(pipeline: Pipeline, folder: str) -> None:
     if "clones" in got:
         rows = got["clones"]
         tables.write_tsv(rows.groupBy("cloneID", "clone_barcode").agg(F.count("*").alias("count")).orderBy("cloneID"), f"{folder}/cloneID_cloneBarcode.tsv", header=True)
+        kept = materialize(pipeline._filtered())
+        tables.write_tsv(kept.orderBy("cell_barcode", "rank"), f"{folder}/filtered.tsv", header=True)
+        tables.write_text(pipeline.spark, reports.poisson_report(noise.poisson_quality(kept)), f"{folder}/poisson.txt")
         tables.write_tsv(clones.clone_cells(rows).orderBy("cloneID", "cell_barcode"), f"{folder}/cloneID_cellBarcode.tsv", header=True)
     if "matches" in got:
         reports.write_matching(pipeline.spark, got["matches"], pipeline._own(), p.timepoints, folder)

@@ -52,6 +52,12 @@ def translate_filter(spark, d):
     return molecules.translate_cells(address_count(spark, d), fx.whitelist(spark, d), fx.allowed(spark, d), 0)
 
 
+def translate_filter_repeats(spark, d):
+    """At a least count of 1, over UMIs of three bases, most of which have several reads."""
+    counts = molecules.count_addresses(fx.reads(spark, d).withColumn("umi", F.substring("umi", 1, 3)))
+    return molecules.translate_cells(counts, fx.whitelist(spark, d), fx.allowed(spark, d), 1)
+
+
 def umi_counts(spark, d):
     return molecules.umi_counts(address_count(spark, d))
 
@@ -119,6 +125,11 @@ def clone_pairs_full(spark, d):
     return _rounded(clones.clone_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=1, quick_mode=False)))
 
 
+def clone_pairs_forced(spark, d):
+    """The quick pass and the full scan both report."""
+    return _rounded(clones.clone_pairs(_prepared(spark, d), p=CloneParams(hamming_threshold=1, force_hamming_all=True)))
+
+
 def clone_pairs_cross(spark, d):
     return _rounded(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")))
 
@@ -136,6 +147,10 @@ def clone_groups_cross(spark, d):
     return clones.clone_groups(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"), CloneParams(hamming_threshold=0))
 
 
+def clone_groups_cross_near(spark, d):
+    return clones.clone_groups(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"), CloneParams(hamming_threshold=1))
+
+
 def clone_barcodes(spark, d):
     prepared, groups = _groups(spark, d)
     return clones.clone_counts(groups, clones.clone_barcodes(prepared, groups))
@@ -248,6 +263,13 @@ def direct_exact(spark, d):
     return out.select("T0_cell_barcode", "T1_cell_barcode", "T1_barcode_count", "matched_barcodes", "jaccard_similarity", "match_rank")
 
 
+def merged_rows(spark, d):
+    """Cells of counts whose rows are repeated: rows of one barcode are summed."""
+    rows = materialize(fx.corrected(spark, d, T0))
+    cells = direct.cells_of(rows.unionByName(rows.where("umi_count > 1")))
+    return cells.select("cell", F.array_join("barcodes", ";").alias("barcodes"), "total")
+
+
 def direct_summary(spark, d):
     return _rounded(direct.match_summary(direct_matches(spark, d)))
 
@@ -429,11 +451,11 @@ def clone_size_histogram(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        umi_counts, wsn_mismatch, filter_mismatch, address_count, collapse_altered, collapse_barcodes, translate_filter, correct_counts, lost_cells, single_lineage, cluster_lineages,
-        noise_stats, noise_filtered, lineage_hist, poisson_fit, fuzzy_pairs, clone_pairs_within, clone_pairs_full, clone_pairs_cross, clone_groups, clone_barcodes, graph_nodes, graph_edges,
+        umi_counts, wsn_mismatch, filter_mismatch, address_count, collapse_altered, collapse_barcodes, translate_filter, translate_filter_repeats, correct_counts, lost_cells, single_lineage, cluster_lineages,
+        noise_stats, noise_filtered, lineage_hist, poisson_fit, fuzzy_pairs, clone_pairs_within, clone_pairs_full, clone_pairs_forced, clone_pairs_cross, clone_groups, clone_barcodes, graph_nodes, graph_edges,
         graph_statistics, matched_cells, legacy_clones, ranked_matches, ranked_matches_weighted, best_matches, unmatched_clones, match_statistics, top_match_cells, direct_matches,
-        direct_matches_weighted, direct_exact, direct_summary, clone_sizes, enrichment_results, enrichment_summary, fisher_test, cumulative_hist, retention, match_confidences, hamming_distances,
-        clone_groups_cross, few_lineage_clones, hub_cells, all_pairs_within, all_pairs_cross, top_changed, plot_points, ratio_histogram, barcode_sizes, fastq_records, fastq_extract, extraction_counts, addresses_file, molecules_file,
+        direct_matches_weighted, direct_exact, merged_rows, direct_summary, clone_sizes, enrichment_results, enrichment_summary, fisher_test, cumulative_hist, retention, match_confidences, hamming_distances,
+        clone_groups_cross, clone_groups_cross_near, few_lineage_clones, hub_cells, all_pairs_within, all_pairs_cross, top_changed, plot_points, ratio_histogram, barcode_sizes, fastq_records, fastq_extract, extraction_counts, addresses_file, molecules_file,
         corrections_file, whitelist_file, allow_list_file, counts_file, clones_file, clone_map_file, matches_file, graph_file, cell_counts, clone_size_histogram,
     )
 }
@@ -602,6 +624,14 @@ SQL = {
     "collapse_barcodes": f"""{_mol()}, {_SHORT}, {_ALTERED}
 SELECT CASE WHEN bc_old IS NULL THEN cell_barcode ELSE bc_new END AS cell_barcode, CASE WHEN bc_old IS NULL THEN umi ELSE concat(substr(cell_barcode, 16, 1), substr(umi, 1, 11)) END AS umi, lineage_barcode, sum(read_count)::BIGINT AS read_count
 FROM ok LEFT JOIN a ON bc_old = cell_barcode GROUP BY ALL""",
+    "translate_filter_repeats": f"""WITH {READS}, molecules AS (SELECT cell_barcode, substr(umi, 1, 3) AS umi, lineage_barcode, count(*) AS read_count FROM reads GROUP BY ALL), {_TRANSLATED.replace("read_count > 0", "read_count > 1")} SELECT * FROM t""",
+    "clone_groups_cross_near": f"{_pairs(True, 1)}, {_components('SELECT s1, c1, s2, c2 FROM near', 'SELECT source, cell FROM p0 UNION ALL SELECT source, cell FROM p1')}",
+    "clone_pairs_forced": f"""{_pairs(False, 1)} SELECT c1 AS cell_barcode_1, c2 AS cell_barcode_2, s1 AS source_condition_1, s2 AS source_condition_2, TRUE AS is_clone,
+  count(*) + count(*) FILTER (distance = 0) AS num_matches, 2 * count(*) FILTER (distance = 0) AS num_exact_matches, count(*) FILTER (distance > 0) AS num_hamming_matches, any_value(every) + count(*) FILTER (distance = 0) AS num_barcode_comparisons,
+  min(distance)::BIGINT AS min_observed_distance, min(distance)::BIGINT AS best_hamming_distance, round((sum(confidence) + coalesce(sum(confidence) FILTER (distance = 0), 0)) / (count(*) + count(*) FILTER (distance = 0)), 6) AS mean_match_confidence,
+  concat_ws(';', string_agg(m, ';' ORDER BY b1, b2) FILTER (distance = 0), string_agg(m, ';' ORDER BY b1, b2)) AS matched_barcode_pairs FROM told GROUP BY ALL""",
+    "merged_rows": f"""WITH {READS}, k AS ({fx.corrected_sql(T0)}), r AS (SELECT cell_barcode, corrected_lineage_barcode, umi_count FROM k UNION ALL SELECT cell_barcode, corrected_lineage_barcode, umi_count FROM k WHERE umi_count > 1)
+SELECT cell_barcode AS cell, string_agg(DISTINCT corrected_lineage_barcode, ';' ORDER BY corrected_lineage_barcode) AS barcodes, sum(umi_count)::BIGINT AS total FROM r GROUP BY 1""",
     "translate_filter": f"{_mol()}, {_TRANSLATED} SELECT * FROM t",
     "correct_counts": f"""{_mol()}, {_UMI}, k AS (SELECT cellbc AS cell_barcode, CASE WHEN lineage_barcode LIKE 'G%' THEN concat('A', substr(lineage_barcode, 2)) ELSE lineage_barcode END AS corrected_lineage_barcode, sum(unique_umi_count)::BIGINT AS umi_count FROM u GROUP BY ALL)
 SELECT *, sum(umi_count) OVER (PARTITION BY cell_barcode)::BIGINT AS total_molecules_per_cell, count(*) OVER (PARTITION BY cell_barcode) AS total_lineages_per_cell FROM k""",

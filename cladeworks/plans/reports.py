@@ -27,7 +27,7 @@ def write_matching(spark: SparkSession, ranked: DataFrame, t1: DataFrame, p: Tim
     tables.write_tsv(best.orderBy("T1_clone_id"), f"{out}/best_matches.txt", header=True)
     tables.write_tsv(timepoints.unmatched_clones(ranked, t1, p).orderBy("T1_clone_id"), f"{out}/unmatched_clones.txt", header=True)
     tables.write_tsv(timepoints.top_match_grid(ranked).orderBy("T1_clone_id"), f"{out}/top_matches.txt", header=True, single=True)
-    tables.write_tsv(timepoints.similarity_histogram(best).orderBy("bin"), f"{out}/similarity_histogram.txt", header=True, single=True)
+    tables.write_tsv(timepoints.similarity_histogram(best, 50).orderBy("bin"), f"{out}/similarity_histogram.txt", header=True, single=True)
     row = asdict(p) | timepoints.match_statistics(ranked, t1, p).first().asDict()
     tables.write_text(spark, tables.report("Matches of clones", row), f"{out}/matching_statistics.txt")
 

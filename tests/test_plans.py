@@ -181,6 +181,7 @@ def test_command_line(spark, reads):
     main(["pipeline", "--fastq1", at("r1.fastq.gz"), "--fastq2", at("r2.fastq.gz"), "--prefix", "I:R:F:", "--technology", "10xv3", "--whitelist", at("w.tsv"), "--allowed", at("a.tsv"), "--out", at("run"), "--min-reads", "0", "--max-distance", "1", *noise], spark)
     counts = [int(r.umi_count) for r in rows_of(spark, folder / "run/corrected.tsv")]
     assert counts == sorted(counts, reverse=True) and len(rows_of(spark, folder / "run/cloneID_cloneBarcode.tsv")) == 2 and len(rows_of(spark, folder / "run/retention.tsv")) == 3
+    assert len(rows_of(spark, folder / "run/filtered.tsv")) > 0 and any("lineages" in r.value for r in spark.read.text(at("run/poisson.txt")).collect())
     main(["clones", "--counts", at("run/corrected.tsv"), "--all-pairs", "--out", at("c"), *noise], spark)
     assert len(rows_of(spark, folder / "c/clone_pairs.tsv")) == 6 and any("components" in r.value for r in spark.read.text(at("c/clone_statistics.txt")).collect())
     own = ["--t0-clones", at("c/cloneID_cloneBarcode.tsv")]
@@ -194,6 +195,17 @@ def test_command_line(spark, reads):
         main(["match-timepoints", "--t0-clones", "x", "--t1-clones", "y", "--out", "z", "--similarity-threshold", "2"], spark)
 
 
+def test_quality_commands(spark, reads):
+    folder, _ = reads
+    (folder / "addresses.txt").write_text("a u1 g1\na u2 g1\nb u1 g1\na u3 g2\n")
+    main(["reads", "--original", str(folder / "r1.fastq.gz"), "--processed", str(folder / "addresses.txt"), "--out", str(folder / "q")], spark)
+    text = {r.value.split()[0]: r.value.split()[-1] for r in spark.read.text(str(folder / "q/reads.txt")).collect() if r.value}
+    assert (text["original"], text["processed"], text["percent"]) == ("400", "4", "1.0000")
+    main(["cells", "--addresses", str(folder / "addresses.txt"), "--out", str(folder / "q")], spark)
+    assert [tuple(r) for r in rows_of(spark, folder / "q/cumulative_histogram.tsv")] == [("a", "3", "0.750000"), ("b", "1", "1.000000")]
+    assert [(r.genes, r.mean_molecules, r.mean_genes) for r in rows_of(spark, folder / "q/cell_curves.tsv")] == [("2", "3.0", "2.0"), ("1", "2.0", "1.5")]
+
+
 def test_files(spark, tmp_path):
     path = lambda name, text: (tmp_path / name).write_text(text) and str(tmp_path / name)
     assert tables.read_addresses(spark, path("a", "r c u L 0\nbroken line\nr c u L 1 more\n")).count() == 1
