@@ -19,7 +19,7 @@ from cladeworks.functions.sequences import hamming
 from cladeworks.runtime import materialize, sized
 
 #: Segments chosen together at most, and the candidates a row below which one segment is good enough.
-MOST_CHOSEN, FEW_CANDIDATES = 4, 8
+MOST_CHOSEN, FEW_CANDIDATES = 4, 64
 
 
 def _segments(seq: Column, n: int) -> list[Column]:
