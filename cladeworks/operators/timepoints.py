@@ -129,6 +129,12 @@ def similarity_histogram(best: DataFrame, bins: int = 20) -> DataFrame:
     return best.groupBy(bin_.alias("bin")).agg(F.count("*").alias("clones"))
 
 
+def matched_sizes(best: DataFrame, p: TimepointParams = TimepointParams()) -> DataFrame:
+    """Points of the plot of matched clones' sizes: matches by both numbers of barcodes, with their mean similarity; as many rows as there are sizes."""
+    matched = best.where(F.col("similarity_score") >= p.similarity_threshold)
+    return matched.groupBy("num_T0_barcodes", "num_T1_barcodes").agg(F.count("*").alias("clones"), F.avg("similarity_score").alias("similarity_score"))
+
+
 def top_match_grid(ranked: DataFrame, clones: int = 30) -> DataFrame:
     """Similarities of the most similar best matches as a grid: a row a T1 clone, a column a T0 clone, 0 where there is none."""
     top = best_matches(ranked).orderBy(F.desc("similarity_score"), "T1_clone_id").limit(clones).select("T1_clone_id")

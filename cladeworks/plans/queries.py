@@ -15,6 +15,7 @@ from cladeworks.operators.similarity import hamming_pairs
 from cladeworks.plans import fixtures as fx
 from cladeworks.runtime import materialize, numbered, read_table, sized
 from cladeworks.sources import tables
+from cladeworks.streaming import addresses
 
 T0, CONTROL, TREATED = "A", "N", "R"
 READS = f"reads AS ({fx.sql(fx.READS)})"
@@ -238,6 +239,14 @@ def match_statistics(spark, d):
     return _rounded(timepoints.match_statistics(ranked, t1))
 
 
+def similarity_histogram(spark, d):
+    return timepoints.similarity_histogram(timepoints.best_matches(_ranked(spark, d)[0]), 50)
+
+
+def matched_sizes(spark, d):
+    return _rounded(timepoints.matched_sizes(timepoints.best_matches(_ranked(spark, d)[0]), TimepointParams(similarity_threshold=0.5)))
+
+
 def top_match_cells(spark, d):
     """The grid's cells in long form; the columns of a grid depend on the data."""
     ranked, _, _ = _ranked(spark, d)
@@ -448,6 +457,15 @@ def clone_size_histogram(spark, d):
     return groups.select("cloneID", "clone_size").distinct().groupBy("clone_size").agg(F.count("*").alias("clones"))
 
 
+def streamed_counts(spark, d):
+    """Reads of molecules, over UMIs of three bases, kept up to date while addresses arrive in several files."""
+    path, state, sink = (fx.folder(spark, n) for n in ("arriving", "state", "streamed"))
+    rows = _addresses(spark, d).select("readid", "cell_barcode", F.substring("umi", 1, 3).alias("umi"), "lineage_barcode", "mismatches")
+    tables.write_tsv(rows.repartition(4, "readid"), path)
+    addresses.write_counts(addresses.stream_molecules(addresses.stream_addresses(spark, path, 1), 0), state, sink, fold_every=2).awaitTermination()
+    return addresses.current_counts(spark, sink)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -456,7 +474,7 @@ QUERIES = {
         graph_statistics, matched_cells, legacy_clones, ranked_matches, ranked_matches_weighted, best_matches, unmatched_clones, match_statistics, top_match_cells, direct_matches,
         direct_matches_weighted, direct_exact, merged_rows, direct_summary, clone_sizes, enrichment_results, enrichment_summary, fisher_test, cumulative_hist, retention, match_confidences, hamming_distances,
         clone_groups_cross, clone_groups_cross_near, few_lineage_clones, hub_cells, all_pairs_within, all_pairs_cross, top_changed, plot_points, ratio_histogram, barcode_sizes, fastq_records, fastq_extract, extraction_counts, addresses_file, molecules_file,
-        corrections_file, whitelist_file, allow_list_file, counts_file, clones_file, clone_map_file, matches_file, graph_file, cell_counts, clone_size_histogram,
+        corrections_file, whitelist_file, allow_list_file, counts_file, clones_file, clone_map_file, matches_file, graph_file, cell_counts, clone_size_histogram, streamed_counts, similarity_histogram, matched_sizes,
     )
 }
 
@@ -654,6 +672,7 @@ SELECT count(s) AS matched, count(*) FILTER (matched_barcodes = 0) AS unmatched,
     "fastq_extract": f"WITH {READS} SELECT readid, cell_barcode, umi, b AS lineage_barcode, {_LONG_WSN} AS mismatches FROM (SELECT *, {fx.LONG_BARCODE} AS b FROM reads WHERE readid::BIGINT % 11 <> 0 AND readid::BIGINT % 13 <> 0 AND readid::BIGINT % 17 <> 0)",
     "extraction_counts": f"""WITH {READS}, x AS (SELECT *, readid::BIGINT % 13 <> 0 AS found, readid::BIGINT % 13 <> 0 AND readid::BIGINT % 17 <> 0 AS whole, readid::BIGINT % 11 <> 0 AS paired, {_LONG_WSN} AS mm FROM (SELECT *, {fx.LONG_BARCODE} AS b FROM reads))
 SELECT count(*) AS reads, count(*) FILTER (found) AS with_capture, count(*) FILTER (whole) AS with_barcode, count(*) FILTER (whole AND paired) AS emitted, count(*) FILTER (whole AND mm > 0) AS with_mismatches, count(*) FILTER (whole AND NOT paired) AS unpaired FROM x""",
+    "streamed_counts": f"WITH {READS} SELECT cell_barcode, substr(umi, 1, 3) AS umi, lineage_barcode, count(*) AS read_count FROM reads WHERE {_WSN} <= 0 GROUP BY ALL",
     "addresses_file": f"WITH {READS} SELECT readid, cell_barcode, umi, lineage_barcode, {_WSN} AS mismatches FROM reads",
     "molecules_file": f"{_mol()} SELECT * FROM molecules",
     "corrections_file": f"{_mol()}, {_UMI} SELECT cellbc AS cell_barcode, concat('A', substr(lineage_barcode, 2)) AS canonical_sequence, lineage_barcode AS sequence_in_cluster FROM u WHERE lineage_barcode LIKE 'G%'",
@@ -691,6 +710,8 @@ g AS (SELECT clone_barcode, count(*) AS cells, row_number() OVER (ORDER BY count
 UNION ALL SELECT DISTINCT clone_id, NULL::BIGINT, 0.0 FROM x1 WHERE clone_id NOT IN (SELECT "T1_clone_id" FROM ranked)""",
     "match_statistics": f"""{_RANKED}, b AS (SELECT n.clone_id, similarity_score AS s FROM ranked_n1 n LEFT JOIN ranked ON n.clone_id = "T1_clone_id" AND match_rank = 1)
 SELECT count(*) AS t1_clones, count(s) AS with_candidates, count(*) FILTER (s >= 0.8) AS matched, round(avg(s), 6) AS mean_similarity, round(median(s), 6) AS median_similarity, round(stddev_pop(s), 6) AS std_similarity, round(min(s), 6) AS min_similarity, round(max(s), 6) AS max_similarity FROM b""",
+    "similarity_histogram": f"{_RANKED} SELECT least(floor(similarity_score * 50), 49)::INT AS bin, count(*) AS clones FROM ranked WHERE match_rank = 1 GROUP BY 1",
+    "matched_sizes": f'{_RANKED} SELECT "num_T0_barcodes", "num_T1_barcodes", count(*) AS clones, round(avg(similarity_score), 6) AS similarity_score FROM ranked WHERE match_rank = 1 AND similarity_score >= 0.5 GROUP BY 1, 2',
     "top_match_cells": f"""{_RANKED}, t AS (SELECT "T1_clone_id" FROM ranked WHERE match_rank = 1 ORDER BY similarity_score DESC, "T1_clone_id" LIMIT 30) SELECT "T1_clone_id", "T0_clone_id", {_SIM} FROM ranked WHERE "T1_clone_id" IN (FROM t)""",
     "direct_exact": f"{_EXACT} SELECT * FROM x",
     "matches_file": f"""{_EXACT} SELECT "T0_cell_barcode", "T1_cell_barcode", "T1_barcode_count"::VARCHAR AS "T1_barcode_count", matched_barcodes::VARCHAR AS matched_barcodes, printf('%.6f', jaccard_similarity) AS jaccard_similarity, match_rank::VARCHAR AS match_rank FROM x""",

@@ -21,13 +21,14 @@ def poisson_report(fit: PoissonFit) -> str:
 
 
 def write_matching(spark: SparkSession, ranked: DataFrame, t1: DataFrame, p: TimepointParams, out: str) -> None:
-    """Ranked and best matches, unmatched clones, the grid of the best, statistics and the histogram of similarities."""
+    """Ranked and best matches, unmatched clones, the grid of the best, statistics, the histogram of similarities and the sizes of matched clones."""
     tables.write_tsv(ranked.orderBy("T1_clone_id", "match_rank"), f"{out}/ranked_matches.txt", header=True)
     best = timepoints.best_matches(ranked)
     tables.write_tsv(best.orderBy("T1_clone_id"), f"{out}/best_matches.txt", header=True)
     tables.write_tsv(timepoints.unmatched_clones(ranked, t1, p).orderBy("T1_clone_id"), f"{out}/unmatched_clones.txt", header=True)
     tables.write_tsv(timepoints.top_match_grid(ranked).orderBy("T1_clone_id"), f"{out}/top_matches.txt", header=True, single=True)
     tables.write_tsv(timepoints.similarity_histogram(best, 50).orderBy("bin"), f"{out}/similarity_histogram.txt", header=True, single=True)
+    tables.write_tsv(timepoints.matched_sizes(best, p).orderBy("num_T0_barcodes", "num_T1_barcodes"), f"{out}/matched_sizes.txt", header=True)
     row = asdict(p) | timepoints.match_statistics(ranked, t1, p).first().asDict()
     tables.write_text(spark, tables.report("Matches of clones", row), f"{out}/matching_statistics.txt")
 

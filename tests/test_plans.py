@@ -253,10 +253,23 @@ def test_graph_document(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.tsv").write_text("1\tc\tu\tL\t0\n2\tc\tu\tL\t0\n3\tc\tu\tM\t4\n")
-    counts = addresses.stream_molecules(addresses.stream_addresses(spark, str(tmp_path / "in")), 1)
-    for _ in range(2):
-        addresses.write_counts(counts, str(tmp_path / "state"), str(tmp_path / "out")).awaitTermination()
-        (tmp_path / "in" / "b.tsv").write_text("4\tc\tu\tL\t1\n")
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("c", "u", "L", 3)]
+    """Batches add what they changed, folding keeps every count, and a batch that is written again changes none."""
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    counts = addresses.stream_molecules(addresses.stream_addresses(spark, str(folder)), 1)
+    seen, changed = {}, []
+    for n, line in enumerate(["1\tc\tu\tL\t0\n2\tc\tu\tL\t0\n3\tc\tu\tM\t4\n", "4\tc\tu\tL\t1\n5\td\tu\tL\t1\n", "6\te\tu\tL\t1\n", "7\td\tu\tL\t0\n", "8\td\tv\tL\t0\n"]):
+        (folder / f"{n}.tsv").write_text(line)
+        for fields in (x.split("\t") for x in line.splitlines()):
+            if int(fields[4]) <= 1:
+                seen[tuple(fields[1:4])] = seen.get(tuple(fields[1:4]), 0) + 1
+        addresses.write_counts(counts, str(tmp_path / "state"), out, fold_every=3).awaitTermination()
+        changed.append(spark.read.parquet(f"{out}/kind=changed/batch={n}").count())
+        assert {(r[0], r[1], r[2]): r[3] for r in addresses.current_counts(spark, out).collect()} == seen
+    assert changed == [1, 2, 1, 1, 1]  # not the whole table each time
+    assert sorted(p.name for p in (tmp_path / "out").glob("kind=changed/*")) == ["batch=3", "batch=4"]
+    again = spark.createDataFrame([("c", "u", "L", 2)], "cell_barcode string, umi string, lineage_barcode string, read_count long")
+    again.write.parquet(f"{out}/kind=changed/batch=0")  # a batch of before the fold comes back
+    addresses.fold_counts(spark, out, 5)
+    assert len(list((tmp_path / "out").glob("kind=*/batch=*"))) == 1
+    assert {(r[0], r[1], r[2]): r[3] for r in addresses.current_counts(spark, out).collect()} == seen
