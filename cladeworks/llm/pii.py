@@ -1,15 +1,19 @@
 r"""Personal data by weak supervision, with native column expressions only.
 
 Patterns propose spans. A format, a gazetteer and a context labeler vote on each (for, against, or
-abstain). Expectation-maximisation over the table of vote combinations estimates how reliable each
-labeler is and how likely each combination is personal data; a logistic span classifier is trained on
-those soft labels and decides which of the proposed spans join the base ones, which always stay.
-The table has at most ``kinds x 3^3 x lengths`` rows whatever the corpus, so it alone comes to the driver.
+abstain); each kind has its own rules, and none of them is implied by the pattern that proposed the span.
+Expectation-maximisation over the table of vote combinations estimates how reliable each labeler is, how
+frequent true spans of each kind are, and so how likely each combination is personal data. A logistic span
+classifier is trained on those soft labels from the votes and from features of the text (length, share of
+digits, variety of characters, the word before); its weights become a column expression that decides which
+of the proposed spans join the base ones, which always stay.
+The table has at most ``kinds x 3^3 x 3^3 x CUE_BUCKETS`` rows whatever the corpus, so it alone comes to the driver.
 
 Base kinds follow a fixed contract: email, ip, card and phone, leftmost and not overlapping per kind,
 then a check (octets at most 255, Luhn, digit counts) that drops what fails. Further kinds are
 ``local`` (a phone number without a plus), ``ssn``, ``mail`` (a written-out address), ``name`` (a
-capitalised name after a title or cue) and ``secret`` (a quoted credential). Positions are code points,
+capitalised name after a title, or a known first name and a capitalised word) and ``secret`` (a quoted
+value that could be a credential). Positions are code points,
 the end exclusive.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results; whole texts are
@@ -19,10 +23,10 @@ scanned whatever their length; an empty table gives an empty result; helper colu
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,24 +41,43 @@ BASE = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: Gazetteers, fixed values: first names, words that make a capitalised pair a place or body, endings of domains.
+FIRST_NAMES = (
+    "Adam Ahmed Alan Albert Alejandro Alexander Ali Alice Amanda Amy Ana Andrea Andrew Angela Ann Anna Anne Anthony Antonio Barbara Benjamin Brian Carlos Carmen Carol Caroline Catherine Charles Charlotte Chen "
+    "Chloe Chris Christian Christine Christopher Claire Daniel David Deborah Diana Diego Dmitri Donald Dorothy Edward Elena Elizabeth Emily Emma Eric Fatima Felix Fernando Francesca Francisco Frank Gabriel George Giovanni Grace "
+    "Hannah Hans Harold Heather Helen Henry Ibrahim Igor Irene Isabel Ivan Jack Jacob James Jane Jason Javier Jean Jennifer Jessica Joan John Jonathan Jorge Jose Joseph Joshua Juan Julia Julie Karen Karl "
+    "Katherine Kevin Klaus Laura Lars Lena Leonard Linda Lisa Louis Lucas Lucia Luis Luke Magnus Margaret Maria Marie Mark Marta Martin Mary Matthew Michael Michelle Miguel Mohammed Nancy Natalia Nicholas Nicole "
+    "Olga Oliver Olivia Patricia Patrick Paul Pedro Peter Philip Pierre Rachel Rebecca Richard Robert Ronald Rosa Ruth Ryan Samuel Sandra Sarah Simon Sofia Sophie Stephanie Stephen Steven Susan Teresa Thomas Timothy "
+    "Ursula Victor Victoria Virginia Walter Wei William Yuki"
+).split()
+PLACES = "Airport Avenue Bay Beach Bridge Castle Cathedral Church City College County Court Day Falls Foundation Hall High Hospital House Institute Island Lake Lane Museum Park Prize River Road School Society Square Station Street Theatre Tower University Valley".split()
+DOMAINS = "ac app at au be biz br ca ch cn co com cz de dev dk edu es eu fi fr gov gr hu ie in info int io it jp kr me mil mx net nl no nz org pl pt ro ru se sg tr uk us za".split()
 #: Proposed kinds.
+TITLES = "Mr|Ms|Mrs|Dr|Prof|Herr|Frau|Mme|Sr|Sra"
 EXTRA = {
     "local": r"(?<![0-9+(.-])(?<![0-9+]\x20)\(?[2-9][0-9]{2}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "mail": r"(?i)(?<![a-z0-9._-])[a-z0-9._-]{2,}+\x20?[\[(]\x20?at\x20?[\])]\x20?[a-z0-9-]++(?:\x20?[\[(]\x20?dot\x20?[\])]\x20?[a-z0-9-]++)++",
-    "name": r"(?<=\b(?:Mr|Ms|Mrs|Dr|Herr|Frau|Mme|Sr|Sra)\.?\x20)[A-Z][a-z]++(?:\x20[A-Z][a-z]++)?",
-    "secret": r"(?<=\b(?:token|password|secret|api_key)\x20?=\x20?[\"'])[A-Za-z0-9_+/=-]{16,}+(?=[\"'])",
+    "name": rf"(?<![A-Za-z])(?=[A-Z])(?:(?<=\b(?:{TITLES})\.?\x20)[A-Z][a-z]++(?:\x20[A-Z][a-z]++)?|(?:{'|'.join(FIRST_NAMES)})\x20[A-Z][a-z]++)(?![A-Za-z])",
+    "secret": r"(?<=[=:]\x20?[\"'])[A-Za-z0-9_+/=-]{16,}+(?=[\"'])",
 }
 #: Characters of which a text must hold one for a kind's pattern to be tried.
-NEEDED = {"email": "@", "phone": "+", "mail": "[(", "ip": ".", "ssn": "-"}
+NEEDED = {"email": "@", "phone": "+", "mail": "[(", "ip": ".", "ssn": "-", "secret": "=:"}
 KINDS = [*BASE, *EXTRA]
-#: Gazetteers: endings of domains, names, first octets of private networks, card issuers' digits.
-DOMAINS = r"(?i)(?:com|org|net|edu|gov|io|info|de|fr|es|uk|eu)$"
-NAMES = r"^(?:Anna|Carlos|Claire|David|Elena|Emma|Hans|James|Jean|John|Juan|Julia|Karl|Laura|Louis|Lucia|Maria|Marie|Mary|Michael|Pedro|Peter|Robert|Sarah|Sophie|Thomas)\b"
-CUES = r"(?i)(?:e-?mail|mail|contact|call|phone|tel|mobile|fax|ip|host|address|addr|card|visa|iban|account|ssn|name|mr|ms|dr|token|password|secret|kontakt|telefon|correo|llamar|appel)[^A-Za-z0-9]{0,4}$"
-DENY = r"(?i)(?:version|release|section|chapter|figure|isbn|issn|order|invoice|no|nr|page)[^A-Za-z0-9]{0,4}$"
+#: Words that, just before a span, speak for its kind.
+_PHONES = "call|phone|tel|telephone|mobile|cell|fax|contact|whatsapp|telefon|llamar|appel"
+_MAILS = "e-?mail|mail|contact|reach|write|to|kontakt|correo"
+CUES = {
+    "email": _MAILS, "ip": "ip|host|address|addr|server|client|login", "card": "card|visa|mastercard|amex|iban|account|payment", "phone": _PHONES, "local": _PHONES,
+    "ssn": "ssn|security|social|taxpayer", "mail": _MAILS, "name": f"{TITLES}|name|regards|sincerely|author|patient|contact", "secret": "token|password|passwd|pwd|secret|api_?key|access_?key|auth|bearer|credential",
+}
+#: Words that speak against every kind, and those against one.
+DENY = "version|release|section|chapter|figure|isbn|issn|doi|order|invoice|no|nr|page|sku|serial|ticket|model|build|lot"
+DENY_KIND = {"secret": "href|src|class|style|id|rel|type|alt|title|sha1|sha256|md5|checksum|digest|hash|integrity|uuid|etag"}
 #: Characters before a span that the context labeler sees.
 CONTEXT = 32
+#: Hash buckets of the word before a span; bucket 0 is for none.
+CUE_BUCKETS = 32
 #: Positions summed at a time; keeps prefix sums linear on texts with very many matches.
 BLOCK = 256
 
@@ -83,6 +106,10 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _ends_in(before: Column, words: str) -> Column:
+    return before.rlike(rf"(?i)(?<![A-Za-z0-9])(?:{words})[^A-Za-z0-9]{{0,4}}$")
+
+
 def _votes(kind: str, hit: Column, before: Column) -> tuple[Column, Column, Column]:
     """1 for, 0 abstain, -1 against; in the order format, gazetteer, context."""
     digits = F.length(F.regexp_replace(hit, "[^0-9]", ""))
@@ -93,28 +120,46 @@ def _votes(kind: str, hit: Column, before: Column) -> tuple[Column, Column, Colu
         "phone": F.when(digits.between(10, 13), 1).otherwise(0),
         "local": F.when(hit.rlike(r"^\(?[2-9][0-9]{2}\)?[\x20.-][2-9]"), 1).otherwise(-1),
         "ssn": F.when(hit.rlike(r"^(?:000|666|9)|-00-|-0000$"), -1).otherwise(1),
-        "mail": F.when(hit.rlike(r"(?i)dot"), 1).otherwise(-1),
-        "name": F.when(hit.contains(" "), 1).otherwise(0),
+        "mail": F.when(hit.rlike(r"(?i)[a-z].*at.*[\])]\x20?[a-z]{2,12}$"), 1).otherwise(-1),
+        "name": F.when(hit.rlike("^[A-Z][a-z]+\x20[A-Z][a-z]+$"), 1).otherwise(0),
         "secret": F.when(hit.rlike("[0-9]") & hit.rlike("[A-Za-z]"), 1).otherwise(-1),
     }[kind]
+    domain = F.when(hit.rlike(rf"(?i)[^a-z](?:{'|'.join(DOMAINS)})$"), 1).otherwise(-1)
     listed = {
-        "email": F.when(hit.rlike(DOMAINS), 1).otherwise(-1),
+        "email": domain,
         "ip": F.when(hit.rlike(r"^(?:127\.|0\.|255\.)"), -1).otherwise(0),
         "card": F.when(hit.rlike("^[3-6]"), 1).otherwise(-1),
         "phone": F.when(hit.rlike(r"^\+[1-9]"), 1).otherwise(-1),
-        "mail": F.when(hit.rlike(DOMAINS), 1).otherwise(-1),
-        "name": F.when(hit.rlike(NAMES), 1).otherwise(0),
-    }.get(kind, F.lit(0))
-    context = F.when(before.rlike(DENY), -1).when(before.rlike(CUES), 1).otherwise(0)
+        # Toll-free and service numbers, numbers kept for fiction; numbers that were published as examples.
+        "local": F.when(hit.rlike(r"^\(?(?:8(?:00|33|44|55|66|77|88)|900|[2-9]11)|[\x20.-]555[\x20.-]01"), -1).otherwise(0),
+        "ssn": F.when(hit.isin("078-05-1120", "219-09-9999"), -1).otherwise(0),
+        "mail": domain,
+        "name": F.when(hit.rlike(rf"\x20(?:{'|'.join(PLACES)})$"), -1).when(hit.rlike(rf"^(?:{'|'.join(FIRST_NAMES)})\b"), 1).otherwise(0),
+        "secret": F.when(hit.rlike("(?i)example|placeholder|changeme|your|xxxx|dummy"), -1).when(hit.rlike("^(?:sk-|gh[pos]_|AKIA|xox[abp]-|eyJ|AIza)"), 1).otherwise(0),
+    }[kind]
+    against = f"{DENY}|{DENY_KIND[kind]}" if kind in DENY_KIND else DENY
+    context = F.when(_ends_in(before, against), -1).when(_ends_in(before, CUES[kind]), 1).otherwise(0)
     return shape, listed, context
 
 
+def _features(hit: Column, before: Column) -> list[Column]:
+    """Classes of the text that the classifier sees beside the votes."""
+    size, digits = F.length(hit), F.length(F.regexp_replace(hit, "[^0-9]", ""))
+    variety = F.size(F.array_distinct(F.split(hit, "")))
+    word = F.lower(F.regexp_extract(before, "([A-Za-z]+)[^A-Za-z0-9]{0,4}$", 1))
+    cue = F.when(word == "", 0).otherwise(F.crc32(word) % (CUE_BUCKETS - 1) + 1).cast("int")
+    return [
+        F.when(size < 12, 0).when(size < 20, 1).otherwise(2).alias("size"), F.when(digits == 0, 0).when(digits * 2 < size, 1).otherwise(2).alias("digits"),
+        F.when(variety < 5, 0).when(variety < 11, 1).otherwise(2).alias("variety"), cue.alias("cue"),
+    ]
+
+
 def _holds(characters: str) -> Column:
     return reduce(Column.__or__, [F.contains("_pi_text", F.lit(c)) for c in characters])
 
 
 def proposed_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_pi_spans``: kind number, start, end, the three votes and a length class."""
+    """``docs`` with ``_pi_spans``: kind number, start, end, the three votes and the classes of ``_features``."""
     df = docs.withColumn("_pi_text", F.coalesce(F.col(text_col), F.lit("")))
     none = F.array().cast("array<string>")
     hits = {k: F.regexp_extract_all("_pi_text", F.lit(p), F.lit(0)) for k, p in (BASE | EXTRA).items()}
@@ -141,9 +186,10 @@ def proposed_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
         valid = F.filter(F.arrays_zip(F.col(f"_pi_at_{kind}").alias("at"), F.col(f"_pi_hit_{kind}").alias("hit"), F.col(f"_pi_gap_{kind}").alias("gap")), lambda x: x["hit"].isNotNull() & _valid(kind, x["hit"]))
 
         def span(x: Column) -> Column:
-            shape, listed, context = _votes(kind, x["hit"], F.right(x["gap"], F.lit(CONTEXT)))
-            size = F.length(x["hit"])
-            return F.struct(x["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (x["at"] + size).alias("end"), shape.alias("shape"), listed.alias("listed"), context.alias("context"), F.when(size < 12, 0).when(size < 20, 1).otherwise(2).alias("size"))
+            before = F.right(x["gap"], F.lit(CONTEXT))
+            shape, listed, context = _votes(kind, x["hit"], before)
+            end = x["at"] + F.length(x["hit"])
+            return F.struct(x["at"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end"), shape.alias("shape"), listed.alias("listed"), context.alias("context"), *_features(x["hit"], before))
 
         return F.transform(valid, span)
 
@@ -151,66 +197,69 @@ def proposed_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return df.select(*docs.columns, "_pi_spans")
 
 
-@dataclass(frozen=True)
-class SpanModel:
-    """What is learned: labeler reliabilities by latent class, and the vote combinations that are kept."""
-
-    prior: float
-    reliability: list[list[list[float]]]
-    accepted: list[int]
+#: What the classifier sees of a span: fields, the number of values of each, and what is added so that they count from 0.
+FIELDS = {"kind": (len(KINDS), 0), "shape": (3, 1), "listed": (3, 1), "context": (3, 1), "size": (3, 0), "digits": (3, 0), "variety": (3, 0), "cue": (CUE_BUCKETS, 0)}
 
 
-def _code(kind: int, shape: int, listed: int, context: int, size: int) -> int:
-    return (((kind * 3 + shape + 1) * 3 + listed + 1) * 3 + context + 1) * 3 + size
+#: Chances of a vote against, an abstention and a vote for, of true and of other spans, before any data: rules that speak
+#: against a span are seldom wrong. In the estimate these, and even odds, count ``WRITTEN`` times as much as a kind's spans, so that
+#: kinds without contradicting votes do not drift to one class; that also fixes which class is which.
+VOTES_OF_TRUE, VOTES_OF_OTHER, WRITTEN = (0.01, 0.39, 0.6), (0.6, 0.3, 0.1), 2.0
 
 
-def train(table: list[tuple[tuple[int, int, int, int, int], int]], rounds: int = 50, steps: int = 300, rate: float = 0.5) -> SpanModel:
-    """From ``((kind, shape, listed, context, size), count)`` to a model; a table of a few hundred rows at most."""
-    prior, rel = 0.7, [[[0.1, 0.3, 0.6] for _ in range(3)], [[0.5, 0.35, 0.15] for _ in range(3)]]
-    soft: list[float] = []
+@dataclass(frozen=True)
+class SpanModel:
+    """What is learned of each kind: how frequent true spans are, the chances of each labeler's votes by latent class, and the classifier's weights, as lists by kind and value."""
+
+    prior: list[float]
+    reliability: list[list[list[list[float]]]]
+    weights: dict[str, list[list[float]]]
+
+    def score(self, span: tuple[int, ...]) -> float:
+        return sum(self.weights[f][span[0]][v + up] for (f, (_, up)), v in zip(FIELDS.items(), span, strict=True))
+
+    def accepts(self, span: Column) -> Column:
+        at = lambda f, n, up: F.element_at(F.array(*[F.lit(w) for row in self.weights[f] for w in row]), span["kind"] * n + span[f] + up + 1)
+        return sum((at(f, n, up) for f, (n, up) in FIELDS.items()), F.lit(0.0)) > 0
+
+
+def train(table: list[tuple[tuple[int, ...], int]], rounds: int = 50, steps: int = 400, rate: float = 0.5, ridge: float = 0.002) -> SpanModel:
+    """From ``((value of each of FIELDS), count)`` to a model; each kind is fitted by itself, however many spans it has."""
+    rows = np.array([r for r, _ in table], dtype=int).reshape(-1, len(FIELDS)) + [up for _, up in FIELDS.values()]
+    n = np.array([c for _, c in table], dtype=float)
+    kind, votes, kinds = rows[:, 0], rows[:, 1:4], len(KINDS)
+    of_kind = np.bincount(kind, n, kinds)
+    written = np.array([VOTES_OF_TRUE, VOTES_OF_OTHER])
+    held = np.maximum(2.0, WRITTEN * of_kind)
+    prior, rel = np.full(kinds, 0.5), np.tile(written[:, None, None, :], (1, kinds, 3, 1))  # class, kind, labeler, vote
+    soft = np.zeros(len(rows))
     for _ in range(rounds):
-        soft = []
-        for (_, *votes, _), _ in table:
-            yes = prior * math.prod(rel[0][i][v + 1] for i, v in enumerate(votes))
-            no = (1 - prior) * math.prod(rel[1][i][v + 1] for i, v in enumerate(votes))
-            soft.append(yes / (yes + no))
-        mass = [2.0 + sum(n * p for (_, n), p in zip(table, soft, strict=True)), 1.0 + sum(n * (1 - p) for (_, n), p in zip(table, soft, strict=True))]
-        prior = mass[0] / sum(mass)
-        for z in (0, 1):
+        chance = [np.prod([rel[z, kind, i, votes[:, i]] for i in range(3)], axis=0) for z in (0, 1)]
+        soft = prior[kind] * chance[0] / (prior[kind] * chance[0] + (1 - prior[kind]) * chance[1])
+        prior = (np.bincount(kind, n * soft, kinds) + held / 2) / (of_kind + held)
+        for z, mass in enumerate((n * soft, n * (1 - soft))):
             for i in range(3):
-                # Pseudo-counts say that labelers are better than chance; they also fix which class is which.
-                start = ([0.5, 1.0, 2.0], [2.0, 1.0, 0.5])[z]
-                seen = [start[v] + sum(n * (p if z == 0 else 1 - p) for ((_, *votes, _), n), p in zip(table, soft, strict=True) if votes[i] == v - 1) for v in range(3)]
-                rel[z][i] = [x / sum(seen) for x in seen]
-
-    def features(row: tuple[int, int, int, int, int]) -> list[int]:
-        kind, shape, listed, context, size = row
-        return [0, 1 + kind, 10 + shape + 1, 13 + listed + 1, 16 + context + 1, 19 + size]
-
-    weights, total = [0.0] * 22, sum(n for _, n in table) or 1
+                seen = np.bincount(kind * 3 + votes[:, i], mass, kinds * 3).reshape(kinds, 3) + held[:, None] * written[z]
+                rel[z, :, i] = seen / seen.sum(axis=1, keepdims=True)
+    sizes = [size for size, _ in FIELDS.values()]
+    at = kind[:, None] * sizes + rows + np.cumsum([0, *[kinds * size for size in sizes[:-1]]])
+    share, weights = n / of_kind[kind], np.zeros(kinds * sum(sizes))
     for _ in range(steps):
-        slope = [0.02 * w for w in weights]
-        for (row, n), p in zip(table, soft, strict=True):
-            on = features(row)
-            miss = 1 / (1 + math.exp(-sum(weights[j] for j in on))) - p
-            for j in on:
-                slope[j] += n / total * miss
-        weights = [w - rate * s for w, s in zip(weights, slope, strict=True)]
-    kept = [_code(*row) for row, _ in table if sum(weights[j] for j in features(row)) > 0]
-    return SpanModel(prior, rel, sorted(kept))
+        miss = share * (1 / (1 + np.exp(-weights[at].sum(axis=1))) - soft)
+        weights = weights - rate * (ridge * weights + np.bincount(at.ravel(), np.repeat(miss, len(FIELDS)), len(weights)))
+    parts = np.split(weights, np.cumsum([kinds * size for size in sizes])[:-1])
+    return SpanModel(prior.tolist(), rel.tolist(), {f: w.reshape(kinds, -1).tolist() for f, w in zip(FIELDS, parts, strict=True)})
 
 
 def fit(spans: DataFrame) -> SpanModel:
-    """Counts of vote combinations over every span of the corpus; then EM and the classifier."""
-    each = spans.select(F.explode("_pi_spans").alias("s")).groupBy("s.kind", "s.shape", "s.listed", "s.context", "s.size").count()
-    return train(sorted(((r[0], r[1], r[2], r[3], r[4]), r[5]) for r in each.collect()))
+    """Counts of combinations of votes and classes over every span of the corpus; then EM and the classifier."""
+    each = spans.select(F.explode("_pi_spans").alias("s")).groupBy(*[f"s.{f}" for f in FIELDS]).count()
+    return train(sorted((tuple(r[:-1]), r[-1]) for r in each.collect()))
 
 
 def accepted_spans(spans: DataFrame, model: SpanModel) -> DataFrame:
     """``_pi_spans`` reduced to the base kinds and to what the classifier accepts."""
-    code = lambda s: (((s["kind"] * 3 + s["shape"] + 1) * 3 + s["listed"] + 1) * 3 + s["context"] + 1) * 3 + s["size"]
-    keep = lambda s: (s["kind"] < len(BASE)) | (code(s).isin(model.accepted) if model.accepted else F.lit(False))
-    return spans.withColumn("_pi_spans", F.filter("_pi_spans", keep))
+    return spans.withColumn("_pi_spans", F.filter("_pi_spans", lambda s: (s["kind"] < len(BASE)) | model.accepts(s)))
 
 
 def _label(s: Column) -> Column:
