@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeworks.config import DirectParams
-from cladeworks.functions.sequences import greedy_one_to_one
 from cladeworks.functions.statistics import exact_median
+from cladeworks.operators import blocks
 from cladeworks.operators.similarity import hamming_pairs
-from cladeworks.runtime import materialize
+from cladeworks.runtime import materialize, numbered
 
 NO_MATCH = "NO_MATCH"
 
@@ -20,22 +20,20 @@ def cells_of(corrected: DataFrame) -> DataFrame:
     return summed.groupBy("cell").agg(F.array_sort(F.collect_list("barcode")).alias("barcodes"), F.map_from_entries(F.collect_list(F.struct("barcode", "umi"))).alias("umis"), F.sum("umi").alias("total"))
 
 
-def _candidates(near: DataFrame, of_new: DataFrame, of_old: DataFrame, p: DirectParams) -> DataFrame:
-    """``(t1_cell, t0_cell)`` of pairs that may match, without meeting at common barcodes.
+def _pairs(near: DataFrame, new: DataFrame, old: DataFrame, p: DirectParams) -> DataFrame:
+    """``(t1_cell, t0_cell, matched, mean_distance, shared, ...)`` of pairs that reach the thresholds, with both cells' numbers of barcodes and UMIs.
 
-    A pair with at least m matches, taken one to one, has one among all but m - 1 of the T1 cell's barcodes.
-    So only those with the fewest owners of near barcodes look for partners. m is ``min_matched_barcodes``;
-    without UMI weights also the Jaccard threshold's share of either cell, which bounds their sizes too.
+    Cells meet block by block, so no row is made for a barcode that a pair shares, nor for a pair below the thresholds.
     """
-    j = 0.0 if p.use_umi_weighting else p.jaccard_threshold
-    least = lambda n: F.greatest(F.lit(p.min_matched_barcodes), F.ceil(F.round(F.col(n) * j, 9)).cast("int"))
-    owners = of_old.groupBy("b2").agg(F.count("*").alias("owners"))
-    common = near.join(owners, "b2").groupBy("b1").agg(F.sum("owners").alias("owners"))
-    rare = Window.partitionBy("t1_cell").orderBy(F.coalesce("owners", F.lit(0)), "b1")
-    first = of_new.join(common, "b1", "left").withColumn("nth", F.row_number().over(rare)).where(F.col("nth") <= F.col("t1_cell_n") - least("t1_cell_n") + 1)
-    met = first.where("owners is not null").join(near, "b1").join(of_old, "b2")
-    fits = (F.col("t0_cell_n") >= least("t1_cell_n")) & (F.col("t1_cell_n") >= least("t0_cell_n"))
-    return met.where(fits).select("t1_cell", "t0_cell").distinct()
+    named = lambda df: materialize(numbered(df.select("cell", "umis", F.size("barcodes").alias("n"), "total"), "id", F.col("cell")))
+    new, old = named(new), named(old)
+    rows = lambda df: df.select("id", F.explode("umis").alias("barcode", "value"))
+    facts = lambda df: df.select("id", F.array(F.col("n").cast("long"), F.col("total").cast("long")).alias("facts"))
+    judge = blocks.one_to_one(p.min_matched_barcodes, p.jaccard_threshold, p.use_umi_weighting, p.top_n)
+    found = blocks.compare(rows(new), facts(new), rows(old), facts(old), near, judge, "t1 long, t0 long, matched long, distance long, shared long")
+    side = lambda df, n: df.select(F.col("id").alias(n), F.col("cell").alias(f"{n}_cell"), F.col("n").alias(f"{n}_n"), F.col("total").alias(f"{n}_total"))
+    pairs = found.join(side(new, "t1"), "t1").join(side(old, "t0"), "t0")
+    return pairs.withColumn("matched", F.col("matched").cast("int")).withColumn("mean_distance", F.col("distance") / F.col("matched"))
 
 
 def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams()) -> DataFrame:
@@ -47,32 +45,23 @@ def match_cells(t0: DataFrame, t1: DataFrame, p: DirectParams = DirectParams())
     """
     old, new = materialize(cells_of(t0)), materialize(cells_of(t1))
     near = materialize(hamming_pairs(t1.select("corrected_lineage_barcode"), t0.select("corrected_lineage_barcode"), p.hamming_threshold, strict_length=True))
-    owners = lambda df, b, c: df.select(F.explode("barcodes").alias(b), F.col("cell").alias(c), F.size("barcodes").alias(f"{c}_n"))
-    of_new, of_old = owners(new, "b1", "t1_cell"), owners(old, "b2", "t0_cell")
-    met = _candidates(near, of_new, of_old, p).join(of_new.drop("t1_cell_n"), "t1_cell").join(near, "b1").join(of_old.drop("t0_cell_n"), ["t0_cell", "b2"])
-    # Few bytes but much work: partitions stay as many as configured instead of being joined by size.
-    met = met.repartition(int(t0.sparkSession.conf.get("spark.sql.shuffle.partitions")), "t1_cell", "t0_cell")
-    pairs = met.groupBy("t1_cell", "t0_cell").agg(F.collect_list(F.struct("distance", F.col("b1").alias("t1"), F.col("b2").alias("t0"))).alias("edges"))
-    pairs = pairs.withColumn("taken", greedy_one_to_one(F.col("edges"))).withColumn("matched", F.size("taken")).where(F.col("matched") >= p.min_matched_barcodes)
-    side = lambda df, n: df.select(F.col("cell").alias(f"{n}_cell"), F.col("barcodes").alias(f"{n}_barcodes"), F.col("umis").alias(f"{n}_umis"), F.col("total").alias(f"{n}_total"))
-    pairs = pairs.join(side(new, "t1"), "t1_cell").join(side(old, "t0"), "t0_cell")
-    union = F.size("t0_barcodes") + F.size("t1_barcodes") - F.col("matched")
-    shared = F.aggregate("taken", F.lit(0).cast("long"), lambda s, m: s + F.least(F.coalesce(F.try_element_at("t1_umis", m["t1"]), F.lit(0).cast("long")), F.coalesce(F.try_element_at("t0_umis", m["t0"]), F.lit(0).cast("long"))))
-    pairs = pairs.withColumn("shared", shared)
+    pairs = _pairs(near, new, old, p)
+    union = F.col("t0_n") + F.col("t1_n") - F.col("matched")
     weighted_union = F.col("t0_total") + F.col("t1_total") - F.col("shared")
     pairs = pairs.withColumns({
         "jaccard": F.when(union > 0, F.col("matched") / F.nullif(union, F.lit(0))).otherwise(0.0),
         "weighted": F.when(weighted_union > 0, F.col("shared") / F.nullif(weighted_union, F.lit(0).cast("long"))).otherwise(0.0),
-        "mean_distance": F.aggregate("taken", F.lit(0.0), lambda s, m: s + m["distance"]) / F.col("matched"),
     })
     score = "weighted" if p.use_umi_weighting else "jaccard"
     order = Window.partitionBy("t1_cell").orderBy(F.desc(score), F.desc("matched"), "mean_distance", "t0_cell")
     ranked = pairs.where(F.col(score) >= p.jaccard_threshold).withColumn("match_rank", F.row_number().over(order))
     if p.top_n:
         ranked = ranked.where(F.col("match_rank") <= p.top_n)
+    ranked = materialize(ranked)
     extra = {"umi_weighted_similarity": F.round("weighted", 6)} if p.use_umi_weighting else {}
     text = lambda c: F.array_join(c, ";")
-    rows = ranked.select(
+    side = lambda df, n: df.select(F.col("cell").alias(f"{n}_cell"), F.col("barcodes").alias(f"{n}_barcodes"))
+    rows = ranked.join(side(new, "t1"), "t1_cell").join(side(old, "t0"), "t0_cell").select(
         F.col("t0_cell").alias("T0_cell_barcode"), text("t0_barcodes").alias("T0_barcodes"), F.size("t0_barcodes").alias("T0_barcode_count"), F.col("t1_cell").alias("T1_cell_barcode"), text("t1_barcodes").alias("T1_barcodes"), F.size("t1_barcodes").alias("T1_barcode_count"),
         F.col("matched").alias("matched_barcodes"), F.round("jaccard", 6).alias("jaccard_similarity"), *[c.alias(n) for n, c in extra.items()], "match_rank",
     )
