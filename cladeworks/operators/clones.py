@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from cladeworks.config import CloneParams
 from cladeworks.functions.sequences import hamming, match_confidence, serialise_matches
+from cladeworks.operators import blocks
 from cladeworks.operators.components import connected_components
 from cladeworks.operators.similarity import hamming_pairs
 from cladeworks.runtime import materialize, numbered
 
 HUB_DEGREE = 10
-#: Classes that a barcode lists as its owners; barcodes of more are bitmaps.
+#: Classes that own a barcode at most where they are listed; beyond it classes meet in blocks.
 LISTED_OWNERS = 64
 #: Output columns, in the order that readers of the files expect.
 PAIR = ["source_condition_1", "cell_barcode_1", "source_condition_2", "cell_barcode_2"]
@@ -126,36 +127,26 @@ def _class_degrees(cells: list[DataFrame], owned: list[DataFrame], near: DataFra
     """``(class, degree)``: matched cells of a cell, on either side."""
     if len(cells) == 1:  # a class meets itself, but a cell is not its own match
         return _met_cells(owned[0], near, cells[0], owned[0]).select("class", (F.col("degree") - 1).alias("degree"))
-    back = near.select(F.col("b2").alias("b1"), F.col("b1").alias("b2"))
+    back = near.select(F.col("b2").alias("b1"), F.col("b1").alias("b2"), "distance")
     return _met_cells(owned[0], near, cells[1], owned[1]).unionByName(_met_cells(owned[1], back, cells[0], owned[0]))
 
 
 def _met_cells(classes: DataFrame, near: DataFrame, cells: DataFrame, owned: DataFrame) -> DataFrame:
     """``(class, degree)``: the cells that own a barcode near one of the class's. No pair of classes meets at a barcode that many own.
 
-    Barcodes of few classes list those; barcodes of many are bitmaps of their owners' cells. Classes near the same set of
-    bitmaps share one union, whose bits are counted once, and listed classes that are in the union too are left out.
+    Where every barcode has few owners these are listed; else classes meet block by block, and a block's count leaves the task.
     """
-    counts = owned.groupBy("barcode").agg(F.count("*").alias("owners"))
-    links = materialize(classes.join(near.withColumnRenamed("b1", "barcode"), "barcode").select("class", F.col("b2").alias("barcode")).distinct().join(counts, "barcode"))
-    few, many = links.where(F.col("owners") <= LISTED_OWNERS), links.where(F.col("owners") > LISTED_OWNERS)
     sizes = cells.groupBy("class").agg(F.count("*").alias("n"))
-    other = owned.withColumnRenamed("class", "other")
-    listed = few.join(other, "barcode").select("class", "other").distinct()
-    if many.isEmpty():
+    if owned.groupBy("barcode").count().where(F.col("count") > LISTED_OWNERS).isEmpty():
+        other = owned.select(F.col("class").alias("other"), F.col("barcode").alias("b2"))
+        listed = classes.withColumnRenamed("barcode", "b1").join(near, "b1").join(other, "b2").select("class", "other").distinct()
         return listed.join(sizes.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.sum("n").alias("degree"))
-    hot = materialize(other.join(counts.where(F.col("owners") > LISTED_OWNERS), "barcode").select("barcode", "other"))
-    covered = listed.join(hot, "other").join(many.select("class", "barcode"), ["class", "barcode"], "left_semi").select("class", "other").distinct()
-    apart = listed.join(covered, ["class", "other"], "left_anti").join(sizes.withColumnRenamed("class", "other"), "other")
-    # Cells of a class have neighbouring bits, so a class takes as few bitmaps as it can.
-    bits = numbered(cells.select(F.col("class").alias("other"), "cell"), "bit", F.col("other"), F.col("cell"))
-    bitmaps = hot.join(bits, "other").groupBy("barcode", F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
-    named = materialize(many.groupBy("class").agg(F.array_sort(F.collect_set("barcode")).alias("barcodes")).withColumn("profile", F.md5(F.array_join("barcodes", "_"))))
-    profiles = named.groupBy("profile").agg(F.first("barcodes").alias("barcodes")).select("profile", F.explode("barcodes").alias("barcode"))
-    unions = profiles.join(bitmaps, "barcode").groupBy("profile", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    united = unions.groupBy("profile").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
-    both = named.join(united, "profile").select("class", "n").unionByName(apart.select("class", "n"))
-    return both.groupBy("class").agg(F.sum("n").alias("degree"))
+    named = lambda df: materialize(numbered(df.select("class").distinct(), "id", F.col("class")))
+    ours, theirs = named(classes), named(owned)
+    rows = lambda df, ids: df.join(ids, "class").select("id", "barcode", F.lit(0).alias("value"))
+    facts = theirs.join(sizes, "class").select("id", F.array("n").alias("facts"))
+    found = blocks.compare(rows(classes, ours), ours.select("id", F.array().cast("array<bigint>").alias("facts")), rows(owned, theirs), facts, near, blocks.count_met, "id long, n long")
+    return found.groupBy("id").agg(F.sum("n").alias("degree")).join(ours, "id").select("class", "degree")
 
 
 def hub_cells(groups: DataFrame, degree: int = HUB_DEGREE) -> DataFrame:
