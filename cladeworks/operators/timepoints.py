@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from cladeworks.config import TimepointParams
 from cladeworks.functions.statistics import exact_median
+from cladeworks.operators import blocks
 from cladeworks.operators.similarity import hamming_pairs
-from cladeworks.runtime import materialize
+from cladeworks.runtime import materialize, numbered
 
-#: T0 clones that own a barcode which is still probed clone by clone.
+#: T0 clones that own a barcode at most where pairs are listed; beyond it clones meet in blocks.
 COMMON_OWNERS = 64
 
 
@@ -35,43 +36,28 @@ def _similarity(matched: Column) -> Column:
 
 
 def _candidates(near: DataFrame, t0: DataFrame, t1: DataFrame, top_n: int) -> DataFrame:
-    """``(T1_clone_id, T0_clone_id)``: a superset of the best ``top_n`` pairs of each T1 clone, without meeting at barcodes that many T0 clones own.
+    """``(T1_clone_id, T0_clone_id)``: the best ``top_n`` pairs of each T1 clone, without meeting at barcodes that many T0 clones own.
 
-    Rare barcodes are probed first: pairs that they tie have a score at least that of these matches, and the ``top_n``-th such score
-    closes a T1 clone if no pair tied by its common barcodes alone can reach it. For the others only what those common barcodes are
-    counts, so T1 clones with the same ones share a profile. Among the pairs of a profile with the same number of matches the smaller T0
-    clone is better, then the lesser id, whatever the T1 clone's size; so ``top_n`` T0 clones for each number are enough. A rarely tied pair beats its
-    place in that list, so the best of both together are the best of all.
+    Where every barcode is rare the pairs that they tie are listed and counted. Else clones meet block by block, and a tile's best leave the task.
     """
     owners = t0.groupBy("T0_barcode").agg(F.count("*").alias("owners"))
     tagged = near.join(owners.select("T0_barcode", (F.col("owners") > COMMON_OWNERS).alias("common")), "T0_barcode").select("T1_barcode", "T0_barcode", "common")
-    rare = tagged.where("not common").join(t1.select("T1_clone_id", "T1_barcode", "num_T1_barcodes"), "T1_barcode").join(t0.select("T0_clone_id", "T0_barcode", "num_T0_barcodes"), "T0_barcode")
+    rare = tagged.join(t1.select("T1_clone_id", "T1_barcode", "num_T1_barcodes"), "T1_barcode").join(t0.select("T0_clone_id", "T0_barcode", "num_T0_barcodes"), "T0_barcode")
     sizes = [F.first(c).alias(c) for c in ("num_T1_barcodes", "num_T0_barcodes")]
     tied = rare.groupBy("T1_clone_id", "T0_clone_id").agg(F.countDistinct("T1_barcode").alias("matched"), *sizes)
     nth = Window.partitionBy("T1_clone_id").orderBy(F.desc("least"), "T0_clone_id")
     tied = tied.withColumn("least", _similarity(F.col("matched"))).withColumn("nth", F.row_number().over(nth))
     if not tagged.where("common").limit(1).count():  # the scores are whole
         return tied.where(F.col("nth") <= top_n).select("T1_clone_id", "T0_clone_id")
-    tied = materialize(tied)
-    # A T1 barcode counts by the common barcodes near it, a T1 clone by the list of these.
-    signs = materialize(tagged.where("common").groupBy("T1_barcode").agg(F.array_sort(F.collect_set("T0_barcode")).alias("common")).withColumn("sign", F.md5(F.array_join("common", "_"))))
-    clones = t1.join(signs.select("T1_barcode", "sign"), "T1_barcode").groupBy("T1_clone_id", "num_T1_barcodes").agg(F.array_sort(F.collect_list("sign")).alias("signs"))
-    clones = materialize(clones.withColumn("profile", F.md5(F.array_join("signs", "_"))).withColumn("common", F.size("signs").cast("long")))
-    held = tied.where(F.col("nth") == top_n).select("T1_clone_id", F.col("least").alias("reached"))
-    least_size = t0.agg(F.min("num_T0_barcodes")).first()[0] or 1
-    bound = F.col("common") / (F.col("num_T1_barcodes") + F.lit(least_size) - F.col("common"))
-    open_ = clones.join(held, "T1_clone_id", "left").where(F.col("reached").isNull() | (F.col("reached") <= bound))
-    profiles = open_.groupBy("profile").agg(F.first("signs").alias("signs")).select("profile", F.explode("signs").alias("sign")).groupBy("profile", "sign").agg(F.count("*").alias("times"))
-    holders = signs.groupBy("sign").agg(F.first("common").alias("common")).select("sign", F.explode("common").alias("T0_barcode")).join(t0, "T0_barcode").select("sign", "T0_clone_id", "num_T0_barcodes").distinct()
-    met = profiles.join(holders, "sign").groupBy("profile", "T0_clone_id", "num_T0_barcodes").agg(F.sum("times").alias("matched"))
-    first = Window.partitionBy("profile", "matched").orderBy("num_T0_barcodes", "T0_clone_id")
-    listed = met.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= top_n)
-    best = Window.partitionBy("T1_clone_id").orderBy(F.desc("least"), "T0_clone_id")
-    commonly = open_.join(listed.drop("nth"), "profile").withColumn("least", _similarity(F.col("matched"))).withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= top_n)
-    # Common matches may lift a pair tied by a rare barcode: it stays if with all of them it could reach the top.
-    most = F.least(F.col("matched") + F.coalesce("common", F.lit(0).cast("long")), F.col("num_T1_barcodes"))
-    rarely = tied.join(clones.select("T1_clone_id", "common"), "T1_clone_id", "left").join(held, "T1_clone_id", "left").where(F.col("reached").isNull() | (_similarity(most) >= F.col("reached")))
-    return rarely.select("T1_clone_id", "T0_clone_id").unionByName(commonly.select("T1_clone_id", "T0_clone_id")).distinct()
+    named = lambda df, n: materialize(numbered(df.groupBy(f"{n}_clone_id").agg(F.first(f"num_{n}_barcodes").alias("n")), "id", F.col(f"{n}_clone_id")))
+    new, old = named(t1, "T1"), named(t0, "T0")
+    rows = lambda df, ids, n: df.join(ids, f"{n}_clone_id").select("id", F.col(f"{n}_barcode").alias("barcode"), F.lit(0).alias("value"))
+    facts = lambda ids: ids.select("id", F.array(F.col("n").cast("long")).alias("facts"))
+    links = near.select(F.col("T1_barcode").alias("b1"), F.col("T0_barcode").alias("b2"), "distance")
+    found = blocks.compare(rows(t1, new, "T1"), facts(new), rows(t0, old, "T0"), facts(old), links, blocks.most_similar(top_n), "t1 long, t0 long, matched long")
+    side = lambda ids, n, c: ids.select(F.col("id").alias(c), f"{n}_clone_id", F.col("n").alias(f"num_{n}_barcodes"))
+    best = found.join(side(new, "T1", "t1"), "t1").join(side(old, "T0", "t0"), "t0").withColumn("least", _similarity(F.col("matched"))).withColumn("nth", F.row_number().over(nth))
+    return best.where(F.col("nth") <= top_n).select("T1_clone_id", "T0_clone_id")
 
 
 def match_clones(t0: DataFrame, t1: DataFrame, p: TimepointParams = TimepointParams(), t0_weights: DataFrame | None = None, t1_weights: DataFrame | None = None) -> DataFrame:

@@ -74,3 +74,21 @@ def test_cells_of_one_family_are_matched_without_rows_for_pairs(spark):
     out = []
     records, _ = shuffled(spark, lambda: out.extend(direct.match_cells(rows, rows, config.DirectParams(hamming_threshold=0, jaccard_threshold=0.99)).where("T0_cell_barcode = T1_cell_barcode").collect()))
     assert len(out) > n * 0.9 and records < 1_000_000  # each of the 2 million pairs shares several barcodes
+
+
+def test_clones_of_one_family_are_ranked_without_rows_for_pairs(spark):
+    n = 1500
+    rows = sharing(spark, n).select(F.col("id").alias("clone_id"), "barcode").cache()
+    rows.count()
+    out = []
+    records, _ = shuffled(spark, lambda: out.extend(timepoints.match_clones(rows, rows, config.TimepointParams(hamming_threshold=0, top_n=1)).collect()))
+    assert len(out) == n and all(r.similarity_score == 1.0 for r in out) and records < 1_000_000
+
+
+def test_degrees_of_one_family_need_no_bitmap_a_cell_and_barcode(spark):
+    n = 6000
+    rows = sharing(spark, n).select(F.lit("s").alias("source"), F.col("id").cast("string").alias("cell"), "barcode").cache()
+    rows.count()
+    out = []
+    _, size = shuffled(spark, lambda: out.append(clones.clone_groups(rows, p=config.CloneParams(hamming_threshold=0)).agg(F.count("*").alias("n"), F.max("degree").alias("most")).first()))
+    assert out[0].n == n and n * 0.9 < out[0].most < n and size < 60_000_000
