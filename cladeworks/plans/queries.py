@@ -135,9 +135,9 @@ def clone_pairs_cross(spark, d):
     return _rounded(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1")))
 
 
-def _groups(spark, d, condition=T0, source="T0"):
+def _groups(spark, d, condition=T0, source="T0", degrees=True):
     prepared = _prepared(spark, d, condition, source)
-    return prepared, materialize(clones.clone_groups(prepared))
+    return prepared, materialize(clones.clone_groups(prepared, degrees=degrees))
 
 
 def clone_groups(spark, d):
@@ -153,7 +153,7 @@ def clone_groups_cross_near(spark, d):
 
 
 def clone_barcodes(spark, d):
-    prepared, groups = _groups(spark, d)
+    prepared, groups = _groups(spark, d, degrees=False)
     return clones.clone_counts(groups, clones.clone_barcodes(prepared, groups))
 
 
@@ -453,7 +453,7 @@ def _untranslated(spark, d):
 
 
 def clone_size_histogram(spark, d):
-    groups = _groups(spark, d)[1]
+    groups = _groups(spark, d, degrees=False)[1]
     return groups.select("cloneID", "clone_size").distinct().groupBy("clone_size").agg(F.count("*").alias("clones"))
 
 

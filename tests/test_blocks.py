@@ -92,3 +92,10 @@ def test_degrees_of_one_family_need_no_bitmap_a_cell_and_barcode(spark):
     out = []
     _, size = shuffled(spark, lambda: out.append(clones.clone_groups(rows, p=config.CloneParams(hamming_threshold=0)).agg(F.count("*").alias("n"), F.max("degree").alias("most")).first()))
     assert out[0].n == n and n * 0.9 < out[0].most < n and size < 60_000_000
+
+
+def test_queries_that_show_no_degree_count_none(spark, monkeypatch):
+    from cladeworks.plans import queries
+
+    monkeypatch.setattr(clones, "_class_degrees", lambda *_: pytest.fail("degrees were counted"))
+    assert queries.clone_barcodes(spark, "/root/testdata/sf0.001").count() > 0
