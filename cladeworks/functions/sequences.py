@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 def wsn_mismatches(seq: Column) -> Column:
     """Bases out of the repeating pattern (A or T, G or C, any); an ambiguous base mismatches."""
-    bases = F.filter(F.split(seq, ""), lambda b: b != "")
-    bad = F.transform(bases, lambda b, i: F.when(i % 3 == 0, ~b.isin("A", "T")).when(i % 3 == 1, ~b.isin("G", "C")).otherwise(F.lit(False)))
-    return F.size(F.filter(bad, lambda x: x)).cast("int")
+    first, second = F.regexp_replace(seq, "(?s)(.).?.?", "$1"), F.regexp_replace(seq, "(?s).(.?).?", "$1")
+    return (F.length(F.translate(first, "AT", "")) + F.length(F.translate(second, "GC", ""))).cast("int")
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -22,7 +22,8 @@ def pair_reads(read1: DataFrame, read2: DataFrame, prefix: str, capture: str = C
     two = read2.select("ord", strip(F.col("id")).alias("id2"), (at > 0).alias("found"), F.when(at > length, F.substring(F.col("seq"), at - length, F.lit(length))).alias("lineage_barcode"))
     # Both mates go through one exchange; of each ordinal there is one of either.
     columns = ["id1", "cell_barcode", "umi", "id2", "found", "lineage_barcode"]
-    both = one.unionByName(two, allowMissingColumns=True).groupBy("ord").agg(*[F.max(c).alias(c) for c in columns]).where("found is not null")
+    # They are dealt before they are grouped: on the reading side there is nothing to put together, so nothing is sorted there.
+    both = one.unionByName(two, allowMissingColumns=True).repartition("ord").groupBy("ord").agg(*[F.max(c).alias(c) for c in columns]).where("found is not null")
     return both.withColumn("paired", F.col("id1") == F.col("id2")).withColumn("mismatches", wsn_mismatches(F.col("lineage_barcode")))
 
 

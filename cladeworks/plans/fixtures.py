@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cladeworks.config import CAPTURE_SEQUENCE
 from cladeworks.runtime import ensure_checkpoint_dir, read_table
@@ -99,8 +100,6 @@ def short_molecules(spark: SparkSession, molecules: DataFrame) -> DataFrame:
 
 def corrected(spark: SparkSession, sf_dir: str, condition: str | None = None) -> DataFrame:
     """Corrected counts of one condition (A, N or R), as the correction step would leave them."""
-    from pyspark.sql import functions as F
-
     from cladeworks.operators.molecules import with_totals
 
     rows = reads(spark, sf_dir, condition)
@@ -112,12 +111,19 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def dealt_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads in ranges of their number. Line items are dealt before their sequences are made, in as many partitions as configured, as these rows are small."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag")
+    lines = lines.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.expr("l_orderkey * 8 + l_linenumber"))
+    return spark.sql(READS.replace("lineitem_source", "{lines}"), lines=lines)
+
+
 def fastq(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Both mates, written as FASTQ (the second gzipped) and read back."""
-    mates, out = spark.sql(MATES.replace("FROM reads", "FROM {reads}"), reads=reads(spark, sf_dir)), []
+    mates, out = spark.sql(MATES.replace("FROM reads", "FROM {reads}"), reads=dealt_reads(spark, sf_dir)), []
     for i, compression in ((1, "none"), (2, "gzip")):
         path = folder(spark, f"read{i}")
-        tables.write_fastq(mates.selectExpr("number", "seq1", "seq2", f"id{i} AS id", f"seq{i} AS seq"), path, ["number", "seq1", "seq2"], compression)
+        tables.write_fastq(mates.selectExpr("number", "seq1", "seq2", f"id{i} AS id", f"seq{i} AS seq"), path, ["number", "seq1", "seq2"], compression, dealt=True)
         out.append(tables.read_fastq(spark, path))
     return out[0], out[1]
 
