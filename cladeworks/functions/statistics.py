@@ -58,7 +58,8 @@ def fisher_tables(tables: DataFrame) -> DataFrame:
     The chances rise up to the mode and fall beyond it, so the tables that count are two tails. The inner end of each is found by bisection, and
     so is the place further out from which terms no longer matter; what lies between is a row a term, summed by table.
     """
-    t = tables.select("a", "b", "c", "d").distinct()
+    # Few bytes but much work a row: partitions stay as many as configured instead of being joined by size.
+    t = tables.select("a", "b", "c", "d").repartition(int(tables.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b", "c", "d").distinct()
     t = t.withColumns({"_row": F.col("a") + F.col("b"), "_col": F.col("a") + F.col("c"), "_n": F.col("a") + F.col("b") + F.col("c") + F.col("d")})
     margins = F.array(F.struct("_row", F.lit(1).alias("w")), F.struct((F.col("_n") - F.col("_row")).alias("_row"), F.lit(1).alias("w")), F.struct(F.col("_col").alias("_row"), F.lit(1).alias("w")), F.struct((F.col("_n") - F.col("_col")).alias("_row"), F.lit(1).alias("w")), F.struct(F.col("_n").alias("_row"), F.lit(-1).alias("w")))
     mode = F.floor((F.col("_row") + 1).cast("double") * (F.col("_col") + 1) / (F.col("_n") + 2)).cast("long")
@@ -125,7 +126,8 @@ def benjamini_hochberg(df: DataFrame, p: str, q: str) -> DataFrame:
     stepped = values.join(sized(ranges), "_part").withColumn("_bh_v", F.col("_bh_p") * F.col("all") / rank)
     onward = stepped.groupBy("_part").agg(F.min("_bh_v").alias("least"))
     onward = onward.select("_part", F.min("least").over(Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)).alias("later"))
-    here = F.min("_bh_v").over(inside.rowsBetween(0, Window.unboundedFollowing))
+    # From the end on, so that a row adds itself to what is known; a frame to the end would be gone through again for each row.
+    here = F.min("_bh_v").over(Window.partitionBy("_part").orderBy(F.desc("_nth")).rowsBetween(Window.unboundedPreceding, 0))
     known = stepped.join(sized(onward), "_part").select(F.col("_bh_p").alias(p), F.when(F.col("_bh_p").isNotNull(), F.least(F.lit(1.0), here, F.coalesce("later", F.lit(1.0)))).alias(q))
     return df.join(known, df[p].eqNullSafe(known[p])).select(*[df[c] for c in df.columns], known[q])
 

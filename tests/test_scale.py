@@ -19,6 +19,18 @@ def test_fisher_is_dealt_to_as_many_tasks_as_configured(spark):
     assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_steps_of_q_values_are_taken_from_the_end(spark):
+    """No window runs from each row to the end of its range, which is quadratic in the rows."""
+    rows = spark.range(2000).selectExpr("(id * 7919 % 2003 + 1) / 2004.0D AS p")
+    found = statistics.benjamini_hochberg(rows, "p", "q")
+    assert "currentrow$(), unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    ps, least, want = sorted(r.p for r in found.collect()), 1.0, {}
+    for k in range(len(ps), 0, -1):
+        least = min(least, ps[k - 1] * len(ps) / k)
+        want[ps[k - 1]] = least
+    assert all(abs(want[r.p] - r.q) < 1e-12 for r in found.collect())
+
+
 def test_arriving_files_grow_in_number_and_batches_do_not(spark, monkeypatch):
     put, files, batches = tables.write_tsv, [], []
     monkeypatch.setattr(tables, "write_tsv", lambda df, path: (put(df, path), files.append(len(spark.read.text(path).inputFiles()))))
