@@ -437,7 +437,7 @@ def matches_file(spark, d):
 def graph_file(spark, d):
     """Links of the graph as JSON lines, read back."""
     path, edges = fx.folder(spark, "graph"), graph_edges(spark, d)
-    tables.graph_records(edges).write.text(path)
+    tables.graph_records(edges).write.option("compression", "gzip").text(path)  # a line a link
     return spark.read.schema(edges.schema).json(path)
 
 
@@ -461,8 +461,9 @@ def streamed_counts(spark, d):
     """Reads of molecules, over UMIs of three bases, kept up to date while addresses arrive in several files."""
     path, state, sink = (fx.folder(spark, n) for n in ("arriving", "state", "streamed"))
     rows = _addresses(spark, d).select("readid", "cell_barcode", F.substring("umi", 1, 3).alias("umi"), "lineage_barcode", "mismatches")
-    tables.write_tsv(rows.repartition(4, "readid"), path)
-    addresses.write_counts(addresses.stream_molecules(addresses.stream_addresses(spark, path, 1), 0), state, sink, fold_every=2).awaitTermination()
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))  # a file is written by one task, so there are more of them than batches
+    tables.write_tsv(rows.repartition(files, "readid"), path)
+    addresses.write_counts(addresses.stream_molecules(addresses.stream_addresses(spark, path, -(-files // 4)), 0), state, sink, fold_every=2).awaitTermination()
     return addresses.current_counts(spark, sink)
 
 
