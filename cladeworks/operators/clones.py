@@ -14,6 +14,8 @@ from cladeworks.runtime import materialize, numbered
 HUB_DEGREE = 10
 #: Classes that own a barcode at most where they are listed; beyond it classes meet in blocks.
 LISTED_OWNERS = 64
+#: Pairs of classes that a task lists, and the tasks at most; beyond both a task lists more, and spills.
+LISTED_TOGETHER, LISTED_PARTS = 1 << 18, 2048
 #: The columns that name a pair, in the order that readers of the files expect.
 PAIR = ["source_condition_1", "cell_barcode_1", "source_condition_2", "cell_barcode_2"]
 
@@ -98,18 +100,33 @@ def _met_cells(classes: DataFrame, near: DataFrame, cells: DataFrame, owned: Dat
     Where every barcode has few owners these are listed; else classes meet block by block, and a block's count leaves the task.
     """
     sizes = cells.groupBy("class").agg(F.count("*").alias("n"))
-    if owned.groupBy("barcode").count().where(F.col("count") > LISTED_OWNERS).isEmpty():
-        other = owned.select(F.col("class").alias("other"), F.col("barcode").alias("b2"))
-        listed = classes.withColumnRenamed("barcode", "b1").join(near, "b1").join(other, "b2").select("class", "other").distinct()
-        return listed.join(sizes.withColumnRenamed("class", "other"), "other").groupBy("class").agg(F.sum("n").alias("degree"))
-    named = lambda df: materialize(numbered(df.select("class").distinct(), "id", F.col("class")))
-    ours, theirs = named(classes), named(owned)
+    owners = lambda df, b, n: df.groupBy(F.col("barcode").alias(b)).agg(F.count("*").alias(n))
+    met = near.join(owners(classes, "b1", "n1"), "b1").join(owners(owned, "b2", "n2"), "b2")
+    most, pairs_met = met.agg(F.max(F.greatest("n1", "n2")), F.sum(F.col("n1").cast("double") * F.col("n2"))).first()
+    named = lambda df: materialize(df.select("class").distinct().withColumn("id", F.monotonically_increasing_id()))
+    ours = named(classes)
+    theirs = ours if owned is classes else named(owned)
     rows = lambda df, ids: df.join(ids, "class").select("id", "barcode", F.lit(0).alias("value"))
-    facts = theirs.join(sizes, "class").select("id", F.array("n").alias("facts"))
-    found = blocks.compare(rows(classes, ours), ours.select("id", F.array().cast("array<bigint>").alias("facts")), rows(owned, theirs), facts, near, blocks.count_met, "id long, n long")
+    counted = theirs.join(sizes, "class")
+    if (most or 0) <= LISTED_OWNERS:
+        found = _listed(rows(classes, ours), near, rows(owned, theirs).join(counted.select("id", "n"), "id"), int(pairs_met or 0))
+    else:
+        facts = counted.select("id", F.array("n").alias("facts"))
+        found = blocks.compare(rows(classes, ours), ours.select("id", F.array().cast("array<bigint>").alias("facts")), rows(owned, theirs), facts, near, blocks.count_met, "id long, n long")
     return found.groupBy("id").agg(F.sum("n").alias("degree")).join(ours, "id").select("class", "degree")
 
 
+def _listed(ours: DataFrame, near: DataFrame, theirs: DataFrame, met: int) -> DataFrame:
+    """``(id, other, n)``: each pair of classes that meets, once. Of the ``met`` pairs about ``LISTED_TOGETHER`` are made in a task, and as many told apart.
+
+    There are many times as many pairs as bytes that the join reads, so its partitions are not left to be joined by size.
+    """
+    parts = max(1, min(-(-met // LISTED_TOGETHER), LISTED_PARTS))
+    one = ours.withColumnRenamed("barcode", "b1").join(near, "b1").select("id", "b2").repartition(parts, "b2")
+    two = theirs.select(F.col("barcode").alias("b2"), F.col("id").alias("other"), "n").repartition(parts, "b2")
+    return one.join(two, "b2").select("id", "other", "n").repartition(parts, "id").distinct()
+
+
 def hub_cells(groups: DataFrame, degree: int = HUB_DEGREE) -> DataFrame:
     """Cells with more matches than a clone of ordinary size explains."""
     return groups.where(F.col("degree") > degree)

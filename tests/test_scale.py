@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from cladeworks.config import CloneParams
 from cladeworks.functions import sequences, statistics
+from cladeworks.operators import clones
 from cladeworks.plans import fixtures, queries
 from cladeworks.sources import tables
 from cladeworks.streaming import addresses
@@ -68,3 +70,34 @@ def test_mismatches_match_brute_force(spark):
 
 def test_links_are_written_in_compressed_files(spark):
     assert all(x.endswith(".gz") for x in queries.graph_file(spark, DATA).inputFiles())
+
+
+def largest_task(spark, run):
+    """The most bytes that a task of ``run`` holds in sorts, joins, aggregates and shuffles."""
+    context = spark.sparkContext
+    store, new = context._jsc.sc().statusStore(), lambda: context._jvm.java.util.ArrayList()
+
+    def stages():
+        found = store.stageList(new(), False, False, context._gateway.new_array(context._jvm.double, 0), new())
+        return {(s.stageId(), s.attemptId()) for s in (found.apply(i) for i in range(found.size()))}
+
+    before = stages()
+    run()
+    tasks = [store.taskList(*s, 1000) for s in stages() - before]
+    metrics = [t.apply(i).taskMetrics() for t in tasks for i in range(t.size())]
+    return max(m.get().peakExecutionMemory() for m in metrics if m.isDefined())
+
+
+def test_listed_owners_are_dealt_to_tasks_of_like_memory(spark):
+    """Cells that share each of their barcodes with about 25 others: many pairs from few bytes."""
+    n = 12000
+    seq = "concat_ws('', transform(sequence(0, 11), i -> substr('ACGT', cast(pmod(hash(i, b), 4) as int) + 1, 1)))"
+    rows = spark.range(n).selectExpr("id", "explode(sequence(0, 7)) AS k").selectExpr("id", f"pmod(hash(id, k, 7), {8 * n // 25}) AS b").selectExpr("'s' AS source", "cast(id as string) AS cell", f"{seq} AS barcode").distinct().cache()
+    owners = rows.groupBy("barcode").agg(F.count("*").alias("n"))
+    assert rows.count() > 7 * n and owners.agg(F.max("n")).first()[0] <= clones.LISTED_OWNERS
+    out = []
+    size = largest_task(spark, lambda: out.extend(clones.clone_groups(rows, p=CloneParams(hamming_threshold=0)).collect()))
+    both = rows.join(rows.select(F.col("cell").alias("other"), "barcode"), "barcode").where("cell <> other").select("cell", "other").distinct()
+    want = {r.cell: r["count"] for r in both.groupBy("cell").count().collect()}
+    assert len(out) == n and {r.cell_barcode: r.degree for r in out if r.degree} == want
+    assert size < 160 << 20, size
