@@ -82,3 +82,30 @@ def test_pairs_of_one_family_are_listed_without_rows_for_them(spark, run):
     found = []
     records, size = shuffled(spark, lambda: found.append(run(rows, p=config.CloneParams(hamming_threshold=0)).selectExpr("count(*)", "count(matched_barcode_pairs)").first()))
     assert found[0][0] > 0.95 * n * (n - 1) / 2 and records < 300_000 and size < 30_000_000
+
+
+def block(n, first):
+    import pyarrow as pa
+
+    own = pa.list_(pa.struct([("barcode", pa.string()), ("umi", pa.float64()), ("rank", pa.float64())]))
+    rows = [{"one": "s", "two": f"{first}{i:015d}", "n": 2, "distinct": 2, "own": [{"barcode": f"{'ACGT'[i % 4] * 12}{'ACGT'[k] * 12}", "umi": 1.0, "rank": 1.0} for k in (i % 3, 3)]} for i in range(n)]
+    return pa.Table.from_pylist(rows, pa.schema([("one", pa.string()), ("two", pa.string()), ("n", pa.int64()), ("distinct", pa.int64()), ("own", own)]))
+
+
+@pytest.mark.parametrize("within", [False, True])
+def test_all_pairs_leave_a_task_as_tiles(within):
+    """Few bytes a pair, where a row each had more than 100."""
+    one, two = block(400, "a"), block(400, "a" if within else "b")
+    given = list(pairs.Meeting(pairs.Cells(one), pairs.Cells(two), None, config.CloneParams(hamming_threshold=0), within, False).batches())
+    seen = [x for b in given for x in b["seen"].flatten().to_pylist()]
+    total = 400 * 399 // 2 if within else 400 * 400
+    assert sum(x != pairs.NONE for x in seen) == total and sum(x < pairs.NONE for x in seen) == sum(len(b["num_matches"].flatten()) for b in given)
+    assert sum(b.nbytes for b in given) < 45 * total
+
+
+def test_all_pairs_of_cells_without_barcodes(spark):
+    one = spark.createDataFrame([("x", "a", "ACGT", 1.0, 1.0, 1), ("x", "b", None, 1.0, 1.0, 1), ("x", "c", "ACGA", 2.0, 1.0, 1), ("x", "d", "ACGA", 2.0, 1.0, 1)], COLUMNS)
+    found = {(r.cell_barcode_1, r.cell_barcode_2): (r.is_clone, r.min_observed_distance, r.num_barcode_comparisons, r.best_hamming_distance, r.num_matches, r.matched_barcode_pairs) for r in clones.all_pairs(one, p=config.CloneParams(0)).collect()}
+    none = lambda d, n: (False, d, n, None, 0, "")
+    assert found.pop(("c", "d"))[:5] == (True, 0, 1, 0, 1)
+    assert found == {("a", "b"): none(None, 0), ("a", "c"): none(1, 1), ("a", "d"): none(1, 1), ("b", "c"): none(None, 0), ("b", "d"): none(None, 0)}
