@@ -146,10 +146,19 @@ def clone_counts(groups: DataFrame, barcodes: DataFrame) -> DataFrame:
     return groups.groupBy("cloneID").agg(F.count("*").alias("count")).join(barcodes, "cloneID", "left")
 
 
-def matched_cells(pairs: DataFrame, side: int | None = None) -> DataFrame:
-    """Cells of matched pairs with their condition; ``side`` 1 or 2 takes one side only."""
-    hits = pairs.where("is_clone")
-    ends = [hits.select(F.col(f"cell_barcode_{i}").alias("cell_barcode"), F.col(f"source_condition_{i}").alias("source_condition")) for i in ((1, 2) if side is None else (side,))]
+def matched_cells(one: DataFrame, two: DataFrame | None = None, p: CloneParams = CloneParams(), side: int | None = None) -> DataFrame:
+    """``(cell_barcode, source_condition)`` of the cells of matched pairs; ``side`` 1 or 2 takes one side only across two inputs.
+
+    A cell has a match if one of its barcodes is near one of the other side, or within one input near one that another cell owns, so no pair is listed.
+    """
+    near = materialize(hamming_pairs(one.select("barcode"), (one if two is None else two).select("barcode"), p.hamming_threshold))
+    if two is None:
+        owners = one.groupBy(F.col("barcode").alias("b2")).agg(F.min("cell").alias("least"), F.max("cell").alias("most"))
+        met = near.join(owners, "b2").groupBy(F.col("b1").alias("barcode")).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        ends = [one.join(met, "barcode").where("least <> cell or most <> cell")]
+    else:
+        ends = [rows.join(near.select(F.col(f"b{i}").alias("barcode")).distinct(), "barcode", "left_semi") for i, rows in ((1, one), (2, two)) if side in (None, i)]
+    ends = [x.select(F.col("cell").alias("cell_barcode"), F.col("source").alias("source_condition")) for x in ends]
     return (ends[0].unionByName(ends[1]) if len(ends) == 2 else ends[0]).distinct()
 
 

@@ -189,7 +189,7 @@ def all_pairs_cross(spark, d):
 
 
 def matched_cells(spark, d):
-    return clones.matched_cells(clones.clone_pairs(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"), texts=False))
+    return clones.matched_cells(_prepared(spark, d), _prepared(spark, d, TREATED, "T1"))
 
 
 def legacy_clones(spark, d):

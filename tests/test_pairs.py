@@ -109,3 +109,20 @@ def test_all_pairs_of_cells_without_barcodes(spark):
     none = lambda d, n: (False, d, n, None, 0, "")
     assert found.pop(("c", "d"))[:5] == (True, 0, 1, 0, 1)
     assert found == {("a", "b"): none(None, 0), ("a", "c"): none(1, 1), ("a", "d"): none(1, 1), ("b", "c"): none(None, 0), ("b", "d"): none(None, 0)}
+
+
+def test_matched_cells_are_the_ends_of_pairs(spark):
+    """Without a list of pairs: nothing leaves Spark for a Python worker."""
+    rnd = random.Random(7)
+    pool = ["".join(rnd.choice("ACGT") for _ in range(rnd.choice((5, 6)))) for _ in range(120)]
+    rows = lambda source, n: [(source, f"c{i}", b, 1.0, 1.0, 2) for i in range(n) for b in rnd.sample(pool, 2)] + [(source, f"c{n}", None, 1.0, 1.0, 1), (source, "c0", pool[0], 1.0, 1.0, 3)]
+    one, two = (spark.createDataFrame(x, COLUMNS).cache() for x in (rows("x", 30), rows("y", 20) + [("y", "alone", "T" * 9, 1.0, 1.0, 1)]))
+    for p in (config.CloneParams(0), config.CloneParams(1)):
+        for other in (None, two):
+            pairs_ = clones.clone_pairs(one, other, p).collect()
+            ends = [{(r.cell_barcode_1, r.source_condition_1) for r in pairs_}, {(r.cell_barcode_2, r.source_condition_2) for r in pairs_}]
+            found = clones.matched_cells(one, other, p)
+            assert "InArrow" not in found._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(tuple, found.collect())) == sorted(ends[0] | ends[1]) and pairs_
+        for side in (1, 2):
+            assert sorted(map(tuple, clones.matched_cells(one, two, p, side).collect())) == sorted(ends[side - 1])
