@@ -84,11 +84,11 @@ def test_pairs_of_one_family_are_listed_without_rows_for_them(spark, run):
     assert found[0][0] > 0.95 * n * (n - 1) / 2 and records < 300_000 and size < 30_000_000
 
 
-def block(n, first):
+def block(n, first, last=(2, 3)):
     import pyarrow as pa
 
     own = pa.list_(pa.struct([("barcode", pa.string()), ("umi", pa.float64()), ("rank", pa.float64())]))
-    rows = [{"one": "s", "two": f"{first}{i:015d}", "n": 2, "distinct": 2, "own": [{"barcode": f"{'ACGT'[i % 4] * 12}{'ACGT'[k] * 12}", "umi": 1.0, "rank": 1.0} for k in (i % 3, 3)]} for i in range(n)]
+    rows = [{"one": "s", "two": f"{first}{i:015d}", "n": 2, "distinct": 2, "own": [{"barcode": f"{'ACGT'[i % 4] * 13}{'ACGT'[k] * 11}", "umi": 1.0, "rank": 1.0} for k in ((i % 3, 3) if i < n - 1 else last)]} for i in range(n)]
     return pa.Table.from_pylist(rows, pa.schema([("one", pa.string()), ("two", pa.string()), ("n", pa.int64()), ("distinct", pa.int64()), ("own", own)]))
 
 
@@ -126,3 +126,26 @@ def test_matched_cells_are_the_ends_of_pairs(spark):
             assert sorted(map(tuple, found.collect())) == sorted(ends[0] | ends[1]) and pairs_
         for side in (1, 2):
             assert sorted(map(tuple, clones.matched_cells(one, two, p, side).collect())) == sorted(ends[side - 1])
+
+
+@pytest.mark.parametrize("within", [False, True])
+@pytest.mark.parametrize(("owned", "last", "made"), [(pairs.OWNED, (2, 3), {0}), (pairs.OWNED, (2,), {0, 11}), (0, (2, 3), {0, 11})])
+def test_quick_pairs_make_exact_matches_alone(monkeypatch, within, owned, last, made):
+    """Near matches are only made for rows with a pair that has no exact one; the last cell of a block may make such pairs."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pairs, "OWNED", owned)
+    p, one = config.CloneParams(hamming_threshold=11), block(60, "a", last)
+    two = one if within else block(60, "b", last)
+    names = sorted({x["barcode"] for row in one["own"].to_pylist() for x in row})
+    links = pa.Table.from_pylist([{"one": a, "two": b, "n": apart(a, b)} for a in names for b in names if apart(a, b) <= 11])
+    met = pairs.Meeting(pairs.Cells(one), pairs.Cells(two), links, p, within, True)
+    found = {(r["cell_barcode_1"], r["cell_barcode_2"]): (r["num_exact_matches"], r["num_hamming_matches"], r["best_hamming_distance"], r["matched_barcode_pairs"].count(";") + 1) for b in met.batches() for r in b.to_pylist()}
+    want = {}
+    for x in one.to_pylist():
+        for y in two.to_pylist():
+            near = [apart(a["barcode"], b["barcode"]) for a in x["own"] for b in y["own"] if apart(a["barcode"], b["barcode"]) <= 11]
+            if near and (x["two"] < y["two"] or not within):
+                exact = near.count(0)
+                want[x["two"], y["two"]] = (exact, 0 if exact else len(near), min(near), exact or len(near))
+    assert found == want and set(met.distance[met.link].tolist()) == made
