@@ -149,3 +149,34 @@ def test_quick_pairs_make_exact_matches_alone(monkeypatch, within, owned, last,
                 exact = near.count(0)
                 want[x["two"], y["two"]] = (exact, 0 if exact else len(near), min(near), exact or len(near))
     assert found == want and set(met.distance[met.link].tolist()) == made
+
+
+@pytest.mark.parametrize("within", [False, True])
+@pytest.mark.parametrize("some", [pairs.PAIRS, 100])
+def test_exact_pairs_without_texts_are_summed_by_barcode(monkeypatch, within, some):
+    """The rows of the other way, and no match is one."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pairs, "PAIRS", some)
+    rnd = random.Random(some)
+
+    def varied(first):
+        rows = block(50, first).to_pylist()
+        for row in rows:
+            for own in row["own"]:
+                own |= {"umi": float(rnd.randrange(1, 30)), "rank": float(rnd.randrange(1, 9))}
+            row["own"].sort(key=lambda x: x["barcode"])
+        return pa.Table.from_pylist(rows, block(1, first).schema)
+
+    one = varied("a")
+    two = one if within else varied("b")
+    names = sorted({x["barcode"] for row in one["own"].to_pylist() for x in row})
+    links = pa.Table.from_pylist([{"one": a, "two": b, "n": apart(a, b)} for a in names for b in names if apart(a, b) <= 11])
+
+    def rows(texts):
+        met = pairs.Meeting(pairs.Cells(one), pairs.Cells(two), links, config.CloneParams(hamming_threshold=11), within, texts)
+        return sorted((tuple(r[c] for c in pairs.NAMES[:-1]) for b in met.batches() for r in b.to_pylist()))
+
+    want = rows(True)
+    monkeypatch.delattr(pairs.Meeting, "_matches")
+    assert rows(False) == want and want
