@@ -180,3 +180,6 @@ def test_exact_pairs_without_texts_are_summed_by_barcode(monkeypatch, within, so
     want = rows(True)
     monkeypatch.delattr(pairs.Meeting, "_matches")
     assert rows(False) == want and want
+    every = [x for b in pairs.Meeting(pairs.Cells(one), pairs.Cells(two), None, config.CloneParams(hamming_threshold=0), within, False).batches() for x in b.to_pylist()]
+    told = [sorted(x[k] for r in every for x in zip(*(r[c] for c in pairs.FOUND), strict=True)) for k in (0, 1, 5)]
+    assert told == [sorted(r[pairs.NAMES.index(c)] for r in want) for c in ("num_matches", "num_exact_matches", "mean_match_confidence")]
